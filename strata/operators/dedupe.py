@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (ascending, NULLs first).
+def keep_first(df: DataFrame, keys: list[str], order: list[str | Column] | None = None) -> DataFrame:
+    """One row per ``keys``: the first by ``order``.
+
+    Names in ``order`` sort ascending with NULLs first; Column expressions
+    (``F.desc("updated_at")``) are used as given.
 
     ``order`` defaults to every other column in schema order, so the pick is
     deterministic whatever the input order: rows that tie on all of them are
@@ -19,5 +22,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str] | None = None) -
     row per map task on the wire, not a third of the table in one reducer.
     """
     order = order if order is not None else [c for c in df.columns if c not in keys]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    w = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    )
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

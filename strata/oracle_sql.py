@@ -413,7 +413,7 @@ FROM gold_total_revenue""",
             "gold_top_products",
         ),
         "ds_return_rate_summary": build(
-            "SELECT AVG(return_rate_pct) AS avg_return_rate FROM gold_return_rate", "gold_return_rate"
+            "SELECT round(AVG(return_rate_pct), 6) AS avg_return_rate FROM gold_return_rate", "gold_return_rate"
         ),
         "ds_aov_trend": build(
             "SELECT snapshot_date, avg_order_value FROM gold_avg_order_value ORDER BY snapshot_date",
@@ -495,3 +495,241 @@ GROUP BY p.category""",
         "gold_customer_profile": build("SELECT * FROM customer_profile", "customer_profile"),
     }
 )
+
+# --- bike rides --------------------------------------------------------------
+
+cte(
+    "bronze_rides",
+    """
+SELECT CAST(event_id AS VARCHAR) AS ride_id,
+  CASE WHEN event_id % 29 = 0 THEN 'bad-time' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS start_time,
+  strftime(end_ts, '%Y-%m-%d %H:%M:%S.%f') AS end_time,
+  CASE WHEN event_id % 31 = 0 THEN NULL ELSE event_type END AS start_station_id,
+  end_type AS end_station_id,
+  CAST(user_id AS VARCHAR) AS bike_id,
+  CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 2 = 0 THEN 'member' ELSE 'casual' END AS user_type
+FROM (
+  SELECT event_id, ts, user_id, event_type, lead(ts) OVER w AS end_ts, lead(event_type) OVER w AS end_type
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+) WHERE end_ts IS NOT NULL""",
+)
+cte(
+    "silver_rides",
+    """
+SELECT CAST(start_ts AS DATE) AS ride_date, ride_id, start_ts AS start_time, end_ts AS end_time,
+  start_station_id, end_station_id, bike_id, user_type,
+  CAST(CAST(CAST(CAST(minutes AS DOUBLE) / 60.0 AS DECIMAL(27,6))
+            * (CASE WHEN user_type = 'member' THEN 10.0 ELSE 15.0 END) AS DECIMAL(31,7))
+       AS DECIMAL(19,4)) AS ride_revenue
+FROM (
+  SELECT *, date_sub('minute', start_ts, end_ts) AS minutes
+  FROM (SELECT *, TRY_CAST(start_time AS TIMESTAMP) AS start_ts, TRY_CAST(end_time AS TIMESTAMP) AS end_ts
+        FROM bronze_rides)
+) WHERE minutes > 0""",
+    "bronze_rides",
+)
+cte(
+    "gold_rides",
+    """
+SELECT ride_date, bike_id, COUNT(DISTINCT ride_id) AS total_rides,
+  CAST(SUM(ride_revenue) AS DECIMAL(19,4)) AS total_revenue,
+  arg_min_null(start_station_id, (start_time, ride_id)) AS first_start_station_id,
+  arg_max_null(end_station_id, (end_time, ride_id)) AS last_end_station_id
+FROM silver_rides GROUP BY ALL""",
+    "silver_rides",
+)
+ORACLE["bike_silver"] = build("SELECT * FROM silver_rides", "silver_rides")
+ORACLE["bike_gold"] = build("SELECT * FROM gold_rides", "gold_rides")
+
+# --- audits --------------------------------------------------------------------
+
+
+def _rate_row(table: str, metric: str, flag: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, COUNT(*) AS total_records, '{metric}' AS metric, "
+        f"COUNT(*) FILTER (WHERE {flag}) AS metric_count, "
+        f"CAST(COUNT(*) FILTER (WHERE {flag}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100.0 AS metric_pct "
+        f"FROM {table}"
+    )
+
+
+ORACLE["audit_silver"] = build(
+    "\nUNION ALL\n".join(
+        [
+            _rate_row("silver_customers", "valid_emails", "is_valid_email"),
+            _rate_row("silver_products", "valid_pricing", "is_valid_pricing"),
+            _rate_row("silver_orders", "valid_line_totals", "is_valid_line_total"),
+            _rate_row("silver_orders", "returned_items", "is_returned"),
+            _rate_row("silver_transactions", "valid_line_totals", "is_valid_line_total"),
+            _rate_row("silver_transactions", "returned_items", "is_returned"),
+        ]
+    ),
+    *SILVER,
+)
+ORACLE["audit_gold"] = build(
+    """
+SELECT 'gold_total_revenue' AS table_name, COUNT(*) AS total_records, 'total_revenue' AS headline_metric,
+       CAST(NULL AS VARCHAR) AS headline_label, CAST(SUM(total_revenue) AS DOUBLE) AS headline_value
+FROM gold_total_revenue
+UNION ALL
+SELECT 'gold_top_customers', COUNT(*), 'top_customer_revenue', arg_min(full_name, revenue_rank),
+       CAST(arg_min(total_revenue, revenue_rank) AS DOUBLE)
+FROM gold_top_customers
+UNION ALL
+SELECT 'gold_top_products', COUNT(*), 'top_product_revenue', arg_min(product_name, sales_rank),
+       CAST(arg_min(total_revenue, sales_rank) AS DOUBLE)
+FROM gold_top_products
+UNION ALL
+SELECT 'gold_avg_order_value', COUNT(*), 'overall_avg_order_value', NULL, round(AVG(avg_order_value), 6)
+FROM gold_avg_order_value
+UNION ALL
+SELECT 'gold_return_rate', COUNT(*), 'overall_return_rate_pct', NULL,
+       CAST(SUM(returned_orders) AS DOUBLE) / CAST(SUM(total_orders) AS DOUBLE) * 100.0
+FROM gold_return_rate""",
+    *GOLD,
+)
+
+# --- incremental ---------------------------------------------------------------
+# One-shot formulation: applying both batches in two checkpointed runs must
+# equal processing the whole feed at once (the property the runs rely on).
+
+cte(
+    "cust_feed",
+    """
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM bronze_customers
+UNION ALL
+SELECT customer_id, first_name,
+       CASE WHEN _k % 5 = 0 THEN last_name || '-B' ELSE last_name END AS last_name,
+       email, address, city, state, country, gender,
+       CASE WHEN _k % 3 = 0 THEN 'PLATINUM' ELSE loyalty_tier END AS loyalty_tier,
+       TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+FROM bc_rows WHERE _k % 3 = 0 OR _k % 5 = 0 OR _k % 8 = 0""",
+    "bronze_customers",
+    "bc_rows",
+)
+cte(
+    "cust_changes",
+    _first(
+        f"""(
+SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
+       lower(trim(email)) AS email, trim(city) AS city, trim(state) AS state, trim(country) AS country,
+       trim(loyalty_tier) AS loyalty_tier,
+       COALESCE(regexp_matches(lower(trim(email)), '{EMAIL}'), false) AS is_valid_email, updated_at
+FROM cust_feed
+WHERE updated_at <= TIMESTAMP '2024-03-01' AND customer_id IS NOT NULL
+  AND regexp_matches(customer_id, '{CUST_ID}'))""",
+        "customer_id, updated_at",
+        "first_name last_name email city state country loyalty_tier is_valid_email".split(),
+    ),
+    "cust_feed",
+)
+_CUST_REST = "first_name last_name email city state country loyalty_tier is_valid_email".split()
+cte(
+    "scd1",
+    "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY "
+    "updated_at DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS FIRST" for c in _CUST_REST) + ") AS _rn "
+    "FROM cust_changes) WHERE _rn = 1",
+    "cust_changes",
+)
+cte(
+    "scd2",
+    """
+SELECT customer_id, first_name, last_name, email, city, state, country, loyalty_tier, is_valid_email,
+       updated_at AS valid_from,
+       lead(updated_at) OVER k AS valid_to,
+       lead(updated_at) OVER k IS NULL AS is_current
+FROM (
+  SELECT * FROM (
+    SELECT *, lag(updated_at) OVER w AS p_t, lag(email) OVER w AS p_email, lag(city) OVER w AS p_city,
+           lag(state) OVER w AS p_state, lag(loyalty_tier) OVER w AS p_tier
+    FROM cust_changes WINDOW w AS (PARTITION BY customer_id ORDER BY updated_at)
+  )
+  WHERE p_t IS NULL
+     OR NOT (email IS NOT DISTINCT FROM p_email AND city IS NOT DISTINCT FROM p_city
+             AND state IS NOT DISTINCT FROM p_state AND loyalty_tier IS NOT DISTINCT FROM p_tier)
+)
+WINDOW k AS (PARTITION BY customer_id ORDER BY updated_at)""",
+    "cust_changes",
+)
+cte(
+    "txn_feed",
+    """
+SELECT *, 'I' AS cdc_operation, TIMESTAMP '2024-01-01 00:00:00' AS updated_at FROM bronze_transactions
+UNION ALL
+SELECT * REPLACE (quantity + 1 AS quantity), 'U', TIMESTAMP '2024-02-01 00:00:00'
+FROM bronze_transactions WHERE CAST(product_id AS BIGINT) % 5 = 0
+UNION ALL
+SELECT *, 'D', TIMESTAMP '2024-02-02 00:00:00'
+FROM bronze_transactions WHERE CAST(product_id AS BIGINT) % 7 = 0
+UNION ALL
+SELECT * REPLACE ('N-' || transaction_id AS transaction_id), 'I', TIMESTAMP '2024-02-01 00:00:00'
+FROM bronze_transactions WHERE CAST(product_id AS BIGINT) % 101 = 0""",
+    "bronze_transactions",
+)
+_TXN_COLS = (
+    "order_id product_id quantity unit_price discount_pct line_total transaction_date return_flag "
+    "calculated_line_total is_valid_line_total has_discount is_returned"
+).split()
+cte(
+    "txn_changes",
+    "SELECT transaction_id, " + ", ".join(_TXN_COLS) + ", cdc_operation, updated_at FROM ("
+    + _line_checks(
+        "(SELECT * FROM txn_feed WHERE updated_at <= TIMESTAMP '2024-03-01' AND transaction_id IS NOT NULL)"
+    )
+    + ")",
+    "txn_feed",
+)
+cte(
+    "cdc",
+    "SELECT * EXCLUDE (_rn, cdc_operation) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id "
+    "ORDER BY updated_at DESC NULLS LAST, (cdc_operation = 'D') DESC NULLS LAST, "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in [*_TXN_COLS, "cdc_operation"])
+    + ") AS _rn FROM txn_changes) WHERE _rn = 1 AND cdc_operation <> 'D'",
+    "txn_changes",
+)
+cte(
+    "checkpoint_rows",
+    """
+SELECT 'bronze_customers' AS table_name, MAX(updated_at) AS last_processed_timestamp,
+       COUNT(*) AS records_processed, TIMESTAMP '2024-03-01 00:00:00' AS updated_at
+FROM cust_feed WHERE updated_at > TIMESTAMP '2024-01-01' AND updated_at <= TIMESTAMP '2024-03-01'
+UNION ALL
+SELECT 'bronze_transactions', MAX(updated_at), COUNT(*), TIMESTAMP '2024-03-01 00:00:00'
+FROM txn_feed WHERE updated_at > TIMESTAMP '2024-01-01' AND updated_at <= TIMESTAMP '2024-03-01'""",
+    "cust_feed",
+    "txn_feed",
+)
+ORACLE["scd1_customers"] = build("SELECT * FROM scd1", "scd1")
+ORACLE["scd2_customers"] = build("SELECT * FROM scd2", "scd2")
+ORACLE["cdc_transactions"] = build("SELECT * FROM cdc", "cdc")
+ORACLE["checkpoint_after_run"] = build("SELECT * FROM checkpoint_rows", "checkpoint_rows")
+ORACLE["checkpoint_lag"] = build(
+    """
+SELECT table_name, last_processed_timestamp, source_max_updated_at,
+       GREATEST(CAST(epoch(source_max_updated_at) - epoch(last_processed_timestamp) AS BIGINT), 0) AS lag_seconds
+FROM (
+  SELECT 'bronze_customers' AS table_name,
+         (SELECT MAX(updated_at) FROM cust_feed WHERE updated_at <= TIMESTAMP '2024-01-15') AS last_processed_timestamp,
+         (SELECT MAX(updated_at) FROM cust_feed) AS source_max_updated_at
+  UNION ALL
+  SELECT 'bronze_transactions',
+         (SELECT MAX(updated_at) FROM txn_feed WHERE updated_at <= TIMESTAMP '2024-01-15'),
+         (SELECT MAX(updated_at) FROM txn_feed)
+)""",
+    "cust_feed",
+    "txn_feed",
+)
+ORACLE["audit_incremental"] = build(
+    """
+SELECT 'checkpoint_table' AS table_name, COUNT(*) AS records,
+       CAST(NULL AS BIGINT) AS current_records, CAST(NULL AS BIGINT) AS historical_records
+FROM checkpoint_rows
+UNION ALL SELECT 'silver_customers_scd1', COUNT(*), NULL, NULL FROM scd1
+UNION ALL SELECT 'silver_customers_scd2', COUNT(*), COUNT(*) FILTER (WHERE is_current),
+                 COUNT(*) FILTER (WHERE NOT is_current) FROM scd2
+UNION ALL SELECT 'silver_transactions_incremental', COUNT(*), NULL, NULL FROM cdc""",
+    "checkpoint_rows",
+    "scd1",
+    "scd2",
+    "cdc",
+)

@@ -31,7 +31,9 @@ def ds_top_products(top_products: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def ds_return_rate_summary(return_rate: DataFrame) -> DataFrame:
-    return return_rate.agg(F.avg("return_rate_pct").alias("avg_return_rate"))
+    """Mean of the daily rates, rounded to 6 decimals: a mean of doubles
+    depends on summation order in its last bits."""
+    return return_rate.agg(F.round(F.avg("return_rate_pct"), 6).alias("avg_return_rate"))
 
 
 def ds_aov_trend(avg_order_value: DataFrame) -> DataFrame:

@@ -9,15 +9,22 @@ are dropped, since they differ per run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.plans import audit, gold, incremental, rides, silver
 from strata.plans import datasets as ds
-from strata.plans import gold, silver
 from strata.sources import adapters
 from strata.sources.tables import DriverTables
 
+# Times of the two simulated incremental runs: run 1 sees batch 1 only,
+# run 2 sees both batches and takes what is newer than run 1's mark.
+RUN1_AT = datetime(2024, 1, 15)
+RUN2_AT = datetime(2024, 3, 1)
+
 RUN_COLUMNS = ("processed_at", "_updated_at")
 
 
@@ -84,6 +91,71 @@ class Pipeline:
     def return_rate(self) -> DataFrame:
         return gold.gold_return_rate(self.transactions, self.orders)
 
+    # bike rides
+    @cached_property
+    def bronze_rides(self) -> DataFrame:
+        return adapters.bronze_rides(self.tables)
+
+    def silver_rides(self) -> DataFrame:
+        return rides.silver_rides(self.spark, self.bronze_rides)
+
+    def gold_rides(self) -> DataFrame:
+        return rides.gold_rides(self.spark, self.silver_rides())
+
+    # audits
+    def audit_silver(self) -> DataFrame:
+        return audit.audit_silver(
+            {
+                "silver_customers": self.customers,
+                "silver_products": self.products,
+                "silver_orders": self.orders,
+                "silver_transactions": self.transactions,
+            }
+        )
+
+    def audit_gold(self) -> DataFrame:
+        return audit.audit_gold(
+            self.total_revenue(),
+            self.top_customers(),
+            self.top_products(),
+            self.avg_order_value(),
+            self.return_rate(),
+        )
+
+    # incremental runs over the simulated change feeds
+    @cached_property
+    def customer_feed(self) -> DataFrame:
+        return adapters.customer_feed(self.tables)
+
+    @cached_property
+    def transaction_feed(self) -> DataFrame:
+        return adapters.transaction_feed(self.tables)
+
+    def _arrived(self, feed: DataFrame, at: datetime) -> DataFrame:
+        return feed.filter(F.col("updated_at") <= F.lit(at).cast("timestamp_ntz"))
+
+    def incremental_runs(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)):
+        """Both incremental flows run at each time in ``runs``, sharing one
+        checkpoint table; returns (customer state, transaction state)."""
+        cps = incremental.seed_checkpoints(
+            incremental.empty(self.spark, incremental.CHECKPOINT),
+            [incremental.CUSTOMERS_SOURCE, incremental.TRANSACTIONS_SOURCE],
+            runs[0],
+        )
+        cust = incremental.CustomerState(
+            incremental.empty(self.spark, incremental.SCD1), incremental.empty(self.spark, incremental.SCD2), cps
+        )
+        txn = incremental.TransactionState(incremental.empty(self.spark, incremental.TRANSACTIONS), cps)
+        for at in runs:
+            cust = incremental.run_customers(self._arrived(self.customer_feed, at), cust, at)
+            txn = incremental.run_transactions(
+                self._arrived(self.transaction_feed, at),
+                incremental.TransactionState(txn.table, cust.checkpoints),
+                at,
+            )
+            cust = incremental.CustomerState(cust.scd1, cust.scd2, txn.checkpoints)
+        return cust, txn
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,4 +198,29 @@ QUERIES: dict[str, Query] = {
         lambda p: gold.gold_return_rate_by_category(p.transactions, p.products)
     ),
     "gold_customer_profile": _q(lambda p: p.top_customers(enriched=True)),
+    # bike rides (JOB-R2, JOB-R3)
+    "bike_silver": _q(lambda p: p.silver_rides()),
+    "bike_gold": _q(lambda p: p.gold_rides()),
+    # audits (AUD-1, AUD-2)
+    "audit_silver": _q(lambda p: p.audit_silver()),
+    "audit_gold": _q(lambda p: p.audit_gold()),
+    # incremental (JOB-C1..C3, INC-1..5, AUD-3)
+    "scd1_customers": _q(lambda p: p.incremental_runs()[0].scd1),
+    "scd2_customers": _q(lambda p: p.incremental_runs()[0].scd2),
+    "cdc_transactions": _q(lambda p: p.incremental_runs()[1].table),
+    "checkpoint_after_run": _q(lambda p: p.incremental_runs()[1].checkpoints),
+    "checkpoint_lag": _q(
+        lambda p: incremental.checkpoint_lag(
+            p.incremental_runs((RUN1_AT,))[1].checkpoints,
+            {
+                incremental.CUSTOMERS_SOURCE: p.customer_feed,
+                incremental.TRANSACTIONS_SOURCE: p.transaction_feed,
+            },
+        )
+    ),
+    "audit_incremental": _q(
+        lambda p: (lambda c, t: audit.audit_incremental(t.checkpoints, c.scd1, c.scd2, t.table))(
+            *p.incremental_runs()
+        )
+    ),
 }

@@ -13,6 +13,8 @@ The DuckDB oracle (``strata.oracle_sql``) repeats these expressions as CTEs.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +41,8 @@ def _geography(t: DriverTables) -> DataFrame:
     )
 
 
-def bronze_customers(t: DriverTables) -> DataFrame:
-    """customer_id, first_name, last_name, email, address, city, state,
-    country, gender, loyalty_tier — all strings, as read from CSV."""
+def _customer_rows(t: DriverTables) -> DataFrame:
+    """One bronze row per driver customer, with the key kept as ``_k``."""
     k = F.col("c_custkey")
     ks = _s(k)
     base = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
@@ -68,6 +69,13 @@ def bronze_customers(t: DriverTables) -> DataFrame:
         F.col("c_mktsegment").alias("loyalty_tier"),
         k.alias("_k"),
     )
+    return rows
+
+
+def bronze_customers(t: DriverTables) -> DataFrame:
+    """customer_id, first_name, last_name, email, address, city, state,
+    country, gender, loyalty_tier — all strings, as read from CSV."""
+    rows = _customer_rows(t)
     # A second copy with a different payload (it sorts first, so keep-first
     # picks it) and an exact copy, so that deduplication has work to do.
     changed = rows.filter(F.col("_k") % 19 == 0).withColumns(
@@ -191,3 +199,71 @@ def bronze_rides(t: DriverTables) -> DataFrame:
         .otherwise(F.lit("casual"))
         .alias("user_type"),
     )
+
+
+# --- change feeds for the incremental jobs -----------------------------------
+
+# Change times of the two simulated batches (fixed values of the fixtures).
+BATCH1_AT = datetime(2024, 1, 1)
+BATCH2_AT = datetime(2024, 2, 1)
+DELETES_AT = datetime(2024, 2, 2)
+
+
+def _at(ts: datetime) -> Column:
+    return F.lit(ts).cast("timestamp_ntz")
+
+
+def customer_feed(t: DriverTables) -> DataFrame:
+    """Bronze customer rows + ``updated_at``.
+
+    Batch 1 (2024-01-01): every bronze row.  Batch 2 (2024-02-01): customers
+    with key % 3 = 0 get a new loyalty tier (tracked), key % 5 = 0 a new last
+    name (not tracked), key % 8 = 0 arrive again unchanged.
+    """
+    first = bronze_customers(t).withColumn("updated_at", _at(BATCH1_AT))
+    k = F.col("_k")
+    second = (
+        _customer_rows(t)
+        .filter((k % 3 == 0) | (k % 5 == 0) | (k % 8 == 0))
+        .withColumns(
+            {
+                "loyalty_tier": F.when(k % 3 == 0, F.lit("PLATINUM")).otherwise(F.col("loyalty_tier")),
+                "last_name": F.when(k % 5 == 0, F.concat(F.col("last_name"), F.lit("-B"))).otherwise(
+                    F.col("last_name")
+                ),
+                "updated_at": _at(BATCH2_AT),
+            }
+        )
+        .drop("_k")
+    )
+    return first.unionByName(second)
+
+
+def transaction_feed(t: DriverTables) -> DataFrame:
+    """Bronze transaction rows + ``cdc_operation`` + ``updated_at``.
+
+    Batch 1 (2024-01-01): every row as an insert.  Batch 2: product % 5 = 0
+    updated with quantity + 1 (2024-02-01), product % 7 = 0 deleted
+    (2024-02-02), product % 101 = 0 inserted again under a new id ``N-...``
+    (2024-02-01).
+    """
+    rows = bronze_transactions(t)
+    part = F.col("product_id").cast("long")
+
+    def tag(df: DataFrame, op: str, ts: datetime) -> DataFrame:
+        return df.withColumns({"cdc_operation": F.lit(op), "updated_at": _at(ts)})
+
+    return (
+        tag(rows, "I", BATCH1_AT)
+        .unionByName(tag(rows.filter(part % 5 == 0).withColumn("quantity", F.col("quantity") + 1), "U", BATCH2_AT))
+        .unionByName(tag(rows.filter(part % 7 == 0), "D", DELETES_AT))
+        .unionByName(
+            tag(
+                rows.filter(part % 101 == 0).withColumn(
+                    "transaction_id", F.concat(F.lit("N-"), F.col("transaction_id"))
+                ),
+                "I",
+                BATCH2_AT,
+            )
+        )
+    )
