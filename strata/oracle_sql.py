@@ -733,3 +733,13 @@ UNION ALL SELECT 'silver_transactions_incremental', COUNT(*), NULL, NULL FROM cd
     "scd2",
     "cdc",
 )
+
+# --- sources -----------------------------------------------------------------
+
+_PROFILED = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+ORACLE["source_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, "
+    f"(SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') "
+    f"AS column_count FROM {t}"
+    for t in _PROFILED
+)

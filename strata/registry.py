@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from strata.plans import audit, gold, incremental, rides, silver
 from strata.plans import datasets as ds
-from strata.sources import adapters
+from strata.sources import adapters, raw_files
 from strata.sources.tables import DriverTables
 
 # Times of the two simulated incremental runs: run 1 sees batch 1 only,
@@ -27,6 +27,9 @@ RUN2_AT = datetime(2024, 3, 1)
 
 RUN_COLUMNS = ("processed_at", "_updated_at")
 
+# Driver tables the retail and ride adapters read (profiled by SRC-5/6).
+SOURCE_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+
 
 def without_run_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in RUN_COLUMNS if c in df.columns])
@@ -169,6 +172,15 @@ def _q(build: Callable[[Pipeline], DataFrame]) -> Query:
 
 
 QUERIES: dict[str, Query] = {
+    # sources (SRC-6 profile, SRC-5 per-file audit)
+    "source_profile": _q(
+        lambda p: raw_files.profiles({n: p.tables.table(n) for n in SOURCE_TABLES}).drop("schema")
+    ),
+    "source_file_audit": _q(
+        lambda p: raw_files.file_audit(p.tables.lineitem).select(
+            F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "file_size", "row_count"
+        )
+    ),
     # silver full refresh (JOB-S1..S4)
     "silver_customers": _q(lambda p: p.customers),
     "silver_products": _q(lambda p: p.products),
