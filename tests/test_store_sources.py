@@ -1,0 +1,67 @@
+import os
+
+from strata.plans.bronze import ingest_retail
+from strata.sources.raw_files import file_audit, profile, read_csv, read_text_csv
+from strata.sources.store import TableStore
+
+
+def test_store_versions_and_unpublished_debris(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    assert store.version() == 0 and store.manifest() == {}
+    from strata.functions.schema import Column
+
+    assert store.create_if_absent("t", [Column("id", "bigint")]) is True
+    assert store.create_if_absent("t", [Column("id", "bigint")]) is False
+    store.append("t", spark.range(3))
+    store.append("t", spark.range(3, 5))
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2, 3, 4]
+    # A version folder without a manifest (a crashed commit) is invisible.
+    spark.range(100).write.parquet(store.table_path("t", store.version() + 1))
+    assert store.read("t").count() == 5
+    store.overwrite("t", spark.range(2))
+    assert store.read("t").count() == 2
+    store.commit({"u": spark.range(1)})
+    assert store.manifest()["t"] == store.version() - 1  # unchanged table not copied
+
+
+def test_csv_multiline_quotes_empty_and_missing(spark, tmp_path):
+    p = tmp_path / "customers.csv"
+    p.write_text(
+        'customer_id,first_name,address,age\n'
+        'CUST_1,Ann,"12 ""Old"" Road\nFlat 2",31\n'
+        'CUST_2,,"plain",\n'
+        'CUST_3,Cy\n'
+    )
+    df = read_csv(spark, str(p), multiline=True)
+    got = {r.customer_id: r for r in df.collect()}
+    assert got["CUST_1"].address == '12 "Old" Road\nFlat 2'
+    assert got["CUST_1"].age == 31  # inferred integer
+    assert got["CUST_2"].first_name is None and got["CUST_2"].age is None
+    assert got["CUST_3"].address is None  # missing trailing columns read as NULL
+
+
+def test_folder_read_audit_and_profile(spark, tmp_path):
+    d = tmp_path / "rides"
+    d.mkdir()
+    (d / "a.csv").write_text("ride_id,start_time\n1,2024-01-01 00:00:00\n2,x\n")
+    (d / "b.csv").write_text("ride_id,start_time\n3,2024-01-02 00:00:00\n")
+    df = read_text_csv(spark, str(d))
+    assert dict(df.dtypes) == {"ride_id": "string", "start_time": "string"}
+    audit = {os.path.basename(r.file_path): r.row_count for r in file_audit(df).collect()}
+    assert audit == {"a.csv": 2, "b.csv": 1}
+    prof = profile("rides", df).first()
+    assert (prof.table_name, prof.row_count, prof.column_count) == ("rides", 3, 2)
+
+
+def test_ingest_retail_publishes_four_tables(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "customers.csv").write_text('customer_id,first_name\nCUST_1,"A\nB"\n')
+    (raw / "orders_part-0000.csv").write_text("order_id,quantity\nO1,2\n")
+    (raw / "products.csv").write_text("product_id,unit_price\nP1,9.5\n")
+    (raw / "transactions.csv").write_text("transaction_id,order_id\nT1,O1\n")
+    store = TableStore(spark, str(tmp_path / "bronze"))
+    assert ingest_retail(spark, str(raw), store) == 1
+    assert sorted(store.manifest()) == ["bronze_customers", "bronze_orders", "bronze_products", "bronze_transactions"]
+    assert store.read("bronze_customers").first().first_name == "A\nB"
+    assert store.read("bronze_products").first().unit_price == 9.5
