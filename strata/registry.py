@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from strata.plans import audit, gold, incremental, rides, silver
 from strata.plans import datasets as ds
+from strata.session import scratch_path
 from strata.sources import adapters, raw_files
+from strata.sources.store import TableStore
 from strata.sources.tables import DriverTables
+from strata.streaming.cdc_stream import start_cdc_stream
 
 # Times of the two simulated incremental runs: run 1 sees batch 1 only,
 # run 2 sees both batches and takes what is newer than run 1's mark.
@@ -159,6 +162,39 @@ class Pipeline:
             cust = incremental.CustomerState(cust.scd1, cust.scd2, txn.checkpoints)
         return cust, txn
 
+    def streamed_transactions(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> DataFrame:
+        """The CDC table built by the streaming job (STM-1).
+
+        The change feed arrives as parquet files in a folder below the
+        shared checkpoint folder, one drop per run time; after each drop an
+        available-now stream merges the new files.  The result must equal
+        the checkpointed batch runs (``cdc_transactions``).
+        """
+        import uuid
+
+        root = scratch_path(self.spark, "cdc-stream", uuid.uuid4().hex)
+        store = TableStore(self.spark, f"{root}/store")
+        feed = self.transaction_feed
+        previous = None
+        for at in runs:
+            drop = self._arrived(feed, at)
+            if previous is not None:
+                drop = drop.filter(F.col("updated_at") > F.lit(previous).cast("timestamp_ntz"))
+            drop.write.mode("append").parquet(f"{root}/feed")
+            previous = at
+            start_cdc_stream(
+                self.spark,
+                f"{root}/feed",
+                feed.schema,
+                store,
+                incremental.CDC_TABLE,
+                incremental.TRANSACTIONS,
+                ["transaction_id"],
+                f"{root}/stream-checkpoint",
+                transform=incremental.transaction_changes,
+            ).awaitTermination()
+        return store.read(incremental.CDC_TABLE, incremental.TRANSACTIONS)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -220,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "scd1_customers": _q(lambda p: p.incremental_runs()[0].scd1),
     "scd2_customers": _q(lambda p: p.incremental_runs()[0].scd2),
     "cdc_transactions": _q(lambda p: p.incremental_runs()[1].table),
+    "cdc_transactions_stream": _q(lambda p: p.streamed_transactions()),
     "checkpoint_after_run": _q(lambda p: p.incremental_runs()[1].checkpoints),
     "checkpoint_lag": _q(
         lambda p: incremental.checkpoint_lag(
