@@ -26,6 +26,21 @@ def conform(df: DataFrame, columns: list[Column]) -> DataFrame:
     return out
 
 
+def literal_frame(spark, rows: list[tuple], columns: list[Column]) -> DataFrame:
+    """A small DataFrame of literal rows whose size Catalyst knows.
+
+    ``createDataFrame(list)`` is backed by an RDD of unknown size, which every
+    size check must treat as huge; literals expanded from a one-row range
+    are sized exactly and fold into a local relation.
+    """
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(c.type).alias(c.name) for c in columns])
+    structs = [
+        F.struct(*[F.lit(v).cast(c.type).alias(c.name) for v, c in zip(row, columns)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def ddl(columns: list[Column]) -> str:
     """``name type, ...`` for ``createDataFrame`` / ``CREATE TABLE``."""
     return ", ".join(f"{c.name} {c.type}" for c in columns)

@@ -18,10 +18,12 @@ batch does not pile up in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import keep_first
+from strata.operators.sequence import NEXT, PREV, with_neighbor
+from strata.operators.sizing import AUTO
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -77,6 +79,7 @@ def scd2_merge(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     current: str = "is_current",
+    strategy: str = AUTO,
 ) -> DataFrame:
     """Versioned dimension (SCD type 2) merge.
 
@@ -88,36 +91,40 @@ def scd2_merge(
     * The current target version is closed (``is_current`` false,
       ``valid_to`` = start of its successor).
     * A change not newer than the key's current version is late and ignored.
+
+    Plan: the late-change test is a join with the live rows (one per key);
+    "previous version" and "next version" come from ``with_neighbor``, which
+    ranks rows globally and joins on position, so a key that changes very
+    often is spread over many tasks instead of one window partition.
+    Closed history rows are not touched.
     """
     payload = [c for c in target.columns if c not in (valid_from, valid_to, current)]
+    rest = [F.col(c).asc_nulls_first() for c in payload if c not in keys]
     history = target.filter(~F.col(current))
     live = target.filter(F.col(current))
 
-    rows = live.select(*payload, F.col(valid_from).alias("_t"), F.lit(0).alias("_src")).unionByName(
+    live_from = live.select(*keys, F.col(valid_from).alias("_live_from"))
+    fresh = (
         changes.select(*payload, F.col(ts).alias("_t"), F.lit(1).alias("_src"))
+        .join(live_from, keys, "left")
+        .filter(F.col("_live_from").isNull() | (F.col("_t") > F.col("_live_from")))
+        .drop("_live_from")
     )
-    by_key = Window.partitionBy(*keys)
-    in_time = by_key.orderBy("_t", "_src", *[F.col(c).asc_nulls_first() for c in payload if c not in keys])
-    live_from = F.max(F.when(F.col("_src") == 0, F.col("_t"))).over(by_key)
-    rows = rows.withColumn("_live_from", live_from).filter(
-        (F.col("_src") == 0) | F.col("_live_from").isNull() | (F.col("_t") > F.col("_live_from"))
-    )
+    rows = live.select(*payload, F.col(valid_from).alias("_t"), F.lit(0).alias("_src")).unionByName(fresh)
 
+    rows = with_neighbor(rows, keys, ["_t", "_src", *rest], tracked, PREV, prefix="_p_", strategy=strategy)
     same_as_prev = F.lit(True)
     for c in tracked:
-        same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.lag(c).over(in_time))
-    first_of_key = F.lag("_t").over(in_time).isNull()
-    opens = (F.col("_src") == 0) | first_of_key | ~same_as_prev
-    versions = rows.withColumn("_opens", opens).filter(F.col("_opens"))
+        same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    opens = (F.col("_src") == 0) | ~F.col("_p_exists") | ~same_as_prev
+    versions = rows.filter(opens).select(*payload, "_t", "_src")
 
-    chain = Window.partitionBy(*keys).orderBy("_t", "_src")
-    versions = versions.withColumn("_next", F.lead("_t").over(chain))
+    versions = with_neighbor(versions, keys, ["_t", "_src", *rest], ["_t"], NEXT, prefix="_n", strategy=strategy)
     closed_or_new = versions.select(
         *payload,
         F.col("_t").alias(valid_from),
-        F.col("_next").alias(valid_to),
-        F.col("_next").isNull().alias(current),
+        F.col("_n_t").alias(valid_to),
+        F.col("_n_t").isNull().alias(current),
     )
-    # The live rows were selected without valid_to (it is NULL for them);
-    # rows left unchanged come out identical to their input.
+    # Live rows that gained no successor come out identical to their input.
     return history.unionByName(closed_or_new.select(*target.columns))

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.sizing import AUTO, SINGLE, choose
 from strata.session import checkpoint_dir, default_parallelism
 
 
@@ -39,16 +40,20 @@ def global_row_number(
     order: list[Column | str],
     name: str = "rank",
     num_partitions: int | None = None,
+    strategy: str = AUTO,
 ) -> DataFrame:
     """Add ``name`` (bigint, 1-based) = row number of each row in ``order``.
 
     ``order`` must be a total order (end it with a unique key) for the
-    numbering to be deterministic.
+    numbering to be deterministic.  When the input is provably small (see
+    ``strata.operators.sizing``) the plain single-partition window is used.
     """
+    exprs = _order_exprs(order)
+    if choose(df, strategy) == SINGLE:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*exprs)).cast("long"))
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or default_parallelism(spark)
-    exprs = _order_exprs(order)
     staged = (
         df.repartitionByRange(n, *exprs)
         .sortWithinPartitions(*exprs)

@@ -1,0 +1,58 @@
+"""Size checks that choose between a single-task plan and a distributed one.
+
+The check is on the plan's *inputs*: the sum of the sizes of all leaf
+relations it reads (file sizes for scans, exact sizes for literal rows).  An
+input of unknown size (an RDD, a reliable checkpoint) counts as too big.
+
+Why inputs and not Catalyst's estimate of the result: without collected
+column statistics Catalyst estimates a join as the product of its sides, so
+any plan with a join looks astronomically large.  The jobs in this package
+only join on keys (many-to-one) and generate at most a fixed small number of
+copies per row, so a plan's working data is within a small factor of its
+inputs; when even the inputs are under the threshold, gathering all rows of
+one key - or all rows - into one task is safe and cheaper than the
+skew-proof plan.  The threshold is ``spark.strata.singleTaskMaxBytes``
+(default 32 MiB of input files).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+THRESHOLD_CONF = "spark.strata.singleTaskMaxBytes"
+DEFAULT_THRESHOLD = 32 * 1024 * 1024
+UNKNOWN = 1 << 62
+
+AUTO, SINGLE, DISTRIBUTED = "auto", "single", "distributed"
+
+
+def _as_int(size) -> int:
+    return size if isinstance(size, int) else int(size.toString())
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the plan's leaf inputs; ``UNKNOWN`` if any is unknown."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() in ("LogicalRDD", "ExternalRDD"):
+            return UNKNOWN
+        total += _as_int(leaf.stats().sizeInBytes())
+        if total >= UNKNOWN:
+            return UNKNOWN
+    return total
+
+
+def single_task_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(THRESHOLD_CONF, str(DEFAULT_THRESHOLD)))
+
+
+def choose(df: DataFrame, strategy: str = AUTO) -> str:
+    """SINGLE when ``strategy`` says so or the inputs are provably small."""
+    if strategy not in (AUTO, SINGLE, DISTRIBUTED):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy != AUTO:
+        return strategy
+    return SINGLE if input_bytes(df) <= single_task_threshold(df) else DISTRIBUTED

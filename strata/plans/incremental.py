@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import quality as q
-from strata.functions.schema import Column, ddl
+from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
 from strata.operators.merge import apply_changes, scd2_merge, upsert
 from strata.sources.store import TableStore
@@ -80,7 +80,7 @@ def names(columns: list[Column]) -> list[str]:
 
 
 def empty(spark, columns: list[Column]) -> DataFrame:
-    return spark.createDataFrame([], ddl(columns))
+    return literal_frame(spark, [], columns)
 
 
 # --- checkpoint table ---------------------------------------------------------
@@ -90,9 +90,7 @@ def seed_checkpoints(checkpoints: DataFrame, sources: list[str], at: datetime) -
     """Add a first-run row (mark 1900-01-01, 0 records) for each source that
     has none: an anti-join of the seeds against the table, then a union."""
     spark = checkpoints.sparkSession
-    seeds = spark.createDataFrame(
-        [(s, q.DEFAULT_MARK, 0, at) for s in sources], ddl(CHECKPOINT)
-    )
+    seeds = literal_frame(spark, [(s, q.DEFAULT_MARK, 0, at) for s in sources], CHECKPOINT)
     return checkpoints.unionByName(seeds.join(checkpoints.select("table_name"), "table_name", "left_anti"))
 
 
@@ -116,8 +114,13 @@ def record_progress(
     newest, count = batch.agg(F.max(ts), F.count(F.lit(1))).first()
     if not count:
         return checkpoints
-    row = checkpoints.sparkSession.createDataFrame([(source, newest, count, at)], ddl(CHECKPOINT))
-    return upsert(checkpoints, row, ["table_name"])
+    # The control table holds one row per source, so it is small by
+    # construction: its keyed upsert (MERGE ... WHEN MATCHED UPDATE / WHEN NOT
+    # MATCHED INSERT) is done on its rows and the result rebuilt as literals,
+    # instead of carrying an ever longer lazy plan from run to run.
+    rows = {r.table_name: tuple(r) for r in checkpoints.select(*names(CHECKPOINT)).collect()}
+    rows[source] = (source, newest, count, at)
+    return literal_frame(checkpoints.sparkSession, sorted(rows.values()), CHECKPOINT)
 
 
 def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: str = "updated_at") -> DataFrame:
@@ -129,7 +132,9 @@ def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: st
         head = df.agg(F.lit(name).alias("table_name"), F.max(ts).alias("source_max_updated_at"))
         heads = head if heads is None else heads.unionByName(head)
     if heads is None:
-        heads = spark.createDataFrame([], "table_name string, source_max_updated_at timestamp_ntz")
+        heads = literal_frame(
+            spark, [], [Column("table_name", "string"), Column("source_max_updated_at", "timestamp_ntz")]
+        )
     lag = F.col("source_max_updated_at").cast("timestamp").cast("long") - F.col(
         "last_processed_timestamp"
     ).cast("timestamp").cast("long")

@@ -15,9 +15,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.sequence import NEXT, with_neighbor
 from strata.sources.tables import DriverTables
 
 MONEY = "decimal(18,2)"
@@ -31,6 +32,20 @@ def _null(dtype: str = "string") -> Column:
     return F.lit(None).cast(dtype)
 
 
+def _with_copies(rows: DataFrame, copies: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """Every row once, plus one extra copy per ``(condition, replacements)``
+    whose condition holds, with those columns replaced.  One scan of the
+    source and an ``explode``, instead of a union of several scans."""
+    marks = [F.lit(0), *[F.when(cond, F.lit(i + 1)) for i, (cond, _) in enumerate(copies)]]
+    out = rows.withColumn("_copy", F.explode(F.array_compact(F.array(*marks))))
+    for i, (_, replace) in enumerate(copies):
+        if replace:
+            out = out.withColumns(
+                {c: F.when(F.col("_copy") == i + 1, e).otherwise(F.col(c)) for c, e in replace.items()}
+            )
+    return out.drop("_copy")
+
+
 def _geography(t: DriverTables) -> DataFrame:
     # nation and region have a fixed size (25 / 5 rows) at every scale factor.
     region = t.region.select("r_regionkey", "r_name")
@@ -72,17 +87,20 @@ def _customer_rows(t: DriverTables) -> DataFrame:
     return rows
 
 
+def _customer_copies() -> list[tuple[Column, dict[str, Column]]]:
+    # A second copy with a different payload (it sorts first, so keep-first
+    # picks it) and an exact copy, so that deduplication has work to do.
+    k = F.col("_k")
+    return [
+        (k % 19 == 0, {"first_name": F.lit("  Customer"), "loyalty_tier": F.lower("loyalty_tier")}),
+        (k % 23 == 0, {}),
+    ]
+
+
 def bronze_customers(t: DriverTables) -> DataFrame:
     """customer_id, first_name, last_name, email, address, city, state,
     country, gender, loyalty_tier — all strings, as read from CSV."""
-    rows = _customer_rows(t)
-    # A second copy with a different payload (it sorts first, so keep-first
-    # picks it) and an exact copy, so that deduplication has work to do.
-    changed = rows.filter(F.col("_k") % 19 == 0).withColumns(
-        {"first_name": F.lit("  Customer"), "loyalty_tier": F.lower("loyalty_tier")}
-    )
-    exact = rows.filter(F.col("_k") % 23 == 0)
-    return rows.unionByName(changed).unionByName(exact).drop("_k")
+    return _with_copies(_customer_rows(t), _customer_copies()).drop("_k")
 
 
 def bronze_products(t: DriverTables) -> DataFrame:
@@ -105,7 +123,7 @@ def bronze_products(t: DriverTables) -> DataFrame:
         (F.col("p_size") - 5).alias("stock_qty"),
         k.alias("_k"),
     )
-    return rows.unionByName(rows.filter(F.col("_k") % 31 == 0)).drop("_k")
+    return _with_copies(rows, [(F.col("_k") % 31 == 0, {})]).drop("_k")
 
 
 def bronze_orders(t: DriverTables) -> DataFrame:
@@ -140,7 +158,7 @@ def bronze_orders(t: DriverTables) -> DataFrame:
             k.alias("_k"),
         )
     )
-    return rows.unionByName(rows.filter(F.col("_k") % 37 == 0)).drop("_k")
+    return _with_copies(rows, [(F.col("_k") % 37 == 0, {})]).drop("_k")
 
 
 def bronze_transactions(t: DriverTables) -> DataFrame:
@@ -176,13 +194,12 @@ def bronze_rides(t: DriverTables) -> DataFrame:
     start_station_id, end_station_id, bike_id, user_type.
 
     A ride is an event and the next event of the same user (ordered by time,
-    then id); the last event of each user has no ride.  The "next event" is
-    a per-user window, which Spark sorts within each user's group.
+    then id); the last event of each user has no ride.  The next event comes
+    from ``with_neighbor`` (global order + join on position), so a user with
+    a huge share of the events does not end up in one task.
     """
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = t.events.select("event_id", "ts", "user_id", "event_type").withColumns(
-        {"end_ts": F.lead("ts").over(w), "end_type": F.lead("event_type").over(w)}
-    )
+    e = t.events.select("event_id", "ts", "user_id", "event_type")
+    e = with_neighbor(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type"], NEXT, prefix="end_")
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     k = F.col("event_id")
     return e.filter(F.col("end_ts").isNotNull()).select(
@@ -192,7 +209,7 @@ def bronze_rides(t: DriverTables) -> DataFrame:
         .alias("start_time"),
         F.date_format("end_ts", fmt).alias("end_time"),
         F.when(k % 31 == 0, _null()).otherwise(F.col("event_type")).alias("start_station_id"),
-        F.col("end_type").alias("end_station_id"),
+        F.col("end_event_type").alias("end_station_id"),
         _s("user_id").alias("bike_id"),
         F.when(k % 23 == 0, _null())
         .when(k % 2 == 0, F.lit("member"))
@@ -220,23 +237,17 @@ def customer_feed(t: DriverTables) -> DataFrame:
     with key % 3 = 0 get a new loyalty tier (tracked), key % 5 = 0 a new last
     name (not tracked), key % 8 = 0 arrive again unchanged.
     """
-    first = bronze_customers(t).withColumn("updated_at", _at(BATCH1_AT))
     k = F.col("_k")
+    rows = _customer_rows(t).withColumn("updated_at", _at(BATCH1_AT))
     second = (
-        _customer_rows(t)
-        .filter((k % 3 == 0) | (k % 5 == 0) | (k % 8 == 0))
-        .withColumns(
-            {
-                "loyalty_tier": F.when(k % 3 == 0, F.lit("PLATINUM")).otherwise(F.col("loyalty_tier")),
-                "last_name": F.when(k % 5 == 0, F.concat(F.col("last_name"), F.lit("-B"))).otherwise(
-                    F.col("last_name")
-                ),
-                "updated_at": _at(BATCH2_AT),
-            }
-        )
-        .drop("_k")
+        (k % 3 == 0) | (k % 5 == 0) | (k % 8 == 0),
+        {
+            "loyalty_tier": F.when(k % 3 == 0, F.lit("PLATINUM")).otherwise(F.col("loyalty_tier")),
+            "last_name": F.when(k % 5 == 0, F.concat(F.col("last_name"), F.lit("-B"))).otherwise(F.col("last_name")),
+            "updated_at": _at(BATCH2_AT),
+        },
     )
-    return first.unionByName(second)
+    return _with_copies(rows, [*_customer_copies(), second]).drop("_k")
 
 
 def transaction_feed(t: DriverTables) -> DataFrame:
@@ -247,23 +258,19 @@ def transaction_feed(t: DriverTables) -> DataFrame:
     (2024-02-02), product % 101 = 0 inserted again under a new id ``N-...``
     (2024-02-01).
     """
-    rows = bronze_transactions(t)
+    rows = bronze_transactions(t).withColumns({"cdc_operation": F.lit("I"), "updated_at": _at(BATCH1_AT)})
     part = F.col("product_id").cast("long")
-
-    def tag(df: DataFrame, op: str, ts: datetime) -> DataFrame:
-        return df.withColumns({"cdc_operation": F.lit(op), "updated_at": _at(ts)})
-
-    return (
-        tag(rows, "I", BATCH1_AT)
-        .unionByName(tag(rows.filter(part % 5 == 0).withColumn("quantity", F.col("quantity") + 1), "U", BATCH2_AT))
-        .unionByName(tag(rows.filter(part % 7 == 0), "D", DELETES_AT))
-        .unionByName(
-            tag(
-                rows.filter(part % 101 == 0).withColumn(
-                    "transaction_id", F.concat(F.lit("N-"), F.col("transaction_id"))
-                ),
-                "I",
-                BATCH2_AT,
-            )
-        )
+    return _with_copies(
+        rows,
+        [
+            (
+                part % 5 == 0,
+                {"quantity": F.col("quantity") + 1, "cdc_operation": F.lit("U"), "updated_at": _at(BATCH2_AT)},
+            ),
+            (part % 7 == 0, {"cdc_operation": F.lit("D"), "updated_at": _at(DELETES_AT)}),
+            (
+                part % 101 == 0,
+                {"transaction_id": F.concat(F.lit("N-"), F.col("transaction_id")), "updated_at": _at(BATCH2_AT)},
+            ),
+        ],
     )

@@ -24,7 +24,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.functions.schema import Column, ddl
+from strata.functions.schema import Column, literal_frame
 
 MANIFESTS = "_manifest"
 
@@ -83,7 +83,7 @@ class TableStore:
         if name not in m:
             if columns is None:
                 raise KeyError(f"table {name!r} not in store {self.root}")
-            return self.spark.createDataFrame([], ddl(columns))
+            return literal_frame(self.spark, [], columns)
         return self.spark.read.parquet(self.table_path(name, m[name]))
 
     def commit(self, tables: dict[str, DataFrame]) -> int:
@@ -103,7 +103,7 @@ class TableStore:
         """``CREATE TABLE IF NOT EXISTS`` with a declared schema (SNK-4)."""
         if self.exists(name):
             return False
-        self.commit({name: self.spark.createDataFrame([], ddl(columns))})
+        self.commit({name: literal_frame(self.spark, [], columns)})
         return True
 
     def append(self, name: str, rows: DataFrame) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -10,6 +11,11 @@ TABLE_NAMES = (
 ).split()
 
 
+# Schemas already read, by path: later reads pass the schema explicitly and
+# skip the footer-inference job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class DriverTables:
     """Lazy handles on ``<root>/<name>.parquet``.
 
@@ -28,7 +34,13 @@ class DriverTables:
     def table(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise KeyError(name)
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        schema = _SCHEMAS.get(path)
+        if schema is not None:
+            return self.spark.read.schema(schema).parquet(path)
+        df = self.spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

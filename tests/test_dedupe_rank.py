@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedupe import keep_first
 from strata.operators.rank import global_row_number, top_k
+from strata.operators.sequence import with_neighbor
 from tests.conftest import order_key, rows
 
 
@@ -32,7 +33,7 @@ def test_global_row_number_matches_single_partition_window(spark):
     data = [(i, rnd.choice([10.0, 20.0, 30.0, None])) for i in range(500)]
     df = spark.createDataFrame(data, "id long, v double")
     order = [F.desc("v"), F.asc("id")]
-    ours = global_row_number(df, order, "r", num_partitions=5)
+    ours = global_row_number(df, order, "r", num_partitions=5, strategy="distributed")
     ref = df.withColumn("r", F.row_number().over(Window.orderBy(*order)).cast("long"))
     assert rows(ours) == rows(ref)
     assert dict(ours.dtypes)["r"] == "bigint"
@@ -46,7 +47,36 @@ def test_global_row_number_matches_single_partition_window(spark):
 
 def test_global_row_number_empty_input(spark):
     df = spark.createDataFrame([], "id long, v double")
-    assert global_row_number(df, ["v", "id"]).count() == 0
+    assert global_row_number(df, ["v", "id"], strategy="distributed").count() == 0
+
+
+def test_strategy_follows_the_size_estimate(spark):
+    df = spark.range(50).select("id", (F.col("id") % 3).alias("v"))
+    small = global_row_number(df, ["v", "id"], "r")
+    assert "row_number" in small._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.strata.singleTaskMaxBytes", "0")
+    try:
+        big = global_row_number(df, ["v", "id"], "r")
+        assert "row_number" not in big._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.strata.singleTaskMaxBytes")
+    assert rows(small) == rows(big)
+
+
+def test_neighbors_with_a_hot_key_agree_across_strategies(spark):
+    rnd = random.Random(3)
+    # key "hot" holds most rows; ties in t are broken by id.
+    data = [("hot" if rnd.random() < 0.7 else f"k{rnd.randint(0, 5)}", rnd.randint(0, 20), i) for i in range(400)]
+    data.append((None, 1, 1000))
+    df = spark.createDataFrame(data, "k string, t int, id int")
+    for side in ("prev", "next"):
+        a = with_neighbor(df, ["k"], ["t", "id"], ["id", "t"], side, strategy="single")
+        b = with_neighbor(df, ["k"], ["t", "id"], ["id", "t"], side, strategy="distributed")
+        assert rows(a) == rows(b)
+    nxt = {r.id: r.next_id for r in with_neighbor(df, ["k"], ["t", "id"], ["id"], strategy="distributed").collect()}
+    hot = sorted((t, i) for k, t, i in data if k == "hot")
+    assert all(nxt[a[1]] == b[1] for a, b in zip(hot, hot[1:]))
+    assert nxt[hot[-1][1]] is None and nxt[1000] is None
 
 
 def test_top_k_uses_take_ordered(spark):

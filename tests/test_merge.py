@@ -48,8 +48,8 @@ SCD = "customer_id string, email string, city string, name string, valid_from ti
 CHG = "customer_id string, email string, city string, name string, updated_at timestamp_ntz"
 
 
-def _scd2(target, changes):
-    return scd2_merge(target, changes, ["customer_id"], ["email", "city"])
+def _scd2(target, changes, strategy="auto"):
+    return scd2_merge(target, changes, ["customer_id"], ["email", "city"], strategy=strategy)
 
 
 def test_scd2_reference_example_and_rules(spark):
@@ -98,6 +98,7 @@ def test_scd2_chains_changes_in_one_batch_and_ignores_late_ones(spark):
     out = _scd2(target, changes)
     got = rows(out, "email", "valid_from", "valid_to", "is_current")
     assert got == [("a", T[2], T[4], False), ("b", T[4], T[6], False), ("c", T[6], None, True)]
+    assert rows(_scd2(target, changes, strategy="distributed")) == rows(out)
     # Invariants: one current row per key, validity intervals are contiguous.
     assert out.filter("is_current").groupBy("customer_id").count().filter("count > 1").count() == 0
     ordered = sorted(out.collect(), key=lambda r: r.valid_from)
