@@ -128,3 +128,40 @@ def scd2_merge(
     )
     # Live rows that gained no successor come out identical to their input.
     return history.unionByName(closed_or_new.select(*target.columns))
+
+
+def merge_partitions(
+    store,
+    name: str,
+    changes: DataFrame,
+    keys: list[str],
+    merge,
+    expression: str,
+    empty: DataFrame,
+    partition_can_change: bool = True,
+):
+    """Merge ``changes`` into the partitioned table ``name`` of ``store``,
+    touching only the partitions involved; returns the partition-level write
+    for ``store.commit``.
+
+    Touched partitions = those of the changed rows, plus (when a row's
+    partition value can change, e.g. a corrected date) those currently
+    holding one of the changed keys - found with a semi-join that reads only
+    the key and partition columns of the table.  Only those partitions are
+    read, merged with ``merge(old, changes)`` and rewritten.  ``empty`` is
+    the (empty) target used before the table exists.
+
+    ``changes`` is used three times (partition list, key probe, merge): pass
+    a persisted or checkpointed frame.
+    """
+    from strata.sources.store import Partitioned
+
+    touched = set(store.touched_partitions(changes, expression))
+    if store.exists(name):
+        if partition_can_change:
+            holders = store.read(name).join(changes.select(*keys).distinct(), keys, "left_semi")
+            touched |= set(store.touched_partitions(holders, expression))
+        old = store.read_partitions(name, sorted(touched))
+    else:
+        old = empty
+    return Partitioned(merge(old, changes), expression, sorted(touched))

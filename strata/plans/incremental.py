@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strata.functions import quality as q
 from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
-from strata.operators.merge import apply_changes, scd2_merge, upsert
+from strata.operators.merge import apply_changes, merge_partitions, scd2_merge, upsert
 from strata.sources.store import TableStore
 
 CUSTOMERS_SOURCE = "bronze_customers"
@@ -247,4 +247,44 @@ def publish_customers(store: TableStore, state: CustomerState) -> int:
 
 
 def publish_transactions(store: TableStore, state: TransactionState) -> int:
+    """Publish a whole new CDC table and the checkpoint in one version."""
     return store.commit({CDC_TABLE: state.table, CHECKPOINT_TABLE: state.checkpoints})
+
+
+# Partitions of the stored CDC table: one per month of transaction_date.
+TXN_PARTITION = "date_format(transaction_date, 'yyyy-MM')"
+
+
+def merge_transaction_changes(store: TableStore, changes: DataFrame, expression: str = TXN_PARTITION):
+    """Partition-level CDC merge of ``changes`` into the stored table."""
+    spark = changes.sparkSession
+    return merge_partitions(
+        store,
+        CDC_TABLE,
+        changes,
+        ["transaction_id"],
+        lambda old, ch: apply_changes(old, ch, ["transaction_id"]),
+        expression,
+        empty(spark, TRANSACTIONS),
+    )
+
+
+def run_transactions_stored(
+    store: TableStore,
+    source: DataFrame,
+    at: datetime,
+    discount_unit: str = q.FRACTION,
+    expression: str = TXN_PARTITION,
+) -> int:
+    """One stored incremental CDC run: only the months the batch touches are
+    read and rewritten; table partitions and checkpoint are published in one
+    store version."""
+    checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [TRANSACTIONS_SOURCE], at)
+    batch = newer_than(source, read_mark(checkpoints, TRANSACTIONS_SOURCE))
+    changes = transaction_changes(batch, discount_unit).persist()
+    try:
+        write = merge_transaction_changes(store, changes, expression)
+        progress = record_progress(checkpoints, TRANSACTIONS_SOURCE, batch, at)
+        return store.commit({CDC_TABLE: write, CHECKPOINT_TABLE: progress})
+    finally:
+        changes.unpersist()

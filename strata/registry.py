@@ -202,6 +202,7 @@ class Pipeline:
                 ["transaction_id"],
                 f"{root}/stream-checkpoint",
                 transform=incremental.transaction_changes,
+                partition_expression=incremental.TXN_PARTITION,
             ).awaitTermination()
         return store.read(incremental.CDC_TABLE, incremental.TRANSACTIONS)
 

@@ -3,16 +3,24 @@
 Open-source Spark cannot overwrite a parquet table it is reading, and has no
 transaction log for plain parquet.  A store is a folder:
 
-    <root>/<table>/v000007/        parquet files of one table version
-    <root>/_manifest/v000007.json  {table: version} for every table
-
-A commit writes the changed tables to fresh version folders, then creates the
-next manifest file.  Creating that one file is the publish step: readers only
-follow manifests, so a crash before it leaves the previous state intact, and
-a table written together with its checkpoint row becomes visible together.
-Two writers racing for the same version fail on the manifest create.
-Unchanged tables are not copied; the new manifest points at their old
-version folder.
+    <root>/<table>/v000007/                         one version of a table
+    <root>/<table>/strata_version=000009/strata_part=2024-01/
+                                                    one partition of a
+                                                    partitioned table
+    <root>/_manifest/v000009.json                   what is current
+
+A commit writes the changed tables (or only the changed partitions) to fresh
+folders, then creates the next manifest file.  Creating that one file is the
+publish step: readers only follow manifests, so a crash before it leaves the
+previous state intact, and a table written together with its checkpoint row
+becomes visible together.  Two writers racing for the same version fail on
+the manifest create.  Unchanged tables and partitions are not copied; the new
+manifest points at their old folders.
+
+A partitioned table stores ``strata_part`` = a SQL expression over its
+columns (for example the month of ``transaction_date``, or a hash bucket of
+the key); a ``Partitioned`` write replaces only the partitions a batch
+touches, so the cost of a merge follows the batch, not the table.
 
 The root must be a folder every executor can reach (the shared checkpoint
 folder by default, see ``strata.session.scratch_path``).
@@ -21,12 +29,29 @@ folder by default, see ``strata.session.scratch_path``).
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.schema import Column, literal_frame
 
 MANIFESTS = "_manifest"
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name for a NULL value
+PART = "strata_part"
+VERSION = "strata_version"
+
+
+@dataclass
+class Partitioned:
+    """A partition-level write: ``df`` holds the new rows of exactly the
+    partitions named in ``replaced`` (``strata_part`` values); every other
+    partition of the table stays as it is."""
+
+    df: DataFrame
+    expression: str
+    replaced: list[str]
 
 
 class TableStore:
@@ -52,7 +77,7 @@ class TableStore:
         done = [int(n[1:-5]) for n in names if n.startswith("v") and n.endswith(".json")]
         return max(done, default=0)
 
-    def manifest(self, version: int | None = None) -> dict[str, int]:
+    def manifest(self, version: int | None = None) -> dict:
         v = self.version() if version is None else version
         if v == 0:
             return {}
@@ -62,7 +87,7 @@ class TableStore:
         finally:
             stream.close()
 
-    def _publish(self, version: int, manifest: dict[str, int]) -> None:
+    def _publish(self, version: int, manifest: dict) -> None:
         out = self._fs.create(self._Path(f"{self._manifest_dir()}/v{version:06d}.json"), False)
         try:
             out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
@@ -73,32 +98,97 @@ class TableStore:
     def table_path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v{version:06d}"
 
+    def _part_root(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/{VERSION}={version:06d}"
+
     def exists(self, name: str) -> bool:
         return name in self.manifest()
 
+    def partition_expression(self, name: str) -> str | None:
+        entry = self.manifest().get(name)
+        return entry.get("expression") if isinstance(entry, dict) else None
+
     def read(self, name: str, columns: list[Column] | None = None) -> DataFrame:
         """Current version of ``name``; an empty frame of ``columns`` if the
         table does not exist yet."""
-        m = self.manifest()
-        if name not in m:
+        entry = self.manifest().get(name)
+        if entry is None:
             if columns is None:
                 raise KeyError(f"table {name!r} not in store {self.root}")
             return literal_frame(self.spark, [], columns)
-        return self.spark.read.parquet(self.table_path(name, m[name]))
-
-    def commit(self, tables: dict[str, DataFrame]) -> int:
-        """Write every frame as a new version and publish them together."""
+        if isinstance(entry, int):
+            return self.spark.read.parquet(self.table_path(name, entry))
+        return self._read_parts(name, entry, entry["parts"])
+
+    def read_partitions(self, name: str, parts: list[str]) -> DataFrame:
+        """Only the listed partitions of a partitioned table (the others are
+        never listed or opened)."""
+        entry = self.manifest()[name]
+        wanted = {p: v for p, v in entry["parts"].items() if p in set(parts)}
+        return self._read_parts(name, entry, wanted)
+
+    def _read_parts(self, name: str, entry: dict, parts: dict[str, int]) -> DataFrame:
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        if not parts:
+            return literal_frame(
+                self.spark, [], [Column(f.name, f.dataType.simpleString()) for f in schema.fields]
+            )
+        base = f"{self.root}/{name}"
+        paths = [f"{self._part_root(name, v)}/{self._part_dir(p)}" for p, v in sorted(parts.items())]
+        df = self.spark.read.option("basePath", base).parquet(*paths)
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+    def _part_dir(self, value: str) -> str:
+        utils = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return utils.getPartitionPathString(PART, value)
+
+    def touched_partitions(self, df: DataFrame, expression: str) -> list[str]:
+        """The distinct partition values of ``df`` (one row per partition
+        reaches the driver: bounded by the partition count)."""
+        rows = df.select(F.expr(expression).cast("string").alias(PART)).distinct().collect()
+        return sorted(NULL_PART if r[PART] is None else r[PART] for r in rows)
+
+    def commit(self, tables: dict[str, DataFrame | Partitioned]) -> int:
+        """Write every frame (or partition set) and publish them together."""
         base = self.version()
         v = base + 1
         manifest = self.manifest(base)
-        for name, df in tables.items():
-            # An unpublished folder of the same version is debris of a
-            # crashed attempt and may be replaced.
-            df.write.mode("overwrite").parquet(self.table_path(name, v))
-            manifest[name] = v
+        for name, item in tables.items():
+            if isinstance(item, Partitioned):
+                manifest[name] = self._write_parts(name, v, item, manifest.get(name))
+            else:
+                # An unpublished folder of the same version is debris of a
+                # crashed attempt and may be replaced.
+                item.write.mode("overwrite").parquet(self.table_path(name, v))
+                manifest[name] = v
         self._publish(v, manifest)
         return v
 
+    def _write_parts(self, name: str, v: int, item: Partitioned, old) -> dict:
+        df = item.df.withColumn(PART, F.expr(item.expression).cast("string"))
+        # Range-partition on (partition, row) so a big partition is split
+        # over several tasks and a task writes few partitions.
+        out = df.repartitionByRange(F.col(PART), *[F.col(c) for c in item.df.columns[:1]])
+        out.write.mode("overwrite").partitionBy(PART).parquet(self._part_root(name, v))
+        written = self._listed_parts(name, v)
+        parts = dict(old["parts"]) if isinstance(old, dict) else {}
+        for p in item.replaced:
+            parts.pop(p, None)
+        parts.update({p: v for p in written})
+        return {"expression": item.expression, "schema": item.df.schema.json(), "parts": parts}
+
+    def _listed_parts(self, name: str, v: int) -> list[str]:
+        d = self._Path(self._part_root(name, v))
+        if not self._fs.exists(d):
+            return []
+        utils = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        prefix = f"{PART}="
+        return [
+            utils.unescapePathName(s.getPath().getName()[len(prefix):])
+            for s in self._fs.listStatus(d)
+            if s.isDirectory() and s.getPath().getName().startswith(prefix)
+        ]
+
     def create_if_absent(self, name: str, columns: list[Column]) -> bool:
         """``CREATE TABLE IF NOT EXISTS`` with a declared schema (SNK-4)."""
         if self.exists(name):

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from strata.functions.schema import Column
-from strata.operators.merge import apply_changes
+from strata.functions.schema import Column, literal_frame
+from strata.operators.merge import apply_changes, merge_partitions
 from strata.sources.store import TableStore
 
 
@@ -35,11 +35,14 @@ def start_cdc_stream(
     checkpoint_location: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     max_files_per_trigger: int | None = None,
+    partition_expression: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` for an available-now run.
 
     ``transform`` turns raw feed rows into changes (checks, derived columns);
-    it must keep ``keys``, ``updated_at`` and ``cdc_operation``.
+    it must keep ``keys``, ``updated_at`` and ``cdc_operation``.  With
+    ``partition_expression`` the table is partitioned by it and each
+    micro-batch rewrites only the partitions it touches.
     """
     reader = spark.readStream.schema(feed_schema)
     if max_files_per_trigger:
@@ -47,8 +50,23 @@ def start_cdc_stream(
     changes = reader.parquet(feed_dir)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        target = store.read(table, columns)
-        store.commit({table: apply_changes(target, transform(batch), keys)})
+        changes = transform(batch).persist()
+        try:
+            if partition_expression is None:
+                merged = apply_changes(store.read(table, columns), changes, keys)
+            else:
+                merged = merge_partitions(
+                    store,
+                    table,
+                    changes,
+                    keys,
+                    lambda old, ch: apply_changes(old, ch, keys),
+                    partition_expression,
+                    literal_frame(spark, [], columns),
+                )
+            store.commit({table: merged})
+        finally:
+            changes.unpersist()
 
     return (
         changes.writeStream.foreachBatch(merge_batch)
