@@ -135,9 +135,9 @@ def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: st
         heads = literal_frame(
             spark, [], [Column("table_name", "string"), Column("source_max_updated_at", "timestamp_ntz")]
         )
-    lag = F.col("source_max_updated_at").cast("timestamp").cast("long") - F.col(
-        "last_processed_timestamp"
-    ).cast("timestamp").cast("long")
+    # Wall-clock difference of two zone-less timestamps: no session time zone
+    # (and no daylight-saving shift) is involved.
+    lag = F.timestamp_diff("SECOND", F.col("last_processed_timestamp"), F.col("source_max_updated_at"))
     return checkpoints.select("table_name", "last_processed_timestamp").join(heads, "table_name").select(
         "table_name",
         "last_processed_timestamp",
@@ -146,6 +146,21 @@ def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: st
     )
 
 
+def current_versions(scd2: DataFrame) -> DataFrame:
+    """The dimension as of now: current versions only (SCD-1)."""
+    return scd2.filter(F.col("is_current"))
+
+
+def version_history(scd2: DataFrame) -> DataFrame:
+    """Every version, newest first within each customer (SCD-1, SRT-2)."""
+    return scd2.orderBy("customer_id", F.desc("valid_from"))
+
+
+def checkpoint_listing(checkpoints: DataFrame) -> DataFrame:
+    """The checkpoint table ordered by source (INC-4)."""
+    return checkpoints.orderBy("table_name")
+
+
 # --- transforms (shared silver rules) ------------------------------------------
 
 

@@ -1,0 +1,77 @@
+"""Store-backed medallion run: bronze tables -> silver tables -> gold tables.
+
+Each layer reads the previous layer's *stored* tables by name (SRC-4) and
+overwrites its own tables, schema included (SNK-2).  Row counts are taken
+with ``DataFrame.observe`` while the table is written, so the job is not run
+a second time just to print how many rows it produced.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from strata.plans import datasets as ds
+from strata.plans import gold, silver
+from strata.sources.store import TableStore
+
+SILVER_TABLES = {
+    "silver_customers": ("bronze_customers", silver.silver_customers),
+    "silver_products": ("bronze_products", silver.silver_products),
+    "silver_orders": ("bronze_orders", silver.silver_orders),
+    "silver_transactions": ("bronze_transactions", silver.silver_transactions),
+}
+
+
+def _observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def _commit_counted(store: TableStore, tables: dict[str, DataFrame]) -> dict[str, int]:
+    observed = {name: _observed(name, df) for name, df in tables.items()}
+    store.commit({name: df for name, (df, _) in observed.items()})
+    return {name: obs.get["rows"] for name, (_, obs) in observed.items()}
+
+
+def build_silver(store: TableStore, batch_ts: datetime | None = None) -> dict[str, int]:
+    """Overwrite the four silver tables from the stored bronze tables, as one
+    store version; returns the row count of each."""
+    tables = {name: job(store.read(src), batch_ts) for name, (src, job) in SILVER_TABLES.items()}
+    return _commit_counted(store, tables)
+
+
+def build_gold(store: TableStore, batch_ts: datetime | None = None) -> dict[str, int]:
+    """Overwrite the five gold tables from the stored silver tables."""
+    txn = store.read("silver_transactions")
+    orders = store.read("silver_orders")
+    tables = {
+        "gold_total_revenue": gold.gold_total_revenue(txn, orders, batch_ts),
+        "gold_top_customers": gold.gold_top_customers(txn, orders, store.read("silver_customers"), batch_ts),
+        "gold_top_products": gold.gold_top_products(txn, store.read("silver_products"), batch_ts),
+        "gold_avg_order_value": gold.gold_avg_order_value(txn, batch_ts),
+        "gold_return_rate": gold.gold_return_rate(txn, orders, batch_ts),
+    }
+    return _commit_counted(store, tables)
+
+
+def dashboard(store: TableStore) -> dict[str, DataFrame]:
+    """The seven dashboard datasets over the stored gold tables."""
+    revenue = store.read("gold_total_revenue")
+    products = store.read("gold_top_products")
+    return {
+        "revenue_summary": ds.ds_revenue_summary(revenue),
+        "top_products": ds.ds_top_products(products),
+        "return_rate_summary": ds.ds_return_rate_summary(store.read("gold_return_rate")),
+        "aov_trend": ds.ds_aov_trend(store.read("gold_avg_order_value")),
+        "revenue_trend": ds.ds_revenue_trend(revenue),
+        "top_customers": ds.ds_top_customers(store.read("gold_top_customers")),
+        "category_distribution": ds.ds_category_distribution(products),
+    }
+
+
+def preview(store: TableStore, name: str, n: int = 10) -> DataFrame:
+    """``SELECT * FROM <table> LIMIT n`` (PRJ-5): a sample, not a report."""
+    return store.read(name).limit(n)

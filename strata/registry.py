@@ -266,9 +266,11 @@ QUERIES: dict[str, Query] = {
     # incremental (JOB-C1..C3, INC-1..5, AUD-3)
     "scd1_customers": _q(lambda p: p.customer_runs().scd1),
     "scd2_customers": _q(lambda p: p.customer_runs().scd2),
+    "scd2_current": _q(lambda p: incremental.current_versions(p.customer_runs().scd2)),
+    "scd2_history": _q(lambda p: incremental.version_history(p.customer_runs().scd2)),
     "cdc_transactions": _q(lambda p: p.transaction_runs().table),
     "cdc_transactions_stream": _q(lambda p: p.streamed_transactions()),
-    "checkpoint_after_run": _q(lambda p: p.incremental_runs()[1].checkpoints),
+    "checkpoint_after_run": _q(lambda p: incremental.checkpoint_listing(p.incremental_runs()[1].checkpoints)),
     "checkpoint_lag": _q(
         lambda p: incremental.checkpoint_lag(
             p.incremental_runs((RUN1_AT,))[1].checkpoints,

@@ -65,3 +65,39 @@ def test_ingest_retail_publishes_four_tables(spark, tmp_path):
     assert sorted(store.manifest()) == ["bronze_customers", "bronze_orders", "bronze_products", "bronze_transactions"]
     assert store.read("bronze_customers").first().first_name == "A\nB"
     assert store.read("bronze_products").first().unit_price == 9.5
+
+
+def test_store_backed_medallion_run(spark, tmp_path):
+    from strata.plans.pipeline import build_gold, build_silver, dashboard, preview
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "customers.csv").write_text(
+        'customer_id,first_name,last_name,email,address,city,state,country,gender,loyalty_tier\n'
+        'CUST_1,Ann,"Lee\nJr",ann@x.io,"1 ""A"" St",Oslo,OS,NO,f,Gold\n'
+        'CUST_1,Ann,Lee,ann@x.io,x,Oslo,OS,NO,f,Gold\n'
+        'BAD_2,Bo,Z,bo@x.io,x,Rome,RM,IT,m,Silver\n'
+    )
+    (raw / "products.csv").write_text(
+        "product_id,product_name,category,sub_category,brand,sku,unit_price,cost_price,stock_qty\n"
+        "P1,Lamp,Home,Light,B,S1,10.0,6.0,3\nP2,Desk,Home,Office,B,S2,50.0,,0\n"
+    )
+    (raw / "orders_part-0000.csv").write_text(
+        "order_id,customer_id,status,payment_method,quantity,unit_price,discount_pct,shipping_cost,line_total,return_flag,order_ts\n"
+        "O1,CUST_1, paid ,card,1,60.0,0.0,5.0,60.0,false,2024-01-02 10:00:00\n"
+    )
+    (raw / "transactions.csv").write_text(
+        "transaction_id,order_id,product_id,quantity,unit_price,discount_pct,line_total,transaction_date,return_flag\n"
+        "T1,O1,P1,1,10.0,0.0,10.0,2024-01-02,false\nT2,O1,P2,1,50.0,0.0,50.0,2024-01-02,false\n"
+        "T3,O9,P1,2,10.0,0.5,10.0,2024-01-03,false\n"
+    )
+    store = TableStore(spark, str(tmp_path / "lake"))
+    ingest_retail(spark, str(raw), store)
+    counts = build_silver(store)
+    assert counts == {"silver_customers": 1, "silver_products": 2, "silver_orders": 1, "silver_transactions": 3}
+    gold_counts = build_gold(store)
+    assert gold_counts["gold_total_revenue"] == 1 and gold_counts["gold_top_products"] == 2
+    boards = dashboard(store)
+    assert [tuple(r) for r in boards["revenue_summary"].collect()][0][1:] == (1, 2)
+    assert [r.product_name for r in boards["top_products"].collect()] == ["Desk", "Lamp"]
+    assert preview(store, "silver_customers", 5).count() == 1
