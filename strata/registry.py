@@ -88,8 +88,8 @@ class Pipeline:
             self.transactions, self.orders, self.customers, limit=limit, enriched=enriched
         )
 
-    def top_products(self, limit: int | None = None) -> DataFrame:
-        return gold.gold_top_products(self.transactions, self.products, limit=limit)
+    def top_products(self, limit: int | None = None, ranked: bool = True) -> DataFrame:
+        return gold.gold_top_products(self.transactions, self.products, limit=limit, ranked=ranked)
 
     def avg_order_value(self) -> DataFrame:
         return gold.gold_avg_order_value(self.transactions)
@@ -246,7 +246,7 @@ QUERIES: dict[str, Query] = {
     "ds_aov_trend": _q(lambda p: ds.ds_aov_trend(p.avg_order_value())),
     "ds_revenue_trend": _q(lambda p: ds.ds_revenue_trend(p.total_revenue())),
     "ds_top_customers": _q(lambda p: ds.ds_top_customers(p.top_customers(limit=ds.TOP_N))),
-    "ds_category_distribution": _q(lambda p: ds.ds_category_distribution(p.top_products())),
+    "ds_category_distribution": _q(lambda p: ds.ds_category_distribution(p.top_products(ranked=False))),
     # prose-only gold items (WIN-3/4, DT-6, JOB-G6..G9)
     "gold_daily_revenue_kpis": _q(lambda p: gold.gold_daily_revenue_kpis(p.total_revenue())),
     "gold_revenue_monthly": _q(lambda p: gold.gold_revenue_monthly(p.total_revenue())),

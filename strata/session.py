@@ -84,3 +84,23 @@ def default_parallelism(spark: SparkSession) -> int:
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default
+
+
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Suggested settings for a cluster job reading ``input_bytes``.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (AQE coalesces small ones and splits skewed ones at run time); scans read
+    ``partition_bytes`` per task; broadcast stays at a size every executor
+    can hold.  Pass the result as ``extra_conf`` to ``get_session`` or to
+    spark-submit.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
