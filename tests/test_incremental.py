@@ -122,3 +122,14 @@ def test_stored_cdc_rewrites_only_touched_partitions(spark, tmp_path):
     assert rows(store.read(inc.CDC_TABLE)) == rows(state.table)
     inc.run_transactions_stored(store, feed, T[4])
     assert rows(store.read(inc.CDC_TABLE)) == rows(state.table)
+
+
+def test_late_row_below_the_mark_is_not_read(spark):
+    state = inc.initial_customers(spark, T[0])
+    first = spark.createDataFrame([_row("CUST_1", "Gold", T[3])], SRC)
+    state = inc.run_customers(first, state, T[4])
+    # A row stamped before the mark arrives later: strict ">" never reads it.
+    late = first.unionByName(spark.createDataFrame([_row("CUST_9", "Gold", T[1])], SRC))
+    state = inc.run_customers(late, state, T[5])
+    assert [r.customer_id for r in state.scd1.collect()] == ["CUST_1"]
+    assert rows(state.checkpoints, "table_name", "last_processed_timestamp") == [("bronze_customers", T[3])]

@@ -123,3 +123,18 @@ def test_top_products_ties_break_by_id(spark):
     assert [(r.product_name, r.sales_rank) for r in top2.collect()] == [("three", 1), ("one", 2)]
     dist = ds.ds_category_distribution(gold.gold_top_products(txn, products))
     assert rows(dist) == [("A", 2), ("B", 1)]
+
+
+def test_return_rate_ignores_line_flag_and_empty_days(spark):
+    D = Decimal
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    txns = [
+        ("t1", "o1", "p1", 1, 10.0, 0.0, D("10.00"), d1, True),  # line returned, order not
+        ("t2", "o2", "p1", 1, 10.0, 0.0, D("10.00"), d2, True),  # only returned lines on d2
+    ]
+    txn = silver.silver_transactions(spark.createDataFrame(txns, TXN_DDL))
+    orders = spark.createDataFrame([("o1", "CUST_1", False), ("o2", "CUST_1", True)], ORDER_DDL)
+    rate = {r.snapshot_date: (r.returned_orders, r.total_orders) for r in gold.gold_return_rate(txn, orders).collect()}
+    assert rate == {d1: (0, 1), d2: (1, 1)}
+    # Revenue excludes returned lines: both days are empty, so no rows at all.
+    assert gold.gold_total_revenue(txn, orders).count() == 0
