@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.sizing import AUTO, SINGLE, choose
+from strata.operators.sizing import AUTO, DISTRIBUTED, SINGLE, choose
 from strata.session import checkpoint_dir, default_parallelism
 
 
@@ -51,27 +51,99 @@ def global_row_number(
     exprs = _order_exprs(order)
     if choose(df, strategy) == SINGLE:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*exprs)).cast("long"))
+    staged = _staged(df, exprs, num_partitions)
+    offsets = _partition_offsets(staged, F.count(F.lit(1)))
+    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return (
+        staged.join(F.broadcast(offsets), "_pid")
+        .withColumn(name, (F.col("_off") + position + 1).cast("long"))
+        .drop("_pid", "_mid", "_off")
+    )
+
+
+def _staged(df: DataFrame, exprs: list[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partitioned, sorted, tagged with partition id and position, and
+    checkpointed to the shared folder (steps 1-3 above)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or default_parallelism(spark)
-    staged = (
+    return (
         df.repartitionByRange(n, *exprs)
         .sortWithinPartitions(*exprs)
         .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
         .checkpoint(eager=True)
     )
+
+
+def _partition_offsets(staged: DataFrame, *totals: Column) -> DataFrame:
+    """Per partition: the sums of ``totals`` over all earlier partitions
+    (``_off``, ``_off1``...).  One row per partition, so it is broadcast."""
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        staged.groupBy("_pid")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    names = ["_off" if i == 0 else f"_off{i}" for i in range(len(totals))]
+    per = staged.groupBy("_pid").agg(*[t.alias(f"_t{i}") for i, t in enumerate(totals)])
+    return per.select(
+        "_pid",
+        *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(n) for i, n in enumerate(names)],
     )
-    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (
-        staged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_off") + position + 1).cast("long"))
-        .drop("_pid", "_mid", "_off")
+
+
+def running_sums(
+    df: DataFrame,
+    order: list[Column | str],
+    cols: list[str],
+    prefix: str = "cum_",
+    strategy: str = AUTO,
+) -> DataFrame:
+    """Add ``<prefix><col>`` = sum of ``col`` over all rows up to and
+    including this one in ``order`` (a total order).
+
+    Distributed form: within each range partition a running sum (a window
+    per partition id), plus the totals of all earlier partitions from a
+    broadcast table with one row per partition.
+    """
+    exprs = _order_exprs(order)
+    if choose(df, strategy) == SINGLE:
+        upto = Window.orderBy(*exprs).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({f"{prefix}{c}": F.sum(c).over(upto) for c in cols})
+    staged = _staged(df, exprs, None)
+    offsets = _partition_offsets(staged, *[F.sum(c) for c in cols])
+    inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    off_names = ["_off" if i == 0 else f"_off{i}" for i in range(len(cols))]
+    out = staged.join(F.broadcast(offsets), "_pid").withColumns(
+        {f"{prefix}{c}": F.sum(c).over(inside) + F.col(o) for c, o in zip(cols, off_names)}
+    )
+    return out.drop("_pid", "_mid", *off_names)
+
+
+def moving_sums(
+    df: DataFrame,
+    order: list[Column | str],
+    cols: list[str],
+    width: int,
+    prefix: str = "moving_",
+    strategy: str = AUTO,
+) -> DataFrame:
+    """Add ``<prefix><col>`` = sum of ``col`` over this row and the
+    ``width - 1`` rows before it in ``order``.
+
+    Distributed form: running sums and row positions, then
+    ``cum[i] - cum[i - width]`` through an equi-join on position (positions
+    are unique, so the join spreads evenly).
+    """
+    exprs = _order_exprs(order)
+    if choose(df, strategy) == SINGLE:
+        frame = Window.orderBy(*exprs).rowsBetween(-(width - 1), Window.currentRow)
+        return df.withColumns({f"{prefix}{c}": F.sum(c).over(frame) for c in cols})
+    numbered = global_row_number(df, exprs, "_i", strategy=DISTRIBUTED)
+    cum = running_sums(numbered, ["_i"], cols, "_c_", strategy=DISTRIBUTED)
+    back = cum.select((F.col("_i") + width).alias("_i"), *[F.col(f"_c_{c}").alias(f"_b_{c}") for c in cols])
+    out = cum.join(back, "_i", "left").withColumns(
+        {
+            f"{prefix}{c}": F.col(f"_c_{c}") - F.coalesce(F.col(f"_b_{c}"), F.lit(0).cast(df.schema[c].dataType))
+            for c in cols
+        }
     )
+    return out.drop("_i", *[f"_c_{c}" for c in cols], *[f"_b_{c}" for c in cols])
 
 
 def top_k(df: DataFrame, order: list[Column | str], k: int, name: str = "rank") -> DataFrame:

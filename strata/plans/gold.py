@@ -12,19 +12,20 @@ Plan notes (checked with ``explain``):
   customer sends one partial row per map task, not its raw rows.
 * Rankings use ``global_row_number`` (range-partitioned, no single-task
   window) or ``top_k`` when only the first k ranks are wanted.
-* Windows over the daily tables have one row per calendar day: their size
-  is bounded by the date range, not by the data volume.
+* Running and moving sums over the daily tables use ``running_sums`` /
+  ``moving_sums``: plain windows when the inputs are small, else a
+  range-partitioned prefix sum, so no unbounded set meets in one task.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import quality as q
-from strata.operators.rank import global_row_number, top_k
+from strata.operators.rank import global_row_number, moving_sums, running_sums, top_k
 
 REVENUE = "decimal(28,2)"
 WIDE_MONEY = "decimal(38,2)"
@@ -183,9 +184,10 @@ def gold_return_rate(txn: DataFrame, orders: DataFrame, batch_ts: datetime | Non
 
 def gold_daily_revenue_kpis(total_revenue: DataFrame) -> DataFrame:
     """Daily revenue with year/month, average transaction value and the
-    running total (WIN-3, DT-6, JOB-G9)."""
-    running = Window.orderBy("snapshot_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return total_revenue.select(
+    running total (WIN-3, DT-6, JOB-G9).  The running total is a prefix sum
+    over the days (``running_sums``: a plain window for small inputs, a
+    range-partitioned prefix sum otherwise)."""
+    daily = total_revenue.select(
         "snapshot_date",
         F.year("snapshot_date").alias("year"),
         F.month("snapshot_date").alias("month"),
@@ -193,7 +195,10 @@ def gold_daily_revenue_kpis(total_revenue: DataFrame) -> DataFrame:
         "total_orders",
         "total_transactions",
         q.safe_ratio(F.col("total_revenue"), F.col("total_transactions")).alias("avg_transaction_value"),
-        F.sum("total_revenue").over(running).cast(WIDE_MONEY).alias("cumulative_revenue"),
+    )
+    out = running_sums(daily, ["snapshot_date"], ["total_revenue"], "cum_")
+    return out.withColumn("cumulative_revenue", F.col("cum_total_revenue").cast(WIDE_MONEY)).drop(
+        "cum_total_revenue"
     )
 
 
@@ -216,13 +221,11 @@ def gold_revenue_monthly(total_revenue: DataFrame) -> DataFrame:
 def gold_aov_moving_average(avg_order_value: DataFrame, days: int = 7) -> DataFrame:
     """AOV over the last ``days`` daily rows (WIN-4): revenue / orders over
     the frame, i.e. the AOV of those days taken together."""
-    frame = Window.orderBy("snapshot_date").rowsBetween(-(days - 1), Window.currentRow)
-    return avg_order_value.select(
+    frame = moving_sums(avg_order_value, ["snapshot_date"], ["total_revenue", "total_orders"], days, "m_")
+    return frame.select(
         "snapshot_date",
         "avg_order_value",
-        q.safe_ratio(F.sum("total_revenue").over(frame), F.sum("total_orders").over(frame)).alias(
-            f"moving_avg_order_value_{days}d"
-        ),
+        q.safe_ratio(F.col("m_total_revenue"), F.col("m_total_orders")).alias(f"moving_avg_order_value_{days}d"),
     )
 
 

@@ -31,3 +31,24 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     problem = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
     assert problem is None, problem
+
+
+DISTRIBUTED_PATHS = [
+    "gold_top_customers",
+    "gold_daily_revenue_kpis",
+    "gold_aov_moving_average",
+    "bike_gold",
+    "scd2_customers",
+]
+
+
+@pytest.mark.parametrize("name", DISTRIBUTED_PATHS)
+def test_distributed_paths_match_oracle(spark, con, name):
+    """The same queries with every size check failing: ranks, neighbours,
+    running sums and SCD2 chains take their skew-proof distributed form."""
+    spark.conf.set("spark.strata.singleTaskMaxBytes", "0")
+    try:
+        problem = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
+    finally:
+        spark.conf.unset("spark.strata.singleTaskMaxBytes")
+    assert problem is None, problem

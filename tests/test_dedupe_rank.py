@@ -84,3 +84,22 @@ def test_top_k_uses_take_ordered(spark):
     out = top_k(df, [F.desc("v"), F.asc("id")], 3, "r")
     assert rows(out, "id", "r") == [(9, 1), (19, 2), (29, 3)]
     assert "TakeOrderedAndProject" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_and_moving_sums_agree_across_strategies(spark):
+    from decimal import Decimal
+
+    from strata.operators.rank import moving_sums, running_sums
+
+    rnd = random.Random(11)
+    data = [(i, Decimal(rnd.randint(0, 10000)) / 100, rnd.randint(0, 9)) for i in range(300)]
+    df = spark.createDataFrame(data, "d int, amount decimal(18,2), n bigint")
+    a = running_sums(df, ["d"], ["amount", "n"], strategy="single")
+    b = running_sums(df, ["d"], ["amount", "n"], strategy="distributed")
+    assert rows(a) == rows(b)
+    m1 = moving_sums(df, ["d"], ["amount", "n"], 7, strategy="single")
+    m2 = moving_sums(df, ["d"], ["amount", "n"], 7, strategy="distributed")
+    assert rows(m1) == rows(m2)
+    got = {r.d: r.moving_n for r in m2.collect()}
+    ns = [n for _, _, n in sorted(data)]
+    assert all(got[i] == sum(ns[max(0, i - 6) : i + 1]) for i in range(300))
