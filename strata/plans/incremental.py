@@ -26,7 +26,7 @@ from strata.functions import quality as q
 from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
 from strata.operators.merge import apply_changes, merge_partitions, scd2_merge, upsert
-from strata.sources.store import TableStore
+from strata.sources.store import Partitioned, TableStore
 
 CUSTOMERS_SOURCE = "bronze_customers"
 TRANSACTIONS_SOURCE = "bronze_transactions"
@@ -261,6 +261,38 @@ def publish_customers(store: TableStore, state: CustomerState) -> int:
     return store.commit({SCD1_TABLE: state.scd1, SCD2_TABLE: state.scd2, CHECKPOINT_TABLE: state.checkpoints})
 
 
+# The stored SCD2 table keeps current and closed versions apart: a run
+# rewrites the current versions and appends newly closed ones, and never
+# reads or rewrites the (ever growing) history.
+SCD2_PARTITION = "CASE WHEN is_current THEN 'current' ELSE 'history' END"
+
+
+def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) -> int:
+    """One stored incremental run of the customer dimension: SCD1 replaced
+    (one row per customer), SCD2 current versions replaced and closed
+    versions appended, checkpoint updated - all in one store version."""
+    checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at)
+    batch = newer_than(source, read_mark(checkpoints, CUSTOMERS_SOURCE))
+    changes = customer_changes(batch).persist()
+    try:
+        scd1 = upsert(store.read(SCD1_TABLE, SCD1), changes.select(*names(SCD1)), ["customer_id"])
+        if store.exists(SCD2_TABLE):
+            live = store.read_partitions(SCD2_TABLE, ["current"])
+        else:
+            live = empty(changes.sparkSession, SCD2)
+        versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
+        progress = record_progress(checkpoints, CUSTOMERS_SOURCE, batch, at)
+        return store.commit(
+            {
+                SCD1_TABLE: scd1,
+                SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, ["current"]),
+                CHECKPOINT_TABLE: progress,
+            }
+        )
+    finally:
+        changes.unpersist()
+
+
 def publish_transactions(store: TableStore, state: TransactionState) -> int:
     """Publish a whole new CDC table and the checkpoint in one version."""
     return store.commit({CDC_TABLE: state.table, CHECKPOINT_TABLE: state.checkpoints})

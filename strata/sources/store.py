@@ -45,9 +45,11 @@ VERSION = "strata_version"
 
 @dataclass
 class Partitioned:
-    """A partition-level write: ``df`` holds the new rows of exactly the
-    partitions named in ``replaced`` (``strata_part`` values); every other
-    partition of the table stays as it is."""
+    """A partition-level write.  Partitions named in ``replaced``
+    (``strata_part`` values) are replaced by the rows of ``df`` that fall in
+    them (or dropped when ``df`` has none); rows of ``df`` in any other
+    partition are appended to it; partitions ``df`` does not touch stay as
+    they are."""
 
     df: DataFrame
     expression: str
@@ -127,14 +129,18 @@ class TableStore:
         wanted = {p: v for p, v in entry["parts"].items() if p in set(parts)}
         return self._read_parts(name, entry, wanted)
 
-    def _read_parts(self, name: str, entry: dict, parts: dict[str, int]) -> DataFrame:
+    def _read_parts(self, name: str, entry: dict, parts: dict[str, list[int]]) -> DataFrame:
         schema = StructType.fromJson(json.loads(entry["schema"]))
         if not parts:
             return literal_frame(
                 self.spark, [], [Column(f.name, f.dataType.simpleString()) for f in schema.fields]
             )
         base = f"{self.root}/{name}"
-        paths = [f"{self._part_root(name, v)}/{self._part_dir(p)}" for p, v in sorted(parts.items())]
+        paths = [
+            f"{self._part_root(name, v)}/{self._part_dir(p)}"
+            for p, versions in sorted(parts.items())
+            for v in versions
+        ]
         df = self.spark.read.option("basePath", base).parquet(*paths)
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
@@ -171,10 +177,11 @@ class TableStore:
         out = df.repartitionByRange(F.col(PART), *[F.col(c) for c in item.df.columns[:1]])
         out.write.mode("overwrite").partitionBy(PART).parquet(self._part_root(name, v))
         written = self._listed_parts(name, v)
-        parts = dict(old["parts"]) if isinstance(old, dict) else {}
+        parts = {p: list(vs) for p, vs in old["parts"].items()} if isinstance(old, dict) else {}
         for p in item.replaced:
             parts.pop(p, None)
-        parts.update({p: v for p in written})
+        for p in written:
+            parts[p] = [*parts.get(p, []), v]
         return {"expression": item.expression, "schema": item.df.schema.json(), "parts": parts}
 
     def _listed_parts(self, name: str, v: int) -> list[str]:

@@ -110,11 +110,11 @@ def test_stored_cdc_rewrites_only_touched_partitions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "cdc"))
     first = inc.run_transactions_stored(store, feed.filter(F.col("updated_at") <= T[1]), T[1])
     parts_before = store.manifest()[inc.CDC_TABLE]["parts"]
-    assert parts_before == {"2024-01": first, "2024-02": first, "2024-03": first}
+    assert parts_before == {"2024-01": [first], "2024-02": [first], "2024-03": [first]}
     second = inc.run_transactions_stored(store, feed, T[3])
     parts = store.manifest()[inc.CDC_TABLE]["parts"]
     # January and March rewritten, February rewritten (b left it) and now empty.
-    assert parts == {"2024-01": second, "2024-03": second}
+    assert parts == {"2024-01": [second], "2024-03": [second]}
     got = rows(store.read(inc.CDC_TABLE), "transaction_id", "quantity", "transaction_date")
     assert got == [("a", 2, jan), ("b", 1, mar), ("c", 1, mar)]
     # The result equals the in-memory batch runs, and a replay changes nothing.
@@ -133,3 +133,25 @@ def test_late_row_below_the_mark_is_not_read(spark):
     state = inc.run_customers(late, state, T[5])
     assert [r.customer_id for r in state.scd1.collect()] == ["CUST_1"]
     assert rows(state.checkpoints, "table_name", "last_processed_timestamp") == [("bronze_customers", T[3])]
+
+
+def test_stored_scd2_appends_history_and_rewrites_current_only(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "dim"))
+    feed = spark.createDataFrame(
+        [
+            _row("CUST_1", "Gold", T[0]),
+            _row("CUST_2", "Gold", T[0]),
+            _row("CUST_1", "Plat", T[2]),
+            _row("CUST_1", "Diam", T[4]),
+        ],
+        SRC,
+    )
+    for at in (T[1], T[3], T[5]):
+        inc.run_customers_stored(store, feed.filter(F.col("updated_at") <= at), at)
+    parts = store.manifest()[inc.SCD2_TABLE]["parts"]
+    assert len(parts["current"]) == 1  # replaced each run
+    assert len(parts["history"]) == 2  # one appended folder per run that closed versions
+    stored = store.read(inc.SCD2_TABLE)
+    one = inc.run_customers(feed, inc.initial_customers(spark, T[0]), T[5])
+    assert rows(stored) == rows(one.scd2)
+    assert rows(store.read(inc.SCD1_TABLE)) == rows(one.scd1)
