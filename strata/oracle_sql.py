@@ -702,6 +702,7 @@ FROM txn_feed WHERE updated_at > TIMESTAMP '2024-01-01' AND updated_at <= TIMEST
 ORACLE["scd1_customers"] = build("SELECT * FROM scd1", "scd1")
 ORACLE["scd2_customers"] = build("SELECT * FROM scd2", "scd2")
 ORACLE["scd2_current"] = build("SELECT * FROM scd2 WHERE is_current", "scd2")
+ORACLE["scd2_customers_stored"] = ORACLE["scd2_customers"]
 ORACLE["scd2_history"] = build("SELECT * FROM scd2 ORDER BY customer_id, valid_from DESC", "scd2")
 ORACLE["cdc_transactions"] = build("SELECT * FROM cdc", "cdc")
 ORACLE["cdc_transactions_stream"] = ORACLE["cdc_transactions"]

@@ -172,6 +172,16 @@ class Pipeline:
         txn = self.transaction_runs(runs, cust.checkpoints)
         return cust, txn
 
+    def stored_customer_runs(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> TableStore:
+        """The customer flow run at each time in ``runs`` against a table
+        store below the shared checkpoint folder (SCD2 history appended)."""
+        import uuid
+
+        store = TableStore(self.spark, scratch_path(self.spark, "customers", uuid.uuid4().hex))
+        for at in runs:
+            incremental.run_customers_stored(store, self._arrived(self.customer_feed, at), at)
+        return store
+
     def streamed_transactions(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> DataFrame:
         """The CDC table built by the streaming job (STM-1).
 
@@ -266,6 +276,7 @@ QUERIES: dict[str, Query] = {
     # incremental (JOB-C1..C3, INC-1..5, AUD-3)
     "scd1_customers": _q(lambda p: p.customer_runs().scd1),
     "scd2_customers": _q(lambda p: p.customer_runs().scd2),
+    "scd2_customers_stored": _q(lambda p: p.stored_customer_runs().read(incremental.SCD2_TABLE)),
     "scd2_current": _q(lambda p: incremental.current_versions(p.customer_runs().scd2)),
     "scd2_history": _q(lambda p: incremental.version_history(p.customer_runs().scd2)),
     "cdc_transactions": _q(lambda p: p.transaction_runs().table),
