@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.schema import Column, conform
+from strata.sources.raw_files import read_text_csv
 
 # Declared view schemas (fixed values from the pipeline's column lists).
 SILVER_RIDES = [
@@ -43,7 +44,7 @@ MINUTES_PER_HOUR = Decimal("60.0")
 
 def bronze_rides_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     """All CSV files of a folder, header on, every column a string (R1)."""
-    return spark.read.csv(folder, header=True, inferSchema=False)
+    return read_text_csv(spark, folder)
 
 
 def silver_rides(spark: SparkSession, bronze: DataFrame) -> DataFrame:

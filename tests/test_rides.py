@@ -35,3 +35,16 @@ def test_gold_rides_first_and_last_station(spark):
     assert d1.first_start_station_id is None  # the value at the minimum, even NULL
     assert d1.last_end_station_id == "z"  # equal end times: larger ride_id
     assert got["2024-01-02"].first_start_station_id == "d"
+
+
+def test_rides_from_a_csv_folder(spark, tmp_path):
+    from strata.plans.rides import bronze_rides_from_csv
+
+    d = tmp_path / "rides"
+    d.mkdir()
+    header = "ride_id,start_time,end_time,start_station_id,end_station_id,bike_id,user_type\n"
+    (d / "part-1.csv").write_text(header + "r1,2024-01-01 10:00:00,2024-01-01 10:30:00,a,b,k1,member\n")
+    (d / "part-2.csv").write_text(header + "r2,2024-01-01 11:00:00,2024-01-01 12:00:00,b,c,k1,casual\n")
+    gold = gold_rides(spark, silver_rides(spark, bronze_rides_from_csv(spark, str(d)))).first()
+    assert (gold.total_rides, gold.total_revenue) == (2, Decimal("20.0000"))
+    assert (gold.first_start_station_id, gold.last_end_station_id) == ("a", "c")
