@@ -38,7 +38,7 @@ def without_run_columns(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in RUN_COLUMNS if c in df.columns])
 
 
-class Pipeline:
+class Layers:
     """The medallion frames for one data folder, built on first use."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -220,9 +220,9 @@ class Pipeline:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _q(build: Callable[[Pipeline], DataFrame]) -> Query:
+def _q(build: Callable[[Layers], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return without_run_columns(build(Pipeline(spark, sf_dir)))
+        return without_run_columns(build(Layers(spark, sf_dir)))
 
     run.__doc__ = build.__doc__
     return run

@@ -68,7 +68,7 @@ def test_ingest_retail_publishes_four_tables(spark, tmp_path):
 
 
 def test_store_backed_medallion_run(spark, tmp_path):
-    from strata.plans.pipeline import build_gold, build_silver, dashboard, preview
+    from strata.plans.medallion import build_gold, build_silver, dashboard, preview
 
     raw = tmp_path / "raw"
     raw.mkdir()
