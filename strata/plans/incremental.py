@@ -261,31 +261,49 @@ def publish_customers(store: TableStore, state: CustomerState) -> int:
     return store.commit({SCD1_TABLE: state.scd1, SCD2_TABLE: state.scd2, CHECKPOINT_TABLE: state.checkpoints})
 
 
-# The stored SCD2 table keeps current and closed versions apart: a run
-# rewrites the current versions and appends newly closed ones, and never
-# reads or rewrites the (ever growing) history.
-SCD2_PARTITION = "CASE WHEN is_current THEN 'current' ELSE 'history' END"
+# Stored customer dimensions are bucketed by a hash of the key: a run reads
+# and rewrites only the buckets its changed keys fall in.  The SCD2 table
+# also keeps current and closed versions apart: current versions live in
+# their key's bucket (replaced when touched), closed versions are only ever
+# appended to the history partition, which a run never reads.
+CUSTOMER_BUCKETS = 64
+_BUCKET = f"pmod(xxhash64(customer_id), {CUSTOMER_BUCKETS})"
+SCD1_PARTITION = f"CAST({_BUCKET} AS STRING)"
+SCD2_PARTITION = f"CASE WHEN is_current THEN concat('current-', {_BUCKET}) ELSE 'history' END"
 
 
 def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) -> int:
-    """One stored incremental run of the customer dimension: SCD1 replaced
-    (one row per customer), SCD2 current versions replaced and closed
-    versions appended, checkpoint updated - all in one store version."""
+    """One stored incremental run of the customer dimension, published as one
+    store version: SCD1 rows and SCD2 current versions of the touched key
+    buckets replaced, newly closed SCD2 versions appended, checkpoint
+    updated."""
     checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at)
     batch = newer_than(source, read_mark(checkpoints, CUSTOMERS_SOURCE))
     changes = customer_changes(batch).persist()
+    spark = changes.sparkSession
     try:
-        scd1 = upsert(store.read(SCD1_TABLE, SCD1), changes.select(*names(SCD1)), ["customer_id"])
+        # A key never changes bucket, so the touched buckets are the batch's.
+        scd1 = merge_partitions(
+            store,
+            SCD1_TABLE,
+            changes.select(*names(SCD1)),
+            ["customer_id"],
+            lambda old, ch: upsert(old, ch, ["customer_id"]),
+            SCD1_PARTITION,
+            empty(spark, SCD1),
+            partition_can_change=False,
+        )
+        current = [f"current-{b}" for b in store.touched_partitions(changes, _BUCKET)]
         if store.exists(SCD2_TABLE):
-            live = store.read_partitions(SCD2_TABLE, ["current"])
+            live = store.read_partitions(SCD2_TABLE, current)
         else:
-            live = empty(changes.sparkSession, SCD2)
+            live = empty(spark, SCD2)
         versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
         progress = record_progress(checkpoints, CUSTOMERS_SOURCE, batch, at)
         return store.commit(
             {
                 SCD1_TABLE: scd1,
-                SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, ["current"]),
+                SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, current),
                 CHECKPOINT_TABLE: progress,
             }
         )
