@@ -40,7 +40,3 @@ def literal_frame(spark, rows: list[tuple], columns: list[Column]) -> DataFrame:
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
-
-def ddl(columns: list[Column]) -> str:
-    """``name type, ...`` for ``createDataFrame`` / ``CREATE TABLE``."""
-    return ", ".join(f"{c.name} {c.type}" for c in columns)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -81,10 +80,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
-
 
 def cluster_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Suggested settings for a cluster job reading ``input_bytes``.

@@ -106,10 +106,6 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return name in self.manifest()
 
-    def partition_expression(self, name: str) -> str | None:
-        entry = self.manifest().get(name)
-        return entry.get("expression") if isinstance(entry, dict) else None
-
     def read(self, name: str, columns: list[Column] | None = None) -> DataFrame:
         """Current version of ``name``; an empty frame of ``columns`` if the
         table does not exist yet."""

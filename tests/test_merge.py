@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from strata.operators.merge import apply_changes, scd2_merge, upsert
+from strata.operators.merge import apply_changes, delete_keys, scd2_merge, upsert
 from tests.conftest import rows
 
 T = [dt.datetime(2024, 1, d) for d in range(1, 10)]
@@ -110,3 +110,9 @@ def test_scd2_from_empty_target(spark):
     changes = spark.createDataFrame([("CUST_1", "a", "X", "n", T[1]), ("CUST_2", "b", "Y", "m", T[1])], CHG)
     out = _scd2(empty, changes)
     assert out.filter(F.col("is_current")).count() == 2 and out.count() == 2
+
+
+def test_delete_keys(spark):
+    target = spark.createDataFrame([("a", "1", T[0]), ("b", "1", T[0])], KV)
+    doomed = spark.createDataFrame([("b",), ("zz",)], "k string")
+    assert rows(delete_keys(target, doomed, ["k"])) == [("a", "1", T[0])]
