@@ -126,11 +126,17 @@ def parsed_timestamp(c: Column | str, formats: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
+def wall_clock(value: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal built from its text, so neither the Python
+    process's nor the session's time zone can shift it."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def batch_time(batch_ts: datetime | None) -> Column:
     """One processing timestamp per run."""
     if batch_ts is None:
         return F.current_timestamp().cast("timestamp_ntz")
-    return F.lit(batch_ts).cast("timestamp_ntz")
+    return wall_clock(batch_ts)
 
 
 def safe_ratio(numerator: Column, denominator: Column, scale: float = 1.0) -> Column:

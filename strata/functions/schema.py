@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ def conform(df: DataFrame, columns: list[Column]) -> DataFrame:
     return out
 
 
+def _literal(value, column: Column):
+    if isinstance(value, datetime) and column.type == "timestamp_ntz":
+        # From text: no time zone (process or session) can shift it.
+        return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    return F.lit(value).cast(column.type)
+
+
 def literal_frame(spark, rows: list[tuple], columns: list[Column]) -> DataFrame:
     """A small DataFrame of literal rows whose size Catalyst knows.
 
@@ -35,8 +43,6 @@ def literal_frame(spark, rows: list[tuple], columns: list[Column]) -> DataFrame:
     """
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(c.type).alias(c.name) for c in columns])
-    structs = [
-        F.struct(*[F.lit(v).cast(c.type).alias(c.name) for v, c in zip(row, columns)]) for row in rows
-    ]
+    structs = [F.struct(*[_literal(v, c).alias(c.name) for v, c in zip(row, columns)]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 

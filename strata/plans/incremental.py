@@ -103,7 +103,7 @@ def read_mark(checkpoints: DataFrame, source: str) -> datetime:
 def newer_than(source: DataFrame, mark: datetime, ts: str = "updated_at") -> DataFrame:
     """Rows strictly newer than the mark; a row stamped exactly at the mark
     was taken by the run that set it and is not read again."""
-    return source.filter(F.col(ts) > F.lit(mark).cast("timestamp_ntz"))
+    return source.filter(F.col(ts) > q.wall_clock(mark))
 
 
 def record_progress(

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.quality import wall_clock
 from strata.plans import audit, gold, incremental, rides, silver
 from strata.plans import datasets as ds
 from strata.session import scratch_path
@@ -138,7 +139,7 @@ class Layers:
         return adapters.transaction_feed(self.tables)
 
     def _arrived(self, feed: DataFrame, at: datetime) -> DataFrame:
-        return feed.filter(F.col("updated_at") <= F.lit(at).cast("timestamp_ntz"))
+        return feed.filter(F.col("updated_at") <= wall_clock(at))
 
     def _checkpoints(self, at: datetime) -> DataFrame:
         return incremental.seed_checkpoints(
@@ -199,7 +200,7 @@ class Layers:
         for at in runs:
             drop = self._arrived(feed, at)
             if previous is not None:
-                drop = drop.filter(F.col("updated_at") > F.lit(previous).cast("timestamp_ntz"))
+                drop = drop.filter(F.col("updated_at") > wall_clock(previous))
             drop.write.mode("append").parquet(f"{root}/feed")
             previous = at
             start_cdc_stream(

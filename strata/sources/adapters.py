@@ -18,6 +18,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.quality import wall_clock
 from strata.operators.sequence import NEXT, with_neighbor
 from strata.sources.tables import DriverTables
 
@@ -227,7 +228,7 @@ DELETES_AT = datetime(2024, 2, 2)
 
 
 def _at(ts: datetime) -> Column:
-    return F.lit(ts).cast("timestamp_ntz")
+    return wall_clock(ts)
 
 
 def customer_feed(t: DriverTables) -> DataFrame:

@@ -52,3 +52,13 @@ def test_distributed_paths_match_oracle(spark, con, name):
     finally:
         spark.conf.unset("spark.strata.singleTaskMaxBytes")
     assert problem is None, problem
+
+
+@pytest.mark.parametrize("name", ["silver_orders", "bike_gold", "checkpoint_after_run", "checkpoint_lag"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        problem = compare(QUERIES[name](spark, SMOKE), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert problem is None, problem
