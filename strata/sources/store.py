@@ -23,7 +23,10 @@ the key); a ``Partitioned`` write replaces only the partitions a batch
 touches, so the cost of a merge follows the batch, not the table.
 
 The root must be a folder every executor can reach (the shared checkpoint
-folder by default, see ``strata.session.scratch_path``).
+folder by default, see ``strata.session.scratch_path``).  The publish step
+relies on an atomic create-if-absent of the manifest file, which HDFS-like
+file systems give; on an object store without conditional creates, run one
+writer per store.
 """
 
 from __future__ import annotations
