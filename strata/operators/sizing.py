@@ -31,8 +31,13 @@ def _as_int(size) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the plan's leaf inputs; ``UNKNOWN`` if any is unknown."""
-    plan = df._jdf.queryExecution().optimizedPlan()
+    """Total size of the plan's leaf inputs; ``UNKNOWN`` if any is unknown.
+
+    Read from the analyzed plan, which the DataFrame already holds: its file
+    leaves report whole-file sizes (before column pruning), an upper bound
+    that needs no extra optimizer pass.
+    """
+    plan = df._jdf.queryExecution().analyzed()
     leaves = plan.collectLeaves()
     total = 0
     for i in range(leaves.size()):
