@@ -139,6 +139,7 @@ def merge_partitions(
     expression: str,
     empty: DataFrame,
     partition_can_change: bool = True,
+    touched: list[str] | None = None,
 ):
     """Merge ``changes`` into the partitioned table ``name`` of ``store``,
     touching only the partitions involved; returns the partition-level write
@@ -152,11 +153,12 @@ def merge_partitions(
     the (empty) target used before the table exists.
 
     ``changes`` is used three times (partition list, key probe, merge): pass
-    a persisted or checkpointed frame.
+    a persisted or checkpointed frame.  ``touched`` may pass the partitions
+    of ``changes`` when the caller already has them.
     """
     from strata.sources.store import Partitioned
 
-    touched = set(store.touched_partitions(changes, expression))
+    touched = set(touched if touched is not None else store.touched_partitions(changes, expression))
     if store.exists(name):
         if partition_can_change:
             holders = store.read(name).join(changes.select(*keys).distinct(), keys, "left_semi")

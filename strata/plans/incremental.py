@@ -283,6 +283,7 @@ def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) ->
     spark = changes.sparkSession
     try:
         # A key never changes bucket, so the touched buckets are the batch's.
+        buckets = store.touched_partitions(changes, _BUCKET)
         scd1 = merge_partitions(
             store,
             SCD1_TABLE,
@@ -292,8 +293,9 @@ def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) ->
             SCD1_PARTITION,
             empty(spark, SCD1),
             partition_can_change=False,
+            touched=buckets,
         )
-        current = [f"current-{b}" for b in store.touched_partitions(changes, _BUCKET)]
+        current = [f"current-{b}" for b in buckets]
         if store.exists(SCD2_TABLE):
             live = store.read_partitions(SCD2_TABLE, current)
         else:
