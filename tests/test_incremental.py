@@ -117,6 +117,9 @@ def test_stored_cdc_rewrites_only_touched_partitions(spark, tmp_path):
     assert parts == {"2024-01": [second], "2024-03": [second]}
     got = rows(store.read(inc.CDC_TABLE), "transaction_id", "quantity", "transaction_date")
     assert got == [("a", 2, jan), ("b", 1, mar), ("c", 1, mar)]
+    # Reading one partition lists and opens only that partition's files.
+    files = store.read_partitions(inc.CDC_TABLE, ["2024-01"]).inputFiles()
+    assert files and all("strata_part=2024-01" in f for f in files)
     # The result equals the in-memory batch runs, and a replay changes nothing.
     state = inc.run_transactions(feed, inc.initial_transactions(spark, T[0]), T[3])
     assert rows(store.read(inc.CDC_TABLE)) == rows(state.table)
