@@ -10,8 +10,10 @@ The mark is a single timestamp collected to the driver and used as a
 literal filter, so Catalyst pushes ``updated_at > mark`` into the parquet
 scan (row groups whose statistics are older are skipped).
 
-``run_customers`` / ``run_transactions`` are pure: they return the new frames;
-``publish_run`` writes them together through ``TableStore``.
+``run_customers`` / ``run_transactions`` are pure: they return the new frames
+(``publish_customers`` / ``publish_transactions`` write them whole).
+``run_customers_stored`` / ``run_transactions_stored`` run against a
+``TableStore`` and rewrite only the partitions a batch touches.
 """
 
 from __future__ import annotations
