@@ -2,7 +2,9 @@
 
 Each query builds the bronze entity frames from the driver tables, runs the
 jobs and returns the resulting DataFrame (lazy, except where a job
-checkpoints).  Processing-time columns (``processed_at``, ``_updated_at``)
+checkpoints, collects its high-water mark, or - for the stored and
+streaming runs - writes to a fresh store below the shared checkpoint
+folder).  Processing-time columns (``processed_at``, ``_updated_at``)
 are dropped, since they differ per run.
 """
 
