@@ -33,13 +33,19 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality of the named columns of two frames."""
-    parts = [left[n].eqNullSafe(right[n]) for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out & p
-    return out
+def key_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on columns of the same names.
+
+    Columns: all of ``left``, then those of ``right`` beside ``on`` (their names
+    must differ from ``left``'s).  Both sides may stem from one frame.
+    """
+    renamed = {c: f"{c} of right" for c in on}
+    right = right.select(*[F.col(c).alias(renamed.get(c, c)) for c in right.columns])
+    pairs = [F.col(f"`{c}`").eqNullSafe(F.col(f"`{r}`")) for c, r in renamed.items()]
+    match = pairs[0]
+    for p in pairs[1:]:
+        match = match & p
+    return left.join(right, match, how).drop(*renamed.values())
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -69,16 +75,32 @@ def numbered(
     ``order`` are numbered in any order.  Null group or order values are values
     like any other.
     """
-    bucket, before, b2 = fresh(df, "bucket", "before", "bucket2")
+    bucket, before = fresh(df, "bucket", "before")
     rows = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     keys = [*group, bucket]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(before))
     ahead = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn(before, F.coalesce(F.sum(before).over(ahead), F.lit(0)))
-    renamed = {k: f"{k}_{b2}" for k in keys}
-    offsets = offsets.withColumnsRenamed(renamed)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
     rows = rows.withColumn(name, place.cast("long"))
-    on = [rows[k].eqNullSafe(offsets[v]) for k, v in renamed.items()]
-    joined = rows.join(offsets, on)
-    return joined.withColumn(name, F.col(name) + F.col(before)).select(*df.columns, name)
+    return key_join(rows, offsets, keys).withColumn(name, F.col(name) + F.col(before)).select(*df.columns, name)
+
+
+SALTS = 16
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Null-safe equi-join that splits hot keys of ``left``.
+
+    Rows of ``left`` are dealt to ``SALTS`` parts by a hash of ``by``; ``right``
+    is repeated once per part, so it should be the small side (one row per
+    key).  Columns: all of ``left``, then those of ``right`` beside ``on``.
+    """
+    part = "part"
+    while part in [c.lower() for c in (*left.columns, *right.columns)]:
+        part = "_" + part
+    a = left.withColumn(part, F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    b = right.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return key_join(a, b, [*on, part], how).drop(part)

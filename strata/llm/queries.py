@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bin_slack, pair_bpe, shard_tree
+from strata.llm import bin_slack, chunk_dedup, covering_simhash, line_frequency, pair_bpe, shard_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.slots(docs, "shard", ["doc_id", "text_crc32", "size"])
 
 
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and both verdicts of every document."""
+    return line_frequency.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     done = pair_bpe.encode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
@@ -53,10 +58,29 @@ def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_slack.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the line chunks that stand in an earlier place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunk_dedup.dedup(docs, removed="n_removed_chunks")
+
+
+def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return covering_simhash.near_duplicates(docs).select(
+        covering_simhash.id_or_null("doc").alias("doc_id"),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        covering_simhash.id_or_null("root_doc").alias("component_id"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_hash_tree": op2_hash_tree,
+    "op3_line_frequency": op3_line_frequency,
     "op4_pair_index_bpe": op4_pair_index_bpe,
     "op5_min_bin_slack": op5_min_bin_slack,
+    "op8_line_chunks": op8_line_chunks,
+    "op10_covering_simhash": op10_covering_simhash,
 }
 
 ORACLE: dict[str, str] = {}
