@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bin_slack, chunk_dedup, covering_simhash, line_frequency, pair_bpe, shard_tree
+from strata.llm import bin_slack, centroid_langid, chunk_dedup, covering_simhash, line_frequency, nbsvm, pair_bpe, shard_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,26 @@ def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_slack.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def held_out() -> Column:
+    """True for the third of the documents that nothing may be learned from."""
+    digits = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    return F.crc32(digits) % 3 == 1
+
+
+def op6_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.train(docs.filter(~held_out()), table(spark, sf_dir, "labels"))
+    scored = nbsvm.score(docs.select("doc_id", held_out().alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    return centroid_langid.identify(docs, ~held_out(), keep=["doc_id", "held_out"])
+
+
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the line chunks that stand in an earlier place."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -79,6 +99,8 @@ QUERIES: dict[str, Query] = {
     "op3_line_frequency": op3_line_frequency,
     "op4_pair_index_bpe": op4_pair_index_bpe,
     "op5_min_bin_slack": op5_min_bin_slack,
+    "op6_nbsvm": op6_nbsvm,
+    "op7_nearest_centroid": op7_nearest_centroid,
     "op8_line_chunks": op8_line_chunks,
     "op10_covering_simhash": op10_covering_simhash,
 }
