@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bin_slack, centroid_langid, chunk_dedup, covering_simhash, line_frequency, nbsvm, pair_bpe, shard_tree
+from strata.llm import bin_slack, centroid_langid, chunk_dedup, covering_simhash, line_frequency, nbsvm, nn_descent, pair_bpe, shard_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,12 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.dedup(docs, removed="n_removed_chunks")
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other rows of every 20th vector."""
+    index = nn_descent.build(table(spark, sf_dir, "embeddings"), keep=21)
+    return nn_descent.search(index, F.col("id") % 20 == 0, 20)
+
+
 def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op6_nbsvm": op6_nbsvm,
     "op7_nearest_centroid": op7_nearest_centroid,
     "op8_line_chunks": op8_line_chunks,
+    "op9_nn_descent": op9_nn_descent,
     "op10_covering_simhash": op10_covering_simhash,
 }
 
