@@ -19,51 +19,59 @@ left out, whatever their names.
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, numbered
+from strata.llm.pair_bpe import byte_symbols
 
 CAPACITY = 2048
 CLOSING_ID = 0
 
 # Words whose ids one Python worker keeps; then it starts anew (memory bound).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 WHITE_RUN = regex.compile(r"\s\s")
+# Fixed: the split pattern of byte-level tokenizers that use their regex.
+SPLIT = regex.compile(public_tokenizers.PATTERN)
+
+MARKS = ".,;:!?|"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordIds(dict):
-    """Little-endian ids of ``prefix + word``, found by the tokenizer once."""
+    """Little-endian ids of ``prefix + word``; unknown words go to ``encode``."""
 
-    def __init__(self, tokenizer, prefix: str):
+    def __init__(self, encode, prefix: str):
         super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
+        self.encode, self.prefix = encode, prefix
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(self.prefix + word, add_special_tokens=False).ids
-        self[word] = out = array("I", ids).tobytes()
+        self[word] = out = self.encode(self.prefix + word)
         return out
 
 
 class DocumentIds:
     """Ids of whole texts as the tokenizer gives them, word by word.
 
-    A byte-level tokenizer splits before each blank that a visible character
-    follows and around single line ends, so that the words between them can be
-    encoded apart.  Texts with runs of white space or with an added token are
-    encoded whole.
+    The file's split pattern ends a stretch before each blank that a visible
+    character follows and around single line ends, so the words between them
+    can be encoded apart.  A word is split by the pattern, and the tokenizer's
+    model encodes each stretch once.  Texts with runs of white space or with an
+    added token, and files of another build, are encoded whole.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -72,8 +80,41 @@ class DocumentIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first, self.later = WordIds(self.tokenizer, ""), WordIds(self.tokenizer, " ")
+        spec = json.loads(tokenizer_json)
+        split = spec["pre_tokenizer"] or {}
+        self.by_word = (
+            spec["model"]["type"] == "BPE"
+            and not spec["normalizer"]
+            and not spec["model"].get("ignore_merges")
+            and (split.get("type"), split.get("use_regex"), split.get("add_prefix_space")) == ("ByteLevel", True, False)
+        )
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        self.model = self.tokenizer.model
+        self.symbols = byte_symbols()
+        self.stretches: dict[str, bytes] = {}
+        self.first, self.later = WordIds(self.word, ""), WordIds(self.word, " ")
+
+    def word(self, text: str) -> bytes:
+        # Most words are letters, perhaps with a closing mark: no pattern needed.
+        body = text[1:] if text[0] == " " else text
+        if body.isalpha():
+            parts = [text]
+        elif body[:-1].isalpha() and body[-1] in MARKS:
+            parts = [text[:-1], text[-1]]
+        else:
+            parts = SPLIT.findall(text)
+        return b"".join([self.stretches.get(s) or self.stretch(s) for s in parts])
+
+    def stretch(self, text: str) -> bytes:
+        if len(self.stretches) >= CACHE_WORDS:
+            self.stretches.clear()
+        plain = text[1:] if text[0] == " " else text
+        if plain.isascii() and plain.isalpha():  # letters stand for themselves
+            symbols = text if plain is text else self.symbols[32] + plain
+        else:
+            symbols = "".join([self.symbols[b] for b in text.encode()])
+        self.stretches[text] = out = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+        return out
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -81,7 +122,7 @@ class DocumentIds:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if WHITE_RUN.search(text) or any(t in text for t in self.added):
+        if not self.by_word or WHITE_RUN.search(text) or any(t in text for t in self.added):
             return self.whole(text)
         out, later, line_end = [], self.later.__getitem__, None
         for line in text.split("\n"):
@@ -95,6 +136,12 @@ class DocumentIds:
         return b"".join(out)
 
 
+@lru_cache(maxsize=2)
+def document_ids(tokenizer_json: str) -> DocumentIds:
+    """One per Python worker, so that its tasks share the words they have met."""
+    return DocumentIds(tokenizer_json)
+
+
 def spans(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` ids; only the first may be short."""
     head = n % capacity or min(n, capacity)
@@ -115,7 +162,7 @@ def pieces(
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = DocumentIds(shared.value)
+        ids_of = document_ids(shared.value)
         closing = array("I", [CLOSING_ID]).tobytes()
         for batch in batches:
             rows = []

@@ -66,17 +66,19 @@ def numbered(
     order: Sequence[str],
     name: str,
     buckets: int = NUMBER_BUCKETS,
+    deal: Column | None = None,
 ) -> DataFrame:
     """Add ``name``: a gapless number from 0 within each ``group``.
 
-    Rows of a group are dealt to ``buckets`` buckets by a hash of ``order``;
+    Rows of a group are dealt to ``buckets`` buckets by a hash of ``order`` (or
+    by ``deal``, a whole number);
     each (group, bucket) is numbered on its own and shifted by the rows of the
     buckets before it.  ``df`` is read twice (counts, rows); rows equal in
     ``order`` are numbered in any order.  Null group or order values are values
     like any other.
     """
     bucket, before = fresh(df, "bucket", "before")
-    rows = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    rows = df.withColumn(bucket, F.pmod(F.xxhash64(*order) if deal is None else deal, F.lit(buckets)).cast("int"))
     keys = [*group, bucket]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(before))
     ahead = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)

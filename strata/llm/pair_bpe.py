@@ -35,6 +35,10 @@ CACHE_WORDS = 300_000
 # Documents put together at a time.
 SLICE = 256
 
+GAP = regex.compile(r"\p{White_Space}+")
+# Controls that str.split() takes for white space and Unicode does not.
+NO_GAPS = "\x1c\x1d\x1e\x1f"
+
 
 def byte_symbols() -> dict[int, str]:
     """The visible character that stands for each byte in byte-level files.
@@ -141,7 +145,8 @@ class WordEndBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.text_of = {i: t for t, i in self.vocab.items()}
         self.suffix = model["end_of_word_suffix"]
-        self.words = regex.compile(splits[0]["pattern"]["Regex"])
+        # The file's \\s is Unicode white space; Python's has four controls more.
+        self.words = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.index = PairIndex(
             {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(map(tuple, model["merges"]))}
         )
@@ -165,6 +170,8 @@ class WordEndBpe:
 
     def split(self, text: str) -> list[str]:
         """The stretches between white space: no split or merge crosses it."""
+        if any(c in text for c in NO_GAPS):
+            return [s for s in GAP.split(text) if s]
         return text.split()
 
     def learn(self, stretches: Iterable[str]) -> None:

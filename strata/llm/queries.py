@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bin_slack, centroid_langid, chunk_dedup, covering_simhash, line_frequency, nbsvm, nn_descent, pair_bpe, shard_tree
+from strata.llm import bin_slack, centroid_langid, chat_quotes, chunk_dedup, covering_simhash, line_frequency, nbsvm, nn_descent, pair_bpe, shard_tree
+from strata.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,11 @@ def tokenizer(name: str) -> str:
         return f.read()
 
 
+def op1_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, as mail that quotes what it answers, in reply order."""
+    return chat_quotes.link(chat_quotes.as_mail(table(spark, sf_dir, "conversations")))
+
+
 def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards 0 to 39 for every document, by doc_id (law ``key``)."""
     tree = shard_tree.even_tree(40)
@@ -101,6 +107,7 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quotation_links": op1_quotation_links,
     "op2_hash_tree": op2_hash_tree,
     "op3_line_frequency": op3_line_frequency,
     "op4_pair_index_bpe": op4_pair_index_bpe,
@@ -112,4 +119,4 @@ QUERIES: dict[str, Query] = {
     "op10_covering_simhash": op10_covering_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -109,5 +109,10 @@ def assign(df: DataFrame, key: str, tree: list[Shard], shard: str = "shard") ->
 
 
 def slots(df: DataFrame, shard: str, order: list[str], slot: str = "slot") -> DataFrame:
-    """Add each row's gapless place from 0 within its shard."""
-    return numbered(df, [shard], order, slot)
+    """Add each row's gapless place from 0 within its shard.
+
+    Places follow the first hex digits of md5 of the first ``order`` column,
+    then ``order``.
+    """
+    digits = F.substring(F.md5(F.coalesce(F.col(order[0]).cast("string"), F.lit("")).cast("binary")), 1, 3)
+    return numbered(df, [shard], order, slot, deal=F.conv(digits, 16, 10).cast("int"))
