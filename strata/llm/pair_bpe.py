@@ -24,13 +24,15 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Words a task keeps ready; then it starts anew (memory bound).
+# Stretches, and words, that a Python worker keeps ready (memory bound); beyond
+# it those not met lately are dropped.
 CACHE_WORDS = 300_000
 # Documents put together at a time.
 SLICE = 256
@@ -39,6 +41,10 @@ GAP = regex.compile(r"\p{White_Space}+")
 # Controls that str.split() takes for white space and Unicode does not.
 NO_GAPS = "\x1c\x1d\x1e\x1f"
 
+MARKS = ".,;:!?|"
+# Fixed: the split pattern for which a stretch of letters is one word.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 def byte_symbols() -> dict[int, str]:
     """The visible character that stands for each byte in byte-level files.
@@ -147,6 +153,7 @@ class WordEndBpe:
         self.suffix = model["end_of_word_suffix"]
         # The file's \\s is Unicode white space; Python's has four controls more.
         self.words = regex.compile(splits[0]["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        self.letters = splits[0]["pattern"]["Regex"] == WORDS
         self.index = PairIndex(
             {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(map(tuple, model["merges"]))}
         )
@@ -156,7 +163,10 @@ class WordEndBpe:
         self.symbols = symbols
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_added = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
+        # Recent stretches and words, and those of before.
         self.known: dict[str, tuple[str, str, int]] = {}
+        self.older: dict[str, tuple[str, str, int]] = {}
+        self.merged: dict[str, list[int]] = {}
 
     def symbols_of(self, word: str) -> list[int]:
         """The ids a word starts from: one for each byte, the last with the suffix."""
@@ -175,29 +185,45 @@ class WordEndBpe:
         return text.split()
 
     def learn(self, stretches: Iterable[str]) -> None:
-        """Encode the stretches that are not known yet, all in one index."""
-        new = [s for s in stretches if s not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-        owners, words = [], []
-        for s in new:
-            parts = self.words.findall(self.normalized(s))
-            owners.append(len(parts))
-            words += parts
-        merged = iter(self.index.encode([self.symbols_of(w) for w in words]))
-        for s, n in zip(new, owners):
-            ids = [i for _ in range(n) for i in next(merged)]
-            self.known[s] = (" ".join(map(str, ids)), " ".join(self.text_of[i] for i in ids), len(ids))
+        """Make the stretches known; new words go through one index together."""
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        if len(self.merged) > CACHE_WORDS:
+            self.merged = {}
+        new = []
+        for s in stretches:
+            if s not in self.known:
+                found = self.older.pop(s, None)
+                if found:
+                    self.known[s] = found
+                else:
+                    new.append(s)
+        cut = [self.words_in(s) for s in new]
+        words = list({w for parts in cut for w in parts if w not in self.merged})
+        self.merged.update(zip(words, self.index.encode([self.symbols_of(w) for w in words])))
+        for s, parts in zip(new, cut):
+            ids = self.merged[parts[0]] if len(parts) == 1 else [i for w in parts for i in self.merged[w]]
+            self.known[s] = (" ".join(map(str, ids)), " ".join([self.text_of[i] for i in ids]), len(ids))
+
+    def words_in(self, stretch: str) -> list[str]:
+        """The words of a stretch.  Most are letters with or without a closing
+        mark, for which the pattern is not needed."""
+        text = stretch.lower() if stretch.isascii() else self.normalized(stretch)
+        if self.letters:
+            if text.isalpha():
+                return [text]
+            if text[:-1].isalpha() and text[-1] in MARKS:
+                return [text[:-1], text[-1]]
+        return self.words.findall(text)
 
     def encode_texts(self, texts: list[str]) -> list[tuple[str, str, int]]:
         """(ids joined by blanks, decoded text, number of ids) of each text."""
         cut = [self.pieces(t) for t in texts]
-        self.learn({s for parts in cut for s in parts if s not in self.added})
-        missing = {s for parts in cut for s in parts if s not in self.known and s not in self.added}
-        if missing:  # the store was emptied on the way
-            self.learn(missing)
-        special = {s: (str(i), s, 1) for s, i in self.added.items()}
-        known = self.known | special if any(s in special for parts in cut for s in parts) else self.known
+        every = set().union(*cut)
+        self.learn(every - self.added.keys())
+        known = self.known
+        if not every.isdisjoint(self.added):
+            known = known | {s: (str(i), s, 1) for s, i in self.added.items()}
         out = []
         for parts in cut:
             found = [f for f in map(known.__getitem__, parts) if f[2]]
@@ -215,13 +241,19 @@ class WordEndBpe:
         return out + self.split(text[at:])
 
 
+@lru_cache(maxsize=2)
+def word_end_bpe(tokenizer_json: str) -> WordEndBpe:
+    """One per Python worker, so that its tasks share the words they have met."""
+    return WordEndBpe(tokenizer_json)
+
+
 def encode(docs: DataFrame, tokenizer_json: str, text: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by blanks), decoded of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # one vocabulary file
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordEndBpe(shared.value)
+        bpe = word_end_bpe(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
