@@ -166,47 +166,70 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model(idf, [r["lang"] for r in found], np.stack([np.frombuffer(r["centroid"], "<f4") for r in found]) if found else np.zeros((0, 1 << BITS), np.float32))
 
 
-def predict(docs: DataFrame, model: Model, names: tuple[str, str, str], text: str = "text") -> DataFrame:
-    """Replace ``text`` by language, cosine and letters, called ``names``."""
+FOUND = ("lang_pred", "score", "n_letters")
+
+
+def predict(docs: DataFrame, model: Model, text: str, names: tuple[str, str, str] = FOUND, drop: bool = False) -> DataFrame:
+    """Add language, cosine and letters of ``text``; ``drop`` takes the text away."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # size set by BITS, CLUSTERS and languages
     at = docs.columns.index(text)
-    others = [f for f in docs.schema if f.name != text]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in others], f"`{names[0]}` string, `{names[1]}` double, `{names[2]}` long"])
+    kept = [i for i in range(len(docs.columns)) if not (drop and i == at)]
+    fields = [f"`{docs.columns[i]}` {docs.schema[i].dataType.simpleString()}" for i in kept]
+    schema = ", ".join([*fields, f"`{names[0]}` string, `{names[1]}` double, `{names[2]}` long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
             found = [own.nearest(t.as_py()) for t in batch.column(at)]
             lang, cosine, n = zip(*found) if found else ((), (), ())
-            kept = [i for i in range(batch.num_columns) if i != at]
             new = [pa.array(lang, pa.string()), pa.array(cosine, pa.float64()), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *new], [*[batch.schema.names[i] for i in kept], *names])
 
     return docs.mapInArrow(run, schema)
 
 
+def usual_distances(scored: DataFrame, pred: str, score: str) -> dict[str, float]:
+    """Median distance of each language's texts in ``scored``, over all of them."""
+    known = scored.filter(F.col(pred) != UNKNOWN).groupBy(F.col(pred).alias("language"))
+    found = known.agg(F.percentile_approx(1 - F.col(score), 0.5, 1000).alias("usual"))
+    return {r["language"]: r["usual"] for r in found.collect()}  # one row per language
+
+
+def rejection(usual: dict[str, float], pred: str, score: str, n: str) -> Column:
+    """True where no language was found, or its distance 1 - score is too large."""
+    limit = F.lit(1.0)
+    for language, distance in usual.items():
+        limit = F.when(F.col(pred) == language, F.lit(1 - REJECT_SHARE * (1 - distance))).otherwise(limit)
+    # The limit grows to 1 for short texts.
+    limit = 1 - (1 - limit) * F.least(F.lit(1.0), F.col(n) / FULL)
+    return (F.col(pred) == UNKNOWN) | (1 - F.col(score) > limit)
+
+
 def identify(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns with lang_pred, score and rejected of each row.
+    """``keep`` columns with lang_pred, score, rejected and n_letters of each row.
 
     ``training`` says which rows may be learned from.
     """
-    model = fit(docs.filter(training), text, lang)
     keep = keep or []
-    own = fresh(docs.select(*keep), "body", "in_training", "lang_pred", "score", "n_letters")
-    body, known, pred, score, n = own
+    model = fit(docs.filter(training), text, lang)
+    body, known, *found = fresh(docs.select(*keep), "body", "in_training", *FOUND)
     rows = docs.select(*keep, F.col(text).alias(body), (training & F.col(lang).isNotNull()).alias(known))
-    scored = cut(predict(rows, model, (pred, score, n), body))
-    # Median distance of each language's own training texts, over all of them.
-    usual = (
-        scored.filter(F.col(known) & (F.col(pred) != UNKNOWN))
-        .groupBy(F.col(pred).alias("usual_lang"))
-        .agg(F.percentile_approx(1 - F.col(score), 0.5, 1000).alias("usual"))
-        .collect()  # one row per language
+    scored = cut(predict(rows, model, body, tuple(found), drop=True))
+    usual = usual_distances(scored.filter(known), found[0], found[1])
+    return scored.select(
+        *keep, *[F.col(f).alias(n) for f, n in zip(found, FOUND)], rejection(usual, *found).alias("rejected")
     )
-    limit = F.lit(1.0)
-    for r in usual:
-        limit = F.when(F.col(pred) == r["usual_lang"], F.lit(1 - REJECT_SHARE * (1 - r["usual"]))).otherwise(limit)
-    # Distance 1 - score beyond the limit, which grows to 1 for short texts.
-    limit = 1 - (1 - limit) * F.least(F.lit(1.0), F.col(n) / FULL)
-    rejected = (F.col(pred) == UNKNOWN) | (1 - F.col(score) > limit)
-    return scored.select(*keep, F.col(pred).alias("lang_pred"), F.col(score).alias("score"), rejected.alias("rejected"), F.col(n).alias("n_letters"))
+
+
+def keep_known(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with their columns.
+
+    Texts are scored twice (distances of the training texts, then every row), so
+    that no text has to be stored or shuffled.
+    """
+    own = docs.filter(training)
+    model = fit(own, text, lang)
+    told = predict(own.filter(F.col(lang).isNotNull()).select(F.col(text).alias("text")), model, "text", drop=True)
+    usual = usual_distances(told, FOUND[0], FOUND[1])
+    found = tuple(fresh(docs, *FOUND))
+    return predict(docs, model, text, found).filter(~rejection(usual, *found)).select(*docs.columns)

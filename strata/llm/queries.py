@@ -106,6 +106,13 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the document pipeline."""
+    from corpus_pipeline import run  # it imports this module
+
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quotation_links": op1_quotation_links,
     "op2_hash_tree": op2_hash_tree,
@@ -117,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_chunks": op8_line_chunks,
     "op9_nn_descent": op9_nn_descent,
     "op10_covering_simhash": op10_covering_simhash,
+    "pipeline": pipeline,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
