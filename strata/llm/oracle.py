@@ -114,4 +114,72 @@ def _half(c: str) -> str:
 
 OP2 = OP2.replace("STEP", _half(_half("xor(c, x)")))
 
-ORACLE: dict[str, str] = {"op1_quotation_links": OP1, "op2_hash_tree": OP2}
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM d)
+),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + range) AS n FROM repeated, range(5) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, text, line,
+    lower(regexp_replace(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g')) AS form,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d)
+),
+own AS (SELECT * FROM lines WHERE words > 0),
+repeats AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM own GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
+frequent AS (
+  SELECT o.source, o.form FROM own o JOIN hosts h ON h.source IS NOT DISTINCT FROM o.source
+  GROUP BY o.source, o.form, h.n HAVING count(DISTINCT o.text) > greatest(20, 0.02 * h.n)
+),
+gone AS (
+  SELECT o.doc_id, sum(o.words) AS n
+  FROM own o JOIN frequent f ON f.source IS NOT DISTINCT FROM o.source AND f.form = o.form GROUP BY o.doc_id
+),
+counts AS (
+  SELECT d.doc_id, len(d.words)::BIGINT AS n_words, length(array_to_string(d.words, ''))::BIGINT AS word_chars,
+    len(regexp_extract_all(d.text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(r.n, 0)::BIGINT AS n_dup_lines,
+    coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(g.n, 0)::BIGINT AS n_frequent_words
+  FROM d LEFT JOIN repeats r ON r.doc_id = d.doc_id LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = d.doc_id
+)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * (n_words - n_frequent_words) >= 40 * n_words AS kept
+FROM counts
+"""
+
+OP8 = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, md5(line) AS h
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+),
+ends AS (
+  SELECT *, coalesce(('0x' || substr(md5(lag(h) OVER own || h), 1, 8))::BIGINT % 3 = 0, false) AS last
+  FROM lines WINDOW own AS (PARTITION BY doc_id ORDER BY i)
+),
+begun AS (SELECT *, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY i), false)::INT AS opens FROM ends),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS no FROM begun),
+chunks AS (
+  SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) FILTER (trim(line) <> '') > 1 AS several
+  FROM numbered GROUP BY doc_id, no
+),
+judged AS (
+  SELECT *, several AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, no) > 1 AS dropped FROM chunks
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(j.text, '') END AS text, coalesce(j.n, 0)::INT AS n_removed_chunks
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(chunk, chr(10) ORDER BY no) FILTER (NOT dropped) AS text, count(*) FILTER (dropped) AS n
+  FROM judged GROUP BY doc_id
+) j ON j.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quotation_links": OP1,
+    "op2_hash_tree": OP2,
+    "op3_line_frequency": OP3,
+    "op8_line_chunks": OP8,
+}
