@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import cut, key_join, let, numbered
 from strata.operators.rank import global_row_number
 
+BLANKS = " \t\r\n"
 MARKS = r"^[ \t]*>[ \t>]*"
 
 ID = ["conv_id", "turn", "role", "text"]
@@ -71,8 +72,8 @@ def passages(text: Column) -> Column:
 
 def own_text(parsed: Column) -> Column:
     """What remains without quotes."""
-    kept = F.transform(F.filter(parsed, lambda p: p["level"] == 0), lambda p: F.trim(p["text"]))
-    return F.trim(F.concat_ws("\n", F.filter(kept, lambda t: t != "")))
+    kept = F.transform(F.filter(parsed, lambda p: p["level"] == 0), lambda p: F.btrim(p["text"], F.lit(BLANKS)))
+    return F.concat_ws("\n", F.filter(kept, lambda t: t != ""))
 
 
 def _offers(text: Column) -> Column:

@@ -48,7 +48,7 @@ walk AS (
 )
 SELECT m.conv_id,
        row_number() OVER (PARTITION BY m.conv_id ORDER BY w.thread_turn, m.turn) - 1 AS position,
-       m.turn, m.role, trim(m.text) AS text, l.parent_turn, l.quote_level, w.thread_turn, w.depth
+       m.turn, m.role, trim(m.text, ' ' || chr(9) || chr(10) || chr(13)) AS text, l.parent_turn, l.quote_level, w.thread_turn, w.depth
 FROM msgs m
 JOIN links l ON l.conv_id = m.conv_id AND l.turn = m.turn
 JOIN walk w ON w.conv_id = m.conv_id AND w.turn = m.turn
