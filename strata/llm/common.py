@@ -14,14 +14,18 @@ from strata.session import checkpoint_dir
 NUMBER_BUCKETS = 1024
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, shuffled: bool = True) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
     Executors may be lost afterwards: later reads take the files.  Spark's
-    cleaner removes them with the frame (``cleanCheckpoints``).
+    cleaner removes them with the frame (``cleanCheckpoints``).  A frame that
+    comes out of a shuffle is written by as many tasks as the cluster runs at
+    once, which saves small files; one that comes straight from a scan keeps
+    the scan's tasks (``shuffled=False``).
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    return (df.coalesce(spark.sparkContext.defaultParallelism) if shuffled else df).checkpoint()
 
 
 def let(value: Column, body) -> Column:

@@ -106,23 +106,23 @@ def forest(prints: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
             yield int(root), found
 
 
-LINKS = "doc long, print long, root_doc long, root_print long"
+LINKS = "print long, root long"
 OVER = ", mask_no int, seen long, block int"
 
 
 def _links(keys: list[str], radius: int, block: int | None):
-    """Reads rows sorted by ``keys`` (then doc, print), one bucket after another.
+    """Reads rows sorted by ``keys``, then print, one bucket after another.
 
     Yields links; with ``block``, the members of larger buckets are yielded as
-    rows with a block number instead (their root columns are null).
+    rows with a block number instead (their root is null).
     """
-    names = ["doc", "print", "root_doc", "root_print"] + (["mask_no", "seen", "block"] if block else [])
+    names = ["print", "root"] + (["mask_no", "seen", "block"] if block else [])
 
     def table(columns) -> pa.RecordBatch:
-        kinds = [pa.int64()] * 4 + ([pa.int32(), pa.int64(), pa.int32()] if block else [])
+        kinds = [pa.int64()] * 2 + ([pa.int32(), pa.int64(), pa.int32()] if block else [])
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
-    def links(doc, prints, lo, hi) -> Iterator[pa.RecordBatch]:
+    def links(prints, lo, hi) -> Iterator[pa.RecordBatch]:
         """Links of the buckets that span rows lo[i] to hi[i]."""
         a, b = [], []
         size, unsigned = hi - lo, prints.view(np.uint64)
@@ -137,12 +137,11 @@ def _links(keys: list[str], radius: int, block: int | None):
         a, b = np.concatenate(a), np.concatenate(b)
         if len(a):
             empty = [pa.nulls(len(a), t) for t in (pa.int32(), pa.int64(), pa.int32())] if block else []
-            yield table([doc[b], prints[b], doc[a], prints[a], *empty])
+            yield table([prints[b], prints[a], *empty])
 
-    def over(key, doc, prints, no) -> pa.RecordBatch:
-        n = len(doc)
-        gone = pa.nulls(n, pa.int64())
-        return table([doc, prints, gone, gone, np.full(n, key[0]), np.full(n, key[1]), np.full(n, no)])
+    def over(key, prints, no) -> pa.RecordBatch:
+        n = len(prints)
+        return table([prints, pa.nulls(n, pa.int64()), np.full(n, key[0]), np.full(n, key[1]), np.full(n, no)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, blocks = None, 0  # rows of the bucket that may go on; its blocks so far
@@ -150,95 +149,89 @@ def _links(keys: list[str], radius: int, block: int | None):
             if not batch.num_rows:
                 continue
             part = pa.Table.from_batches([batch])
-            new = [part[c].to_numpy() for c in (*keys, "doc", "print")]
+            new = [part[c].to_numpy() for c in (*keys, "print")]
             rows = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            doc, prints = rows[-2], rows[-1]
-            n = len(doc)
-            starts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in rows[:-2]], axis=0)) + 1
+            prints = rows[-1]
+            n = len(prints)
+            starts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in rows[:-1]], axis=0)) + 1
             starts = np.concatenate([[0], starts])
             lo, hi = starts[:-1], starts[1:]
             if blocks and len(lo):  # the large bucket before these ends here
-                yield over([k[0] for k in rows[:2]], doc[: hi[0]], prints[: hi[0]], blocks)
+                yield over([k[0] for k in rows[:2]], prints[: hi[0]], blocks)
                 lo, hi, blocks = lo[1:], hi[1:], 0
             if block:
                 for x, y in zip(lo[hi - lo > block], hi[hi - lo > block]):
                     for no, at in enumerate(range(x, y, block)):
-                        end = min(y, at + block)
-                        yield over([k[x] for k in rows[:2]], doc[at:end], prints[at:end], no)
+                        yield over([k[x] for k in rows[:2]], prints[at : min(y, at + block)], no)
                 small = hi - lo <= block
                 lo, hi = lo[small], hi[small]
-            yield from links(doc, prints, lo, hi)
+            yield from links(prints, lo, hi)
             at = starts[-1]
             while block and n - at > block:
-                yield over([k[at] for k in rows[:2]], doc[at : at + block], prints[at : at + block], blocks)
+                yield over([k[at] for k in rows[:2]], prints[at : at + block], blocks)
                 at, blocks = at + block, blocks + 1
             held = [r[at:] for r in rows]
         if held is not None:
-            doc, prints = held[-2], held[-1]
             if blocks:
-                yield over([k[0] for k in held[:2]], doc, prints, blocks)
+                yield over([k[0] for k in held[:2]], held[-1], blocks)
             else:
-                yield from links(doc, prints, np.array([0]), np.array([len(doc)]))
+                yield from links(held[-1], np.array([0]), np.array([len(held[-1])]))
 
     return run
 
 
 def links(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """Links (doc, print) - (root_doc, root_print) that join all linked nodes.
+    """Links print - root (the smaller of the two) that join all linked prints.
 
-    ``nodes``: doc, print, one row per fingerprint.
+    ``nodes``: print, one row per fingerprint.
     """
     tables = F.array(*[F.lit(m).cast("long") for m in masks(radius)])
-    entries = nodes.select("doc", "print", F.posexplode(tables).alias("mask_no", "mask"))
-    entries = entries.select("mask_no", F.col("print").bitwiseAND(F.col("mask")).alias("seen"), "doc", "print")
+    entries = nodes.select("print", F.posexplode(tables).alias("mask_no", "mask"))
+    entries = entries.select("mask_no", F.col("print").bitwiseAND(F.col("mask")).alias("seen"), "print")
     key = ["mask_no", "seen"]
-    ordered = entries.repartition(*key).sortWithinPartitions(*key, "doc", "print")
+    ordered = entries.repartition(*key).sortWithinPartitions(*key, "print")
     found = cut(ordered.mapInArrow(_links(key, radius, block), LINKS + OVER))
-    large = found.filter(F.col("block").isNotNull()).select(*key, "block", "doc", "print")
+    large = found.filter(F.col("block").isNotNull()).select(*key, "block", "print")
     blocks = large.groupBy(*key).agg(F.max("block").alias("last"))
-    cells = salted_join(large, blocks, key, ["doc", "print"])
+    cells = salted_join(large, blocks, key, ["print"])
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    cells = cells.select(*key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc", "print")
+    cells = cells.select(*key, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "print")
     pair = [*key, "low", "high"]
-    more = cells.repartition(*pair).sortWithinPartitions(*pair, "doc", "print").mapInArrow(_links(pair, radius, None), LINKS)
-    small = found.filter(F.col("block").isNull()).select(*more.columns)
+    more = cells.repartition(*pair).sortWithinPartitions(*pair, "print").mapInArrow(_links(pair, radius, None), LINKS)
+    small = found.filter(F.col("block").isNull()).select("print", "root")
     return small.unionByName(more).distinct()
 
 
-def _node(doc: str, prints: str) -> Column:
-    return F.struct(F.col(doc).alias("doc"), F.col(prints).alias("print"))
-
-
 def components(found: DataFrame) -> DataFrame:
-    """(node, root) for every linked node; the root is the smallest of its set.
+    """print, root for every linked print, roots too; the root is the smallest.
 
-    Large-star hangs the larger neighbours of a node on its smallest one,
-    small-star the smaller ones; when neither changes a link, every node hangs
-    on its root.  Hot nodes are aggregated before the shuffle and split in the
-    join.
+    Large-star hangs the larger neighbours of a print on its smallest one,
+    small-star the smaller ones, until every print hangs on a root.  The
+    smallest neighbours are aggregated before the shuffle, hot prints are split in
+    the join.
     """
-    edges = cut(found.select(_node("doc", "print").alias("u"), _node("root_doc", "root_print").alias("v")))
+    edges = cut(found.select(F.col("print").alias("u"), F.col("root").alias("v")))
 
     def stars(pairs: DataFrame) -> DataFrame:
         least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         return salted_join(pairs, least, ["u"], ["v"])
 
-    def state(e: DataFrame):
-        return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    def settled(pairs: DataFrame) -> bool:
+        """Every print hangs on one other, which hangs on none."""
+        ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("hung"), F.lit(0).alias("holds"))
+        ends = ends.unionByName(pairs.select(F.col("v").alias("x"), F.lit(0).alias("hung"), F.lit(1).alias("holds")))
+        ends = ends.groupBy("x").agg(F.sum("hung").alias("hung"), F.max("holds").alias("holds"))
+        return ends.filter(F.col("hung") + F.col("holds") > 1).isEmpty()
 
-    before = state(edges)
-    while before[0]:
+    while not settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = stars(both).filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = cut(large.filter(F.col("u") != F.col("v")).distinct())
+        large = large.filter(F.col("u") != F.col("v")).distinct()
         small = stars(large)  # every u of large is above its v
         hung = small.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = cut(hung.filter(F.col("u") != F.col("v")).distinct())
-        after = state(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = edges.select("v").distinct()
+    return edges.unionByName(roots.select(F.col("v").alias("u"), "v")).toDF("print", "root")
 
 
 def near_duplicates(
@@ -248,9 +241,10 @@ def near_duplicates(
     shingle: int = SHINGLE,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """row_1, row_2 (hashes of the whole row), doc, print, root_doc, root_print.
+    """row_1, row_2 (hashes of the whole row), doc, print, root, root_doc.
 
-    One row per row of ``docs``; the root columns name the component.
+    One row per row of ``docs``; ``root`` names the component, ``root_doc`` is
+    its smallest id.
     """
     hashed = [F.struct(*[F.col(f"`{c}`") for c in docs.columns])]
     rows = docs.select(
@@ -259,14 +253,13 @@ def near_duplicates(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col(text).alias("text"),
     )
-    rows = cut(with_fingerprint(rows, "text", "print", shingle))
-    nodes = cut(rows.groupBy("print").agg(F.min("doc").alias("doc")))
-    sets = components(links(nodes, radius))
-    sets = sets.select(F.col("node.print").alias("print"), F.col("root.doc").alias("root_doc"), F.col("root.print").alias("root_print"))
-    roots = key_join(nodes, sets, ["print"], "left").select(
-        "print", F.coalesce("root_doc", "doc").alias("root_doc"), F.coalesce("root_print", "print").alias("root_print")
-    )
-    return salted_join(rows, roots, ["print"], ["row_1", "doc"])
+    rows = cut(with_fingerprint(rows, "text", "print", shingle), shuffled=False)
+    nodes = rows.groupBy("print").agg(F.min("doc").alias("first"))
+    sets = components(links(nodes.select("print"), radius))
+    lowest = key_join(sets, nodes, ["print"]).groupBy("root").agg(F.min("first").alias("root_doc"))
+    named = key_join(nodes, salted_join(sets, lowest, ["root"], ["print"]), ["print"], "left")
+    named = named.select("print", F.coalesce("root", "print").alias("root"), F.coalesce("root_doc", "first").alias("root_doc"))
+    return salted_join(rows, named, ["print"], ["row_1", "doc"])
 
 
 def id_or_null(column: str) -> Column:
@@ -278,7 +271,7 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingl
     """The rows of ``docs`` with the smallest id of their component, one each."""
     found = near_duplicates(docs, text, doc_id, shingle, radius)
     first = F.min(F.struct("doc", "row_1", "row_2")).alias("first")
-    winners = found.groupBy("root_doc", "root_print").agg(first).select("first.*")
+    winners = found.groupBy("root").agg(first).select("first.*")
     names = [f"_{i}" for i in range(len(docs.columns))]
     plain = docs.toDF(*names)
     hashed = [F.struct(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])]

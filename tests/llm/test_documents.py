@@ -157,10 +157,15 @@ def test_links_of_dense_prints(spark, block):
             chain ^= sum(1 << b for b in pick.sample(range(64), 4))
             prints.add(chain)
     prints = sorted(prints)
-    signed = [(i, p - (1 << 64) if p >> 63 else p) for i, p in enumerate(prints)]
-    nodes = spark.createDataFrame(signed, "doc long, print long")
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    nodes = spark.createDataFrame([(p,) for p in signed], "print long")
     found = covering_simhash.components(covering_simhash.links(nodes, 4, block))
-    roots = {r.node.doc: r.root.doc for r in found.collect()}
+    place = {p: i for i, p in enumerate(signed)}
+    sets = {}
+    for r in found.collect():
+        assert r.root <= r.print
+        sets.setdefault(r.root, []).append(place[r.print])
+    roots = {i: min(own) for own in sets.values() for i in own}
     expected = plain_components(prints, list(range(len(prints))))
     assert [roots.get(i, i) for i in range(len(prints))] == expected
 
