@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from strata.operators.dedupe import keep_first
 from strata.operators.sequence import NEXT, PREV, with_neighbor
-from strata.operators.sizing import AUTO
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -39,11 +38,10 @@ def latest_per_key(
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], ts: str = "updated_at") -> DataFrame:
-    """SCD type 1 / ``WHEN MATCHED UPDATE ... WHEN NOT MATCHED INSERT``:
-    the newest change per key replaces the target row or is inserted."""
-    latest = latest_per_key(changes, keys, ts).select(*target.columns)
-    untouched = target.join(latest.select(*keys), keys, "left_anti")
-    return untouched.unionByName(latest)
+    """SCD type 1 / ``WHEN MATCHED UPDATE ... WHEN NOT MATCHED INSERT``: per
+    key the newest of the target row and the changes stays, so a change that
+    arrives late does not undo a newer one.  ``target`` has the ``ts`` column."""
+    return latest_per_key(target.unionByName(changes.select(*target.columns)), keys, ts)
 
 
 def delete_keys(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,6 +49,9 @@ def delete_keys(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFr
     return target.join(doomed.select(*keys), keys, "left_anti")
 
 
+DELETED = "is_deleted"
+
+
 def apply_changes(
     target: DataFrame,
     changes: DataFrame,
@@ -60,14 +61,24 @@ def apply_changes(
 ) -> DataFrame:
     """Apply a change feed of inserts, updates and deletes.
 
-    The last operation per key wins (a delete then a re-insert in one batch
-    ends inserted; an update then a delete ends deleted); a delete at the
-    same time as another operation wins.  Every touched key is removed from
-    the target and the surviving inserts/updates are added back.
+    Per key the newest of the target row and the changes stays (a delete then
+    a re-insert ends inserted, an update then a delete ends deleted); a delete
+    at the same time as another operation wins.
+
+    A delete leaves its row as a tombstone (column ``is_deleted``) when the
+    target has that column, so that an older insert arriving later does not
+    bring the key back; ``live_rows`` hides them.  A target without the column
+    keeps live rows only, which is right when no change arrives late.
     """
-    last = latest_per_key(changes, keys, ts, first=[(F.col(op) == DELETE).desc()])
-    kept = target.join(last.select(*keys), keys, "left_anti")
-    return kept.unionByName(last.filter(F.col(op) != DELETE).select(*target.columns))
+    marked = changes.withColumn(DELETED, F.col(op) == DELETE)
+    old = target if DELETED in target.columns else target.withColumn(DELETED, F.lit(False))
+    rows = latest_per_key(old.unionByName(marked.select(*old.columns)), keys, ts, first=[F.col(DELETED).desc()])
+    return rows if DELETED in target.columns else live_rows(rows)
+
+
+def live_rows(table: DataFrame) -> DataFrame:
+    """The table without its tombstones."""
+    return table.filter(~F.col(DELETED)).drop(DELETED)
 
 
 def scd2_merge(
@@ -79,7 +90,6 @@ def scd2_merge(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     current: str = "is_current",
-    strategy: str = AUTO,
 ) -> DataFrame:
     """Versioned dimension (SCD type 2) merge.
 
@@ -94,8 +104,8 @@ def scd2_merge(
 
     Plan: the late-change test is a join with the live rows (one per key);
     "previous version" and "next version" come from ``with_neighbor``, which
-    ranks rows globally and joins on position, so a key that changes very
-    often is spread over many tasks instead of one window partition.
+    range-partitions the rows, so a key that changes very often is spread over
+    many tasks instead of one window partition.
     Closed history rows are not touched.
     """
     payload = [c for c in target.columns if c not in (valid_from, valid_to, current)]
@@ -112,14 +122,14 @@ def scd2_merge(
     )
     rows = live.select(*payload, F.col(valid_from).alias("_t"), F.lit(0).alias("_src")).unionByName(fresh)
 
-    rows = with_neighbor(rows, keys, ["_t", "_src", *rest], tracked, PREV, prefix="_p_", strategy=strategy)
+    rows = with_neighbor(rows, keys, ["_t", "_src", *rest], tracked, PREV, prefix="_p_")
     same_as_prev = F.lit(True)
     for c in tracked:
         same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
     opens = (F.col("_src") == 0) | ~F.col("_p_exists") | ~same_as_prev
     versions = rows.filter(opens).select(*payload, "_t", "_src")
 
-    versions = with_neighbor(versions, keys, ["_t", "_src", *rest], ["_t"], NEXT, prefix="_n", strategy=strategy)
+    versions = with_neighbor(versions, keys, ["_t", "_src", *rest], ["_t"], NEXT, prefix="_n")
     closed_or_new = versions.select(
         *payload,
         F.col("_t").alias(valid_from),

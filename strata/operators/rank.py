@@ -1,22 +1,22 @@
-"""Global ranking without moving every row into one task.
+"""Global ranking, running and moving sums without one task for all rows.
 
 ``row_number().over(Window.orderBy(...))`` has no partition key, so Spark
-plans it as a single-partition window: at scale every ranked row lands in
-one task.  ``global_row_number`` computes the same numbers in parallel:
+plans it as a single-partition window: every row lands in one task.  Here the
+same numbers are computed in parallel, by one plan at every size:
 
-1. range-partition on the sort keys (Spark samples the keys for bounds, so
-   a value held by many rows is split across partitions by the tiebreak
-   columns) and sort within each partition;
+1. range-partition on the sort keys (Spark samples the keys for bounds, so a
+   value held by many rows is split by the tiebreak columns) and sort inside
+   each partition; no partition count is given, so AQE joins neighbouring
+   small partitions and their number follows the rows, not the setting;
 2. tag each row with its partition id and ``monotonically_increasing_id``
    (partition id << 33 plus the row's position in that sorted partition);
-3. checkpoint that result to the shared checkpoint folder, so that the two
-   passes below read the same materialised order;
-4. count rows per partition (one row per partition), prefix-sum the counts
-   (a window over at most ``num_partitions`` rows) and broadcast that small
-   table back; rank = offset of the partition + position + 1.
+3. checkpoint that result to the shared checkpoint folder, so that the passes
+   below read the same materialised order;
+4. count (or total) the rows per partition, prefix-sum these over the
+   partitions and broadcast that table back.
 
-The broadcast side has exactly one row per range partition, a bound fixed by
-``num_partitions`` and independent of the data size.
+The broadcast tables have one row per range partition (``width`` rows for
+moving sums), a bound set by the partition count, not by the rows.
 
 ``top_k`` is the bounded case: the first ``k`` rows by the same order, which
 Spark plans as ``TakeOrderedAndProject`` (each task keeps k rows).
@@ -27,123 +27,104 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.sizing import AUTO, DISTRIBUTED, SINGLE, choose
-from strata.session import checkpoint_dir, default_parallelism
+from strata.session import checkpoint_dir
 
 
 def _order_exprs(order: list[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def global_row_number(
-    df: DataFrame,
-    order: list[Column | str],
-    name: str = "rank",
-    num_partitions: int | None = None,
-    strategy: str = AUTO,
-) -> DataFrame:
-    """Add ``name`` (bigint, 1-based) = row number of each row in ``order``.
-
-    ``order`` must be a total order (end it with a unique key) for the
-    numbering to be deterministic.  When the input is provably small (see
-    ``strata.operators.sizing``) the plain single-partition window is used.
-    """
+def staged(df: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Range-partitioned, sorted, tagged with partition id (``_pid``) and
+    position (``_mid``), and checkpointed (steps 1-3 above)."""
+    checkpoint_dir(df.sparkSession)
     exprs = _order_exprs(order)
-    if choose(df, strategy) == SINGLE:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*exprs)).cast("long"))
-    staged = _staged(df, exprs, num_partitions)
-    offsets = _partition_offsets(staged, F.count(F.lit(1)))
-    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (
-        staged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_off") + position + 1).cast("long"))
-        .drop("_pid", "_mid", "_off")
-    )
-
-
-def _staged(df: DataFrame, exprs: list[Column], num_partitions: int | None) -> DataFrame:
-    """Range-partitioned, sorted, tagged with partition id and position, and
-    checkpointed to the shared folder (steps 1-3 above)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or default_parallelism(spark)
     return (
-        df.repartitionByRange(n, *exprs)
+        df.repartitionByRange(*exprs)
         .sortWithinPartitions(*exprs)
         .withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()})
         .checkpoint(eager=True)
     )
 
 
-def _partition_offsets(staged: DataFrame, *totals: Column) -> DataFrame:
+def inside() -> Window:
+    """The rows of one range partition, in order."""
+    return Window.partitionBy("_pid").orderBy("_mid")
+
+
+def partition_offsets(rows: DataFrame, *totals: Column) -> DataFrame:
     """Per partition: the sums of ``totals`` over all earlier partitions
-    (``_off``, ``_off1``...).  One row per partition, so it is broadcast."""
+    (``_off0``, ``_off1``...).  One row per partition."""
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    names = ["_off" if i == 0 else f"_off{i}" for i in range(len(totals))]
-    per = staged.groupBy("_pid").agg(*[t.alias(f"_t{i}") for i, t in enumerate(totals)])
+    per = rows.groupBy("_pid").agg(*[t.alias(f"_t{i}") for i, t in enumerate(totals)])
     return per.select(
-        "_pid",
-        *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(n) for i, n in enumerate(names)],
+        "_pid", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_off{i}") for i in range(len(totals))]
     )
 
 
-def running_sums(
-    df: DataFrame,
-    order: list[Column | str],
-    cols: list[str],
-    prefix: str = "cum_",
-    strategy: str = AUTO,
-) -> DataFrame:
-    """Add ``<prefix><col>`` = sum of ``col`` over all rows up to and
-    including this one in ``order`` (a total order).
+def _position() -> Column:
+    """Position of a row inside its partition, from 0."""
+    return F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+
 
-    Distributed form: within each range partition a running sum (a window
-    per partition id), plus the totals of all earlier partitions from a
-    broadcast table with one row per partition.
+def global_row_number(df: DataFrame, order: list[Column | str], name: str = "rank") -> DataFrame:
+    """Add ``name`` (bigint, 1-based) = row number of each row in ``order``.
+
+    ``order`` must be a total order (end it with a unique key) for the
+    numbering to be deterministic.
     """
-    exprs = _order_exprs(order)
-    if choose(df, strategy) == SINGLE:
-        upto = Window.orderBy(*exprs).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({f"{prefix}{c}": F.sum(c).over(upto) for c in cols})
-    staged = _staged(df, exprs, None)
-    offsets = _partition_offsets(staged, *[F.sum(c) for c in cols])
-    inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    off_names = ["_off" if i == 0 else f"_off{i}" for i in range(len(cols))]
-    out = staged.join(F.broadcast(offsets), "_pid").withColumns(
-        {f"{prefix}{c}": F.sum(c).over(inside) + F.col(o) for c, o in zip(cols, off_names)}
+    rows = staged(df, order)
+    offsets = partition_offsets(rows, F.count(F.lit(1)))
+    return (
+        rows.join(F.broadcast(offsets), "_pid")
+        .withColumn(name, (F.col("_off0") + _position() + 1).cast("long"))
+        .drop("_pid", "_mid", "_off0")
     )
-    return out.drop("_pid", "_mid", *off_names)
+
+
+def _running(rows: DataFrame, cols: list[str], prefix: str) -> DataFrame:
+    """``rows`` with their running sums and ``_i``, their position from 1."""
+    offsets = partition_offsets(rows, F.count(F.lit(1)), *[F.sum(c) for c in cols])
+    upto = inside().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.join(F.broadcast(offsets), "_pid").withColumns(
+        {f"{prefix}{c}": F.sum(c).over(upto) + F.col(f"_off{i + 1}") for i, c in enumerate(cols)}
+    )
+    out = out.withColumn("_i", F.col("_off0") + _position() + 1)
+    return out.drop(*[f"_off{i}" for i in range(len(cols) + 1)])
+
+
+def running_sums(df: DataFrame, order: list[Column | str], cols: list[str], prefix: str = "cum_") -> DataFrame:
+    """Add ``<prefix><col>`` = sum of ``col`` over all rows up to and
+    including this one in ``order`` (a total order): a running sum inside each
+    range partition plus the totals of all earlier partitions."""
+    return _running(staged(df, order), cols, prefix).drop("_pid", "_mid", "_i")
 
 
 def moving_sums(
-    df: DataFrame,
-    order: list[Column | str],
-    cols: list[str],
-    width: int,
-    prefix: str = "moving_",
-    strategy: str = AUTO,
+    df: DataFrame, order: list[Column | str], cols: list[str], width: int, prefix: str = "moving_"
 ) -> DataFrame:
     """Add ``<prefix><col>`` = sum of ``col`` over this row and the
     ``width - 1`` rows before it in ``order``.
 
-    Distributed form: running sums and row positions, then
-    ``cum[i] - cum[i - width]`` through an equi-join on position (positions
-    are unique, so the join spreads evenly).
+    ``cum[i] - cum[i - width]``: the earlier running sum is ``lag`` inside the
+    range partition; the first ``width`` rows of a partition take it from the
+    last ``width`` rows of the partitions before (broadcast, ``width`` rows
+    per partition).
     """
-    exprs = _order_exprs(order)
-    if choose(df, strategy) == SINGLE:
-        frame = Window.orderBy(*exprs).rowsBetween(-(width - 1), Window.currentRow)
-        return df.withColumns({f"{prefix}{c}": F.sum(c).over(frame) for c in cols})
-    numbered = global_row_number(df, exprs, "_i", strategy=DISTRIBUTED)
-    cum = running_sums(numbered, ["_i"], cols, "_c_", strategy=DISTRIBUTED)
-    back = cum.select((F.col("_i") + width).alias("_i"), *[F.col(f"_c_{c}").alias(f"_b_{c}") for c in cols])
-    out = cum.join(back, "_i", "left").withColumns(
-        {
-            f"{prefix}{c}": F.col(f"_c_{c}") - F.coalesce(F.col(f"_b_{c}"), F.lit(0).cast(df.schema[c].dataType))
-            for c in cols
-        }
+    rows = _running(staged(df, order), cols, "_c_")
+    edge = Window.partitionBy("_pid").orderBy(F.desc("_mid"))
+    tails = (
+        rows.withColumn("_end", F.row_number().over(edge))
+        .filter(F.col("_end") <= width)
+        .select((F.col("_i") + width).alias("_i"), *[F.col(f"_c_{c}").alias(f"_e_{c}") for c in cols])
+    )
+    lagged = rows.withColumns({f"_l_{c}": F.lag(f"_c_{c}", width).over(inside()) for c in cols})
+    out = lagged.join(F.broadcast(tails), "_i", "left")
+    zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in cols}
+    out = out.withColumns(
+        {f"{prefix}{c}": F.col(f"_c_{c}") - F.coalesce(f"_l_{c}", f"_e_{c}", zero[c]) for c in cols}
     )
-    return out.drop("_i", *[f"_c_{c}" for c in cols], *[f"_b_{c}" for c in cols])
+    return out.select(*df.columns, *[f"{prefix}{c}" for c in cols])
 
 
 def top_k(df: DataFrame, order: list[Column | str], k: int, name: str = "rank") -> DataFrame:

@@ -2,15 +2,11 @@
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` sort each key's rows in one
 task, so a key holding a third of the rows becomes a third of the job in a
-single task.  Here every row gets its position in the global order
-``(keys..., order...)`` from ``global_row_number`` (range-partitioned, so a
-hot key is spread over many partitions), and the neighbour is found by an
-equi-join on ``position +/- 1``: positions are unique and dense, so the join
-shuffles evenly whatever the key distribution.  The neighbour counts only
-when its key equals the row's key.
-
-When the whole input is provably small, the per-key ``lag``/``lead`` window
-is used instead: then even a single key holding every row fits one task.
+single task.  Here the rows are range-partitioned on ``(keys..., order...)``,
+which spreads a hot key over many partitions (see ``strata.operators.rank``).
+The neighbour of a row is ``lag``/``lead`` inside its partition; the rows at a
+partition's edge take it from a broadcast table with one row per partition.
+It counts only when its key equals the row's key.
 """
 
 from __future__ import annotations
@@ -18,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.rank import global_row_number
-from strata.operators.sizing import AUTO, DISTRIBUTED, SINGLE, choose
+from strata.operators.rank import inside, staged
 
 PREV, NEXT = "prev", "next"
 
@@ -31,7 +26,6 @@ def with_neighbor(
     cols: list[str],
     side: str = NEXT,
     prefix: str | None = None,
-    strategy: str = AUTO,
 ) -> DataFrame:
     """Add ``<prefix><col>`` for each of ``cols``: the value in the previous
     (``side="prev"``) or next row of the same key in ``order``, NULL at the
@@ -41,29 +35,19 @@ def with_neighbor(
     if side not in (PREV, NEXT):
         raise ValueError(side)
     prefix = prefix if prefix is not None else f"{side}_"
-    if choose(df, strategy) == SINGLE:
-        exprs = [F.col(o) if isinstance(o, str) else o for o in order]
-        w = Window.partitionBy(*keys).orderBy(*exprs)
-        step = F.lag if side == PREV else F.lead
-        return df.select(
-            *df.columns,
-            *[step(c).over(w).alias(f"{prefix}{c}") for c in cols],
-            step(F.lit(True)).over(w).isNotNull().alias(f"{prefix}exists"),
-        )
-    ranked = global_row_number(df, [*[F.col(k) for k in keys], *order], "_seq", strategy=DISTRIBUTED)
-    shift = 1 if side == PREV else -1
-    other = ranked.select(
-        (F.col("_seq") + shift).alias("_seq"),
-        *[F.col(k).alias(f"_nk{i}") for i, k in enumerate(keys)],
-        *[F.col(c).alias(f"_nv{i}") for i, c in enumerate(cols)],
-        F.lit(True).alias("_nx"),
-    )
-    same = F.coalesce(F.col("_nx"), F.lit(False))
+    step, edge_of = (F.lag, F.max_by) if side == PREV else (F.lead, F.min_by)
+    rows = staged(df, [*[F.col(k) for k in keys], *order])
+    row = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    # The last (or first) row of each partition, handed to the next one.
+    edges = rows.groupBy("_pid").agg(edge_of(row, "_mid").alias("_edge"))
+    edges = edges.select("_pid", step("_edge").over(Window.orderBy("_pid")).alias("_edge"))
+    near = rows.withColumn("_near", step(row).over(inside())).join(F.broadcast(edges), "_pid")
+    near = near.withColumn("_near", F.coalesce("_near", "_edge"))
+    same = F.col("_near").isNotNull()
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_nk{i}"))
-    joined = ranked.join(other, "_seq", "left")
-    return joined.select(
+        same = same & F.col(k).eqNullSafe(F.col(f"_near.k{i}"))
+    return near.select(
         *df.columns,
-        *[F.when(same, F.col(f"_nv{i}")).alias(f"{prefix}{c}") for i, c in enumerate(cols)],
+        *[F.when(same, F.col(f"_near.v{i}")).alias(f"{prefix}{c}") for i, c in enumerate(cols)],
         same.alias(f"{prefix}exists"),
     )

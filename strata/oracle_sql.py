@@ -14,6 +14,7 @@ ascending default).
 
 from __future__ import annotations
 
+# The rules' patterns.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 CUST_ID = r"^CUST_\d+$"
 
@@ -123,7 +124,7 @@ cte(
     "bo_rows",
     """
 SELECT
-  CAST(o_orderkey AS VARCHAR) AS order_id,
+  CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id,
   'CUST_' || CAST(o_custkey AS VARCHAR) AS customer_id,
   ' ' || lower(o_orderstatus) AS status,
   o_orderpriority || ' ' AS payment_method,
@@ -139,7 +140,7 @@ SELECT
        WHEN o_orderkey % 4 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
        ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS order_ts,
   o_orderkey AS _k
-FROM orders WHERE o_orderkey % 10 <> 0""",
+FROM orders""",
 )
 cte(
     "bronze_orders",
@@ -691,10 +692,10 @@ cte(
     "checkpoint_rows",
     """
 SELECT 'bronze_customers' AS table_name, MAX(updated_at) AS last_processed_timestamp,
-       COUNT(*) AS records_processed, TIMESTAMP '2024-03-01 00:00:00' AS updated_at
+       COUNT(*) FILTER (regexp_matches(customer_id, '^CUST_[0-9]+$')) AS records_processed, TIMESTAMP '2024-03-01 00:00:00' AS updated_at
 FROM cust_feed WHERE updated_at > TIMESTAMP '2024-01-01' AND updated_at <= TIMESTAMP '2024-03-01'
 UNION ALL
-SELECT 'bronze_transactions', MAX(updated_at), COUNT(*), TIMESTAMP '2024-03-01 00:00:00'
+SELECT 'bronze_transactions', MAX(updated_at), COUNT(*) FILTER (transaction_id IS NOT NULL), TIMESTAMP '2024-03-01 00:00:00'
 FROM txn_feed WHERE updated_at > TIMESTAMP '2024-01-01' AND updated_at <= TIMESTAMP '2024-03-01'""",
     "cust_feed",
     "txn_feed",
@@ -710,7 +711,7 @@ ORACLE["checkpoint_after_run"] = build("SELECT * FROM checkpoint_rows", "checkpo
 ORACLE["checkpoint_lag"] = build(
     """
 SELECT table_name, last_processed_timestamp, source_max_updated_at,
-       GREATEST(CAST(epoch(source_max_updated_at) - epoch(last_processed_timestamp) AS BIGINT), 0) AS lag_seconds
+       CAST(epoch(source_max_updated_at) - epoch(last_processed_timestamp) AS BIGINT) AS lag_seconds
 FROM (
   SELECT 'bronze_customers' AS table_name,
          (SELECT MAX(updated_at) FROM cust_feed WHERE updated_at <= TIMESTAMP '2024-01-15') AS last_processed_timestamp,
@@ -740,10 +741,23 @@ UNION ALL SELECT 'silver_transactions_incremental', COUNT(*), NULL, NULL FROM cd
 
 # --- sources -----------------------------------------------------------------
 
-_PROFILED = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+# Spark's name of each column type that occurs.
+_KIND = (
+    "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+    "WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>' END"
+)
 ORACLE["source_profile"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, "
-    f"(SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') "
-    f"AS column_count FROM {t}"
-    for t in _PROFILED
+    f"(SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = '{t}') AS column_count, "
+    f"(SELECT 'struct<' || string_agg(column_name || ':' || {_KIND}, ',' ORDER BY ordinal_position) || '>' "
+    f"FROM information_schema.columns WHERE table_name = '{t}') AS schema FROM {t}"
+    for t in TABLES
+)
+ORACLE["source_file_audit"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{t}.parquet' AS file_name, COUNT(*) AS row_count FROM {t}" for t in TABLES
 )

@@ -68,22 +68,24 @@ def audit_gold(
 ) -> DataFrame:
     """One row per gold table: row count and its headline figure, computed on
     the columns the tables really have (SURVEY §2.14-13).  Top customer and
-    product are the rank-1 rows, read with ``min_by`` (no sort)."""
+    product are found by revenue, then id (``min_by``: no ranks, no sort)."""
+    first_customer = F.struct(-F.col("total_revenue"), F.col("customer_id"))
+    first_product = F.struct(-F.col("total_revenue"), F.col("product_id"))
     rows = [
         _headline("gold_total_revenue", total_revenue, "total_revenue", F.sum("total_revenue")),
         _headline(
             "gold_top_customers",
             top_customers,
             "top_customer_revenue",
-            F.min_by("total_revenue", "revenue_rank"),
-            F.min_by("full_name", "revenue_rank"),
+            F.min_by(F.col("total_revenue"), first_customer),
+            F.min_by(F.col("full_name"), first_customer),
         ),
         _headline(
             "gold_top_products",
             top_products,
             "top_product_revenue",
-            F.min_by("total_revenue", "sales_rank"),
-            F.min_by("product_name", "sales_rank"),
+            F.min_by(F.col("total_revenue"), first_product),
+            F.min_by(F.col("product_name"), first_product),
         ),
         _headline(
             "gold_avg_order_value",

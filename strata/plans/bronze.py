@@ -13,10 +13,10 @@ from pyspark.sql.types import StructType
 from strata.sources.raw_files import read_csv
 from strata.sources.store import TableStore
 
-# (bronze table, file name, multi-line?) of the raw retail layer.
+# (bronze table, file name or pattern, multi-line?) of the raw retail layer.
 RETAIL_FILES = (
     ("bronze_customers", "customers.csv", True),
-    ("bronze_orders", "orders_part-0000.csv", False),
+    ("bronze_orders", "orders_part-*.csv", False),
     ("bronze_products", "products.csv", False),
     ("bronze_transactions", "transactions.csv", False),
 )

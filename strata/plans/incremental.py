@@ -18,16 +18,20 @@ scan (row groups whose statistics are older are skipped).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
+from pyspark.sql import Column as ColumnExpr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import quality as q
 from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
-from strata.operators.merge import apply_changes, merge_partitions, scd2_merge, upsert
+from strata.operators.merge import DELETED, apply_changes, live_rows, merge_partitions, scd2_merge, upsert
+from strata.session import checkpoint_dir
 from strata.sources.store import Partitioned, TableStore
 
 CUSTOMERS_SOURCE = "bronze_customers"
@@ -74,6 +78,8 @@ TRANSACTIONS = [
     Column("is_returned", "boolean"),
     Column("updated_at", "timestamp_ntz"),
 ]
+# The table as it is kept: with a mark on deleted rows (see apply_changes).
+TRANSACTIONS_KEPT = [*TRANSACTIONS, Column(DELETED, "boolean")]
 SCD2_TRACKED = ["email", "city", "state", "loyalty_tier"]
 
 
@@ -109,12 +115,23 @@ def newer_than(source: DataFrame, mark: datetime, ts: str = "updated_at") -> Dat
 
 
 def record_progress(
-    checkpoints: DataFrame, source: str, batch: DataFrame, at: datetime, ts: str = "updated_at"
+    checkpoints: DataFrame,
+    source: str,
+    batch: DataFrame,
+    at: datetime,
+    ts: str = "updated_at",
+    processed: ColumnExpr | None = None,
 ) -> DataFrame:
-    """Upsert (source, newest change time, row count, run time); an empty
-    batch leaves the checkpoint as it was."""
-    newest, count = batch.agg(F.max(ts), F.count(F.lit(1))).first()
-    if not count:
+    """Upsert (source, newest change time, rows processed, run time); an empty
+    batch leaves the checkpoint as it was.
+
+    The mark is the newest time of the whole batch, so rows that cleaning
+    drops are not read again; the count is of the rows that pass it
+    (``processed``).
+    """
+    counted = F.count(F.lit(1)) if processed is None else F.count_if(processed)
+    newest, count = batch.agg(F.max(ts), counted).first()
+    if newest is None:
         return checkpoints
     # The control table holds one row per source, so it is small by
     # construction: its keyed upsert (MERGE ... WHEN MATCHED UPDATE / WHEN NOT
@@ -127,7 +144,11 @@ def record_progress(
 
 def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: str = "updated_at") -> DataFrame:
     """table_name, last_processed_timestamp, source_max_updated_at,
-    lag_seconds: how far each source is ahead of its mark (INC-5)."""
+    lag_seconds: how far each source is ahead of its mark (INC-5).
+
+    A source without a mark, and an empty source, have a NULL lag; a mark
+    ahead of its source has a negative one.
+    """
     spark = checkpoints.sparkSession
     heads = None
     for name, df in sources.items():
@@ -140,11 +161,9 @@ def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: st
     # Wall-clock difference of two zone-less timestamps: no session time zone
     # (and no daylight-saving shift) is involved.
     lag = F.timestamp_diff("SECOND", F.col("last_processed_timestamp"), F.col("source_max_updated_at"))
-    return checkpoints.select("table_name", "last_processed_timestamp").join(heads, "table_name").select(
-        "table_name",
-        "last_processed_timestamp",
-        "source_max_updated_at",
-        F.greatest(lag, F.lit(0)).alias("lag_seconds"),
+    marks = checkpoints.select("table_name", "last_processed_timestamp")
+    return heads.join(marks, "table_name", "left").select(
+        "table_name", "last_processed_timestamp", "source_max_updated_at", lag.alias("lag_seconds")
     )
 
 
@@ -192,16 +211,29 @@ def transaction_changes(batch: DataFrame, discount_unit: str = q.FRACTION) -> Da
 
 @dataclass
 class CustomerState:
+    """Both dimensions and the checkpoints; SCD2 is built when first asked
+    for, since its merge computes at once."""
+
     scd1: DataFrame
-    scd2: DataFrame
+    build_scd2: Callable[[], DataFrame]
     checkpoints: DataFrame
 
+    @cached_property
+    def scd2(self) -> DataFrame:
+        return self.build_scd2()
+
 
 @dataclass
 class TransactionState:
-    table: DataFrame
+    """``kept`` holds tombstones, ``table`` shows the live rows."""
+
+    kept: DataFrame
     checkpoints: DataFrame
 
+    @property
+    def table(self) -> DataFrame:
+        return live_rows(self.kept)
+
 
 def run_customers(source: DataFrame, state: CustomerState, at: datetime) -> CustomerState:
     """One incremental run of the customer dimension (SCD1 and SCD2)."""
@@ -209,8 +241,10 @@ def run_customers(source: DataFrame, state: CustomerState, at: datetime) -> Cust
     batch = newer_than(source, mark)
     changes = customer_changes(batch)
     scd1 = upsert(state.scd1, changes.select(*names(SCD1)), ["customer_id"])
-    scd2 = scd2_merge(state.scd2, changes, ["customer_id"], SCD2_TRACKED)
-    return CustomerState(scd1, scd2, record_progress(state.checkpoints, CUSTOMERS_SOURCE, batch, at))
+    progress = record_progress(
+        state.checkpoints, CUSTOMERS_SOURCE, batch, at, processed=q.valid_customer_id("customer_id")
+    )
+    return CustomerState(scd1, lambda: scd2_merge(state.scd2, changes, ["customer_id"], SCD2_TRACKED), progress)
 
 
 def run_transactions(
@@ -219,19 +253,24 @@ def run_transactions(
     """One incremental run of the transaction table (CDC apply)."""
     mark = read_mark(state.checkpoints, TRANSACTIONS_SOURCE)
     batch = newer_than(source, mark)
-    table = apply_changes(state.table, transaction_changes(batch, discount_unit), ["transaction_id"])
-    return TransactionState(table, record_progress(state.checkpoints, TRANSACTIONS_SOURCE, batch, at))
+    kept = apply_changes(state.kept, transaction_changes(batch, discount_unit), ["transaction_id"])
+    progress = record_progress(
+        state.checkpoints, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull()
+    )
+    return TransactionState(kept, progress)
 
 
 def initial_customers(spark, at: datetime) -> CustomerState:
     return CustomerState(
-        empty(spark, SCD1), empty(spark, SCD2), seed_checkpoints(empty(spark, CHECKPOINT), [CUSTOMERS_SOURCE], at)
+        empty(spark, SCD1),
+        lambda: empty(spark, SCD2),
+        seed_checkpoints(empty(spark, CHECKPOINT), [CUSTOMERS_SOURCE], at),
     )
 
 
 def initial_transactions(spark, at: datetime) -> TransactionState:
     return TransactionState(
-        empty(spark, TRANSACTIONS), seed_checkpoints(empty(spark, CHECKPOINT), [TRANSACTIONS_SOURCE], at)
+        empty(spark, TRANSACTIONS_KEPT), seed_checkpoints(empty(spark, CHECKPOINT), [TRANSACTIONS_SOURCE], at)
     )
 
 
@@ -246,21 +285,23 @@ CHECKPOINT_TABLE = "checkpoint_table"
 def load_customers(store: TableStore, at: datetime) -> CustomerState:
     return CustomerState(
         store.read(SCD1_TABLE, SCD1),
-        store.read(SCD2_TABLE, SCD2),
+        lambda: store.read(SCD2_TABLE, SCD2),
         seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at),
     )
 
 
 def load_transactions(store: TableStore, at: datetime) -> TransactionState:
     return TransactionState(
-        store.read(CDC_TABLE, TRANSACTIONS),
+        store.read(CDC_TABLE, TRANSACTIONS_KEPT),
         seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [TRANSACTIONS_SOURCE], at),
     )
 
 
-def publish_customers(store: TableStore, state: CustomerState) -> int:
-    """Publish both dimensions and the checkpoint in one store version."""
-    return store.commit({SCD1_TABLE: state.scd1, SCD2_TABLE: state.scd2, CHECKPOINT_TABLE: state.checkpoints})
+def publish_customers(store: TableStore, state: CustomerState, base: int | None = None) -> int:
+    """Publish both dimensions and the checkpoint in one store version;
+    ``base`` is the version that the state was loaded from."""
+    tables = {SCD1_TABLE: state.scd1, SCD2_TABLE: state.scd2, CHECKPOINT_TABLE: state.checkpoints}
+    return store.commit(tables, base)
 
 
 # Stored customer dimensions are bucketed by a hash of the key: a run reads
@@ -279,45 +320,51 @@ def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) ->
     store version: SCD1 rows and SCD2 current versions of the touched key
     buckets replaced, newly closed SCD2 versions appended, checkpoint
     updated."""
+    base = store.version()
     checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at)
-    batch = newer_than(source, read_mark(checkpoints, CUSTOMERS_SOURCE))
-    changes = customer_changes(batch).persist()
+    batch = staged_batch(source, read_mark(checkpoints, CUSTOMERS_SOURCE))
+    changes = customer_changes(batch)
     spark = changes.sparkSession
-    try:
-        # A key never changes bucket, so the touched buckets are the batch's.
-        buckets = store.touched_partitions(changes, _BUCKET)
-        scd1 = merge_partitions(
-            store,
-            SCD1_TABLE,
-            changes.select(*names(SCD1)),
-            ["customer_id"],
-            lambda old, ch: upsert(old, ch, ["customer_id"]),
-            SCD1_PARTITION,
-            empty(spark, SCD1),
-            partition_can_change=False,
-            touched=buckets,
-        )
-        current = [f"current-{b}" for b in buckets]
-        if store.exists(SCD2_TABLE):
-            live = store.read_partitions(SCD2_TABLE, current)
-        else:
-            live = empty(spark, SCD2)
-        versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
-        progress = record_progress(checkpoints, CUSTOMERS_SOURCE, batch, at)
-        return store.commit(
-            {
-                SCD1_TABLE: scd1,
-                SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, current),
-                CHECKPOINT_TABLE: progress,
-            }
-        )
-    finally:
-        changes.unpersist()
+    # A key never changes bucket, so the touched buckets are the batch's.
+    buckets = store.touched_partitions(changes, _BUCKET)
+    scd1 = merge_partitions(
+        store,
+        SCD1_TABLE,
+        changes.select(*names(SCD1)),
+        ["customer_id"],
+        lambda old, ch: upsert(old, ch, ["customer_id"]),
+        SCD1_PARTITION,
+        empty(spark, SCD1),
+        partition_can_change=False,
+        touched=buckets,
+    )
+    current = [f"current-{b}" for b in buckets]
+    live = store.read_partitions(SCD2_TABLE, current) if store.exists(SCD2_TABLE) else empty(spark, SCD2)
+    versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
+    progress = record_progress(
+        checkpoints, CUSTOMERS_SOURCE, batch, at, processed=q.valid_customer_id("customer_id")
+    )
+    return store.commit(
+        {SCD1_TABLE: scd1, SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, current), CHECKPOINT_TABLE: progress},
+        base,
+    )
 
 
-def publish_transactions(store: TableStore, state: TransactionState) -> int:
+def publish_transactions(store: TableStore, state: TransactionState, base: int | None = None) -> int:
     """Publish a whole new CDC table and the checkpoint in one version."""
-    return store.commit({CDC_TABLE: state.table, CHECKPOINT_TABLE: state.checkpoints})
+    return store.commit({CDC_TABLE: state.kept, CHECKPOINT_TABLE: state.checkpoints}, base)
+
+
+def read_transactions(store: TableStore) -> DataFrame:
+    """The stored CDC table as it stands: live rows only."""
+    return live_rows(store.read(CDC_TABLE, TRANSACTIONS_KEPT))
+
+
+def staged_batch(source: DataFrame, mark: datetime) -> DataFrame:
+    """The new rows of ``source``, written once below the shared checkpoint
+    folder: merge, mark and count all see the same rows."""
+    checkpoint_dir(source.sparkSession)
+    return newer_than(source, mark).checkpoint()
 
 
 # Partitions of the stored CDC table: one per month of transaction_date.
@@ -334,7 +381,7 @@ def merge_transaction_changes(store: TableStore, changes: DataFrame, expression:
         ["transaction_id"],
         lambda old, ch: apply_changes(old, ch, ["transaction_id"]),
         expression,
-        empty(spark, TRANSACTIONS),
+        empty(spark, TRANSACTIONS_KEPT),
     )
 
 
@@ -348,12 +395,11 @@ def run_transactions_stored(
     """One stored incremental CDC run: only the months the batch touches are
     read and rewritten; table partitions and checkpoint are published in one
     store version."""
+    base = store.version()
     checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [TRANSACTIONS_SOURCE], at)
-    batch = newer_than(source, read_mark(checkpoints, TRANSACTIONS_SOURCE))
-    changes = transaction_changes(batch, discount_unit).persist()
-    try:
-        write = merge_transaction_changes(store, changes, expression)
-        progress = record_progress(checkpoints, TRANSACTIONS_SOURCE, batch, at)
-        return store.commit({CDC_TABLE: write, CHECKPOINT_TABLE: progress})
-    finally:
-        changes.unpersist()
+    batch = staged_batch(source, read_mark(checkpoints, TRANSACTIONS_SOURCE))
+    write = merge_transaction_changes(store, transaction_changes(batch, discount_unit), expression)
+    progress = record_progress(
+        checkpoints, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull()
+    )
+    return store.commit({CDC_TABLE: write, CHECKPOINT_TABLE: progress}, base)

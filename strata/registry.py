@@ -23,7 +23,7 @@ from strata.plans import datasets as ds
 from strata.session import scratch_path
 from strata.sources import adapters, raw_files
 from strata.sources.store import TableStore
-from strata.sources.tables import DriverTables
+from strata.sources.tables import TABLE_NAMES, DriverTables
 from strata.streaming.cdc_stream import start_cdc_stream
 
 # Times of the two simulated incremental runs: run 1 sees batch 1 only,
@@ -33,8 +33,6 @@ RUN2_AT = datetime(2024, 3, 1)
 
 RUN_COLUMNS = ("processed_at", "_updated_at")
 
-# Driver tables the retail and ride adapters read (profiled by SRC-5/6).
-SOURCE_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 
 
 def without_run_columns(df: DataFrame) -> DataFrame:
@@ -86,9 +84,9 @@ class Layers:
     def total_revenue(self) -> DataFrame:
         return gold.gold_total_revenue(self.transactions, self.orders)
 
-    def top_customers(self, limit: int | None = None, enriched: bool = False) -> DataFrame:
+    def top_customers(self, limit: int | None = None, enriched: bool = False, ranked: bool = True) -> DataFrame:
         return gold.gold_top_customers(
-            self.transactions, self.orders, self.customers, limit=limit, enriched=enriched
+            self.transactions, self.orders, self.customers, limit=limit, enriched=enriched, ranked=ranked
         )
 
     def top_products(self, limit: int | None = None, ranked: bool = True) -> DataFrame:
@@ -125,8 +123,8 @@ class Layers:
     def audit_gold(self) -> DataFrame:
         return audit.audit_gold(
             self.total_revenue(),
-            self.top_customers(),
-            self.top_products(),
+            self.top_customers(ranked=False),
+            self.top_products(ranked=False),
             self.avg_order_value(),
             self.return_rate(),
         )
@@ -154,7 +152,7 @@ class Layers:
         """The customer flow (SCD1 + SCD2) run at each time in ``runs``."""
         cps = checkpoints if checkpoints is not None else self._checkpoints(runs[0])
         state = incremental.CustomerState(
-            incremental.empty(self.spark, incremental.SCD1), incremental.empty(self.spark, incremental.SCD2), cps
+            incremental.empty(self.spark, incremental.SCD1), lambda: incremental.empty(self.spark, incremental.SCD2), cps
         )
         for at in runs:
             state = incremental.run_customers(self._arrived(self.customer_feed, at), state, at)
@@ -163,7 +161,7 @@ class Layers:
     def transaction_runs(self, runs=(RUN1_AT, RUN2_AT), checkpoints: DataFrame | None = None):
         """The transaction flow (CDC apply) run at each time in ``runs``."""
         cps = checkpoints if checkpoints is not None else self._checkpoints(runs[0])
-        state = incremental.TransactionState(incremental.empty(self.spark, incremental.TRANSACTIONS), cps)
+        state = incremental.TransactionState(incremental.empty(self.spark, incremental.TRANSACTIONS_KEPT), cps)
         for at in runs:
             state = incremental.run_transactions(self._arrived(self.transaction_feed, at), state, at)
         return state
@@ -211,13 +209,13 @@ class Layers:
                 feed.schema,
                 store,
                 incremental.CDC_TABLE,
-                incremental.TRANSACTIONS,
+                incremental.TRANSACTIONS_KEPT,
                 ["transaction_id"],
                 f"{root}/stream-checkpoint",
                 transform=incremental.transaction_changes,
                 partition_expression=incremental.TXN_PARTITION,
             ).awaitTermination()
-        return store.read(incremental.CDC_TABLE, incremental.TRANSACTIONS)
+        return incremental.read_transactions(store)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,12 +231,10 @@ def _q(build: Callable[[Layers], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     # sources (SRC-6 profile, SRC-5 per-file audit)
-    "source_profile": _q(
-        lambda p: raw_files.profiles({n: p.tables.table(n) for n in SOURCE_TABLES}).drop("schema")
-    ),
+    "source_profile": _q(lambda p: raw_files.profiles({n: p.tables.table(n) for n in TABLE_NAMES})),
     "source_file_audit": _q(
-        lambda p: raw_files.file_audit(p.tables.lineitem).select(
-            F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "file_size", "row_count"
+        lambda p: raw_files.file_audits({n: p.tables.table(n) for n in TABLE_NAMES}).select(
+            "table_name", F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "row_count"
         )
     ),
     # silver full refresh (JOB-S1..S4)

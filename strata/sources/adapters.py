@@ -5,8 +5,7 @@ files.  The driver ships TPC-H-like parquet tables instead, so these adapters
 map them onto the entity schemas the jobs expect (FIXTURES.md §2) and inject
 dirty values by key arithmetic, so that every cleaning rule has rows to act
 on.  Each adapter is one scan of its source table(s) plus column expressions;
-the small fixed-size dimensions ``nation`` (25 rows) and ``region`` (5 rows)
-are broadcast.
+Spark broadcasts the small dimensions ``nation`` and ``region`` by their size.
 
 The DuckDB oracle (``strata.oracle_sql``) repeats these expressions as CTEs.
 """
@@ -48,11 +47,10 @@ def _with_copies(rows: DataFrame, copies: list[tuple[Column, dict[str, Column]]]
 
 
 def _geography(t: DriverTables) -> DataFrame:
-    # nation and region have a fixed size (25 / 5 rows) at every scale factor.
     region = t.region.select("r_regionkey", "r_name")
     return (
         t.nation.select("n_nationkey", "n_name", "n_regionkey")
-        .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select("n_nationkey", "n_name", "r_name")
     )
 
@@ -62,7 +60,7 @@ def _customer_rows(t: DriverTables) -> DataFrame:
     k = F.col("c_custkey")
     ks = _s(k)
     base = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
-        F.broadcast(_geography(t)), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        _geography(t), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     rows = base.select(
         F.when(k % 97 == 0, _null())
@@ -130,14 +128,13 @@ def bronze_products(t: DriverTables) -> DataFrame:
 def bronze_orders(t: DriverTables) -> DataFrame:
     """order_id, customer_id, status, payment_method, quantity, unit_price,
     discount_pct, shipping_cost, line_total, return_flag, order_ts (string in
-    two layouts, some malformed).  Every tenth order is missing, so that
-    transactions without an order exist."""
+    two layouts, some malformed).  Every tenth order has no id (FLT-1 drops
+    it), so that transactions without an order exist."""
     k = F.col("o_orderkey")
     ts = F.col("o_orderdate")
     rows = (
-        t.orders.filter(k % 10 != 0)
-        .select(
-            _s(k).alias("order_id"),
+        t.orders.select(
+            F.when(k % 10 == 0, _null()).otherwise(_s(k)).alias("order_id"),
             F.concat(F.lit("CUST_"), _s("o_custkey")).alias("customer_id"),
             F.concat(F.lit(" "), F.lower("o_orderstatus")).alias("status"),
             F.concat(F.col("o_orderpriority"), F.lit(" ")).alias("payment_method"),

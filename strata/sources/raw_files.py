@@ -54,6 +54,15 @@ def file_audit(df: DataFrame) -> DataFrame:
     )
 
 
+def file_audits(tables: dict[str, DataFrame]) -> DataFrame:
+    """``file_audit`` of several tables with their names, stacked."""
+    out = None
+    for name, df in tables.items():
+        own = file_audit(df).select(F.lit(name).alias("table_name"), "*")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def profile(name: str, df: DataFrame) -> DataFrame:
     """One row: table_name, row_count, column_count, schema (SRC-6).  For
     the first rows use ``df.limit(5)``."""

@@ -3,19 +3,23 @@
 Open-source Spark cannot overwrite a parquet table it is reading, and has no
 transaction log for plain parquet.  A store is a folder:
 
-    <root>/<table>/v000007/                         one version of a table
-    <root>/<table>/strata_version=000009/strata_part=2024-01/
-                                                    one partition of a
-                                                    partitioned table
+    <root>/<table>/v000007-5f3a9c21/                one write of a table
+    <root>/<table>/strata_version=000009-81d2e07b/strata_part=2024-01/
+                                                    one write of a partition
+                                                    of a partitioned table
     <root>/_manifest/v000009.json                   what is current
 
 A commit writes the changed tables (or only the changed partitions) to fresh
 folders, then creates the next manifest file.  Creating that one file is the
 publish step: readers only follow manifests, so a crash before it leaves the
 previous state intact, and a table written together with its checkpoint row
-becomes visible together.  Two writers racing for the same version fail on
-the manifest create.  Unchanged tables and partitions are not copied; the new
-manifest points at their old folders.
+becomes visible together.  Unchanged tables and partitions are not copied; the
+new manifest points at their old folders.
+
+Every attempt writes to folders of its own (a random suffix), so a writer that
+loses leaves nothing but unread folders.  A job that reads, changes and writes
+passes the version it has read as ``base``; when another version was published
+meanwhile, the manifest create fails and the commit raises ``ConflictError``.
 
 A partitioned table stores ``strata_part`` = a SQL expression over its
 columns (for example the month of ``transaction_date``, or a hash bucket of
@@ -32,8 +36,10 @@ writer per store.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,6 +52,17 @@ PART = "strata_part"
 VERSION = "strata_version"
 
 
+class ConflictError(RuntimeError):
+    """Another writer published a version since the one this job has read."""
+
+
+@dataclass
+class Append:
+    """A write that adds the rows of ``df`` to a table that has no partitions."""
+
+    df: DataFrame
+
+
 @dataclass
 class Partitioned:
     """A partition-level write.  Partitions named in ``replaced``
@@ -93,18 +110,24 @@ class TableStore:
             stream.close()
 
     def _publish(self, version: int, manifest: dict) -> None:
-        out = self._fs.create(self._Path(f"{self._manifest_dir()}/v{version:06d}.json"), False)
+        path = self._Path(f"{self._manifest_dir()}/v{version:06d}.json")
+        try:
+            out = self._fs.create(path, False)
+        except Py4JJavaError as e:
+            if self._fs.exists(path):
+                raise ConflictError(f"version {version} of {self.root} was published by another writer") from e
+            raise
         try:
             out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
         finally:
             out.close()
 
     # --- tables ---------------------------------------------------------
-    def table_path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:06d}"
+    def table_path(self, name: str, folder: str) -> str:
+        return f"{self.root}/{name}/v{folder}"
 
-    def _part_root(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/{VERSION}={version:06d}"
+    def _part_root(self, name: str, folder: str) -> str:
+        return f"{self.root}/{name}/{VERSION}={folder}"
 
     def exists(self, name: str) -> bool:
         return name in self.manifest()
@@ -117,8 +140,9 @@ class TableStore:
             if columns is None:
                 raise KeyError(f"table {name!r} not in store {self.root}")
             return literal_frame(self.spark, [], columns)
-        if isinstance(entry, int):
-            return self.spark.read.parquet(self.table_path(name, entry))
+        if "folders" in entry:
+            schema = StructType.fromJson(json.loads(entry["schema"]))
+            return self.spark.read.schema(schema).parquet(*[self.table_path(name, f) for f in entry["folders"]])
         return self._read_parts(name, entry, entry["parts"])
 
     def read_partitions(self, name: str, parts: list[str]) -> DataFrame:
@@ -128,7 +152,7 @@ class TableStore:
         wanted = {p: v for p, v in entry["parts"].items() if p in set(parts)}
         return self._read_parts(name, entry, wanted)
 
-    def _read_parts(self, name: str, entry: dict, parts: dict[str, list[int]]) -> DataFrame:
+    def _read_parts(self, name: str, entry: dict, parts: dict[str, list[str]]) -> DataFrame:
         schema = StructType.fromJson(json.loads(entry["schema"]))
         if not parts:
             return literal_frame(
@@ -153,38 +177,55 @@ class TableStore:
         rows = df.select(F.expr(expression).cast("string").alias(PART)).distinct().collect()
         return sorted(NULL_PART if r[PART] is None else r[PART] for r in rows)
 
-    def commit(self, tables: dict[str, DataFrame | Partitioned]) -> int:
-        """Write every frame (or partition set) and publish them together."""
-        base = self.version()
+    def commit(self, tables: dict[str, DataFrame | Append | Partitioned], base: int | None = None) -> int:
+        """Write every item and publish all together as version ``base`` + 1.
+
+        ``base`` is the version that the frames were read from; without it
+        (tables that do not depend on the store) it is the newest.
+        """
+        base = self.version() if base is None else base
         v = base + 1
+        folder = f"{v:06d}-{uuid.uuid4().hex[:8]}"
         manifest = self.manifest(base)
         for name, item in tables.items():
+            old = manifest.get(name)
             if isinstance(item, Partitioned):
-                manifest[name] = self._write_parts(name, v, item, manifest.get(name))
-            else:
-                # An unpublished folder of the same version is debris of a
-                # crashed attempt and may be replaced.
-                item.write.mode("overwrite").parquet(self.table_path(name, v))
-                manifest[name] = v
+                manifest[name] = self._write_parts(name, folder, item, old)
+                continue
+            df = item.df if isinstance(item, Append) else item
+            kept = []
+            if isinstance(item, Append) and old is not None:
+                schema = StructType.fromJson(json.loads(old["schema"]))
+                if "folders" not in old or [(f.name, f.dataType) for f in schema] != [(f.name, f.dataType) for f in df.schema]:
+                    raise ValueError(f"rows appended to {name!r} need its columns and no partitions")
+                kept = old["folders"]
+            df.write.parquet(self.table_path(name, folder))
+            manifest[name] = {"schema": df.schema.json(), "folders": [*kept, folder]}
         self._publish(v, manifest)
         return v
 
-    def _write_parts(self, name: str, v: int, item: Partitioned, old) -> dict:
+    def _write_parts(self, name: str, folder: str, item: Partitioned, old: dict | None) -> dict:
+        parts = {}
+        if old is not None and "parts" in old:
+            if old["expression"] != item.expression:
+                raise ValueError(
+                    f"{name!r} is partitioned by {old['expression']}, not by {item.expression}: rows of one key "
+                    "would be in two places; overwrite the table to change it"
+                )
+            parts = {p: list(fs) for p, fs in old["parts"].items()}
         df = item.df.withColumn(PART, F.expr(item.expression).cast("string"))
         # Range-partition on (partition, row) so a big partition is split
         # over several tasks and a task writes few partitions.
         out = df.repartitionByRange(F.col(PART), *[F.col(c) for c in item.df.columns[:1]])
-        out.write.mode("overwrite").partitionBy(PART).parquet(self._part_root(name, v))
-        written = self._listed_parts(name, v)
-        parts = {p: list(vs) for p, vs in old["parts"].items()} if isinstance(old, dict) else {}
+        out.write.partitionBy(PART).parquet(self._part_root(name, folder))
         for p in item.replaced:
             parts.pop(p, None)
-        for p in written:
-            parts[p] = [*parts.get(p, []), v]
+        for p in self._listed_parts(name, folder):
+            parts[p] = [*parts.get(p, []), folder]
         return {"expression": item.expression, "schema": item.df.schema.json(), "parts": parts}
 
-    def _listed_parts(self, name: str, v: int) -> list[str]:
-        d = self._Path(self._part_root(name, v))
+    def _listed_parts(self, name: str, folder: str) -> list[str]:
+        d = self._Path(self._part_root(name, folder))
         if not self._fs.exists(d):
             return []
         utils = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
@@ -203,10 +244,9 @@ class TableStore:
         return True
 
     def append(self, name: str, rows: DataFrame) -> int:
-        """New version = current rows + ``rows`` (SNK-3)."""
-        current = self.read(name)
-        return self.commit({name: current.unionByName(rows)})
+        """Add ``rows`` to the table; only they are written (SNK-3)."""
+        return self.commit({name: Append(rows)})
 
-    def overwrite(self, name: str, df: DataFrame) -> int:
+    def overwrite(self, name: str, df: DataFrame, base: int | None = None) -> int:
         """Replace the table, schema included (SNK-1, SNK-2)."""
-        return self.commit({name: df})
+        return self.commit({name: df}, base)

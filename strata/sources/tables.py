@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -11,11 +10,6 @@ TABLE_NAMES = (
 ).split()
 
 
-# Schemas already read, by path: later reads pass the schema explicitly and
-# skip the footer-inference job.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class DriverTables:
     """Lazy handles on ``<root>/<name>.parquet``.
 
@@ -27,6 +21,7 @@ class DriverTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
@@ -34,13 +29,9 @@ class DriverTables:
     def table(self, name: str) -> DataFrame:
         if name not in TABLE_NAMES:
             raise KeyError(name)
-        path = self.path(name)
-        schema = _SCHEMAS.get(path)
-        if schema is not None:
-            return self.spark.read.schema(schema).parquet(path)
-        df = self.spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

@@ -9,6 +9,10 @@ Failure model: if the job dies after a store commit but before the stream
 records the batch as done, the batch is replayed on restart; the merge is
 idempotent, so the table ends the same.  With ``trigger(availableNow=True)``
 the stream processes what has arrived and stops, which suits scheduled runs.
+
+Files of one drop may reach the merge in any order.  With an ``is_deleted``
+column among ``columns`` the table keeps tombstones, and the result does not
+depend on that order (see ``apply_changes``).
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql.types import StructType
 
 from strata.functions.schema import Column, literal_frame
 from strata.operators.merge import apply_changes, merge_partitions
+from strata.session import checkpoint_dir
 from strata.sources.store import TableStore
 
 
@@ -50,23 +55,23 @@ def start_cdc_stream(
     changes = reader.parquet(feed_dir)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        changes = transform(batch).persist()
-        try:
-            if partition_expression is None:
-                merged = apply_changes(store.read(table, columns), changes, keys)
-            else:
-                merged = merge_partitions(
-                    store,
-                    table,
-                    changes,
-                    keys,
-                    lambda old, ch: apply_changes(old, ch, keys),
-                    partition_expression,
-                    literal_frame(spark, [], columns),
-                )
-            store.commit({table: merged})
-        finally:
-            changes.unpersist()
+        base = store.version()
+        changes = transform(batch).checkpoint()
+        if partition_expression is None:
+            merged = apply_changes(store.read(table, columns), changes, keys)
+        else:
+            merged = merge_partitions(
+                store,
+                table,
+                changes,
+                keys,
+                lambda old, ch: apply_changes(old, ch, keys),
+                partition_expression,
+                literal_frame(spark, [], columns),
+            )
+        store.commit({table: merged}, base)
+
+    checkpoint_dir(spark)
 
     return (
         changes.writeStream.foreachBatch(merge_batch)

@@ -110,21 +110,33 @@ def test_stored_cdc_rewrites_only_touched_partitions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "cdc"))
     first = inc.run_transactions_stored(store, feed.filter(F.col("updated_at") <= T[1]), T[1])
     parts_before = store.manifest()[inc.CDC_TABLE]["parts"]
-    assert parts_before == {"2024-01": [first], "2024-02": [first], "2024-03": [first]}
+    runs = lambda parts: {p: [int(f[:6]) for f in folders] for p, folders in parts.items()}
+    assert runs(parts_before) == {"2024-01": [first], "2024-02": [first], "2024-03": [first]}
     second = inc.run_transactions_stored(store, feed, T[3])
     parts = store.manifest()[inc.CDC_TABLE]["parts"]
     # January and March rewritten, February rewritten (b left it) and now empty.
-    assert parts == {"2024-01": [second], "2024-03": [second]}
-    got = rows(store.read(inc.CDC_TABLE), "transaction_id", "quantity", "transaction_date")
+    assert runs(parts) == {"2024-01": [second], "2024-03": [second]}
+    got = rows(inc.read_transactions(store), "transaction_id", "quantity", "transaction_date")
     assert got == [("a", 2, jan), ("b", 1, mar), ("c", 1, mar)]
     # Reading one partition lists and opens only that partition's files.
     files = store.read_partitions(inc.CDC_TABLE, ["2024-01"]).inputFiles()
     assert files and all("strata_part=2024-01" in f for f in files)
     # The result equals the in-memory batch runs, and a replay changes nothing.
     state = inc.run_transactions(feed, inc.initial_transactions(spark, T[0]), T[3])
-    assert rows(store.read(inc.CDC_TABLE)) == rows(state.table)
+    assert rows(inc.read_transactions(store)) == rows(state.table)
     inc.run_transactions_stored(store, feed, T[4])
-    assert rows(store.read(inc.CDC_TABLE)) == rows(state.table)
+    assert rows(inc.read_transactions(store)) == rows(state.table)
+
+
+def test_checkpoint_counts_cleaned_rows_and_lag_keeps_every_source(spark):
+    feed = spark.createDataFrame([_row("CUST_1", "Gold", T[0]), _row("X_3", "Gold", T[3])], SRC)
+    state = inc.run_customers(feed, inc.initial_customers(spark, T[0]), T[4])
+    assert rows(state.checkpoints, "last_processed_timestamp", "records_processed") == [(T[3], 1)]
+    ahead = feed.filter("customer_id = 'CUST_1'")
+    lag = inc.checkpoint_lag(state.checkpoints, {"bronze_customers": ahead, "new": feed, "none": feed.limit(0)})
+    day = 24 * 3600
+    got = {r.table_name: (r.last_processed_timestamp, r.source_max_updated_at, r.lag_seconds) for r in lag.collect()}
+    assert got == {"bronze_customers": (T[3], T[0], -3 * day), "new": (None, T[3], None), "none": (None, None, None)}
 
 
 def test_late_row_below_the_mark_is_not_read(spark):
@@ -157,7 +169,7 @@ def test_stored_scd2_appends_history_and_rewrites_current_only(spark, tmp_path):
     assert len(parts["history"]) == 2  # one appended folder per run that closed versions
     # CUST_2 only arrived in the first run: its bucket was not rewritten since.
     scd1_parts = store.manifest()[inc.SCD1_TABLE]["parts"]
-    assert sorted(v for vs in scd1_parts.values() for v in vs)[0] == 1
+    assert sorted(int(f[:6]) for fs in scd1_parts.values() for f in fs)[0] == 1
     stored = store.read(inc.SCD2_TABLE)
     one = inc.run_customers(feed, inc.initial_customers(spark, T[0]), T[5])
     assert rows(stored) == rows(one.scd2)

@@ -1,8 +1,10 @@
 import os
 
+import pytest
+
 from strata.plans.bronze import ingest_retail
 from strata.sources.raw_files import file_audit, profile, read_csv, read_text_csv
-from strata.sources.store import TableStore
+from strata.sources.store import ConflictError, Partitioned, TableStore
 
 
 def test_store_versions_and_unpublished_debris(spark, tmp_path):
@@ -16,12 +18,55 @@ def test_store_versions_and_unpublished_debris(spark, tmp_path):
     store.append("t", spark.range(3, 5))
     assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2, 3, 4]
     # A version folder without a manifest (a crashed commit) is invisible.
-    spark.range(100).write.parquet(store.table_path("t", store.version() + 1))
+    spark.range(100).write.parquet(store.table_path("t", f"{store.version() + 1:06d}-0123abcd"))
     assert store.read("t").count() == 5
     store.overwrite("t", spark.range(2))
     assert store.read("t").count() == 2
     store.commit({"u": spark.range(1)})
-    assert store.manifest()["t"] == store.version() - 1  # unchanged table not copied
+    folders = store.manifest()["t"]["folders"]
+    assert [int(f[:6]) for f in folders] == [store.version() - 1]  # unchanged table not copied
+
+
+def test_append_writes_only_the_new_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.overwrite("t", spark.range(100))
+    first = store.manifest()["t"]["folders"]
+    store.append("t", spark.range(100, 103))
+    folders = store.manifest()["t"]["folders"]
+    assert folders[:-1] == first and spark.read.parquet(store.table_path("t", folders[-1])).count() == 3
+    assert store.read("t").count() == 103
+    with pytest.raises(ValueError):
+        store.append("t", spark.range(1).toDF("other"))
+
+
+def test_a_losing_writer_leaves_the_winner_intact(spark, tmp_path):
+    root = str(tmp_path / "s")
+    one, two = TableStore(spark, root), TableStore(spark, root)
+    one.overwrite("t", spark.range(1))
+    base = two.version()
+    one.overwrite("t", spark.range(10))
+    with pytest.raises(ConflictError):
+        two.overwrite("t", spark.range(500, 501), base)
+    assert two.version() == 2 and two.read("t").count() == 10
+
+
+def test_an_interleaved_writer_fails(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.overwrite("t", spark.range(3))
+    base_a, a = store.version(), store.read("t").unionByName(spark.range(100, 103))
+    base_b, b = store.version(), store.read("t").unionByName(spark.range(200, 203))
+    store.overwrite("t", a, base_a)
+    with pytest.raises(ConflictError):
+        store.overwrite("t", b, base_b)
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1, 2, 100, 101, 102]
+
+
+def test_a_changed_partition_expression_is_refused(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.commit({"t": Partitioned(spark.range(8), "CAST(id % 4 AS STRING)", [])})
+    with pytest.raises(ValueError, match="partitioned by"):
+        store.commit({"t": Partitioned(spark.range(8), "CAST(id % 2 AS STRING)", ["0"])})
+    assert store.read("t").count() == 8
 
 
 def test_csv_multiline_quotes_empty_and_missing(spark, tmp_path):
@@ -58,6 +103,7 @@ def test_ingest_retail_publishes_four_tables(spark, tmp_path):
     raw.mkdir()
     (raw / "customers.csv").write_text('customer_id,first_name\nCUST_1,"A\nB"\n')
     (raw / "orders_part-0000.csv").write_text("order_id,quantity\nO1,2\n")
+    (raw / "orders_part-0001.csv").write_text("order_id,quantity\nO2,3\n")
     (raw / "products.csv").write_text("product_id,unit_price\nP1,9.5\n")
     (raw / "transactions.csv").write_text("transaction_id,order_id\nT1,O1\n")
     store = TableStore(spark, str(tmp_path / "bronze"))

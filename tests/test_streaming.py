@@ -19,18 +19,19 @@ def _r(tid, day, qty, op, ts):
     return (tid, "o", "p", qty, 1.0, 0.0, Decimal(qty), day, False, op, ts)
 
 
-def _run(spark, root, store):
+def _run(spark, root, store, max_files=None):
     start_cdc_stream(
         spark,
         f"{root}/feed",
         spark.createDataFrame([], FEED).schema,
         store,
         inc.CDC_TABLE,
-        inc.TRANSACTIONS,
+        inc.TRANSACTIONS_KEPT,
         ["transaction_id"],
         f"{root}/ckpt",
         transform=inc.transaction_changes,
         partition_expression=inc.TXN_PARTITION,
+        max_files_per_trigger=max_files,
     ).awaitTermination()
 
 
@@ -48,5 +49,35 @@ def test_stream_applies_each_drop_once(spark, tmp_path):
     second = spark.createDataFrame([_r("a", JAN, 7, "U", T[2]), _r("c", FEB, 5, "D", T[2])], FEED)
     second.write.mode("append").parquet(f"{root}/feed")
     _run(spark, f"{root}", store)
-    assert rows(store.read(inc.CDC_TABLE), "transaction_id", "quantity") == [("a", 7), ("b", 1)]
+    assert rows(inc.read_transactions(store), "transaction_id", "quantity") == [("a", 7), ("b", 1)]
     assert sorted(store.manifest()[inc.CDC_TABLE]["parts"]) == ["2024-01", "2024-02"]
+
+
+def test_files_in_reverse_time_order_give_the_batch_result(spark, tmp_path):
+    import os
+    import time
+
+    root = str(tmp_path)
+    store = TableStore(spark, f"{root}/store")
+    changes = [
+        _r("a", JAN, 1, "I", T[0]),
+        _r("b", FEB, 1, "I", T[0]),
+        _r("c", FEB, 5, "I", T[1]),
+        _r("a", JAN, 7, "U", T[4]),
+        _r("b", FEB, 1, "D", T[5]),
+        _r("b", FEB, 2, "I", T[3]),  # older than the delete
+        _r("c", JAN, 6, "U", T[3]),  # moves to another month
+    ]
+    os.makedirs(f"{root}/feed")
+    # One file per change, the newest change in the oldest file.
+    for i, change in enumerate(sorted(changes, key=lambda c: c[-1], reverse=True)):
+        spark.createDataFrame([change], FEED).coalesce(1).write.parquet(f"{root}/made/{i}")
+        made = [f for f in os.listdir(f"{root}/made/{i}") if f.endswith(".parquet")][0]
+        os.link(f"{root}/made/{i}/{made}", f"{root}/feed/{i}.parquet")
+        os.utime(f"{root}/feed/{i}.parquet", (time.time() - 100 + i,) * 2)
+    _run(spark, root, store, max_files=1)
+    assert store.version() == len(changes)
+    feed = spark.createDataFrame(changes, FEED)
+    batch = inc.run_transactions(feed, inc.initial_transactions(spark, T[0]), T[6])
+    assert rows(inc.read_transactions(store)) == rows(batch.table)
+    assert rows(batch.table, "transaction_id", "quantity") == [("a", 7), ("c", 6)]
