@@ -202,7 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     """Learn from all rows of ``docs`` that have a label (0 or 1)."""
     own = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("labelled")).agg(F.max(label).cast("int").alias("label"))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return fit(rows.join(own, F.col("id") == F.col("labelled")).select("label", "text"))
+    # Sort-merge at every size: labels grow with the documents.
+    return fit(rows.join(own.hint("merge"), F.col("id") == F.col("labelled")).select("label", "text"))
 
 
 def score(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
