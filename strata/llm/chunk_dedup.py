@@ -69,39 +69,40 @@ def several(lines: Column) -> Column:
     return F.size(F.filter(lines, lambda x: F.trim(x) != "")) >= 2
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.filter(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("id"),
-        F.xxhash64(F.col(text)).alias("text_1"),
-        F.xxhash64(F.lit(1), F.col(text)).alias("text_2"),
-        F.col(text).alias("text"),
-    )
+def _keyed(docs: DataFrame, text: str, one: str, two: str) -> DataFrame:
+    """Add two hashes of the text: rows alike in id and hashes are one."""
+    return docs.withColumns({one: F.xxhash64(F.col(text)), two: F.xxhash64(F.lit(1), F.col(text))})
 
 
 def _place() -> Column:
     return F.struct(F.col("id").alias("id"), F.col("text_1"), F.col("text_2"), F.col("no"))
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """KEY and no of every chunk that stands at a later place than its first."""
-    keyed = _keyed(docs, doc_id, text)
+def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str) -> DataFrame:
+    """KEY and no of every chunk that stands at a later place than its first.
+
+    ``keyed`` comes from ``_keyed``; the caller joins it again by the same key,
+    so that Spark can use one shuffle of the texts for both.
+    """
+    own_key = [F.col(c).alias(k) for c, k in zip((doc_id, one, two), KEY)]
     hashed = F.transform(
-        chunks_of(F.col("text")),
+        chunks_of(F.col(text)),
         lambda c, k: F.when(several(c), F.struct(k.alias("no"), F.xxhash64(joined(c)).alias("hash"))),
     )
-    own = keyed.select(*KEY, F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(*KEY, "x.*")
+    own = keyed.select(*own_key, F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(*KEY, "x.*")
     again = own.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > 1)
     # The chunks to compare, by document; then their texts.
     suspects = salted_join(own, again, ["hash"], ["id", "text_1", "no"])
     wanted = suspects.groupBy(*KEY).agg(F.collect_set(F.struct("no", "times")).alias("wanted"))
-    held = key_join(keyed, wanted, KEY)
+    want, = fresh(keyed, "k_wanted")
+    held = key_join(keyed, wanted.toDF(doc_id, one, two, want), [doc_id, one, two])
     picked = let(
-        chunks_of(F.col("text")),
+        chunks_of(F.col(text)),
         lambda cs: F.transform(
-            F.col("wanted"), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), joined(F.get(cs, w["no"])).alias("chunk"))
+            F.col(want), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), joined(F.get(cs, w["no"])).alias("chunk"))
         ),
     )
-    found = held.select(*KEY, F.explode(picked).alias("x")).select(*KEY, "x.*").withColumn("hash", F.xxhash64("chunk"))
+    found = held.select(*own_key, F.explode(picked).alias("x")).select(*KEY, "x.*").withColumn("hash", F.xxhash64("chunk"))
     # Grouping and joining on the chunk itself compares its bytes.
     firsts = found.groupBy("hash", "chunk").agg(F.min(_place()).alias("first"), F.max("times").alias("times"))
     parts = F.ceil(F.col("times") / ROWS_PER_PART).cast("long")
@@ -117,9 +118,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed:
     An ``n_chars`` column follows the new text.  ``removed`` names a column
     that is to hold the number of chunks taken out.
     """
-    drops = repeats(docs, doc_id, text).groupBy(*KEY).agg(F.collect_set("no").alias("drops"))
     one, two, out = fresh(docs, "k_text_1", "k_text_2", "k_drops")
-    keyed = docs.withColumns({one: F.xxhash64(F.col(text)), two: F.xxhash64(F.lit(1), F.col(text))})
+    keyed = _keyed(docs, text, one, two)
+    drops = repeats(keyed, doc_id, text, one, two).groupBy(*KEY).agg(F.collect_set("no").alias("drops"))
     drops = drops.toDF(doc_id, one, two, out)
     both = key_join(keyed, drops, [doc_id, one, two], "left")
 
