@@ -126,6 +126,11 @@ def parsed_timestamp(c: Column | str, formats: tuple[str, ...]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
+def parsed_date(c: Column | str, formats: tuple[str, ...]) -> Column:
+    """First date format that parses wins; unparsable text becomes NULL."""
+    return parsed_timestamp(c, formats).cast("date")
+
+
 def wall_clock(value: datetime) -> Column:
     """A TIMESTAMP_NTZ literal built from its text, so neither the Python
     process's nor the session's time zone can shift it."""

@@ -80,6 +80,12 @@ SELECT
   g.n_name || ' ' AS country,
   CASE WHEN c_custkey % 2 = 0 THEN ' f ' ELSE 'M' END AS gender,
   c_mktsegment AS loyalty_tier,
+  CASE WHEN c_custkey % 89 = 0 THEN 'unknown'
+       WHEN c_custkey % 4 = 0 THEN strftime(DATE '1950-01-01' + CAST(c_custkey % 18000 AS INTEGER), '%m/%d/%Y')
+       ELSE strftime(DATE '1950-01-01' + CAST(c_custkey % 18000 AS INTEGER), '%Y-%m-%d') END AS date_of_birth,
+  CASE WHEN (c_custkey + 1) % 89 = 0 THEN 'unknown'
+       WHEN (c_custkey + 1) % 4 = 0 THEN strftime(DATE '2015-01-01' + CAST(c_custkey % 3000 AS INTEGER), '%m/%d/%Y')
+       ELSE strftime(DATE '2015-01-01' + CAST(c_custkey % 3000 AS INTEGER), '%Y-%m-%d') END AS registration_date,
   c_custkey AS _k
 FROM customer c LEFT JOIN geo g ON c.c_nationkey = g.n_nationkey""",
     "geo",
@@ -90,7 +96,7 @@ cte(
 SELECT * EXCLUDE (_k) FROM bc_rows
 UNION ALL
 SELECT customer_id, '  Customer' AS first_name, last_name, email, address, city, state,
-       country, gender, lower(loyalty_tier) AS loyalty_tier
+       country, gender, lower(loyalty_tier) AS loyalty_tier, date_of_birth, registration_date
 FROM bc_rows WHERE _k % 19 = 0
 UNION ALL
 SELECT * EXCLUDE (_k) FROM bc_rows WHERE _k % 23 = 0""",
@@ -176,7 +182,7 @@ cte(
         f"(SELECT * FROM bronze_customers WHERE customer_id IS NOT NULL "
         f"AND regexp_matches(customer_id, '{CUST_ID}'))",
         "customer_id",
-        "first_name last_name email address city state country gender loyalty_tier".split(),
+        "first_name last_name email address city state country gender loyalty_tier date_of_birth registration_date".split(),
     ),
     "bronze_customers",
 )
@@ -187,6 +193,8 @@ SELECT customer_id, trim(first_name) AS first_name, trim(last_name) AS last_name
        lower(trim(email)) AS email, trim(address) AS address, trim(city) AS city,
        trim(state) AS state, trim(country) AS country, upper(trim(gender)) AS gender,
        trim(loyalty_tier) AS loyalty_tier,
+       CAST(COALESCE(try_strptime(date_of_birth, '%Y-%m-%d'), try_strptime(date_of_birth, '%m/%d/%Y')) AS DATE) AS date_of_birth,
+       CAST(COALESCE(try_strptime(registration_date, '%Y-%m-%d'), try_strptime(registration_date, '%m/%d/%Y')) AS DATE) AS registration_date,
        COALESCE(regexp_matches(lower(trim(email)), '{EMAIL}'), false) AS is_valid_email
 FROM sc_first""",
     "sc_first",
@@ -342,7 +350,7 @@ cte(
     "product_metrics",
     """
 SELECT product_id, CAST(SUM(line_total) AS DECIMAL(28,2)) AS total_revenue,
-       CAST(SUM(quantity) AS BIGINT) AS total_qty_sold
+       CAST(SUM(quantity) AS BIGINT) AS total_qty_sold, COUNT(transaction_id) AS total_transactions
 FROM silver_transactions WHERE NOT is_returned GROUP BY product_id""",
     "silver_transactions",
 )
@@ -453,6 +461,30 @@ SELECT CAST(year(snapshot_date) AS INTEGER) AS year, CAST(month(snapshot_date) A
 FROM gold_total_revenue GROUP BY 1, 2""",
             "gold_total_revenue",
         ),
+        "gold_revenue_yearly": build(
+            """
+SELECT CAST(year(snapshot_date) AS INTEGER) AS year, CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue,
+       CAST(SUM(total_orders) AS BIGINT) AS total_orders, CAST(SUM(total_transactions) AS BIGINT) AS total_transactions,
+       CAST(CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS DOUBLE) / SUM(total_transactions) AS avg_transaction_value
+FROM gold_total_revenue GROUP BY 1""",
+            "gold_total_revenue",
+        ),
+        "gold_aov_monthly": build(
+            """
+SELECT CAST(year(snapshot_date) AS INTEGER) AS year, CAST(month(snapshot_date) AS INTEGER) AS month,
+       CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
+       CAST(CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS DOUBLE) / SUM(total_orders) AS avg_order_value
+FROM gold_avg_order_value GROUP BY 1, 2""",
+            "gold_avg_order_value",
+        ),
+        "gold_aov_yearly": build(
+            """
+SELECT CAST(year(snapshot_date) AS INTEGER) AS year,
+       CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(SUM(total_orders) AS BIGINT) AS total_orders,
+       CAST(CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS DOUBLE) / SUM(total_orders) AS avg_order_value
+FROM gold_avg_order_value GROUP BY 1""",
+            "gold_avg_order_value",
+        ),
         "gold_aov_moving_average": build(
             """
 SELECT snapshot_date, avg_order_value,
@@ -463,7 +495,7 @@ WINDOW w AS (ORDER BY snapshot_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
         ),
         "gold_product_profit": build(
             """
-SELECT m.product_id, p.product_name, p.category AS category_name, m.total_qty_sold, m.total_revenue,
+SELECT m.product_id, p.product_name, p.category AS category_name, m.total_qty_sold, m.total_transactions, m.total_revenue,
        CAST(m.total_qty_sold * p.cost_price AS DECIMAL(38,2)) AS total_cost,
        CAST(m.total_revenue - CAST(m.total_qty_sold * p.cost_price AS DECIMAL(38,2)) AS DECIMAL(38,2)) AS total_profit,
        CAST(m.total_revenue - CAST(m.total_qty_sold * p.cost_price AS DECIMAL(38,2)) AS DOUBLE)
@@ -540,6 +572,14 @@ FROM silver_rides GROUP BY ALL""",
     "silver_rides",
 )
 ORACLE["bike_silver"] = build("SELECT * FROM silver_rides", "silver_rides")
+ORACLE["bike_rejects"] = build(
+    """
+SELECT * EXCLUDE (start_ts, end_ts), CASE WHEN start_ts IS NULL THEN 'bad start time' WHEN end_ts IS NULL THEN 'bad end time'
+  ELSE 'under a minute' END AS reason
+FROM (SELECT *, TRY_CAST(start_time AS TIMESTAMP) AS start_ts, TRY_CAST(end_time AS TIMESTAMP) AS end_ts FROM bronze_rides)
+WHERE start_ts IS NULL OR end_ts IS NULL OR date_sub('minute', start_ts, end_ts) <= 0""",
+    "bronze_rides",
+)
 ORACLE["bike_gold"] = build("SELECT * FROM gold_rides", "gold_rides")
 
 # --- audits --------------------------------------------------------------------
@@ -603,6 +643,7 @@ SELECT customer_id, first_name,
        CASE WHEN _k % 5 = 0 THEN last_name || '-B' ELSE last_name END AS last_name,
        email, address, city, state, country, gender,
        CASE WHEN _k % 3 = 0 THEN 'PLATINUM' ELSE loyalty_tier END AS loyalty_tier,
+       date_of_birth, registration_date,
        TIMESTAMP '2024-02-01 00:00:00' AS updated_at
 FROM bc_rows WHERE _k % 3 = 0 OR _k % 5 = 0 OR _k % 8 = 0""",
     "bronze_customers",
@@ -761,3 +802,27 @@ ORACLE["source_profile"] = "\nUNION ALL\n".join(
 ORACLE["source_file_audit"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{t}.parquet' AS file_name, COUNT(*) AS row_count FROM {t}" for t in TABLES
 )
+
+# --- raw layer -----------------------------------------------------------------
+
+ORACLE["raw_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE["raw_rides"] = build("SELECT * FROM bronze_rides", "bronze_rides")
+ORACLE["raw_medallion"] = build(
+    "SELECT snapshot_date, total_revenue, total_orders, total_transactions FROM gold_total_revenue", "gold_total_revenue"
+)
+ORACLE["silver_transactions_percent"] = build(
+    """
+SELECT transaction_id, is_valid_line_total, has_discount, round(discount_pct * 100, 6) AS discount_pct,
+  CASE WHEN CAST(product_id AS BIGINT) % 83 = 0 THEN NULL ELSE transaction_date END AS transaction_date
+FROM silver_transactions""",
+    "silver_transactions",
+)
+ORACLE["audit_stored_tables"] = build(
+    """
+SELECT 'checkpoint_table' AS table_name, 1::BIGINT AS records, NULL::VARCHAR AS error
+UNION ALL SELECT 'silver_customers_scd1', COUNT(*), NULL FROM scd1
+UNION ALL SELECT 'silver_customers_scd2', COUNT(*), NULL FROM scd2
+UNION ALL SELECT 'silver_transactions_incremental', NULL, 'KeyError'""",
+    "scd1",
+    "scd2",
+)

@@ -7,6 +7,7 @@ whole summary is a single Spark job.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,3 +131,20 @@ def audit_incremental(checkpoints: DataFrame, scd1: DataFrame, scd2: DataFrame,
         .unionByName(versions)
         .unionByName(count_only("silver_transactions_incremental", cdc))
     )
+
+
+def audit_stored(store, names: list[str]) -> DataFrame:
+    """table_name, records, error of stored tables; one that cannot be read is
+    a row with the error's class and no count (AUD-3)."""
+    out = None
+    for name in names:
+        try:
+            rows = store.read(name).agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("records"), F.lit(None).cast("string").alias("error")
+            )
+        except (KeyError, AnalysisException) as e:
+            rows = store.spark.range(1).select(
+                F.lit(name).alias("table_name"), F.lit(None).cast("long").alias("records"), F.lit(type(e).__name__).alias("error")
+            )
+        out = rows if out is None else out.unionByName(rows)
+    return out

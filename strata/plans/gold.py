@@ -121,6 +121,7 @@ def product_metrics(txn: DataFrame) -> DataFrame:
         .agg(
             F.sum("line_total").cast(REVENUE).alias("total_revenue"),
             F.sum("quantity").cast("long").alias("total_qty_sold"),
+            F.count("transaction_id").alias("total_transactions"),
         )
     )
 
@@ -222,6 +223,30 @@ def gold_revenue_monthly(total_revenue: DataFrame) -> DataFrame:
     )
 
 
+def gold_revenue_yearly(total_revenue: DataFrame) -> DataFrame:
+    """Yearly roll-up of the daily table (DT-6)."""
+    yearly = total_revenue.groupBy(F.year("snapshot_date").alias("year")).agg(
+        F.sum("total_revenue").cast(WIDE_MONEY).alias("total_revenue"),
+        F.sum("total_orders").cast("long").alias("total_orders"),
+        F.sum("total_transactions").cast("long").alias("total_transactions"),
+    )
+    return yearly.withColumn(
+        "avg_transaction_value", q.safe_ratio(F.col("total_revenue"), F.col("total_transactions"))
+    )
+
+
+def gold_aov_by_period(avg_order_value: DataFrame, monthly: bool = True) -> DataFrame:
+    """Average order value by year, or by year and month (DT-6): revenue over
+    orders of the period's days taken together."""
+    periods = [F.year("snapshot_date").alias("year")]
+    periods += [F.month("snapshot_date").alias("month")] if monthly else []
+    sums = avg_order_value.groupBy(*periods).agg(
+        F.sum("total_revenue").cast(WIDE_MONEY).alias("total_revenue"),
+        F.sum("total_orders").cast("long").alias("total_orders"),
+    )
+    return sums.withColumn("avg_order_value", q.safe_ratio(F.col("total_revenue"), F.col("total_orders")))
+
+
 def gold_aov_moving_average(avg_order_value: DataFrame, days: int = 7) -> DataFrame:
     """AOV over the last ``days`` daily rows (WIN-4): revenue / orders over
     the frame, i.e. the AOV of those days taken together."""
@@ -234,7 +259,7 @@ def gold_aov_moving_average(avg_order_value: DataFrame, days: int = 7) -> DataFr
 
 
 def gold_product_profit(txn: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue, cost, profit and margin per product sold (JOB-G6).
+    """Transactions, revenue, cost, profit and margin per product sold (JOB-G6).
 
     Cost is quantity x the product's cost price; quantities are summed per
     product before the join, so the join sees one row per product.
@@ -249,6 +274,7 @@ def gold_product_profit(txn: DataFrame, products: DataFrame) -> DataFrame:
         "product_name",
         "category_name",
         "total_qty_sold",
+        "total_transactions",
         "total_revenue",
         cost.alias("total_cost"),
         (F.col("total_revenue") - cost).cast(WIDE_MONEY).alias("total_profit"),

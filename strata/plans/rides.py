@@ -14,25 +14,25 @@ from pyspark.sql import functions as F
 from strata.functions.schema import Column, conform
 from strata.sources.raw_files import read_text_csv
 
-# Declared view schemas (fixed values from the pipeline's column lists).
+# The names and types of the views' columns.
 SILVER_RIDES = [
-    Column("ride_date", "date", "Calendar date for the ride."),
-    Column("ride_id", "string", "Unique ride identifier."),
-    Column("start_time", "timestamp_ntz", "Timestamp when the ride started."),
-    Column("end_time", "timestamp_ntz", "Timestamp when the ride ended."),
-    Column("start_station_id", "string", "Station where the ride started."),
-    Column("end_station_id", "string", "Station where the ride ended."),
-    Column("bike_id", "string", "Bike identifier."),
-    Column("user_type", "string", "Membership type for the rider."),
-    Column("ride_revenue", "decimal(19,4)", "Derived ride revenue for analytics."),
+    Column("ride_date", "date", "day on which the ride began"),
+    Column("ride_id", "string", "key of the ride"),
+    Column("start_time", "timestamp_ntz", "start, wall clock"),
+    Column("end_time", "timestamp_ntz", "end, wall clock"),
+    Column("start_station_id", "string", "station left"),
+    Column("end_station_id", "string", "station reached"),
+    Column("bike_id", "string", "bike ridden"),
+    Column("user_type", "string", "member, casual or unknown (null)"),
+    Column("ride_revenue", "decimal(19,4)", "price of the whole minutes ridden"),
 ]
 GOLD_RIDES = [
-    Column("ride_date", "date", "Ride date for the aggregation."),
-    Column("bike_id", "string", "Bike identifier."),
-    Column("total_rides", "bigint", "Distinct rides completed by the bike that day."),
-    Column("total_revenue", "decimal(19,4)", "Daily revenue from the bike."),
-    Column("first_start_station_id", "string", "First station for the day."),
-    Column("last_end_station_id", "string", "Last station for the day."),
+    Column("ride_date", "date", "day"),
+    Column("bike_id", "string", "bike"),
+    Column("total_rides", "bigint", "number of different rides"),
+    Column("total_revenue", "decimal(19,4)", "sum of their prices"),
+    Column("first_start_station_id", "string", "station of the earliest start"),
+    Column("last_end_station_id", "string", "station of the latest end"),
 ]
 
 # Hourly prices, charged on whole minutes ridden (fixed values): members
@@ -47,21 +47,37 @@ def bronze_rides_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     return read_text_csv(spark, folder)
 
 
+def _timed(bronze: DataFrame) -> DataFrame:
+    """Rides with parsed times (NULL where malformed) and their whole minutes."""
+    times = {c: F.col(c).try_cast("timestamp_ntz") for c in ("start_time", "end_time")}
+    minutes = F.timestamp_diff("MINUTE", F.col("start_time"), F.col("end_time"))
+    return bronze.withColumns(times).withColumn("_minutes", minutes)
+
+
+def rejected_rides(bronze: DataFrame) -> DataFrame:
+    """The rides that ``silver_rides`` leaves out: the raw columns and a reason."""
+    raw = bronze.withColumns({"raw_start_time": F.col("start_time"), "raw_end_time": F.col("end_time")})
+    reason = (
+        F.when(F.col("start_time").isNull(), F.lit("bad start time"))
+        .when(F.col("end_time").isNull(), F.lit("bad end time"))
+        .when(F.col("_minutes") <= 0, F.lit("under a minute"))
+    )
+    rows = _timed(raw).withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    times = {"start_time": F.col("raw_start_time"), "end_time": F.col("raw_end_time")}
+    return rows.withColumns(times).select(*bronze.columns, "reason")
+
+
 def silver_rides(spark: SparkSession, bronze: DataFrame) -> DataFrame:
     """Typed, priced rides (R2).
 
     Times are parsed with ``try_cast``: a malformed time becomes NULL and the
-    ride drops out with the duration filter, instead of failing the whole
-    refresh under ANSI casts.  Whole minutes are counted like
+    ride drops out with the duration filter (``rejected_rides`` shows it),
+    instead of failing the whole refresh under ANSI casts.  Whole minutes are counted like
     ``TIMESTAMPDIFF(MINUTE, ...)`` (59 s is 0); rides of 0 minutes or less
     are dropped.  Revenue keeps SQL decimal typing: minutes / 60.0 is
     decimal(27,6), times the rate decimal(31,7), stored as decimal(19,4).
     """
-    start = F.col("start_time").try_cast("timestamp_ntz")
-    end = F.col("end_time").try_cast("timestamp_ntz")
-    timed = bronze.withColumns({"start_time": start, "end_time": end}).withColumn(
-        "_minutes", F.timestamp_diff("MINUTE", F.col("start_time"), F.col("end_time"))
-    )
+    timed = _timed(bronze)
     rate = F.when(F.col("user_type") == "member", F.lit(MEMBER_RATE)).otherwise(F.lit(DEFAULT_RATE))
     priced = timed.filter(F.col("_minutes") > 0).withColumns(
         {

@@ -3,6 +3,8 @@
 Step order follows the reference (SURVEY §2.14-17): drop bad keys, keep one
 row per key, then normalise and flag.  Keys are never trimmed, so a padded
 id is dropped by the id pattern and other padded ids stay distinct keys.
+
+The output column names are fixed by the tables that the jobs write.
 """
 
 from __future__ import annotations
@@ -17,6 +19,13 @@ from strata.functions import quality as q
 from strata.operators.dedupe import keep_first
 
 ORDER_TS_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy")
+
+
+def _dates(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Text columns among ``columns`` as dates (DT-7); dates stay."""
+    text = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: q.parsed_date(c, DATE_FORMATS) for c in text}) if text else df
 
 
 def silver_customers(bronze: DataFrame, batch_ts: datetime | None = None) -> DataFrame:
@@ -29,6 +38,7 @@ def silver_customers(bronze: DataFrame, batch_ts: datetime | None = None) -> Dat
             "gender": F.upper(F.trim("gender")),
         }
     )
+    df = _dates(df, ("date_of_birth", "registration_date"))
     return df.withColumns({"is_valid_email": q.valid_email("email"), "processed_at": q.batch_time(batch_ts)})
 
 
@@ -70,5 +80,5 @@ def silver_transactions(
     bronze: DataFrame, batch_ts: datetime | None = None, discount_unit: str = q.FRACTION
 ) -> DataFrame:
     df = keep_first(bronze.filter(F.col("transaction_id").isNotNull()), ["transaction_id"])
-    df = q.line_checks(df, unit=discount_unit)
+    df = q.line_checks(_dates(df, ("transaction_date",)), unit=discount_unit)
     return df.withColumn("processed_at", q.batch_time(batch_ts))

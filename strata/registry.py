@@ -17,8 +17,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.quality import wall_clock
-from strata.plans import audit, gold, incremental, rides, silver
+from strata.functions.quality import PERCENT, wall_clock
+from strata.plans import audit, bronze, gold, incremental, medallion, rides, silver
 from strata.plans import datasets as ds
 from strata.session import scratch_path
 from strata.sources import adapters, raw_files
@@ -183,6 +183,62 @@ class Layers:
             incremental.run_customers_stored(store, self._arrived(self.customer_feed, at), at)
         return store
 
+    def raw_copy(self, name: str, df: DataFrame, **options) -> str:
+        """``df`` written as CSV files below the shared checkpoint folder, as a
+        raw layer would hold it; every field is quoted."""
+        import uuid
+
+        folder = scratch_path(self.spark, "raw", uuid.uuid4().hex)
+        df.write.option("header", True).option("quoteAll", True).option("escape", '"').options(**options).csv(f"{folder}/{name}")
+        return folder
+
+    def raw_documents(self) -> DataFrame:
+        """Documents as a multi-line CSV (texts hold line ends and quotes), read back."""
+        docs = self.tables.documents
+        folder = self.raw_copy("documents", docs)
+        return raw_files.read_csv(self.spark, f"{folder}/documents", docs.schema, multiline=True)
+
+    def raw_rides(self) -> DataFrame:
+        """Raw rides as a folder of CSV files, read back as text (JOB-R1)."""
+        folder = self.raw_copy("rides", self.bronze_rides, emptyValue="")
+        return rides.bronze_rides_from_csv(self.spark, f"{folder}/rides")
+
+    def raw_medallion(self) -> DataFrame:
+        """The retail layers through files and the table store: raw CSV, bronze,
+        silver, gold, each table overwritten (JOB-B, SNK-1, SNK-2, SRC-1, SRC-4)."""
+        import uuid
+
+        frames = {
+            "customers.csv": self.bronze_customers,
+            "orders_part-0000.csv": self.bronze_orders.filter(F.col("order_id").cast("long") % 2 == 0),
+            "orders_part-0001.csv": self.bronze_orders.filter(
+                F.coalesce(F.col("order_id").cast("long") % 2 != 0, F.lit(True))
+            ),
+            "products.csv": self.bronze_products,
+            "transactions.csv": self.bronze_transactions,
+        }
+        folder = scratch_path(self.spark, "raw", uuid.uuid4().hex)
+        for name, df in frames.items():
+            df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+        store = TableStore(self.spark, scratch_path(self.spark, "lake", uuid.uuid4().hex))
+        schemas = {
+            "bronze_customers": self.bronze_customers.schema,
+            "bronze_orders": self.bronze_orders.schema,
+            "bronze_products": self.bronze_products.schema,
+            "bronze_transactions": self.bronze_transactions.schema,
+        }
+        bronze.ingest_retail(self.spark, folder, store, schemas)
+        medallion.build_silver(store)
+        medallion.build_gold(store)
+        return store.read("gold_total_revenue")
+
+    def silver_percent(self) -> DataFrame:
+        """Transactions from a raw file with text dates and percent discounts (DT-7, NUM-4)."""
+        df = silver.silver_transactions(adapters.transactions_as_text(self.tables), discount_unit=PERCENT)
+        return df.select(
+            "transaction_id", "is_valid_line_total", "has_discount", F.round("discount_pct", 6).alias("discount_pct"), "transaction_date"
+        )
+
     def streamed_transactions(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> DataFrame:
         """The CDC table built by the streaming job (STM-1).
 
@@ -237,6 +293,11 @@ QUERIES: dict[str, Query] = {
             "table_name", F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"), "row_count"
         )
     ),
+    # raw files and the stored layers (SRC-1..3, JOB-B, JOB-R1, SNK-1/2)
+    "raw_documents": _q(lambda p: p.raw_documents()),
+    "raw_rides": _q(lambda p: p.raw_rides()),
+    "raw_medallion": _q(lambda p: p.raw_medallion()),
+    "silver_transactions_percent": _q(lambda p: p.silver_percent()),
     # silver full refresh (JOB-S1..S4)
     "silver_customers": _q(lambda p: p.customers),
     "silver_products": _q(lambda p: p.products),
@@ -259,6 +320,9 @@ QUERIES: dict[str, Query] = {
     # prose-only gold items (WIN-3/4, DT-6, JOB-G6..G9)
     "gold_daily_revenue_kpis": _q(lambda p: gold.gold_daily_revenue_kpis(p.total_revenue())),
     "gold_revenue_monthly": _q(lambda p: gold.gold_revenue_monthly(p.total_revenue())),
+    "gold_revenue_yearly": _q(lambda p: gold.gold_revenue_yearly(p.total_revenue())),
+    "gold_aov_monthly": _q(lambda p: gold.gold_aov_by_period(p.avg_order_value())),
+    "gold_aov_yearly": _q(lambda p: gold.gold_aov_by_period(p.avg_order_value(), monthly=False)),
     "gold_aov_moving_average": _q(lambda p: gold.gold_aov_moving_average(p.avg_order_value())),
     "gold_product_profit": _q(lambda p: gold.gold_product_profit(p.transactions, p.products)),
     "gold_return_rate_by_product": _q(lambda p: gold.gold_return_rate_by_product(p.transactions, p.products)),
@@ -268,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "gold_customer_profile": _q(lambda p: p.top_customers(enriched=True)),
     # bike rides (JOB-R2, JOB-R3)
     "bike_silver": _q(lambda p: p.silver_rides()),
+    "bike_rejects": _q(lambda p: rides.rejected_rides(p.bronze_rides)),
     "bike_gold": _q(lambda p: p.gold_rides()),
     # audits (AUD-1, AUD-2)
     "audit_silver": _q(lambda p: p.audit_silver()),
@@ -290,6 +355,12 @@ QUERIES: dict[str, Query] = {
             },
         )
     ),
+    "audit_stored_tables": _q(
+        lambda p: audit.audit_stored(
+            p.stored_customer_runs(),
+            [incremental.CHECKPOINT_TABLE, incremental.SCD1_TABLE, incremental.SCD2_TABLE, incremental.CDC_TABLE],
+        )
+    ),
     "audit_incremental": _q(
         lambda p: (lambda c, t: audit.audit_incremental(t.checkpoints, c.scd1, c.scd2, t.table))(
             *p.incremental_runs()

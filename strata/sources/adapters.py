@@ -81,11 +81,23 @@ def _customer_rows(t: DriverTables) -> DataFrame:
         F.concat(F.col("n_name"), F.lit(" ")).alias("country"),
         F.when(k % 2 == 0, F.lit(" f ")).otherwise(F.lit("M")).alias("gender"),
         F.col("c_mktsegment").alias("loyalty_tier"),
+        _date_text("1950-01-01", k % 18000, k).alias("date_of_birth"),
+        _date_text("2015-01-01", k % 3000, k + 1).alias("registration_date"),
         k.alias("_k"),
     )
     return rows
 
 
+def _date_text(first: str, days: Column, k: Column) -> Column:
+    """A date some days after ``first`` as text: two layouts, some malformed."""
+    day = F.date_add(F.lit(first).cast("date"), days.cast("int"))
+    return (
+        F.when(k % 89 == 0, F.lit("unknown"))
+        .when(k % 4 == 0, F.date_format(day, "MM/dd/yyyy"))
+        .otherwise(F.date_format(day, "yyyy-MM-dd"))
+    )
+
+
 def _customer_copies() -> list[tuple[Column, dict[str, Column]]]:
     # A second copy with a different payload (it sorts first, so keep-first
     # picks it) and an exact copy, so that deduplication has work to do.
@@ -98,7 +110,8 @@ def _customer_copies() -> list[tuple[Column, dict[str, Column]]]:
 
 def bronze_customers(t: DriverTables) -> DataFrame:
     """customer_id, first_name, last_name, email, address, city, state,
-    country, gender, loyalty_tier — all strings, as read from CSV."""
+    country, gender, loyalty_tier, date_of_birth, registration_date (two
+    layouts, some malformed) — all strings, as read from CSV."""
     return _with_copies(_customer_rows(t), _customer_copies()).drop("_k")
 
 
@@ -187,6 +200,21 @@ def bronze_transactions(t: DriverTables) -> DataFrame:
     )
 
 
+def transactions_as_text(t: DriverTables) -> DataFrame:
+    """Bronze transactions as a raw file gives them: ``transaction_date`` as
+    text in two layouts (some malformed) and the discount in percent."""
+    p = F.col("product_id").cast("long")
+    day = F.col("transaction_date")
+    return bronze_transactions(t).withColumns(
+        {
+            "discount_pct": F.col("discount_pct") * 100,
+            "transaction_date": F.when(p % 83 == 0, F.lit("n/a"))
+            .when(p % 3 == 0, F.date_format(day, "MM/dd/yyyy"))
+            .otherwise(F.date_format(day, "yyyy-MM-dd")),
+        }
+    )
+
+
 def bronze_rides(t: DriverTables) -> DataFrame:
     """Bike rides as raw CSV strings: ride_id, start_time, end_time,
     start_station_id, end_station_id, bike_id, user_type.
