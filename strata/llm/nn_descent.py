@@ -36,14 +36,14 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import cut, key_join, salted_join
 
-WIDTH = 20
-TREES = 4
-LEAF = 64
-BLOCK = 128
+WIDTH = 24
+TREES = 16
+LEAF = 256
+BLOCK = 512
 ROUNDS = 4
-SETTLED = 0.01  # a round that renews a smaller share of the links is the last
-POOL = 64  # nodes that a query keeps
-OPENED = 16  # of them opened at a time
+SETTLED = 0.02  # a round that renews a smaller share of the links is the last
+POOL = 80  # nodes that a query keeps
+OPENED = 20  # of them opened at a time
 ENTRIES = 8  # where every walk may begin besides the query's own node
 OFFERS = 10  # a centre offers each neighbour its nearest so many
 
@@ -51,7 +51,7 @@ OFFERS = 10  # a centre offers each neighbour its nearest so many
 @dataclass
 class Index:
     """nodes: node, vec_1, vec_2 (hashes of the vector), ids, vec (double), packed
-    (float32, equally long, ``width`` numbers); graph: src, dst, sim, fresh;
+    (float16, of length 1, ``width`` numbers); graph: src, dst, sim, fresh;
     rows: id and vector hashes of every indexed row."""
 
     nodes: DataFrame
@@ -62,7 +62,23 @@ class Index:
 
 def _unpack(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     """Rows of packed vectors as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(-1, width)
+    return np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(-1, width).astype("f4")
+
+
+def _pack(rows: DataFrame, numbers: str, name: str) -> DataFrame:
+    """Replace an array column by its numbers in float16: half the bytes in
+    every shuffle.  The walk only ranks by them; answers are measured anew."""
+    at = rows.columns.index(numbers)
+    kept = [f for f in rows.schema if f.name != numbers]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [np.asarray(v.values, "<f2").tobytes() for v in batch.column(at)]
+            others = [batch[f.name] for f in kept]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(packed, pa.binary())], [*[f.name for f in kept], name])
+
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], f"`{name}` binary"])
+    return rows.mapInArrow(run, schema)
 
 
 def _best(rows: DataFrame, group: str, n: int, order: list[Column]) -> DataFrame:
@@ -96,23 +112,23 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return cut(key_join(ids, vecs, HASHES).withColumn("node", F.monotonically_increasing_id()))
 
 
-def _packed(nodes: DataFrame) -> DataFrame:
-    """Add the vector as float32, with a component that makes all equally long."""
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    longest = nodes.agg(F.max(square)).first()[0] or 0.0
-    # No vector is longer than the longest; rounding may say so by a hair.
-    rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(longest) - square))
-    wide = nodes.withColumn("wide", F.concat("vec", F.array(rest)).cast("array<float>"))
+def _square(vec: str) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.asarray(v.values, "<f4").tobytes() for v in batch["wide"]]
-            others = [batch[n] for n in names]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(packed, pa.binary())], [*names, "packed"])
 
-    names = ["node", *HASHES, "ids", "vec"]
-    schema = "node long, vec_1 long, vec_2 long, ids array<long>, vec array<double>, packed binary"
-    return wide.select(*names, "wide").mapInArrow(run, schema)
+def _scaled(vec: str, by: Column) -> Column:
+    return F.transform(vec, lambda x: x / by)
+
+
+def _packed(nodes: DataFrame) -> DataFrame:
+    """Add the packed vector over the longest vector's length, with one more
+    component that makes all of them as long as that."""
+    longest = nodes.agg(F.max(_square("vec"))).first()[0] or 1.0
+    share = _square("vec") / F.lit(longest)
+    # No vector is longer than the longest; rounding may say so by a hair.
+    rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - share))
+    wide = F.concat(_scaled("vec", F.sqrt(F.lit(longest))), F.array(rest)).cast("array<float>")
+    return _pack(nodes.select("node", *HASHES, "ids", "vec", wide.alias("wide")), "wide", "packed")
 
 
 LINK = "src long, dst long, sim float"
@@ -244,12 +260,12 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
 def _measured(pairs: DataFrame, nodes: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     """query, node, sim of the pairs (query, node)."""
     pairs = key_join(pairs, nodes.select("node", "packed"), ["node"])
-    pairs = key_join(pairs, asked.select("query", F.col("packed").alias("wanted")), ["query"])
+    pairs = key_join(pairs, asked.select("query", "wanted"), ["query"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _unpack(batch["packed"], width), _unpack(batch["wanted"], width)
-            sims = np.einsum("ij,ij->i", a[:, :-1], b[:, :-1])
+            a, b = _unpack(batch["packed"], width), _unpack(batch["wanted"], width - 1)
+            sims = np.einsum("ij,ij->i", a[:, :-1], b)
             yield pa.RecordBatch.from_arrays([batch["query"], batch["node"], pa.array(sims, pa.float32())], ["query", "node", "sim"])
 
     return pairs.mapInArrow(run, "query long, node long, sim float")
@@ -263,7 +279,9 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
     owners = index.rows.filter(wanted).select("id", *HASHES).distinct()
     owners = cut(salted_join(owners, nodes.select("node", *HASHES), HASHES, ["id"]).select("id", "node"))
     own = owners.select("node").distinct()
-    asked = cut(key_join(own, nodes.select("node", "vec", "packed"), ["node"]).withColumnRenamed("node", "query"))
+    asked = key_join(own, nodes.select("node", "vec"), ["node"]).withColumnRenamed("node", "query")
+    asked = asked.withColumn("unit", _scaled("vec", F.sqrt(_square("vec"))).cast("array<float>"))
+    asked = cut(_pack(asked, "unit", "wanted"))
     entries = nodes.select("node", F.xxhash64("node").alias("draw")).orderBy("draw", "node").limit(ENTRIES).collect()
     begin = F.array(F.col("query"), *[F.lit(r["node"]) for r in entries])
     starts = asked.select("query", F.explode(F.array_distinct(begin)).alias("node"))
