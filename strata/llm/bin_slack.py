@@ -278,4 +278,4 @@ def pack(sized: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("
 
 def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY) -> DataFrame:
     """Cut documents into pieces and pack them; one row per piece."""
-    return pack(cut(pieces(docs, tokenizer_json, capacity), shuffled=False), capacity)
+    return pack(cut(pieces(docs, tokenizer_json, capacity), by=["doc_id", "piece"]), capacity)

@@ -214,7 +214,7 @@ def identify(docs: DataFrame, training: Column, text: str = "text", lang: str =
     model = fit(docs.filter(training), text, lang)
     body, known, *found = fresh(docs.select(*keep), "body", "in_training", *FOUND)
     rows = docs.select(*keep, F.col(text).alias(body), (training & F.col(lang).isNotNull()).alias(known))
-    scored = cut(predict(rows, model, body, tuple(found), drop=True), shuffled=False)
+    scored = cut(predict(rows, model, body, tuple(found), drop=True), by=[*keep, found[1]])
     usual = usual_distances(scored.filter(known), found[0], found[1])
     return scored.select(
         *keep, *[F.col(f).alias(n) for f, n in zip(found, FOUND)], rejection(usual, *found).alias("rejected")

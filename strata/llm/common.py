@@ -14,18 +14,18 @@ from strata.session import checkpoint_dir
 NUMBER_BUCKETS = 1024
 
 
-def cut(df: DataFrame, shuffled: bool = True) -> DataFrame:
+def cut(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
     Executors may be lost afterwards: later reads take the files.  Spark's
-    cleaner removes them with the frame (``cleanCheckpoints``).  A frame that
-    comes out of a shuffle is written by as many tasks as the cluster runs at
-    once, which saves small files; one that comes straight from a scan keeps
-    the scan's tasks (``shuffled=False``).
+    cleaner removes them with the frame (``cleanCheckpoints``).  There are as
+    many files as the cluster runs tasks at once.  ``df`` should come out of a
+    shuffle; rows that come from a scan are shuffled by the columns ``by``
+    first, so that the scan keeps its own, smaller tasks.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    return (df.coalesce(spark.sparkContext.defaultParallelism) if shuffled else df).checkpoint()
+    return (df.repartition(*by) if by else df).coalesce(spark.sparkContext.defaultParallelism).checkpoint()
 
 
 def let(value: Column, body) -> Column:

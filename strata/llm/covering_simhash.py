@@ -253,7 +253,7 @@ def near_duplicates(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.col(text).alias("text"),
     )
-    rows = cut(with_fingerprint(rows, "text", "print", shingle), shuffled=False)
+    rows = cut(with_fingerprint(rows, "text", "print", shingle), by=["row_1", "doc"])
     nodes = rows.groupBy("print").agg(F.min("doc").alias("first"))
     sets = components(links(nodes.select("print"), radius))
     lowest = key_join(sets, nodes, ["print"]).groupBy("root").agg(F.min("first").alias("root_doc"))
