@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +29,16 @@ def cut(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     return (df.repartition(*by) if by else df).coalesce(spark.sparkContext.defaultParallelism).checkpoint()
 
 
+def release(df: DataFrame) -> None:
+    """Let Spark's cleaner drop the shuffles and checkpoints of past rounds.
+
+    It removes them when the driver collects its garbage, which an iterative job
+    with little driver work may not do for long.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and bind it for ``body``.
 

@@ -34,18 +34,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, salted_join
+from strata.llm.common import cut, key_join, release, salted_join
 
-WIDTH = 24
-TREES = 16
+WIDTH = 32
+TREES = 24
 LEAF = 256
 BLOCK = 512
-ROUNDS = 4
+ROUNDS = 3
 SETTLED = 0.02  # a round that renews a smaller share of the links is the last
-POOL = 80  # nodes that a query keeps
-OPENED = 20  # of them opened at a time
+POOL = 100  # nodes that a query keeps
+OPENED = 25  # of them opened at a time
 ENTRIES = 8  # where every walk may begin besides the query's own node
-OFFERS = 10  # a centre offers each neighbour its nearest so many
+OFFERS = 16  # a centre offers each neighbour its nearest so many
 
 
 @dataclass
@@ -252,6 +252,7 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     graph = cut(first_graph(nodes, size["n"], width))
     for i in range(ROUNDS):
         graph = cut(improved(graph, nodes, width, i))
+        release(rows)
         if graph.filter("fresh").count() <= SETTLED * WIDTH * size["n"]:
             break
     return Index(nodes, graph, rows.select("id", *HASHES), width)
@@ -301,6 +302,7 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
         done = key_join(pool, opened.withColumn("now", F.lit(True)), ["query", "node"], "left")
         done = done.select("query", "node", "sim", (F.col("open") | F.coalesce("now", F.lit(False))).alias("open"))
         pool = cut(_best(done.unionByName(new), "query", POOL, order))
+        release(pool)
     return _answers(pool, nodes, asked, owners, k)
 
 
