@@ -289,18 +289,16 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
     pool = cut(_measured(starts, nodes, asked, width).withColumn("open", F.lit(False)))
     lists = cut(_neighbours(index.graph, ROUNDS).select("node", "other"))
     order = [F.desc("sim"), F.col("node")]
-    while True:
-        turn = F.row_number().over(Window.partitionBy("query").orderBy(*order))
-        opened = cut(pool.filter(~F.col("open")).withColumn("turn", turn).filter(F.col("turn") <= OPENED).select("query", "node"))
-        if opened.isEmpty():
-            break
-        reached = key_join(opened, lists, ["node"])
+    while not pool.filter(~F.col("open")).isEmpty():
+        # One checkpoint a round; what is opened follows from the pool.
+        turn = F.row_number().over(Window.partitionBy("query").orderBy("open", *order))
+        ranked = pool.withColumn("now", ~F.col("open") & (turn <= OPENED))
+        reached = key_join(ranked.filter("now").select("query", "node"), lists, ["node"])
         reached = reached.select("query", F.col("other").alias("node")).distinct()
         met = pool.select("query", "node", F.lit(True).alias("met"))
         new = key_join(reached, met, ["query", "node"], "left").filter(F.col("met").isNull()).select("query", "node")
         new = _measured(new, nodes, asked, width).withColumn("open", F.lit(False))
-        done = key_join(pool, opened.withColumn("now", F.lit(True)), ["query", "node"], "left")
-        done = done.select("query", "node", "sim", (F.col("open") | F.coalesce("now", F.lit(False))).alias("open"))
+        done = ranked.select("query", "node", "sim", (F.col("open") | F.col("now")).alias("open"))
         pool = cut(_best(done.unionByName(new), "query", POOL, order))
         release(pool)
     return _answers(pool, nodes, asked, owners, k)
