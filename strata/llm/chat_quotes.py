@@ -123,20 +123,20 @@ def parents(parsed: DataFrame) -> DataFrame:
 def threads(parsed: DataFrame, linked: DataFrame) -> DataFrame:
     """KEY, root (turn, tie), depth of every message.
 
-    Each round every message takes over the parent of its parent, so a chain
-    of n answers needs log2 n rounds.
+    Each round every message that does not hang on a root yet takes over the
+    parent of its parent, so a chain of n answers needs log2 n rounds, and
+    short threads leave the rounds early.
     """
     start = key_join(parsed.select(*KEY), linked.select(*KEY, "source"), KEY, "left")
-    state = cut(start.select(*KEY, F.coalesce("source", _at()).alias("up"), F.col("source").isNotNull().cast("long").alias("depth")))
-    moving = True
-    while moving:
-        above = state.select("conv_id", _at().alias("here"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        moved = key_join(state, above.withColumnRenamed("here", "up"), ["conv_id", "up"])
-        # Messages whose parent is a root add 0 and stay.
-        state = cut(moved.select(*KEY, F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), "more"))
-        moving = not state.filter(F.col("more") > 0).isEmpty()
-        state = state.drop("more")
-    return state.withColumnRenamed("up", "root")
+    answer = F.col("source").isNotNull()
+    state = cut(start.select(*KEY, F.coalesce("source", _at()).alias("up"), answer.cast("long").alias("depth"), answer.alias("moves")))
+    while not state.filter("moves").isEmpty():
+        above = state.select("conv_id", _at().alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        moved = key_join(state.filter("moves").drop("moves"), above, ["conv_id", "up"])
+        # A message whose parent is a root adds 0 and stays there.
+        moved = moved.select(*KEY, F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moves"))
+        state = cut(state.filter("NOT moves").unionByName(moved))
+    return state.drop("moves").withColumnRenamed("up", "root")
 
 
 def link(messages: DataFrame) -> DataFrame:
