@@ -11,6 +11,14 @@ Hashes of all chunks are counted first; only texts of chunks whose hash occurs
 again are moved for the comparison.  Hot chunks are aggregated before the
 shuffle and salted in the joins.  Only DataFrame functions are used.
 
+Chunks miss what stands between a passage's ends and its nearest shared
+boundaries, and chunks with one line of text.  With ``pairs`` the pieces compared
+are all pairs of successive lines with text (and the blank lines between them)
+instead: every passage of two or more such lines that stands in an earlier place
+is found, whatever surrounds it.  Pairs overlap, so a line is removed if one of
+its pairs is; a line's first place of all is never removed.  A pair that overlaps
+its own first place (a line three times in a row) stays.
+
 Cases: a null text stays null and has no chunks; an empty text stays; texts of
 any length are taken whole; rows alike in id and text are one occurrence and
 get equal results; rows alike in text only are two, and the copy keeps just
@@ -60,6 +68,21 @@ def chunks_of(text: Column) -> Column:
     return let(F.split(text, "\n"), cut_lines)
 
 
+def _worded(lines: Column) -> Column:
+    """Places of the lines with text."""
+    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != "")
+
+
+def pairs_of(text: Column) -> Column:
+    """For each line with text, in order: the lines from it to the next one with
+    text; null for the last."""
+
+    def cut_lines(lines: Column) -> Column:
+        return let(_worded(lines), lambda w: F.transform(w, lambda a, k: F.slice(lines, a + 1, F.get(w, k + 1) - a + 1)))
+
+    return let(F.split(text, "\n"), cut_lines)
+
+
 def joined(lines: Column) -> Column:
     return F.concat_ws("\n", lines)
 
@@ -78,15 +101,16 @@ def _place() -> Column:
     return F.struct(F.col("id").alias("id"), F.col("text_1"), F.col("text_2"), F.col("no"))
 
 
-def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str) -> DataFrame:
-    """KEY and no of every chunk that stands at a later place than its first.
+def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str, pairs: bool = False) -> DataFrame:
+    """KEY and no of every chunk (or pair) that stands at a later place than its first.
 
     ``keyed`` comes from ``_keyed``; the caller joins it again by the same key,
     so that Spark can use one shuffle of the texts for both.
     """
     own_key = [F.col(c).alias(k) for c, k in zip((doc_id, one, two), KEY)]
+    pieces = pairs_of if pairs else chunks_of
     hashed = F.transform(
-        chunks_of(F.col(text)),
+        pieces(F.col(text)),
         lambda c, k: F.when(several(c), F.struct(k.alias("no"), F.xxhash64(joined(c)).alias("hash"))),
     )
     own = keyed.select(*own_key, F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(*KEY, "x.*")
@@ -97,7 +121,7 @@ def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str) -> Dat
     want, = fresh(keyed, "k_wanted")
     held = key_join(keyed, wanted.toDF(doc_id, one, two, want), [doc_id, one, two])
     picked = let(
-        chunks_of(F.col(text)),
+        pieces(F.col(text)),
         lambda cs: F.transform(
             F.col(want), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), joined(F.get(cs, w["no"])).alias("chunk"))
         ),
@@ -109,18 +133,22 @@ def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str) -> Dat
     firsts = firsts.select("hash", "chunk", "first", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
     found = found.withColumn("part", F.pmod(F.xxhash64(*KEY, "no"), parts))
     both = found.join(firsts, ["hash", "chunk", "part"])
-    return both.filter(_place() != F.col("first")).select(*KEY, "no").distinct()
+    later = both.filter(_place() != F.col("first"))
+    if pairs:
+        same = [F.col(c).eqNullSafe(F.col(f"first.{c}")) for c in KEY]
+        later = later.filter(~(same[0] & same[1] & same[2] & (F.col("no") == F.col("first.no") + 1)))
+    return later.select(*KEY, "no").distinct()
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
-    """``docs`` without repeated chunks; all rows and columns stay.
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None, pairs: bool = False) -> DataFrame:
+    """``docs`` without repeated chunks, or pairs of lines; all rows and columns stay.
 
     An ``n_chars`` column follows the new text.  ``removed`` names a column
-    that is to hold the number of chunks taken out.
+    that is to hold the number of chunks (pairs) taken out.
     """
     one, two, out = fresh(docs, "k_text_1", "k_text_2", "k_drops")
     keyed = _keyed(docs, text, one, two)
-    drops = repeats(keyed, doc_id, text, one, two).groupBy(*KEY).agg(F.collect_set("no").alias("drops"))
+    drops = repeats(keyed, doc_id, text, one, two, pairs).groupBy(*KEY).agg(F.collect_set("no").alias("drops"))
     drops = drops.toDF(doc_id, one, two, out)
     both = key_join(keyed, drops, [doc_id, one, two], "left")
 
@@ -128,8 +156,14 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed:
         stay = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(out))
         return joined(F.transform(stay, lambda k: joined(F.get(chunks, k))))
 
+    def unpaired(lines: Column) -> Column:
+        gone = let(_worded(lines), lambda w: F.flatten(F.transform(F.col(out), lambda k: F.sequence(F.get(w, k), F.get(w, k + 1)))))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return joined(F.transform(stay, lambda i: F.get(lines, i)))
+
     touched = F.col(out).isNotNull()
-    new = {text: F.when(touched, let(chunks_of(F.col(text)), without)).otherwise(F.col(text))}
+    left = let(F.split(F.col(text), "\n"), unpaired) if pairs else let(chunks_of(F.col(text)), without)
+    new = {text: F.when(touched, left).otherwise(F.col(text))}
     result = both.withColumns(new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -95,6 +95,42 @@ def test_chunks_of_odd_documents(spark, odd_docs):
     assert chunk_dedup.dedup(odd_docs.limit(0)).count() == 0
 
 
+def pairs_by_brute_force(docs):
+    """Texts without the lines of pairs that stand earlier; docs in order of id."""
+    seen, out = {}, []
+    for doc, text in docs:
+        lines = text.split("\n")
+        worded = [i for i, x in enumerate(lines) if x.strip(" ")]
+        gone = set()
+        for k, (a, b) in enumerate(zip(worded, worded[1:])):
+            first = seen.setdefault("\n".join(lines[a : b + 1]), (doc, k))
+            if first not in ((doc, k), (doc, k - 1)):
+                gone.update(range(a, b + 1))
+        out.append((doc, "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return out
+
+
+def test_short_passages_are_found_whatever_surrounds_them(spark):
+    pick = random.Random(6)
+    line = lambda: " ".join(pick.choice("abcdefgh") * 3 for _ in range(12))
+    docs, passages = [], []
+    for size in range(2, 11):
+        for n in range(10):
+            passage = [line() for _ in range(size)]
+            if n % 3 == 0:  # paragraphs of one line
+                passage = "\n\n".join(passage).split("\n")
+            passages.append(passage)
+            for _ in range(2):
+                docs.append((len(docs), "\n".join([*[line() for _ in range(pick.randrange(4))], *passage, *[line() for _ in range(pick.randrange(4))]])))
+    odd = ["a b\na b\na b", "a b\na b\na b", "c\nc\nc\nc\nc", "x\ny\nx\ny\nx", "", "one", "\n\n", "q\n\nr", "q\nr", "q\n\nr\n"]
+    docs += [(len(docs) + i, t) for i, t in enumerate(odd)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, df, SMALL).collect()}
+    assert rows == dict(pairs_by_brute_force(docs))
+    for i, passage in enumerate(passages):
+        assert not set(rows[2 * i + 1].split("\n")) & {x for x in passage if x}
+
+
 # SimHash
 
 
