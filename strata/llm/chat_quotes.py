@@ -13,7 +13,13 @@ a message always follows the one it answers.  The text that remains has no
 quotes.
 
 A quote may hold a whole message, or some of its paragraphs or lines, so a
-message offers its own passages, the paragraphs in them and their lines.
+message offers its own text, its own passages (what it says between quotes), the
+paragraphs in them and their lines.  A quoted passage that no earlier message
+offers as a whole is taken apart: its source is the latest earlier message that
+offers each of its paragraphs, whole or line by line.  Such messages are found
+by stepping back: the bound on a passage's source falls to the last message
+before it that can still hold all, until it stays, in as many rounds as the
+pieces of a passage lead to different messages.
 
 Cases: a null text has no passages and an empty remaining text; a message with
 quotes only remains with an empty text; a quote with no source makes no link;
@@ -26,10 +32,10 @@ extra columns do not clash, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, let, numbered
+from strata.llm.common import cut, key_join, let, numbered, salted_join
 from strata.operators.rank import global_row_number
 
 BLANKS = " \t\r\n"
@@ -76,10 +82,19 @@ def own_text(parsed: Column) -> Column:
     return F.concat_ws("\n", F.filter(kept, lambda t: t != ""))
 
 
-def _offers(text: Column) -> Column:
-    """Normal forms of a text, its paragraphs and its lines."""
-    parts = F.concat(F.array(text), F.split(text, r"\n[ \t]*\n"), F.split(text, "\n"))
-    return F.array_distinct(F.filter(F.transform(parts, normal), lambda t: t != ""))
+def _paragraphs(text: Column) -> Column:
+    return F.split(text, r"\n[ \t]*\n")
+
+
+def _offers(parsed: Column) -> Column:
+    """Normal forms of the own text, the own passages, their paragraphs and lines."""
+
+    def parts(text: Column) -> Column:
+        return F.concat(F.array(text), _paragraphs(text), F.split(text, "\n"))
+
+    passages = F.flatten(F.transform(F.filter(parsed, lambda p: p["level"] == 0), lambda p: parts(p["text"])))
+    both = F.concat(let(own_text(parsed), parts), passages)
+    return F.array_distinct(F.filter(F.transform(both, normal), lambda t: t != ""))
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -103,19 +118,77 @@ def _hashes(form: Column) -> list[Column]:
     return [F.xxhash64(form).alias("hash_1"), F.xxhash64(F.lit(1), form).alias("hash_2")]
 
 
+PASSAGE = ["conv_id", *HASHES]
+
+# Messages of a conversation whose holders of one piece are looked through together.
+RANGE = 4_096
+
+
+def _latest(holders: DataFrame, probes: DataFrame) -> DataFrame:
+    """PASSAGE, bound, found: the last message up to ``bound`` that holds the
+    piece, -1 for none.  A piece held by many messages is split by their numbers."""
+    asked = probes.select(*PASSAGE, F.col("bound").alias("no"), F.lit(False).alias("holds")).distinct()
+    rows = holders.select(*PASSAGE, "no", F.lit(True).alias("holds")).unionByName(asked)
+    rows = rows.withColumn("range", F.floor(F.col("no") / RANGE))
+    held = F.max(F.when(F.col("holds"), F.col("no")))
+    upto = Window.partitionBy(*PASSAGE, "range").orderBy("no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tops = rows.groupBy(*PASSAGE, "range").agg(held.alias("top"))
+    ahead = Window.partitionBy(*PASSAGE).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.withColumn("before", F.max("top").over(ahead)).drop("top")
+    near = rows.withColumn("near", held.over(upto)).filter(~F.col("holds"))
+    found = key_join(near, tops, [*PASSAGE, "range"])
+    return found.select(*PASSAGE, F.col("no").alias("bound"), F.coalesce("near", "before", F.lit(-1).cast("long")).alias("found"))
+
+
+def _in_parts(parsed: DataFrame, offered: DataFrame, missed: DataFrame) -> DataFrame:
+    """KEY, level, source of the passages ``missed`` (KEY, place) whose pieces
+    one earlier message offers."""
+    # Numbered over all conversations: a message's source has a smaller number.
+    numbers = cut(global_row_number(parsed.select(*KEY), KEY, "no"))
+    texts = parsed.select(*KEY, F.posexplode("parsed").alias("place", "passage"))
+    texts = key_join(key_join(texts, missed, [*KEY, "place"]), numbers, KEY)
+    texts = texts.select("conv_id", "no", "place", "passage.level", F.posexplode(_paragraphs(F.col("passage.text"))).alias("paragraph", "text"))
+    kinds = F.concat(
+        F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("text"))),
+        F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("text"))),
+    )
+    own = ["no", "place", "level"]
+    pieces = texts.select("conv_id", *own, "paragraph", F.explode(kinds).alias("x"))
+    pieces = pieces.select("conv_id", *own, "paragraph", "x.whole", normal(F.col("x.text")).alias("form")).filter(F.col("form") != "")
+    pieces = cut(pieces.select("conv_id", *own, "paragraph", "whole", *_hashes(F.col("form"))).distinct())
+    holders = salted_join(offered, pieces.select(*PASSAGE).distinct(), PASSAGE, ["turn", "tie"])
+    holders = cut(key_join(holders, numbers, KEY).select(*PASSAGE, "no"))
+    state = cut(pieces.select(*own).distinct().withColumns({"bound": F.col("no") - 1, "moves": F.lit(True)}))
+    while not state.filter("moves").isEmpty():
+        probes = key_join(pieces, state.filter("moves").drop("moves"), own)
+        found = salted_join(probes, _latest(holders, probes), [*PASSAGE, "bound"], ["no", "place"])
+        lines, whole = F.min(F.when(~F.col("whole"), F.col("found"))), F.max(F.when(F.col("whole"), F.col("found")))
+        found = found.groupBy(*own, "paragraph", "bound").agg(F.greatest(lines, whole).alias("found"))
+        found = found.groupBy(*own, "bound").agg(F.min("found").alias("found"))
+        moved = found.select(*own, F.col("found").alias("bound"), ((F.col("found") >= 0) & (F.col("found") < F.col("bound"))).alias("moves"))
+        state = cut(state.filter("NOT moves").unionByName(moved))
+    hits = key_join(state.filter("bound >= 0").drop("moves"), numbers, ["no"])
+    source = numbers.select(F.col("no").alias("bound"), _at().alias("source"))
+    return key_join(hits, source, ["bound"]).select(*KEY, "level", "source")
+
+
 def parents(parsed: DataFrame) -> DataFrame:
     """KEY, source (turn, tie), level, for every message with a source."""
-    quoted = parsed.select(*KEY, F.explode(F.filter("parsed", lambda p: p["level"] > 0)).alias("passage"))
-    quoted = quoted.select(*KEY, F.col("passage.level").alias("level"), normal(F.col("passage.text")).alias("form"))
-    quoted = quoted.filter(F.col("form") != "").select(*KEY, "level", *_hashes(F.col("form")))
-    offered = parsed.select(*KEY, F.explode(_offers(own_text(F.col("parsed")))).alias("form"))
+    quoted = parsed.select(*KEY, F.posexplode("parsed").alias("place", "passage")).filter(F.col("passage.level") > 0)
+    quoted = quoted.select(*KEY, "place", F.col("passage.level").alias("level"), normal(F.col("passage.text")).alias("form"))
+    quoted = quoted.filter(F.col("form") != "").select(*KEY, "place", "level", *_hashes(F.col("form")))
+    offered = parsed.select(*KEY, F.explode(_offers(F.col("parsed"))).alias("form"))
     offered = offered.select(*KEY, *_hashes(F.col("form")))
     # The first message that holds a passage, of the passages that are quoted:
     # one row per conversation and passage on both sides of the join.
-    passage = ["conv_id", *HASHES]
-    first = offered.groupBy(*passage).agg(F.min(_at()).alias("source"))
-    sources = cut(key_join(first, quoted.select(*passage).distinct(), passage))
-    found = key_join(quoted, sources, passage).filter(F.col("source") < _at())
+    first = offered.groupBy(*PASSAGE).agg(F.min(_at()).alias("source"))
+    sources = cut(key_join(first, quoted.select(*PASSAGE).distinct(), PASSAGE))
+    tried = cut(key_join(quoted, sources, PASSAGE, "left").select(*KEY, "place", "level", "source"))
+    earlier = F.coalesce(F.col("source") < _at(), F.lit(False))
+    found = tried.filter(earlier).select(*KEY, "level", "source")
+    missed = tried.filter(~earlier).select(*KEY, "place")
+    if not missed.isEmpty():
+        found = found.unionByName(_in_parts(parsed, offered, missed))
     best = F.min(F.struct("level", (-F.col("source.turn")).alias("late"), (-F.col("source.tie")).alias("later"), "source"))
     return found.groupBy(*KEY).agg(best.alias("best")).select(*KEY, "best.source", "best.level")
 

@@ -251,6 +251,43 @@ def test_nested_quotes_are_linked(spark):
     assert chat_quotes.link(df.limit(0)).count() == 0
 
 
+def test_trimmed_and_interleaved_quotes_are_linked(spark):
+    rows = [
+        ("two lines of three", 0, "first line\nsecond line\nthird line"),
+        ("two lines of three", 1, "> first line\n> second line\nreply one"),
+        ("interleaved", 0, "old words"),
+        ("interleaved", 1, "reply one"),
+        ("interleaved", 2, "something else"),
+        ("interleaved", 3, "intro a\nintro b\n> reply one\nclosing c\nclosing d"),
+        ("interleaved", 4, "> intro a\n> intro b\n>> reply one\n> closing c\n> closing d"),
+        ("paragraphs", 0, "one a\none b\n\ntwo\n\nthree a\nthree b"),
+        ("paragraphs", 1, "one a\none b\n\nthree a"),  # holds some of it only
+        ("paragraphs", 2, "> One a one b\n>\n> three b\nyes"),  # wrapped anew; cut
+        ("latest", 0, "x\ny\nz"),
+        ("latest", 1, "z\ny\nx"),
+        ("latest", 2, "y\nw"),
+        ("latest", 3, "x\nv"),
+        ("latest", 4, "> x\n> y"),
+        ("latest", 5, "> x\n> w\nheld by two, not by one"),
+        ("later", 0, "> p\n> q"),
+        ("later", 1, "p\nr\nq"),
+        (None, None, "k\nl\nm"),
+        (None, 3, "> k\n> m"),
+    ]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id string, turn long, role string, text string")
+    linked = chat_quotes.link(df).collect()
+    assert len(linked) == len(rows)
+    found = {(r.conv_id, r.turn): (r.parent_turn, r.quote_level) for r in linked if r.quote_level}
+    assert found == {
+        ("two lines of three", 1): (0, 1),
+        ("interleaved", 3): (1, 1),
+        ("interleaved", 4): (3, 1),
+        ("paragraphs", 2): (0, 1),
+        ("latest", 4): (1, 1),
+        (None, 3): (None, 1),
+    }
+
+
 def test_a_long_chain_of_answers(spark):
     df = spark.createDataFrame([(1, i, "u", f"message {i}" + (f"\n> message {i - 1}" if i else "")) for i in range(40)], "conv_id int, turn int, role string, text string")
     assert [r.depth for r in chat_quotes.link(df).orderBy("position").collect()] == list(range(40))
