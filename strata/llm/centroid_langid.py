@@ -7,7 +7,8 @@ distance from it is far beyond what the language's own texts show is rejected.
 
 Document frequencies come from all training texts, and so do the distances
 behind the rejection.  The clusters of a language are fitted on at most
-``SAMPLE`` of its training texts, chosen by a hash of the text.
+``SAMPLE`` of its distinct training texts, those with the smallest hashes, so
+that copies of one text count once there.
 
 The model is a few numbers per hashed place, so its size does not follow the
 documents: 2 ** BITS document frequencies, and CLUSTERS vectors per language.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, fresh
+from strata.llm.common import cut, distinct_texts, fresh, smallest_hashes
 from strata.llm.ngrams import count_grams, only_letters
 
 SIZES = (1, 2, 3)
@@ -106,11 +107,6 @@ def k_means(rows: np.ndarray, k: int) -> np.ndarray:
     return own
 
 
-def _hash(text: Column) -> Column:
-    """A number in 0..9999 from a text, for sampling."""
-    return F.pmod(F.xxhash64(F.lit("sample"), text), F.lit(1_000_000))
-
-
 @dataclass
 class Model:
     idf: np.ndarray
@@ -133,12 +129,12 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     rows = training.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     idf = document_frequencies(rows.select("text"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Texts without a letter have no vector and take no place in the sample.
+    lettered = rows.filter(F.col("text").rlike(r"\p{L}"))
+    sizes = distinct_texts(lettered, "lang")
     if not sizes:
         return Model(idf, [], np.zeros((0, 1 << BITS), np.float32))
-    # Hash below the language's share of SAMPLE rows; the group cuts at SAMPLE.
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 1.1 * SAMPLE / n) * 1_000_000)])
-    chosen = rows.withColumn("hash", _hash(F.col("text"))).filter(F.col("hash") < share[F.col("lang")])
+    chosen = smallest_hashes(lettered, "lang", sizes, dict.fromkeys(sizes, SAMPLE)).withColumnRenamed("hash_1", "hash")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,7 +149,7 @@ def fit(training: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["lang", "hash", "places", "weights"])
 
     def clustered(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("hash", kind="stable").head(SAMPLE)
+        df = df.sort_values("hash", kind="stable")
         rows = np.zeros((len(df), 1 << BITS), np.float32)
         for i, (p, w) in enumerate(zip(df["places"], df["weights"])):
             rows[i, p] = w

@@ -103,6 +103,37 @@ def numbered(
     return key_join(rows, offsets, keys).withColumn(name, F.col(name) + F.col(before)).select(*df.columns, name)
 
 
+def distinct_texts(rows: DataFrame, group: str) -> dict:
+    """About how many distinct texts each group of ``rows`` (group, text) has."""
+    found = rows.groupBy(group).agg(F.approx_count_distinct(_drawn(F.col("text"))).alias("n")).collect()
+    return {r[group]: r["n"] for r in found}  # one row per group
+
+
+def _drawn(text: Column) -> Column:
+    return F.xxhash64(F.lit("sample"), text)
+
+
+def smallest_hashes(rows: DataFrame, group: str, sizes: dict, wanted: dict) -> DataFrame:
+    """group, text, hash_1 of the ``wanted`` distinct texts of each group whose
+    hashes are smallest: a sample that depends neither on how often a text stands
+    nor on how rows are dealt.
+
+    A limit well above the share wanted of ``sizes`` goes first, so that few rows
+    move; copies become one row before they do.
+    """
+
+    def by_group(values: dict) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col(group)]
+
+    share = {g: min(1.0, 1.5 * (wanted[g] + 50) / n) if n else 1.0 for g, n in sizes.items()}
+    limit = {g: int((2 * s - 1) * (2**63 - 1)) if s < 1 else 2**63 - 1 for g, s in share.items()}
+    hashed = rows.select(group, "text", _drawn(F.col("text")).alias("hash_1"), F.xxhash64("text").alias("hash_2"))
+    near = hashed.filter(F.col("hash_1") <= by_group(limit))
+    near = near.groupBy(group, "hash_1", "hash_2").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("hash_1", "hash_2"))
+    return near.withColumn("place", place).filter(F.col("place") <= by_group(wanted)).select(group, "text", "hash_1")
+
+
 SALTS = 16
 
 

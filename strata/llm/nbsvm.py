@@ -8,8 +8,9 @@ into scores.
 
 The class counts come from all training rows, aggregated in the tasks before
 they are added up (2 ** BITS places, whatever the input).  The linear model is
-fitted on at most ``SAMPLE`` training rows, chosen by a hash of the text; the
-bound holds on the driver, which fits it.
+fitted on at most ``SAMPLE`` training rows: of each class the distinct texts with
+the smallest hashes, as many as the class's share of all distinct (text, label)
+rows; the bound holds on the driver, which fits it.
 
 Cases: a null text counts as empty; an empty text has no n-grams and gets the
 score of the bias alone; texts of any length are taken whole; equal texts get
@@ -29,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import distinct_texts, smallest_hashes
 from strata.llm.ngrams import codes, count_grams
 
 SIZES = (1, 2, 3)
@@ -173,15 +175,16 @@ def fit(labelled: DataFrame) -> Model:
         share = (rows[1] + 1) / (rows.sum() + 2)
         return Model(none, none, 0.0, 0.0, float(np.log(share / (1 - share))))
     ratios = log_ratios(counts)
-    picked = F.pmod(F.xxhash64(F.lit("sample"), F.col("text")), F.lit(1_000_000))
-    part = labelled.filter(picked < F.lit(int(min(1.0, 0.9 * SAMPLE / rows.sum()) * 1_000_000)))
+    sizes = distinct_texts(labelled, "label")
+    wanted = {label: max(1, int(SAMPLE * n / sum(sizes.values()))) for label, n in sizes.items()}
+    part = smallest_hashes(labelled, "label", sizes, wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = [places_of(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.list_(pa.int32()))], ["label", "places"])
 
-    chosen = part.mapInArrow(run, "label int, places array<int>").limit(SAMPLE).toArrow()
+    chosen = part.mapInArrow(run, "label int, places array<int>").toArrow()
     # An order of its own, so that the fit does not depend on that of the tasks.
     own = sorted(zip(chosen["label"].to_pylist(), (np.asarray(p.values) for p in chosen["places"])), key=lambda x: (x[0], x[1].tobytes()))
     labels = np.array([label for label, _ in own], bool)

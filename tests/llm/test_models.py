@@ -59,6 +59,36 @@ def test_quality_odd_documents(spark, odd_docs):
     assert nbsvm.score(odd_docs.limit(0), model, "own_score").count() == 0
 
 
+def drawn_first(spark, texts):
+    """The text whose copies a draw by hash of the text takes first."""
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    return df.orderBy(F.pmod(F.xxhash64(F.lit("sample"), F.col("text")), F.lit(1_000_000))).first().text
+
+
+def test_copies_do_not_fill_the_sample_of_a_language(spark):
+    words = {"x": "alder birch cedar maple".split(), "y": "sei uno due tre".split(), "z": "kwik jazz vox pyx".split()}
+    texts = [" ".join(words[kind][(i // 4**k) % 4] for k in range(5)) for kind in words for i in range(190)]
+    copy = drawn_first(spark, texts)
+    rows = [(t, "aa") for t in texts] + [(copy, "aa")] * 450
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    model = centroid_langid.fit(df)
+    assert len(model.centroids) == 3 and (model.centroids @ model.centroids.T)[~np.eye(3, dtype=bool)].max() < 0.9
+    assert min(model.nearest(t)[1] for t in texts) > 0.4
+    again = centroid_langid.fit(df.repartition(3, "text"))
+    assert np.allclose(model.centroids, again.centroids)
+
+
+def test_copies_do_not_fill_the_sample_of_a_class(spark, monkeypatch):
+    monkeypatch.setattr(nbsvm, "SAMPLE", 60)
+    texts = [(i % 2, f"{'good plain prose' if i % 2 else 'buy cheap now'} number {i} of many") for i in range(200)]
+    copy = drawn_first(spark, [t for label, t in texts if label])
+    df = spark.createDataFrame(texts + [(1, copy)] * 4000, "label int, text string")
+    model = nbsvm.fit(df.repartition(4))
+    assert not np.array_equal(model.weights, model.ratios)  # both classes were drawn
+    assert np.mean([(model.score(t) >= 0.5) == bool(label) for label, t in texts]) > 0.95
+    assert np.array_equal(model.weights, nbsvm.fit(df.repartition(3, "text")).weights)
+
+
 def test_dual_descent_separates():
     turn = np.random.default_rng(1)
     rows = [np.flatnonzero(turn.random(50) < 0.3).astype(np.int32) for _ in range(200)]
