@@ -11,7 +11,9 @@ open.  The answer is measured in double precision on the original vectors.
 
 Nearness is the inner product.  The graph is built on vectors made equally long
 by one more component, for which the largest inner product with a query is the
-smallest angle.
+smallest angle.  Directions travel as float16, lengths beside them in double
+precision; distances are taken from differences, so that a very long vector does
+not round the others away.
 
 Every row is indexed.  Lists have ``WIDTH`` neighbours, reverse lists are cut at
 as many (chosen by a hash); this is where the search is approximate.
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, release, salted_join
+from strata.llm.common import cut, key_join, let, release, salted_join
 
 WIDTH = 32
 TREES = 24
@@ -51,7 +53,8 @@ OFFERS = 16  # a centre offers each neighbour its nearest so many
 @dataclass
 class Index:
     """nodes: node, vec_1, vec_2 (hashes of the vector), ids, vec (double), packed
-    (float16, of length 1, ``width`` numbers); graph: src, dst, sim, fresh;
+    (its direction in float16, ``width`` numbers), norm (its length as a share of
+    the longest); graph: src, dst, sim, fresh;
     rows: id and vector hashes of every indexed row."""
 
     nodes: DataFrame
@@ -61,8 +64,18 @@ class Index:
 
 
 def _unpack(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    """Rows of packed vectors as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(-1, width).astype("f4")
+    """Rows of packed directions as a matrix, of length 1 again."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(-1, width).astype("f4")
+    return rows / np.maximum(np.sqrt(np.einsum("ij,ij->i", rows, rows)), np.finfo("f4").tiny)[:, None]
+
+
+def _nearness(rows: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Minus the squared distances between all vectors, each with one more
+    component that makes it as long as the longest."""
+    n, rest = norms[:, None], np.sqrt((1 - norms) * (1 + norms))
+    both = np.maximum(rest[:, None] + rest[None, :], np.finfo(float).tiny)
+    gap, step = n - n.T, (n - n.T) * (n + n.T) / both
+    return -(gap * gap + 2 * n * n.T * (1 - (rows @ rows.T).astype(float)) + step * step)
 
 
 def _pack(rows: DataFrame, numbers: str, name: str) -> DataFrame:
@@ -112,30 +125,30 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
     return cut(key_join(ids, vecs, HASHES).withColumn("node", F.monotonically_increasing_id()))
 
 
-def _square(vec: str) -> Column:
-    return F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)
+def _direction(vec: Column) -> Column:
+    """Struct of length and unit (the vector at length 1); no square over- or underflows."""
 
+    def of(peak: Column) -> Column:
+        small = F.transform(vec, lambda x: x / peak)
+        length = F.sqrt(F.aggregate(small, F.lit(0.0), lambda a, x: a + x * x))
+        return let(length, lambda n: F.struct((n * peak).alias("length"), F.transform(small, lambda x: x / n).alias("unit")))
 
-def _scaled(vec: str, by: Column) -> Column:
-    return F.transform(vec, lambda x: x / by)
+    return let(F.array_max(F.transform(vec, F.abs)), of)
 
 
 def _packed(nodes: DataFrame) -> DataFrame:
-    """Add the packed vector over the longest vector's length, with one more
-    component that makes all of them as long as that."""
-    longest = nodes.agg(F.max(_square("vec"))).first()[0] or 1.0
-    share = _square("vec") / F.lit(longest)
-    # No vector is longer than the longest; rounding may say so by a hair.
-    rest = F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - share))
-    wide = F.concat(_scaled("vec", F.sqrt(F.lit(longest))), F.array(rest)).cast("array<float>")
-    return _pack(nodes.select("node", *HASHES, "ids", "vec", wide.alias("wide")), "wide", "packed")
+    """Add the packed direction and the length as a share of the longest."""
+    own = nodes.withColumn("own", _direction(F.col("vec")))
+    longest = own.agg(F.max("own.length")).first()[0] or 1.0
+    norm = F.least(F.lit(1.0), F.col("own.length") / F.lit(longest))
+    return _pack(own.select("node", *HASHES, "ids", "vec", norm.alias("norm"), F.col("own.unit").cast("array<float>").alias("unit")), "unit", "packed")
 
 
-LINK = "src long, dst long, sim float"
+LINK = "src long, dst long, sim double"
 
 
 def _links(src: np.ndarray, dst: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(sim, pa.float32())], ["src", "dst", "sim"])
+    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(sim, pa.float64())], ["src", "dst", "sim"])
 
 
 def _top(ids: np.ndarray, sims: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,14 +176,14 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
                 side = rows @ planes
                 leaf = ((side[:, :bits] > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits else np.zeros(len(rows), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), tree, np.int32)), pa.array(leaf), pa.array(side[:, bits].astype(np.float64)), batch["node"], batch["packed"]],
-                    ["tree", "leaf", "along", "node", "packed"],
+                    [pa.array(np.full(len(rows), tree, np.int32)), pa.array(leaf), pa.array(side[:, bits].astype(np.float64)), batch["node"], batch["packed"], batch["norm"]],
+                    ["tree", "leaf", "along", "node", "packed", "norm"],
                 )
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            table = pa.Table.from_batches([*held, batch.select(["node", "packed"])])
+            table = pa.Table.from_batches([*held, batch.select(["node", "packed", "norm"])])
             whole = table.num_rows // BLOCK * BLOCK
             for at in range(0, whole, BLOCK):
                 yield block(table.slice(at, BLOCK))
@@ -180,11 +193,11 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
 
     def block(table: pa.Table) -> pa.RecordBatch:
         ids, rows = table["node"].to_numpy(), _unpack(table["packed"], width)
-        sims = rows @ rows.T
+        sims = _nearness(rows, table["norm"].to_numpy())
         sims[ids[:, None] == ids[None, :]] = -np.inf
         return _links(*_top(ids, sims, WIDTH))
 
-    blocks = nodes.select("node", "packed").mapInArrow(placed, "tree int, leaf long, along double, node long, packed binary")
+    blocks = nodes.select("node", "packed", "norm").mapInArrow(placed, "tree int, leaf long, along double, node long, packed binary, norm double")
     blocks = blocks.repartition("tree", "leaf").sortWithinPartitions("tree", "leaf", "along", "node")
     links = blocks.mapInArrow(linked, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
     return _best(links, "src", WIDTH, [F.desc("sim"), F.col("dst")]).withColumn("fresh", F.lit(True))
@@ -201,7 +214,7 @@ def _neighbours(graph: DataFrame, salt: int) -> DataFrame:
 def improved(graph: DataFrame, nodes: DataFrame, width: int, salt: int) -> DataFrame:
     """One round: neighbours of each node are offered to each other."""
     last = graph.groupBy("src").agg(F.when(F.count(F.lit(1)) >= WIDTH, F.min("sim")).otherwise(F.lit(float("-inf"))).alias("last"))
-    known = key_join(nodes.select("node", "packed"), last.withColumnRenamed("src", "node"), ["node"], "left")
+    known = key_join(nodes.select("node", "packed", "norm"), last.withColumnRenamed("src", "node"), ["node"], "left")
     met = _neighbours(graph, salt)
     # Nodes with no fresh neighbour have nothing new to join.
     met = met.withColumn("any", F.max("fresh").over(Window.partitionBy("node"))).filter("any").drop("any")
@@ -223,12 +236,12 @@ def improved(graph: DataFrame, nodes: DataFrame, width: int, salt: int) -> DataF
 
     def around(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids, fresh = table["node"].to_numpy(), table["fresh"].to_numpy()
-        last = np.nan_to_num(table["last"].to_numpy().astype("f4"), nan=-np.inf, neginf=-np.inf)
-        rows, out = _unpack(table["packed"], width), []
+        last = np.nan_to_num(table["last"].to_numpy(), nan=-np.inf, neginf=-np.inf)
+        rows, norms, out = _unpack(table["packed"], width), table["norm"].to_numpy(), []
         for a, b in zip(starts[:-1], starts[1:]):
             if b - a < 2:
                 continue
-            sims = rows[a:b] @ rows[a:b].T
+            sims = _nearness(rows[a:b], norms[a:b])
             # At least one of the two is fresh, and it beats the end of the list.
             fine = (fresh[a:b, None] | fresh[None, a:b]) & (sims > last[a:b, None])
             np.fill_diagonal(fine, False)
@@ -248,7 +261,7 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     rows = usable(vectors, vec_id, embedding)
     nodes = cut(_packed(distinct_vectors(rows, keep)))
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
-    width = 1 + (size["width"] or 0)
+    width = size["width"] or 0
     graph = cut(first_graph(nodes, size["n"], width))
     for i in range(ROUNDS):
         graph = cut(improved(graph, nodes, width, i))
@@ -260,16 +273,16 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
 
 def _measured(pairs: DataFrame, nodes: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     """query, node, sim of the pairs (query, node)."""
-    pairs = key_join(pairs, nodes.select("node", "packed"), ["node"])
+    pairs = key_join(pairs, nodes.select("node", "packed", "norm"), ["node"])
     pairs = key_join(pairs, asked.select("query", "wanted"), ["query"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = _unpack(batch["packed"], width), _unpack(batch["wanted"], width - 1)
-            sims = np.einsum("ij,ij->i", a[:, :-1], b)
-            yield pa.RecordBatch.from_arrays([batch["query"], batch["node"], pa.array(sims, pa.float32())], ["query", "node", "sim"])
+            a, b = _unpack(batch["packed"], width), _unpack(batch["wanted"], width)
+            sims = batch["norm"].to_numpy() * np.einsum("ij,ij->i", a, b)
+            yield pa.RecordBatch.from_arrays([batch["query"], batch["node"], pa.array(sims, pa.float64())], ["query", "node", "sim"])
 
-    return pairs.mapInArrow(run, "query long, node long, sim float")
+    return pairs.mapInArrow(run, "query long, node long, sim double")
 
 
 def search(index: Index, wanted: Column, k: int) -> DataFrame:
@@ -281,7 +294,7 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
     owners = cut(salted_join(owners, nodes.select("node", *HASHES), HASHES, ["id"]).select("id", "node"))
     own = owners.select("node").distinct()
     asked = key_join(own, nodes.select("node", "vec"), ["node"]).withColumnRenamed("node", "query")
-    asked = asked.withColumn("unit", _scaled("vec", F.sqrt(_square("vec"))).cast("array<float>"))
+    asked = asked.withColumn("unit", _direction(F.col("vec"))["unit"].cast("array<float>"))
     asked = cut(_pack(asked, "unit", "wanted"))
     entries = nodes.select("node", F.xxhash64("node").alias("draw")).orderBy("draw", "node").limit(ENTRIES).collect()
     begin = F.array(F.col("query"), *[F.lit(r["node"]) for r in entries])

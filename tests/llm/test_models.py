@@ -122,6 +122,26 @@ def test_neighbours_recall_and_scores(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def clustered_vectors(n, seed):
+    turn = np.random.default_rng(seed)
+    rows = turn.standard_normal((n // 20, 32))[turn.integers(0, n // 20, n)] + 0.5 * turn.standard_normal((n, 32))
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def recall_of_20(spark, rows):
+    ids = np.arange(len(rows))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, rows)], "vec_id long, embedding array<double>")
+    found = nn_descent.search(nn_descent.build(df), F.col("id") % 40 == 0, 20).collect()
+    wanted = {(int(q), v) for q in ids if q % 40 == 0 for v, _ in nearest(ids, rows, q, 20)}
+    return len(wanted & {(r.query_id, r.vec_id) for r in found}) / len(wanted)
+
+
+def test_one_long_vector_leaves_the_others_ranked(spark):
+    rows = clustered_vectors(2000, 3)
+    rows[77] *= 10_000
+    assert recall_of_20(spark, rows) > 0.95
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0]) for i in range(0, 200)]  # equal vectors: ties to the smaller id
