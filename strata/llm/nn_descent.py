@@ -4,7 +4,8 @@ Equal vectors are one node, with the smallest ids that any answer can need.  A
 first neighbour graph comes from blocks of nodes that random hyperplanes put
 side by side.  Then each round joins, for every node, its neighbours with each
 other (its own list and those that list it): a neighbour of a neighbour that
-is nearer than the last one of a list takes its place.  Queries walk the graph
+is nearer than the last one of a list takes its place.  Rounds go on until one
+renews few of the links.  Queries walk the graph
 greedily: of each query's best nodes, those not opened yet are opened, their
 neighbours are measured, the best are kept; the walk ends when all of them are
 open.  The answer is measured in double precision on the original vectors.
@@ -15,8 +16,9 @@ smallest angle.  Directions travel as float16, lengths beside them in double
 precision; distances are taken from differences, so that a very long vector does
 not round the others away.
 
-Every row is indexed.  Lists have ``WIDTH`` neighbours, reverse lists are cut at
-as many (chosen by a hash); this is where the search is approximate.
+Every row is indexed.  Lists have ``WIDTH`` neighbours; of the nodes that list a
+node as many are joined in a round, first those that were not joined there
+before, then by a hash; this is where the search is approximate.
 
 Cases: rows with a null id, and vectors that are null, empty, zero or hold null
 or non-finite components, take no part; if lengths differ, the most frequent
@@ -42,19 +44,18 @@ WIDTH = 32
 TREES = 24
 LEAF = 256
 BLOCK = 512
-ROUNDS = 3
 SETTLED = 0.02  # a round that renews a smaller share of the links is the last
 POOL = 100  # nodes that a query keeps
 OPENED = 25  # of them opened at a time
 ENTRIES = 8  # where every walk may begin besides the query's own node
-OFFERS = 16  # a centre offers each neighbour its nearest so many
 
 
 @dataclass
 class Index:
     """nodes: node, vec_1, vec_2 (hashes of the vector), ids, vec (double), packed
     (its direction in float16, ``width`` numbers), norm (its length as a share of
-    the longest); graph: src, dst, sim, fresh;
+    the longest); graph: src, dst, sim, fresh (not
+    joined among the neighbours of src yet), back (nor among those of dst);
     rows: id and vector hashes of every indexed row."""
 
     nodes: DataFrame
@@ -200,13 +201,17 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
     blocks = nodes.select("node", "packed", "norm").mapInArrow(placed, "tree int, leaf long, along double, node long, packed binary, norm double")
     blocks = blocks.repartition("tree", "leaf").sortWithinPartitions("tree", "leaf", "along", "node")
     links = blocks.mapInArrow(linked, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
-    return _best(links, "src", WIDTH, [F.desc("sim"), F.col("dst")]).withColumn("fresh", F.lit(True))
+    return _best(links, "src", WIDTH, [F.desc("sim"), F.col("dst")]).withColumns({"fresh": F.lit(True), "back": F.lit(True)})
 
 
-def _neighbours(graph: DataFrame, salt: int) -> DataFrame:
-    """node, other, fresh: each list and at most as many that list the node."""
-    back = graph.select(F.col("dst").alias("node"), F.col("src").alias("other"), "fresh")
-    back = _best(back, "node", WIDTH, [F.xxhash64(F.lit(salt), "node", "other"), F.col("other")])
+def _listing(graph: DataFrame, salt: int) -> DataFrame:
+    """node, other, fresh: at most ``WIDTH`` nodes that list the node."""
+    back = graph.select(F.col("dst").alias("node"), F.col("src").alias("other"), F.col("back").alias("fresh"))
+    return _best(back, "node", WIDTH, [F.desc("fresh"), F.xxhash64(F.lit(salt), "node", "other"), F.col("other")])
+
+
+def _neighbours(graph: DataFrame, back: DataFrame) -> DataFrame:
+    """node, other, fresh: each list and the nodes ``back`` that list the node."""
     ahead = graph.select(F.col("src").alias("node"), F.col("dst").alias("other"), "fresh")
     return ahead.unionByName(back).groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
 
@@ -215,7 +220,8 @@ def improved(graph: DataFrame, nodes: DataFrame, width: int, salt: int) -> DataF
     """One round: neighbours of each node are offered to each other."""
     last = graph.groupBy("src").agg(F.when(F.count(F.lit(1)) >= WIDTH, F.min("sim")).otherwise(F.lit(float("-inf"))).alias("last"))
     known = key_join(nodes.select("node", "packed", "norm"), last.withColumnRenamed("src", "node"), ["node"], "left")
-    met = _neighbours(graph, salt)
+    back = _listing(graph, salt)
+    met = _neighbours(graph, back)
     # Nodes with no fresh neighbour have nothing new to join.
     met = met.withColumn("any", F.max("fresh").over(Window.partitionBy("node"))).filter("any").drop("any")
     met = key_join(met.withColumnsRenamed({"node": "centre", "other": "node"}), known, ["node"])
@@ -246,13 +252,18 @@ def improved(graph: DataFrame, nodes: DataFrame, width: int, salt: int) -> DataF
             fine = (fresh[a:b, None] | fresh[None, a:b]) & (sims > last[a:b, None])
             np.fill_diagonal(fine, False)
             sims[~fine] = -np.inf
-            out.append(_top(ids[a:b], sims, OFFERS))
+            # A list has no place for more of them.
+            out.append(_top(ids[a:b], sims, WIDTH))
         if out:
             yield _links(*[np.concatenate(c) for c in zip(*out)])
 
-    offers = met.mapInArrow(joined, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim")).withColumn("fresh", F.lit(True))
-    old = graph.withColumn("fresh", F.lit(False))
-    both = old.unionByName(offers).groupBy("src", "dst").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    offers = met.mapInArrow(joined, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
+    offers = offers.withColumns({"fresh": F.lit(True), "back": F.lit(True)})
+    # Each list was joined whole; of the others just the nodes in ``back``.
+    tried = back.select(F.col("other").alias("src"), F.col("node").alias("dst"), F.lit(float("-inf")).alias("sim"))
+    tried = tried.withColumns({"fresh": F.lit(False), "back": F.lit(False)})
+    both = graph.withColumn("fresh", F.lit(False)).unionByName(offers).unionByName(tried).groupBy("src", "dst")
+    both = both.agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.min("back").alias("back"))
     return _best(both, "src", WIDTH, [F.desc("sim"), F.col("dst")])
 
 
@@ -263,11 +274,12 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
     width = size["width"] or 0
     graph = cut(first_graph(nodes, size["n"], width))
-    for i in range(ROUNDS):
+    # Sums of nearness only grow, so the rounds end.
+    renewed, i = math.inf, 0
+    while renewed > SETTLED * WIDTH * size["n"]:
         graph = cut(improved(graph, nodes, width, i))
         release(rows)
-        if graph.filter("fresh").count() <= SETTLED * WIDTH * size["n"]:
-            break
+        renewed, i = graph.filter("fresh").count(), i + 1
     return Index(nodes, graph, rows.select("id", *HASHES), width)
 
 
@@ -300,7 +312,7 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
     begin = F.array(F.col("query"), *[F.lit(r["node"]) for r in entries])
     starts = asked.select("query", F.explode(F.array_distinct(begin)).alias("node"))
     pool = cut(_measured(starts, nodes, asked, width).withColumn("open", F.lit(False)))
-    lists = cut(_neighbours(index.graph, ROUNDS).select("node", "other"))
+    lists = cut(_neighbours(index.graph, _listing(index.graph, 0)).select("node", "other"))
     order = [F.desc("sim"), F.col("node")]
     while not pool.filter(~F.col("open")).isEmpty():
         # One checkpoint a round; what is opened follows from the pool.

@@ -142,6 +142,27 @@ def test_one_long_vector_leaves_the_others_ranked(spark):
     assert recall_of_20(spark, rows) > 0.95
 
 
+def test_descent_goes_on_until_it_settles(spark, monkeypatch):
+    rounds, improved = [], nn_descent.improved
+
+    def watched(graph, nodes, width, salt):
+        after = nn_descent.cut(improved(graph, nodes, width, salt))
+        back = nn_descent._listing(graph, salt).select(F.col("other").alias("src"), F.col("node").alias("dst"))
+        untried = graph.filter("back").join(back, ["src", "dst"], "anti")
+        lost = after.join(untried, ["src", "dst"], "semi").filter("NOT back").count()
+        rounds.append((after.filter("fresh").count(), lost))
+        return after
+
+    monkeypatch.setattr(nn_descent, "improved", watched)
+    first = nn_descent.first_graph  # a poor one, for more rounds
+    monkeypatch.setattr(nn_descent, "first_graph", lambda *a: first(*a).filter(F.pmod(F.xxhash64("src", "dst"), F.lit(12)) == 0))
+    monkeypatch.setattr(nn_descent, "SETTLED", 0.001)
+    recall = recall_of_20(spark, clustered_vectors(1600, 4))
+    assert recall > 0.95
+    assert len(rounds) > 3 and rounds[-1][0] <= 0.001 * nn_descent.WIDTH * 1600
+    assert not any(lost for _, lost in rounds)  # what was not joined stays to be joined
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0]) for i in range(0, 200)]  # equal vectors: ties to the smaller id
