@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bin_slack, centroid_langid, chat_quotes, chunk_dedup, covering_simhash, line_frequency, nbsvm, nn_descent, pair_bpe, shard_tree
+from strata.llm import (
+    bin_slack,
+    centroid_langid,
+    chat_quotes,
+    chunk_dedup,
+    conv_trie,
+    covering_simhash,
+    line_frequency,
+    nbsvm,
+    nn_descent,
+    pair_bpe,
+    shard_tree,
+    slice_whiten,
+)
 from strata.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +119,18 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    numbered = conv_trie.turns(table(spark, sf_dir, "conversations"))
+    nodes = conv_trie.with_digests(conv_trie.collapse(conv_trie.rebuild(numbered)))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op13_spectrum_slicing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's place on the eight leading components."""
+    return slice_whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the document pipeline."""
     from corpus_pipeline import run  # it imports this module
@@ -124,6 +149,8 @@ QUERIES: dict[str, Query] = {
     "op8_line_chunks": op8_line_chunks,
     "op9_nn_descent": op9_nn_descent,
     "op10_covering_simhash": op10_covering_simhash,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_spectrum_slicing": op13_spectrum_slicing,
     "pipeline": pipeline,
 }
 

@@ -13,7 +13,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_frequent_lines_and_chunks_match_sql(spark, tmp_path):
