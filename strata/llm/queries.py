@@ -21,6 +21,7 @@ from strata.llm import (
     pair_bpe,
     shard_tree,
     slice_whiten,
+    weak_pii,
 )
 from strata.llm.oracle import ORACLE
 
@@ -119,6 +120,15 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts and digest, all spans."""
+    found = weak_pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in weak_pii.KINDS]
+    digest = F.sha2(weak_pii.listed(base).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, weak_pii.listed(F.col("spans")).alias("spans"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations."""
     numbered = conv_trie.turns(table(spark, sf_dir, "conversations"))
@@ -149,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_chunks": op8_line_chunks,
     "op9_nn_descent": op9_nn_descent,
     "op10_covering_simhash": op10_covering_simhash,
+    "op11_weak_supervision": op11_weak_supervision,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_spectrum_slicing": op13_spectrum_slicing,
     "pipeline": pipeline,
