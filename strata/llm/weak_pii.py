@@ -275,12 +275,31 @@ def scan(text: str) -> list[tuple[int, int, int, bool, int, list[int]]]:
 
 # --- models on the driver -------------------------------------------------------------
 
-# What a labeler does on true and on false candidates before any is seen: shares
-# of no, silent, yes; they count as STRENGTH candidates.
-PRIOR = np.array([[0.6, 0.3, 0.1], [0.1, 0.3, 0.6]])
+# What each labeler does before any candidate is seen: shares of no, silent, yes
+# on false and on true candidates; they count as STRENGTH candidates.  A check
+# says much, a form or an edge little: other numbers have the same.
+PRIOR = np.array(
+    [
+        [[0.80, 0.15, 0.05], [0.05, 0.25, 0.70]],  # rule
+        [[0.40, 0.20, 0.40], [0.10, 0.10, 0.80]],  # form
+        [[0.40, 0.20, 0.40], [0.10, 0.10, 0.80]],  # edges
+        [[0.50, 0.20, 0.30], [0.10, 0.30, 0.60]],  # gazetteer
+        [[0.01, 0.89, 0.10], [0.01, 0.59, 0.40]],  # words for
+        [[0.40, 0.59, 0.01], [0.05, 0.94, 0.01]],  # words against
+    ]
+)
+# A number that fails its checksum is hardly ever a card.
+CARD_RULE = np.array([[0.98, 0.01, 0.01], [0.01, 0.01, 0.98]])
 STRENGTH = 10.0
 
 
+def priors(kind: int) -> np.ndarray:
+    own = PRIOR.copy()
+    if kind == CARD:
+        own[0] = CARD_RULE
+    return own
+
+
 @dataclass
 class Reliability:
     """Of one kind: share of true candidates, and per labeler and truth the
@@ -291,12 +310,12 @@ class Reliability:
     truth: dict[int, float]  # chance that a candidate with this vote pattern is true
 
 
-def em(counts: dict[int, int]) -> Reliability:
+def em(counts: dict[int, int], prior: np.ndarray = PRIOR) -> Reliability:
     """Reliabilities from the counts of vote patterns, without any true label."""
     codes = sorted(counts)
     seen = np.array([unpattern(c) for c in codes]).reshape(-1, len(LABELERS)) + 1
     weight = np.array([counts[c] for c in codes], float)
-    rates = np.repeat(PRIOR[None], len(LABELERS), axis=0)
+    rates = prior.copy()
     share, truth = 0.5, np.zeros(len(codes))
     places = np.arange(len(LABELERS))
     for _ in range(ROUNDS):
@@ -309,7 +328,7 @@ def em(counts: dict[int, int]) -> Reliability:
         share = float((weight @ truth + 1) / (weight.sum() + 2))
         for a in places:
             for t, own in enumerate((weight * (1 - truth), weight * truth)):
-                held = np.bincount(seen[:, a], weights=own, minlength=3) + STRENGTH * PRIOR[t]
+                held = np.bincount(seen[:, a], weights=own, minlength=3) + STRENGTH * prior[a, t]
                 rates[a, t] = held / held.sum()
     return Reliability(share, rates, dict(zip(codes, truth.tolist())))
 
@@ -380,7 +399,7 @@ def fit(found: DataFrame) -> Model:
     counts: dict[int, dict[int, int]] = {}
     for r in alike.groupBy("kind", "pattern").agg(F.sum("n").alias("n")).collect():  # at most 4 * 3 ** 6 rows
         counts.setdefault(r["kind"], {})[r["pattern"]] = r["n"]
-    own = {kind: em(seen) for kind, seen in counts.items()}
+    own = {kind: em(seen, priors(kind)) for kind, seen in counts.items()}
     # A stated bound: the distinct candidates with the smallest hashes, with their numbers.
     hashed = F.xxhash64(F.lit("sample"), "kind", "pattern", "features")
     rows = alike.withColumn("hash", hashed).orderBy("hash", "kind", "pattern", "features").limit(SAMPLE).collect()
