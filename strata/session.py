@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -77,6 +81,31 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "strata", *parts])
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run: its source goes
+    into a zip below the shared checkpoint folder, which Spark hands to them
+    (``addPyFile``).  Once per application; ``--py-files`` does the same."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join(os.path.basename(root), os.path.relpath(path, root)))
+    target = scratch_path(spark, "code", f"strata-{uuid.uuid4().hex}.zip")
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(bytearray(packed.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    sc._strata_shipped = True
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Partition count for explicit repartitions: the shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

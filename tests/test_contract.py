@@ -41,3 +41,19 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert problem is None, problem
+
+
+def test_other_queries_stay_when_a_dependency_of_the_operators_is_absent():
+    """Run apart: importing the entry without the tokenizer files' package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore'); sys.modules['public_tokenizers'] = None\n"
+        f"sys.path.insert(0, {root!r}); import __spark_entry__ as e\n"
+        "print(len(e.queries()), len(e.oracle_sql()), sum(n.startswith('op') for n in e.queries()))"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd="/", timeout=120)
+    assert out.stdout.split() == [str(len(OWN)), str(len(OWN)), "0"], out.stderr
