@@ -1,28 +1,37 @@
 """Merges as DataFrame expressions: upsert, delete, CDC apply, SCD type 2.
 
 Open-source Spark has no ``MERGE INTO`` for plain parquet tables, so each
-merge is a pure function ``(target, changes) -> new target`` made of joins,
-unions and windows; ``strata.sources.store`` publishes the result as a new
-table version.
+merge is a pure function ``(target, changes) -> new target``;
+``merge_partitions`` writes the result over the partitions of a stored table that
+a batch touches.
+
+The cost of a merge follows the batch: ``strata.operators.keyset.split`` divides
+the target, where it is read, into rows that may hold a key of the batch and all
+others.  Only the first meet the batch in a shuffle; the others pass through a
+filter into the result.  Every merge leaves a row whose key is not in the batch as
+it is, so the few such rows among the first do no harm.  ``changes`` is used
+twice (keys, merge): pass a checkpointed frame, or one that is cheap to compute.
 
 Every merge here is idempotent (applying the same batch twice gives the same
 table as applying it once), so replaying a batch after a crash between
-publishing the table and storing the high-water mark is safe.
+writing the table and storing the high-water mark is safe.
 
-Plan notes: the target and the batch are joined on the key (sort-merge, or a
-broadcast of the batch when AQE measures it under the broadcast threshold);
-``keep_first`` reduces the batch to one row per key with a partial
-``WindowGroupLimit`` before its shuffle, so a key repeated many times in a
-batch does not pile up in one task.
+``keep_first`` reduces keys to one row with a partial ``WindowGroupLimit``
+before its shuffle, so a key repeated many times in a batch does not pile up
+in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import keep_first
+from strata.operators.keyset import split
 from strata.operators.sequence import NEXT, PREV, with_neighbor
+from strata.sources.lake import Lake, Partition, settled
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -40,13 +49,17 @@ def latest_per_key(
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str], ts: str = "updated_at") -> DataFrame:
     """SCD type 1 / ``WHEN MATCHED UPDATE ... WHEN NOT MATCHED INSERT``: per
     key the newest of the target row and the changes stays, so a change that
-    arrives late does not undo a newer one.  ``target`` has the ``ts`` column."""
-    return latest_per_key(target.unionByName(changes.select(*target.columns)), keys, ts)
+    arrives late does not undo a newer one.  ``target`` has the ``ts`` column
+    and at most one row per key."""
+    touched, rest = split(target, changes, keys)
+    return rest.unionByName(latest_per_key(touched.unionByName(changes.select(*target.columns)), keys, ts))
 
 
 def delete_keys(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
-    """``WHEN MATCHED DELETE``: drop target rows whose key is in ``doomed``."""
-    return target.join(doomed.select(*keys), keys, "left_anti")
+    """``WHEN MATCHED DELETE``: drop target rows whose key is in ``doomed``, by an
+    anti-join of those that may hold one.  A null key matches nothing."""
+    touched, rest = split(target, doomed, keys)
+    return rest.unionByName(touched.join(doomed.select(*keys).distinct(), keys, "left_anti"))
 
 
 DELETED = "is_deleted"
@@ -72,7 +85,9 @@ def apply_changes(
     """
     marked = changes.withColumn(DELETED, F.col(op) == DELETE)
     old = target if DELETED in target.columns else target.withColumn(DELETED, F.lit(False))
-    rows = latest_per_key(old.unionByName(marked.select(*old.columns)), keys, ts, first=[F.col(DELETED).desc()])
+    touched, rest = split(old, changes, keys)
+    rows = latest_per_key(touched.unionByName(marked.select(*old.columns)), keys, ts, first=[F.col(DELETED).desc()])
+    rows = rest.unionByName(rows)
     return rows if DELETED in target.columns else live_rows(rows)
 
 
@@ -102,16 +117,16 @@ def scd2_merge(
       ``valid_to`` = start of its successor).
     * A change not newer than the key's current version is late and ignored.
 
-    Plan: the late-change test is a join with the live rows (one per key);
-    "previous version" and "next version" come from ``with_neighbor``, which
-    range-partitions the rows, so a key that changes very often is spread over
-    many tasks instead of one window partition.
-    Closed history rows are not touched.
+    Plan: closed versions and current versions of other keys pass through.  The
+    late-change test is a join with the current versions that a key of the
+    batch may have (one per key); "previous version" and "next version" come
+    from ``with_neighbor``, which range-partitions these and the changes, so a key
+    that changes very often is spread over many tasks instead of one window
+    partition.
     """
     payload = [c for c in target.columns if c not in (valid_from, valid_to, current)]
     rest = [F.col(c).asc_nulls_first() for c in payload if c not in keys]
-    history = target.filter(~F.col(current))
-    live = target.filter(F.col(current))
+    live, others = split(target, changes, keys, within=F.col(current))
 
     live_from = live.select(*keys, F.col(valid_from).alias("_live_from"))
     fresh = (
@@ -137,43 +152,46 @@ def scd2_merge(
         F.col("_n_t").isNull().alias(current),
     )
     # Live rows that gained no successor come out identical to their input.
-    return history.unionByName(closed_or_new.select(*target.columns))
+    return others.unionByName(closed_or_new.select(*target.columns))
+
+
+def touched_parts(df: DataFrame, partition: Partition) -> list:
+    """The distinct partition values of ``df`` (one per partition reaches the driver)."""
+    return sorted(r[0] for r in df.select(partition.of()).distinct().collect())
 
 
 def merge_partitions(
-    store,
-    name: str,
+    lake: Lake,
+    table: str,
     changes: DataFrame,
     keys: list[str],
-    merge,
-    expression: str,
-    empty: DataFrame,
-    partition_can_change: bool = True,
-    touched: list[str] | None = None,
-):
-    """Merge ``changes`` into the partitioned table ``name`` of ``store``,
-    touching only the partitions involved; returns the partition-level write
-    for ``store.commit``.
-
-    Touched partitions = those of the changed rows, plus (when a row's
-    partition value can change, e.g. a corrected date) those currently
-    holding one of the changed keys - found with a semi-join that reads only
-    the key and partition columns of the table.  Only those partitions are
-    read, merged with ``merge(old, changes)`` and rewritten.  ``empty`` is
-    the (empty) target used before the table exists.
-
-    ``changes`` is used three times (partition list, key probe, merge): pass
-    a persisted or checkpointed frame.  ``touched`` may pass the partitions
-    of ``changes`` when the caller already has them.
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    partition: Partition,
+    moves: bool = True,
+) -> list:
+    """Merge ``changes`` into the stored ``table``, reading and rewriting only the
+    partitions involved; returns their values.
+
+    They are the partitions of the changed rows and (when a row's partition can
+    change, e.g. by a corrected date) those that hold one of the changed keys,
+    found by a pass over the key and partition columns of the table.
+    ``merge(old, changes)`` sees the rows of these partitions without the partition
+    column; its result is checkpointed, then written by dynamic partition
+    overwrite.  A partition that the merge has emptied is dropped.
+
+    ``changes`` is used several times: pass a checkpointed frame.
     """
-    from strata.sources.store import Partitioned
-
-    touched = set(touched if touched is not None else store.touched_partitions(changes, expression))
-    if store.exists(name):
-        if partition_can_change:
-            holders = store.read(name).join(changes.select(*keys).distinct(), keys, "left_semi")
-            touched |= set(store.touched_partitions(holders, expression))
-        old = store.read_partitions(name, sorted(touched))
-    else:
-        old = empty
-    return Partitioned(merge(old, changes), expression, sorted(touched))
+    whole = lake.read(table)
+    touched = set(touched_parts(changes, partition))
+    if moves:
+        holders, _ = split(whole, changes, keys)
+        touched |= {r[0] for r in holders.select(partition.column).distinct().collect()}
+    if not touched:
+        return []
+    own = [c for c in whole.columns if c != partition.column]
+    old = whole.filter(F.col(partition.column).isin(sorted(touched))).select(*own)
+    rows = settled(merge(old, changes).withColumn(partition.column, partition.of()))
+    lake.replace_partitions(table, rows)
+    left = {r[0] for r in rows.select(partition.column).distinct().collect()}
+    lake.drop_partitions(table, partition.column, sorted(touched - left))
+    return sorted(touched)

@@ -14,6 +14,9 @@ ascending default).
 
 from __future__ import annotations
 
+from strata.plans.medallion import SHOWN
+from strata.plans.rides import GOLD_RIDES, SILVER_RIDES
+
 # The rules' patterns.
 EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 CUST_ID = r"^CUST_\d+$"
@@ -582,6 +585,25 @@ WHERE start_ts IS NULL OR end_ts IS NULL OR date_sub('minute', start_ts, end_ts)
 )
 ORACLE["bike_gold"] = build("SELECT * FROM gold_rides", "gold_rides")
 
+ORACLE["bike_gold_stored"] = ORACLE["bike_gold"]
+
+
+def _stored_columns(view: str, rows: str, columns: list) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{view}' AS table_name, CAST({i} AS INTEGER) AS position, '{c.name}' AS column_name, '{c.type}' AS data_type, "
+        f"'{c.comment}' AS comment, (SELECT COUNT(*) FROM {rows}) AS row_count"
+        for i, c in enumerate(columns, 1)
+    )
+
+
+ORACLE["bike_stored_columns"] = build(
+    _stored_columns("silver_bike_rides", "silver_rides", SILVER_RIDES)
+    + "\nUNION ALL\n"
+    + _stored_columns("gold_bike_days", "gold_rides", GOLD_RIDES),
+    "silver_rides",
+    "gold_rides",
+)
+
 # --- audits --------------------------------------------------------------------
 
 
@@ -748,6 +770,22 @@ ORACLE["scd2_customers_stored"] = ORACLE["scd2_customers"]
 ORACLE["scd2_history"] = build("SELECT * FROM scd2 ORDER BY customer_id, valid_from DESC", "scd2")
 ORACLE["cdc_transactions"] = build("SELECT * FROM cdc", "cdc")
 ORACLE["cdc_transactions_stream"] = ORACLE["cdc_transactions"]
+ORACLE["cdc_transactions_pruned"] = ORACLE["cdc_transactions"]
+ORACLE["cdc_deletes_only"] = build(
+    "SELECT * EXCLUDE (_rn, cdc_operation) FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in [*_TXN_COLS, "cdc_operation"])
+    + ") AS _rn FROM txn_changes WHERE updated_at <= TIMESTAMP '2024-01-15') "
+    "WHERE _rn = 1 AND transaction_id NOT IN (SELECT transaction_id FROM txn_changes WHERE cdc_operation = 'D')",
+    "txn_changes",
+)
+ORACLE["checkpoint_seeded"] = build(
+    """
+SELECT 'bronze_customers' AS table_name, MAX(updated_at) AS last_processed_timestamp,
+       COUNT(*) FILTER (regexp_matches(customer_id, '^CUST_[0-9]+$')) AS records_processed, TIMESTAMP '2024-01-15 00:00:00' AS updated_at
+FROM cust_feed WHERE updated_at <= TIMESTAMP '2024-01-15'
+UNION ALL SELECT 'bronze_transactions', TIMESTAMP '1900-01-01 00:00:00', 0, TIMESTAMP '2024-01-15 00:00:00'""",
+    "cust_feed",
+)
 ORACLE["checkpoint_after_run"] = build("SELECT * FROM checkpoint_rows", "checkpoint_rows")
 ORACLE["checkpoint_lag"] = build(
     """
@@ -803,10 +841,33 @@ ORACLE["source_file_audit"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{t}.parquet' AS file_name, COUNT(*) AS row_count FROM {t}" for t in TABLES
 )
 
+
+def _first_rows(tables: list[str], n: int) -> str:
+    def one(table: str) -> str:
+        text = ", ".join(f"'{c}=' || coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in SHOWN[table])
+        key = SHOWN[table][0]
+        return (
+            f"SELECT * FROM (SELECT '{table}' AS table_name, row_number() OVER (ORDER BY {key} ASC NULLS LAST, fields ASC) AS position, fields "
+            f"FROM (SELECT {key}, concat_ws('|', {text}) AS fields FROM {table})) WHERE position <= {n}"
+        )
+
+    return build("\nUNION ALL\n".join(one(x) for x in tables), *tables)
+
+
+ORACLE["raw_heads"] = _first_rows(["bronze_customers", "bronze_products", "bronze_orders", "bronze_transactions"], 5)
+ORACLE["silver_samples"] = _first_rows(["silver_customers", "silver_products", "silver_orders", "silver_transactions"], 10)
+
 # --- raw layer -----------------------------------------------------------------
 
 ORACLE["raw_documents"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE["raw_rides"] = build("SELECT * FROM bronze_rides", "bronze_rides")
+# Every field stands in quotes; commas between fields, one line end per row.
+ORACLE["raw_file_sizes"] = build(
+    "SELECT CAST(COUNT(*) AS BIGINT) AS row_count, CAST(SUM("
+    + " + ".join(f"strlen(coalesce({c}, '')) + 3" for c in "ride_id start_time end_time start_station_id end_station_id bike_id user_type".split())
+    + ") AS BIGINT) AS data_bytes FROM bronze_rides",
+    "bronze_rides",
+)
 ORACLE["raw_medallion"] = build(
     "SELECT snapshot_date, total_revenue, total_orders, total_transactions FROM gold_total_revenue", "gold_total_revenue"
 )

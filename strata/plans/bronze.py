@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strata.sources.raw_files import read_csv
-from strata.sources.store import TableStore
+from strata.sources.lake import Lake
 
 # (bronze table, file name or pattern, multi-line?) of the raw retail layer.
 RETAIL_FILES = (
@@ -35,8 +35,10 @@ def read_retail(
 
 
 def ingest_retail(
-    spark: SparkSession, folder: str, store: TableStore, schemas: dict[str, StructType | str] | None = None
-) -> int:
-    """Overwrite the four bronze tables from the raw files, published as one
-    store version."""
-    return store.commit(read_retail(spark, folder, schemas))
+    spark: SparkSession, folder: str, lake: Lake, schemas: dict[str, StructType | str] | None = None
+) -> list[str]:
+    """Overwrite the four bronze tables from the raw files; returns their names."""
+    frames = read_retail(spark, folder, schemas)
+    for name, df in frames.items():
+        lake.overwrite(name, df)
+    return list(frames)

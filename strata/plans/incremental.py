@@ -8,12 +8,13 @@ the batch size.  An empty batch keeps the old mark (SURVEY §2.14-5..7).
 
 The mark is a single timestamp collected to the driver and used as a
 literal filter, so Catalyst pushes ``updated_at > mark`` into the parquet
-scan (row groups whose statistics are older are skipped).
+scan (row groups whose statistics are older are skipped).  A feed that is stored
+by change day (``store_feed``) is pruned to the days from the mark on.
 
-``run_customers`` / ``run_transactions`` are pure: they return the new frames
-(``publish_customers`` / ``publish_transactions`` write them whole).
-``run_customers_stored`` / ``run_transactions_stored`` run against a
-``TableStore`` and rewrite only the partitions a batch touches.
+``run_customers`` / ``run_transactions`` return the new frames.
+``run_customers_stored`` / ``run_transactions_stored`` run against the tables of
+a ``Lake`` and rewrite only the partitions a batch touches; the control row is
+written last, so a run that dies is run again and gives the same tables.
 """
 
 from __future__ import annotations
@@ -31,8 +32,7 @@ from strata.functions import quality as q
 from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
 from strata.operators.merge import DELETED, apply_changes, live_rows, merge_partitions, scd2_merge, upsert
-from strata.session import checkpoint_dir
-from strata.sources.store import Partitioned, TableStore
+from strata.sources.lake import Lake, Partition, settled
 
 CUSTOMERS_SOURCE = "bronze_customers"
 TRANSACTIONS_SOURCE = "bronze_transactions"
@@ -97,9 +97,12 @@ def empty(spark, columns: list[Column]) -> DataFrame:
 def seed_checkpoints(checkpoints: DataFrame, sources: list[str], at: datetime) -> DataFrame:
     """Add a first-run row (mark 1900-01-01, 0 records) for each source that
     has none: an anti-join of the seeds against the table, then a union."""
-    spark = checkpoints.sparkSession
-    seeds = literal_frame(spark, [(s, q.DEFAULT_MARK, 0, at) for s in sources], CHECKPOINT)
-    return checkpoints.unionByName(seeds.join(checkpoints.select("table_name"), "table_name", "left_anti"))
+    return checkpoints.unionByName(missing_seeds(checkpoints, sources, at))
+
+
+def missing_seeds(checkpoints: DataFrame, sources: list[str], at: datetime) -> DataFrame:
+    seeds = literal_frame(checkpoints.sparkSession, [(s, q.DEFAULT_MARK, 0, at) for s in sources], CHECKPOINT)
+    return seeds.join(checkpoints.select("table_name"), "table_name", "left_anti")
 
 
 def read_mark(checkpoints: DataFrame, source: str) -> datetime:
@@ -108,10 +111,12 @@ def read_mark(checkpoints: DataFrame, source: str) -> datetime:
     return row[0] if row and row[0] is not None else q.DEFAULT_MARK
 
 
-def newer_than(source: DataFrame, mark: datetime, ts: str = "updated_at") -> DataFrame:
+def newer_than(source: DataFrame, mark: datetime, ts: str = "updated_at", day: str | None = None) -> DataFrame:
     """Rows strictly newer than the mark; a row stamped exactly at the mark
-    was taken by the run that set it and is not read again."""
-    return source.filter(F.col(ts) > q.wall_clock(mark))
+    was taken by the run that set it and is not read again.  ``day`` names the
+    column by whose days the source is stored: older days are not opened."""
+    rows = source.filter(F.col(ts) > q.wall_clock(mark))
+    return rows.filter(F.col(day) >= F.lit(mark.date())) if day else rows
 
 
 def record_progress(
@@ -127,19 +132,17 @@ def record_progress(
 
     The mark is the newest time of the whole batch, so rows that cleaning
     drops are not read again; the count is of the rows that pass it
-    (``processed``).
+    (``processed``).  The row with the newest mark stays.  The table has one row
+    per source; it is computed here and now, so that plans do not grow from run
+    to run.
     """
     counted = F.count(F.lit(1)) if processed is None else F.count_if(processed)
-    newest, count = batch.agg(F.max(ts), counted).first()
-    if newest is None:
-        return checkpoints
-    # The control table holds one row per source, so it is small by
-    # construction: its keyed upsert (MERGE ... WHEN MATCHED UPDATE / WHEN NOT
-    # MATCHED INSERT) is done on its rows and the result rebuilt as literals,
-    # instead of carrying an ever longer lazy plan from run to run.
-    rows = {r.table_name: tuple(r) for r in checkpoints.select(*names(CHECKPOINT)).collect()}
-    rows[source] = (source, newest, count, at)
-    return literal_frame(checkpoints.sparkSession, sorted(rows.values()), CHECKPOINT)
+    row = batch.agg(F.max(ts).alias("last_processed_timestamp"), counted.alias("records_processed"))
+    row = row.filter(F.col("last_processed_timestamp").isNotNull()).select(
+        F.lit(source).alias("table_name"), "last_processed_timestamp", "records_processed", q.wall_clock(at).alias("updated_at")
+    )
+    merged = upsert(checkpoints, settled(row), ["table_name"], ts="last_processed_timestamp")
+    return settled(merged.coalesce(1))
 
 
 def checkpoint_lag(checkpoints: DataFrame, sources: dict[str, DataFrame], ts: str = "updated_at") -> DataFrame:
@@ -237,9 +240,8 @@ class TransactionState:
 
 def run_customers(source: DataFrame, state: CustomerState, at: datetime) -> CustomerState:
     """One incremental run of the customer dimension (SCD1 and SCD2)."""
-    mark = read_mark(state.checkpoints, CUSTOMERS_SOURCE)
-    batch = newer_than(source, mark)
-    changes = customer_changes(batch)
+    batch = staged_batch(source, read_mark(state.checkpoints, CUSTOMERS_SOURCE))
+    changes = settled(customer_changes(batch))
     scd1 = upsert(state.scd1, changes.select(*names(SCD1)), ["customer_id"])
     progress = record_progress(
         state.checkpoints, CUSTOMERS_SOURCE, batch, at, processed=q.valid_customer_id("customer_id")
@@ -251,9 +253,8 @@ def run_transactions(
     source: DataFrame, state: TransactionState, at: datetime, discount_unit: str = q.FRACTION
 ) -> TransactionState:
     """One incremental run of the transaction table (CDC apply)."""
-    mark = read_mark(state.checkpoints, TRANSACTIONS_SOURCE)
-    batch = newer_than(source, mark)
-    kept = apply_changes(state.kept, transaction_changes(batch, discount_unit), ["transaction_id"])
+    batch = staged_batch(source, read_mark(state.checkpoints, TRANSACTIONS_SOURCE))
+    kept = apply_changes(state.kept, settled(transaction_changes(batch, discount_unit)), ["transaction_id"])
     progress = record_progress(
         state.checkpoints, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull()
     )
@@ -282,124 +283,121 @@ CDC_TABLE = "silver_transactions_incremental"
 CHECKPOINT_TABLE = "checkpoint_table"
 
 
-def load_customers(store: TableStore, at: datetime) -> CustomerState:
-    return CustomerState(
-        store.read(SCD1_TABLE, SCD1),
-        lambda: store.read(SCD2_TABLE, SCD2),
-        seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at),
-    )
+DECLARED = {CHECKPOINT_TABLE: CHECKPOINT, SCD1_TABLE: SCD1, SCD2_TABLE: SCD2, CDC_TABLE: TRANSACTIONS_KEPT}
 
+# Customer dimensions are stored in buckets of a hash of the key: a key never
+# changes its bucket, so a run reads and rewrites the buckets of its keys.
+CUSTOMER_BUCKETS = 64
+KEY_BUCKET = Partition("key_bucket", "int", f"pmod(xxhash64(customer_id), {CUSTOMER_BUCKETS})")
+# One partition per month of the transaction.
+TXN_MONTH = Partition("txn_month", "string", "coalesce(date_format(transaction_date, 'yyyy-MM'), 'none')")
+# SCD2 versions also by segment: the current ones of a bucket are replaced, closed
+# ones are added as a segment of the run that closed them.
+CURRENT = "current"
+SEGMENT = Column("segment", "string", "current, or the mark at which a run closed the version")
 
-def load_transactions(store: TableStore, at: datetime) -> TransactionState:
-    return TransactionState(
-        store.read(CDC_TABLE, TRANSACTIONS_KEPT),
-        seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [TRANSACTIONS_SOURCE], at),
-    )
+PARTITIONS = {SCD1_TABLE: KEY_BUCKET, SCD2_TABLE: KEY_BUCKET, CDC_TABLE: TXN_MONTH}
 
 
-def publish_customers(store: TableStore, state: CustomerState, base: int | None = None) -> int:
-    """Publish both dimensions and the checkpoint in one store version;
-    ``base`` is the version that the state was loaded from."""
-    tables = {SCD1_TABLE: state.scd1, SCD2_TABLE: state.scd2, CHECKPOINT_TABLE: state.checkpoints}
-    return store.commit(tables, base)
+def create_tables(lake: Lake, tables: tuple[str, ...] = tuple(DECLARED)) -> list[str]:
+    """The declared tables that were not there yet, created with their column
+    types; returns their names."""
+    made = []
+    for name in tables:
+        columns = [*DECLARED[name], *([SEGMENT] if name == SCD2_TABLE else [])]
+        by = [SEGMENT.name] if name == SCD2_TABLE else []
+        if lake.create(name, columns, PARTITIONS.get(name), also_by=by):
+            made.append(name)
+    return made
 
 
-# Stored customer dimensions are bucketed by a hash of the key: a run reads
-# and rewrites only the buckets its changed keys fall in.  The SCD2 table
-# also keeps current and closed versions apart: current versions live in
-# their key's bucket (replaced when touched), closed versions are only ever
-# appended to the history partition, which a run never reads.
-CUSTOMER_BUCKETS = 64
-_BUCKET = f"pmod(xxhash64(customer_id), {CUSTOMER_BUCKETS})"
-SCD1_PARTITION = f"CAST({_BUCKET} AS STRING)"
-SCD2_PARTITION = f"CASE WHEN is_current THEN concat('current-', {_BUCKET}) ELSE 'history' END"
-
-
-def run_customers_stored(store: TableStore, source: DataFrame, at: datetime) -> int:
-    """One stored incremental run of the customer dimension, published as one
-    store version: SCD1 rows and SCD2 current versions of the touched key
-    buckets replaced, newly closed SCD2 versions appended, checkpoint
-    updated."""
-    base = store.version()
-    checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [CUSTOMERS_SOURCE], at)
-    batch = staged_batch(source, read_mark(checkpoints, CUSTOMERS_SOURCE))
-    changes = customer_changes(batch)
-    spark = changes.sparkSession
-    # A key never changes bucket, so the touched buckets are the batch's.
-    buckets = store.touched_partitions(changes, _BUCKET)
-    scd1 = merge_partitions(
-        store,
-        SCD1_TABLE,
-        changes.select(*names(SCD1)),
-        ["customer_id"],
-        lambda old, ch: upsert(old, ch, ["customer_id"]),
-        SCD1_PARTITION,
-        empty(spark, SCD1),
-        partition_can_change=False,
-        touched=buckets,
-    )
-    current = [f"current-{b}" for b in buckets]
-    live = store.read_partitions(SCD2_TABLE, current) if store.exists(SCD2_TABLE) else empty(spark, SCD2)
-    versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
-    progress = record_progress(
-        checkpoints, CUSTOMERS_SOURCE, batch, at, processed=q.valid_customer_id("customer_id")
-    )
-    return store.commit(
-        {SCD1_TABLE: scd1, SCD2_TABLE: Partitioned(versions, SCD2_PARTITION, current), CHECKPOINT_TABLE: progress},
-        base,
-    )
+def seed_control(lake: Lake, sources: list[str], at: datetime) -> None:
+    """Append a first-run row for each source without one (SNK-5): running it
+    again appends nothing."""
+    there = lake.read(CHECKPOINT_TABLE)
+    lake.append(CHECKPOINT_TABLE, settled(missing_seeds(there, sources, at)))
+
 
+def staged_batch(source: DataFrame, mark: datetime, day: str | None = None) -> DataFrame:
+    """The new rows of ``source``, written once below the shared checkpoint
+    folder: merge, mark and count all see the same rows."""
+    return settled(newer_than(source, mark, day=day))
 
-def publish_transactions(store: TableStore, state: TransactionState, base: int | None = None) -> int:
-    """Publish a whole new CDC table and the checkpoint in one version."""
-    return store.commit({CDC_TABLE: state.kept, CHECKPOINT_TABLE: state.checkpoints}, base)
 
+# --- the feed, stored by change day --------------------------------------------
 
-def read_transactions(store: TableStore) -> DataFrame:
-    """The stored CDC table as it stands: live rows only."""
-    return live_rows(store.read(CDC_TABLE, TRANSACTIONS_KEPT))
+CHANGE_DAY = "change_day"
 
 
-def staged_batch(source: DataFrame, mark: datetime) -> DataFrame:
-    """The new rows of ``source``, written once below the shared checkpoint
-    folder: merge, mark and count all see the same rows."""
-    checkpoint_dir(source.sparkSession)
-    return newer_than(source, mark).checkpoint()
+def store_feed(lake: Lake, table: str, feed: DataFrame, ts: str = "updated_at") -> None:
+    """Add ``feed`` to the stored feed ``table``, one partition per day of the
+    change; made on first use with the feed's columns."""
+    rows = feed.withColumn(CHANGE_DAY, F.to_date(ts))
+    if not lake.exists(table):
+        lake.overwrite(table, rows, partition_by=[CHANGE_DAY])
+    else:
+        lake.append(table, rows)
 
 
-# Partitions of the stored CDC table: one per month of transaction_date.
-TXN_PARTITION = "date_format(transaction_date, 'yyyy-MM')"
+def run_customers_stored(lake: Lake, source: DataFrame, at: datetime, day: str | None = None) -> None:
+    """One stored incremental run of the customer dimension: SCD1 rows and SCD2
+    current versions of the touched key buckets replaced, closed SCD2 versions
+    added, control row updated last.
+
+    The segment of closed versions is named after the mark that the run began
+    at: a run repeated after a crash writes the same segment again, with what it
+    held by then.
+    """
+    create_tables(lake, (CHECKPOINT_TABLE, SCD1_TABLE, SCD2_TABLE))
+    seed_control(lake, [CUSTOMERS_SOURCE], at)
+    control = lake.read(CHECKPOINT_TABLE)
+    mark = read_mark(control, CUSTOMERS_SOURCE)
+    batch = staged_batch(source, mark, day)
+    changes = settled(customer_changes(batch))
+    buckets = merge_partitions(
+        lake, SCD1_TABLE, changes, ["customer_id"], lambda old, ch: upsert(old, ch, ["customer_id"]), KEY_BUCKET, moves=False
+    )
+    stored = lake.read(SCD2_TABLE)
+    live = stored.filter((F.col(SEGMENT.name) == CURRENT) & F.col(KEY_BUCKET.column).isin(buckets)).select(*names(SCD2))
+    versions = scd2_merge(live, changes, ["customer_id"], SCD2_TRACKED)
+    closed = F.lit(mark.strftime("closed-%Y%m%d%H%M%S%f"))
+    segment = F.when(F.col("is_current"), F.lit(CURRENT)).otherwise(closed)
+    versions = versions.withColumns({SEGMENT.name: segment, KEY_BUCKET.column: KEY_BUCKET.of()})
+    if buckets:
+        begun = stored.filter((F.col(SEGMENT.name) == closed) & F.col(KEY_BUCKET.column).isin(buckets))
+        versions = versions.unionByName(begun).dropDuplicates(["customer_id", "valid_from"])
+        lake.replace_partitions(SCD2_TABLE, settled(versions))
+    progress = record_progress(control, CUSTOMERS_SOURCE, batch, at, processed=q.valid_customer_id("customer_id"))
+    lake.replace(CHECKPOINT_TABLE, progress)
 
 
-def merge_transaction_changes(store: TableStore, changes: DataFrame, expression: str = TXN_PARTITION):
-    """Partition-level CDC merge of ``changes`` into the stored table."""
-    spark = changes.sparkSession
+def read_versions(lake: Lake) -> DataFrame:
+    """The stored SCD2 dimension, all versions."""
+    return lake.read(SCD2_TABLE).select(*names(SCD2))
+
+
+def read_transactions(lake: Lake) -> DataFrame:
+    """The stored CDC table as it stands: live rows only."""
+    return live_rows(lake.read(CDC_TABLE).select(*names(TRANSACTIONS_KEPT)))
+
+
+def merge_transaction_changes(lake: Lake, changes: DataFrame) -> list:
+    """CDC merge of ``changes`` into the stored table, touched months only."""
+    create_tables(lake, (CDC_TABLE,))
     return merge_partitions(
-        store,
-        CDC_TABLE,
-        changes,
-        ["transaction_id"],
-        lambda old, ch: apply_changes(old, ch, ["transaction_id"]),
-        expression,
-        empty(spark, TRANSACTIONS_KEPT),
+        lake, CDC_TABLE, changes, ["transaction_id"], lambda old, ch: apply_changes(old, ch, ["transaction_id"]), TXN_MONTH
     )
 
 
 def run_transactions_stored(
-    store: TableStore,
-    source: DataFrame,
-    at: datetime,
-    discount_unit: str = q.FRACTION,
-    expression: str = TXN_PARTITION,
-) -> int:
+    lake: Lake, source: DataFrame, at: datetime, discount_unit: str = q.FRACTION, day: str | None = None
+) -> None:
     """One stored incremental CDC run: only the months the batch touches are
-    read and rewritten; table partitions and checkpoint are published in one
-    store version."""
-    base = store.version()
-    checkpoints = seed_checkpoints(store.read(CHECKPOINT_TABLE, CHECKPOINT), [TRANSACTIONS_SOURCE], at)
-    batch = staged_batch(source, read_mark(checkpoints, TRANSACTIONS_SOURCE))
-    write = merge_transaction_changes(store, transaction_changes(batch, discount_unit), expression)
-    progress = record_progress(
-        checkpoints, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull()
-    )
-    return store.commit({CDC_TABLE: write, CHECKPOINT_TABLE: progress}, base)
+    read and rewritten; the control row is updated last."""
+    create_tables(lake, (CHECKPOINT_TABLE, CDC_TABLE))
+    seed_control(lake, [TRANSACTIONS_SOURCE], at)
+    control = lake.read(CHECKPOINT_TABLE)
+    batch = staged_batch(source, read_mark(control, TRANSACTIONS_SOURCE), day)
+    merge_transaction_changes(lake, settled(transaction_changes(batch, discount_unit)))
+    progress = record_progress(control, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull())
+    lake.replace(CHECKPOINT_TABLE, progress)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.schema import Column, conform
+from strata.sources.lake import Lake
 from strata.sources.raw_files import read_text_csv
 
 # The names and types of the views' columns.
@@ -103,3 +104,19 @@ def gold_rides(spark: SparkSession, silver: DataFrame) -> DataFrame:
         F.max_by("end_station_id", F.struct("end_time", "ride_id")).alias("last_end_station_id"),
     )
     return conform(daily, GOLD_RIDES)
+
+
+# --- stored views ---------------------------------------------------------------
+
+SILVER_VIEW, GOLD_VIEW = "silver_bike_rides", "gold_bike_days"
+VIEWS = {SILVER_VIEW: SILVER_RIDES, GOLD_VIEW: GOLD_RIDES}
+
+
+def refresh_views(lake: Lake, bronze: DataFrame) -> None:
+    """Create the two stored results if absent, with the declared types and
+    comments, and refill them (``CREATE OR REFRESH``): the daily activity is
+    computed from the stored rides."""
+    for name, columns in VIEWS.items():
+        lake.create(name, columns)
+    lake.replace(SILVER_VIEW, silver_rides(lake.spark, bronze))
+    lake.replace(GOLD_VIEW, gold_rides(lake.spark, lake.read(SILVER_VIEW)))

@@ -3,7 +3,7 @@
 Each query builds the bronze entity frames from the driver tables, runs the
 jobs and returns the resulting DataFrame (lazy, except where a job
 checkpoints, collects its high-water mark, or - for the stored and
-streaming runs - writes to a fresh store below the shared checkpoint
+streaming runs - writes tables of a new database below the shared checkpoint
 folder).  Processing-time columns (``processed_at``, ``_updated_at``)
 are dropped, since they differ per run.
 """
@@ -21,8 +21,9 @@ from strata.functions.quality import PERCENT, wall_clock
 from strata.plans import audit, bronze, gold, incremental, medallion, rides, silver
 from strata.plans import datasets as ds
 from strata.session import scratch_path
+from strata.operators.merge import delete_keys
 from strata.sources import adapters, raw_files
-from strata.sources.store import TableStore
+from strata.sources.lake import Lake, scratch_lake
 from strata.sources.tables import TABLE_NAMES, DriverTables
 from strata.streaming.cdc_stream import start_cdc_stream
 
@@ -173,15 +174,61 @@ class Layers:
         txn = self.transaction_runs(runs, cust.checkpoints)
         return cust, txn
 
-    def stored_customer_runs(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> TableStore:
-        """The customer flow run at each time in ``runs`` against a table
-        store below the shared checkpoint folder (SCD2 history appended)."""
-        import uuid
-
-        store = TableStore(self.spark, scratch_path(self.spark, "customers", uuid.uuid4().hex))
+    def stored_customer_runs(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> Lake:
+        """The customer flow run at each time in ``runs`` against stored tables
+        (current versions replaced by bucket, closed versions added)."""
+        lake = scratch_lake(self.spark, "customers")
+        for at in runs:
+            incremental.run_customers_stored(lake, self._arrived(self.customer_feed, at), at)
+        return lake
+
+    def seeded_control(self) -> DataFrame:
+        """The declared tables created twice and the control table seeded twice,
+        then one run of the customer flow (SNK-4, SNK-5): its row has moved on, the
+        other source still has its seed."""
+        lake = scratch_lake(self.spark, "control")
+        for _ in range(2):
+            incremental.create_tables(lake)
+            incremental.seed_control(lake, [incremental.CUSTOMERS_SOURCE, incremental.TRANSACTIONS_SOURCE], RUN1_AT)
+        incremental.run_customers_stored(lake, self._arrived(self.customer_feed, RUN1_AT), RUN1_AT)
+        return incremental.checkpoint_listing(lake.read(incremental.CHECKPOINT_TABLE))
+
+    def pruned_transaction_runs(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> DataFrame:
+        """The transaction flow over a feed stored by change day: each run opens
+        the days from its mark on (INC-3, FLT-8)."""
+        lake = scratch_lake(self.spark, "feed")
+        previous = None
         for at in runs:
-            incremental.run_customers_stored(store, self._arrived(self.customer_feed, at), at)
-        return store
+            arrived = self._arrived(self.transaction_feed, at)
+            new = arrived if previous is None else arrived.filter(F.col("updated_at") > wall_clock(previous))
+            incremental.store_feed(lake, "transaction_feed", new)
+            previous = at
+            incremental.run_transactions_stored(lake, lake.read("transaction_feed"), at, day=incremental.CHANGE_DAY)
+        return incremental.read_transactions(lake)
+
+    def transactions_without_deleted(self) -> DataFrame:
+        """The table of the first run without the keys of a feed that holds
+        deletes only (MRG-6, JN-6)."""
+        first = self.transaction_runs((RUN1_AT,)).table
+        deletes = self.transaction_feed.filter(F.col("cdc_operation") == "D")
+        return delete_keys(first, deletes, ["transaction_id"])
+
+    def stored_rides(self) -> Lake:
+        """The bike results as stored views, refreshed twice (SNK-6, JOB-R2, JOB-R3)."""
+        lake = scratch_lake(self.spark, "rides")
+        for _ in range(2):
+            rides.refresh_views(lake, self.bronze_rides)
+        return lake
+
+    def stored_ride_columns(self) -> DataFrame:
+        """Name, type and comment of the stored views' columns, as the catalog has
+        them, with the rows of each view."""
+        lake = self.stored_rides()
+        rows = None
+        for view in rides.VIEWS:
+            own = lake.read(view).agg(F.lit(view).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+            rows = own if rows is None else rows.unionByName(own)
+        return lake.columns(list(rides.VIEWS)).join(rows, "table_name")
 
     def raw_copy(self, name: str, df: DataFrame, **options) -> str:
         """``df`` written as CSV files below the shared checkpoint folder, as a
@@ -204,7 +251,7 @@ class Layers:
         return rides.bronze_rides_from_csv(self.spark, f"{folder}/rides")
 
     def raw_medallion(self) -> DataFrame:
-        """The retail layers through files and the table store: raw CSV, bronze,
+        """The retail layers through files and named tables: raw CSV, bronze,
         silver, gold, each table overwritten (JOB-B, SNK-1, SNK-2, SRC-1, SRC-4)."""
         import uuid
 
@@ -220,17 +267,37 @@ class Layers:
         folder = scratch_path(self.spark, "raw", uuid.uuid4().hex)
         for name, df in frames.items():
             df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
-        store = TableStore(self.spark, scratch_path(self.spark, "lake", uuid.uuid4().hex))
+        lake = scratch_lake(self.spark, "retail")
         schemas = {
             "bronze_customers": self.bronze_customers.schema,
             "bronze_orders": self.bronze_orders.schema,
             "bronze_products": self.bronze_products.schema,
             "bronze_transactions": self.bronze_transactions.schema,
         }
-        bronze.ingest_retail(self.spark, folder, store, schemas)
-        medallion.build_silver(store)
-        medallion.build_gold(store)
-        return store.read("gold_total_revenue")
+        bronze.ingest_retail(self.spark, folder, lake, schemas)
+        medallion.build_silver(lake)
+        medallion.build_gold(lake)
+        return lake.read("gold_total_revenue")
+
+    def raw_file_sizes(self) -> DataFrame:
+        """Rows and bytes (without header lines) of the raw rides' files, by the
+        file audit (SRC-5)."""
+        folder = self.raw_copy("rides", self.bronze_rides.fillna(""), emptyValue="")
+        df = rides.bronze_rides_from_csv(self.spark, f"{folder}/rides")
+        header = sum(len(c) + 3 for c in df.columns)  # quotes, and a comma or line end
+        return raw_files.file_audit(df).agg(
+            F.sum("row_count").alias("row_count"), F.sum(F.col("file_size") - header).alias("data_bytes")
+        )
+
+    def raw_heads(self) -> DataFrame:
+        """The first five rows of the four raw entities (SRC-6)."""
+        names = ("bronze_customers", "bronze_products", "bronze_orders", "bronze_transactions")
+        return medallion.first_rows({n: getattr(self, n) for n in names}, 5)
+
+    def silver_samples(self) -> DataFrame:
+        """Ten rows of the four silver tables (PRJ-5)."""
+        tables = {"silver_customers": self.customers, "silver_products": self.products, "silver_orders": self.orders, "silver_transactions": self.transactions}
+        return medallion.first_rows(tables, 10)
 
     def silver_percent(self) -> DataFrame:
         """Transactions from a raw file with text dates and percent discounts (DT-7, NUM-4)."""
@@ -242,36 +309,37 @@ class Layers:
     def streamed_transactions(self, runs: tuple[datetime, ...] = (RUN1_AT, RUN2_AT)) -> DataFrame:
         """The CDC table built by the streaming job (STM-1).
 
-        The change feed arrives as parquet files in a folder below the
-        shared checkpoint folder, one drop per run time; after each drop an
-        available-now stream merges the new files.  The result must equal
-        the checkpointed batch runs (``cdc_transactions``).
+        The change feed arrives as parquet files in a folder below the shared
+        checkpoint folder, one drop per run time, the newest changes first; an
+        available-now stream after each drop merges the new files, one per
+        micro-batch.  The result must equal the checkpointed batch runs
+        (``cdc_transactions``).
         """
         import uuid
 
         root = scratch_path(self.spark, "cdc-stream", uuid.uuid4().hex)
-        store = TableStore(self.spark, f"{root}/store")
+        lake = scratch_lake(self.spark, "stream")
         feed = self.transaction_feed
-        previous = None
-        for at in runs:
+        bounds = [None, *runs]
+        for since, at in reversed(list(zip(bounds, runs))):
             drop = self._arrived(feed, at)
-            if previous is not None:
-                drop = drop.filter(F.col("updated_at") > wall_clock(previous))
-            drop.write.mode("append").parquet(f"{root}/feed")
-            previous = at
+            if since is not None:
+                drop = drop.filter(F.col("updated_at") > wall_clock(since))
+            drop.coalesce(2).write.mode("append").parquet(f"{root}/feed")
             start_cdc_stream(
                 self.spark,
                 f"{root}/feed",
                 feed.schema,
-                store,
+                lake,
                 incremental.CDC_TABLE,
                 incremental.TRANSACTIONS_KEPT,
                 ["transaction_id"],
                 f"{root}/stream-checkpoint",
+                incremental.TXN_MONTH,
                 transform=incremental.transaction_changes,
-                partition_expression=incremental.TXN_PARTITION,
+                max_files_per_trigger=1,
             ).awaitTermination()
-        return incremental.read_transactions(store)
+        return incremental.read_transactions(lake)
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,12 +365,15 @@ QUERIES: dict[str, Query] = {
     "raw_documents": _q(lambda p: p.raw_documents()),
     "raw_rides": _q(lambda p: p.raw_rides()),
     "raw_medallion": _q(lambda p: p.raw_medallion()),
+    "raw_file_sizes": _q(lambda p: p.raw_file_sizes()),
+    "raw_heads": _q(lambda p: p.raw_heads()),
     "silver_transactions_percent": _q(lambda p: p.silver_percent()),
     # silver full refresh (JOB-S1..S4)
     "silver_customers": _q(lambda p: p.customers),
     "silver_products": _q(lambda p: p.products),
     "silver_orders": _q(lambda p: p.orders),
     "silver_transactions": _q(lambda p: p.transactions),
+    "silver_samples": _q(lambda p: p.silver_samples()),
     # gold (JOB-G1..G5)
     "gold_total_revenue": _q(lambda p: p.total_revenue()),
     "gold_top_customers": _q(lambda p: p.top_customers()),
@@ -334,17 +405,22 @@ QUERIES: dict[str, Query] = {
     "bike_silver": _q(lambda p: p.silver_rides()),
     "bike_rejects": _q(lambda p: rides.rejected_rides(p.bronze_rides)),
     "bike_gold": _q(lambda p: p.gold_rides()),
+    "bike_gold_stored": _q(lambda p: p.stored_rides().read(rides.GOLD_VIEW)),
+    "bike_stored_columns": _q(lambda p: p.stored_ride_columns()),
     # audits (AUD-1, AUD-2)
     "audit_silver": _q(lambda p: p.audit_silver()),
     "audit_gold": _q(lambda p: p.audit_gold()),
     # incremental (JOB-C1..C3, INC-1..5, AUD-3)
     "scd1_customers": _q(lambda p: p.customer_runs().scd1),
     "scd2_customers": _q(lambda p: p.customer_runs().scd2),
-    "scd2_customers_stored": _q(lambda p: p.stored_customer_runs().read(incremental.SCD2_TABLE)),
+    "scd2_customers_stored": _q(lambda p: incremental.read_versions(p.stored_customer_runs())),
     "scd2_current": _q(lambda p: incremental.current_versions(p.customer_runs().scd2)),
     "scd2_history": _q(lambda p: incremental.version_history(p.customer_runs().scd2)),
     "cdc_transactions": _q(lambda p: p.transaction_runs().table),
     "cdc_transactions_stream": _q(lambda p: p.streamed_transactions()),
+    "cdc_transactions_pruned": _q(lambda p: p.pruned_transaction_runs()),
+    "cdc_deletes_only": _q(lambda p: p.transactions_without_deleted()),
+    "checkpoint_seeded": _q(lambda p: p.seeded_control()),
     "checkpoint_after_run": _q(lambda p: incremental.checkpoint_listing(p.incremental_runs()[1].checkpoints)),
     "checkpoint_lag": _q(
         lambda p: incremental.checkpoint_lag(

@@ -64,8 +64,8 @@ def file_audits(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile(name: str, df: DataFrame) -> DataFrame:
-    """One row: table_name, row_count, column_count, schema (SRC-6).  For
-    the first rows use ``df.limit(5)``."""
+    """One row: table_name, row_count, column_count, schema (SRC-6).  The first
+    rows are ``strata.plans.medallion.first_rows``."""
     return df.agg(
         F.lit(name).alias("table_name"),
         F.count(F.lit(1)).alias("row_count"),

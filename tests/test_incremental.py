@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import quality as q
 from strata.plans import incremental as inc
-from strata.sources.store import TableStore
+from strata.sources.lake import scratch_lake
 from tests.conftest import rows
 
 SRC = (
@@ -66,20 +66,52 @@ def test_incremental_batches_equal_one_full_batch(spark):
     assert state.scd2.count() == 4
 
 
-def test_stored_run_publishes_table_and_checkpoint_together(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "store"))
+def test_two_sources_share_the_control_table(spark):
+    feed = spark.createDataFrame([_row("CUST_1", "Gold", T[0]), _row("CUST_2", "Gold", T[2])], SRC)
+    cps = inc.seed_checkpoints(inc.empty(spark, inc.CHECKPOINT), ["a", "b"], T[0])
+    one = inc.record_progress(cps, "a", feed, T[4])
+    two = inc.record_progress(one, "b", feed.limit(1), T[4])
+    three = inc.record_progress(two, "new", feed.limit(1), T[5])
+    assert rows(three) == [("a", T[2], 2, T[4]), ("b", T[0], 1, T[4]), ("new", T[0], 1, T[5])]
+    # A batch with no newer mark changes nothing.
+    assert rows(inc.record_progress(three, "a", feed.limit(1), T[6])) == rows(three)
+
+
+def test_stored_run_writes_tables_and_control_row(spark):
+    lake = scratch_lake(spark, "t")
     feed = spark.createDataFrame([_row("CUST_1", "Gold", T[0]), _row("CUST_1", "Plat", T[2])], SRC)
-    state = inc.run_customers(feed.filter(F.col("updated_at") <= T[1]), inc.load_customers(store, T[1]), T[1])
-    v1 = inc.publish_customers(store, state)
-    state = inc.run_customers(feed, inc.load_customers(store, T[3]), T[3])
-    v2 = inc.publish_customers(store, state)
-    assert (v1, v2) == (1, 2)
-    assert [r.loyalty_tier for r in store.read(inc.SCD1_TABLE).collect()] == ["Plat"]
-    cp = store.read(inc.CHECKPOINT_TABLE).collect()
+    inc.run_customers_stored(lake, feed.filter(F.col("updated_at") <= T[1]), T[1])
+    inc.run_customers_stored(lake, feed, T[3])
+    assert [r.loyalty_tier for r in lake.read(inc.SCD1_TABLE).collect()] == ["Plat"]
+    cp = lake.read(inc.CHECKPOINT_TABLE).collect()
     assert [(r.table_name, r.last_processed_timestamp) for r in cp] == [("bronze_customers", T[2])]
     # Re-running with nothing new keeps everything as it is.
-    again = inc.run_customers(feed, inc.load_customers(store, T[4]), T[4])
-    assert rows(again.scd2) == rows(store.read(inc.SCD2_TABLE))
+    before = rows(inc.read_versions(lake))
+    inc.run_customers_stored(lake, feed, T[4])
+    assert rows(inc.read_versions(lake)) == before and rows(lake.read(inc.CHECKPOINT_TABLE)) == [tuple(r) for r in cp]
+
+
+def test_a_run_repeated_after_a_crash_gives_the_same_tables(spark, monkeypatch):
+    lake = scratch_lake(spark, "t")
+    feed = spark.createDataFrame([_row("CUST_1", "Gold", T[0]), _row("CUST_2", "Gold", T[0]), _row("CUST_1", "Plat", T[2])], SRC)
+    inc.run_customers_stored(lake, feed.filter(F.col("updated_at") <= T[1]), T[1])
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(inc, "record_progress", dies)  # tables written, control row not
+        try:
+            inc.run_customers_stored(lake, feed, T[3])
+            raise AssertionError
+        except RuntimeError:
+            pass
+    assert inc.read_mark(lake.read(inc.CHECKPOINT_TABLE), inc.CUSTOMERS_SOURCE) == T[0]
+    more = feed.unionByName(spark.createDataFrame([_row("CUST_1", "Diam", T[4])], SRC))
+    inc.run_customers_stored(lake, more, T[5])
+    one = inc.run_customers(more, inc.initial_customers(spark, T[0]), T[5])
+    assert rows(inc.read_versions(lake)) == rows(one.scd2)
+    assert rows(lake.read(inc.SCD1_TABLE).select(*[c.name for c in inc.SCD1])) == rows(one.scd1)
 
 
 TXN_SRC = (
@@ -95,37 +127,42 @@ def _txn(tid, day, qty, op, ts):
     return (tid, "o", "p", qty, 1.0, 0.0, Decimal(qty), day, False, op, ts)
 
 
-def test_stored_cdc_rewrites_only_touched_partitions(spark, tmp_path):
+def test_stored_cdc_rewrites_only_touched_partitions(spark):
     jan, feb, mar = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
     feed = spark.createDataFrame(
         [
             _txn("a", jan, 1, "I", T[0]),
             _txn("b", feb, 1, "I", T[0]),
             _txn("c", mar, 1, "I", T[0]),
+            _txn("d", dt.date(2023, 12, 5), 1, "I", T[0]),
             _txn("a", jan, 2, "U", T[2]),  # January changes
             _txn("b", mar, 1, "U", T[2]),  # b moves from February to March
         ],
         TXN_SRC,
     )
-    store = TableStore(spark, str(tmp_path / "cdc"))
-    first = inc.run_transactions_stored(store, feed.filter(F.col("updated_at") <= T[1]), T[1])
-    parts_before = store.manifest()[inc.CDC_TABLE]["parts"]
-    runs = lambda parts: {p: [int(f[:6]) for f in folders] for p, folders in parts.items()}
-    assert runs(parts_before) == {"2024-01": [first], "2024-02": [first], "2024-03": [first]}
-    second = inc.run_transactions_stored(store, feed, T[3])
-    parts = store.manifest()[inc.CDC_TABLE]["parts"]
-    # January and March rewritten, February rewritten (b left it) and now empty.
-    assert runs(parts) == {"2024-01": [second], "2024-03": [second]}
-    got = rows(inc.read_transactions(store), "transaction_id", "quantity", "transaction_date")
-    assert got == [("a", 2, jan), ("b", 1, mar), ("c", 1, mar)]
-    # Reading one partition lists and opens only that partition's files.
-    files = store.read_partitions(inc.CDC_TABLE, ["2024-01"]).inputFiles()
-    assert files and all("strata_part=2024-01" in f for f in files)
+    lake = scratch_lake(spark, "t")
+
+    def files():
+        out = {}
+        for f in lake.read(inc.CDC_TABLE).inputFiles():
+            out.setdefault(f.split("txn_month=")[1].split("/")[0], set()).add(f)
+        return out
+
+    inc.run_transactions_stored(lake, feed.filter(F.col("updated_at") <= T[1]), T[1])
+    before = files()
+    assert sorted(before) == ["2023-12", "2024-01", "2024-02", "2024-03"]
+    inc.run_transactions_stored(lake, feed, T[3])
+    after = files()
+    # January and March rewritten, February dropped (b left it), December not touched.
+    assert sorted(after) == ["2023-12", "2024-01", "2024-03"] and after["2023-12"] == before["2023-12"]
+    assert not before["2024-01"] & after["2024-01"] and not before["2024-03"] & after["2024-03"]
+    got = rows(inc.read_transactions(lake), "transaction_id", "quantity", "transaction_date")
+    assert got == [("a", 2, jan), ("b", 1, mar), ("c", 1, mar), ("d", 1, dt.date(2023, 12, 5))]
     # The result equals the in-memory batch runs, and a replay changes nothing.
     state = inc.run_transactions(feed, inc.initial_transactions(spark, T[0]), T[3])
-    assert rows(inc.read_transactions(store)) == rows(state.table)
-    inc.run_transactions_stored(store, feed, T[4])
-    assert rows(inc.read_transactions(store)) == rows(state.table)
+    assert rows(inc.read_transactions(lake)) == rows(state.table)
+    inc.run_transactions_stored(lake, feed, T[4])
+    assert rows(inc.read_transactions(lake)) == rows(state.table)
 
 
 def test_checkpoint_counts_cleaned_rows_and_lag_keeps_every_source(spark):
@@ -150,8 +187,8 @@ def test_late_row_below_the_mark_is_not_read(spark):
     assert rows(state.checkpoints, "table_name", "last_processed_timestamp") == [("bronze_customers", T[3])]
 
 
-def test_stored_scd2_appends_history_and_rewrites_current_only(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "dim"))
+def test_stored_scd2_adds_closed_versions_and_rewrites_touched_buckets(spark):
+    lake = scratch_lake(spark, "t")
     feed = spark.createDataFrame(
         [
             _row("CUST_1", "Gold", T[0]),
@@ -161,16 +198,47 @@ def test_stored_scd2_appends_history_and_rewrites_current_only(spark, tmp_path):
         ],
         SRC,
     )
+    seen = []
     for at in (T[1], T[3], T[5]):
-        inc.run_customers_stored(store, feed.filter(F.col("updated_at") <= at), at)
-    parts = store.manifest()[inc.SCD2_TABLE]["parts"]
-    current = [p for p in parts if p.startswith("current-")]
-    assert len(current) == 2 and all(len(parts[p]) == 1 for p in current)  # replaced when touched
-    assert len(parts["history"]) == 2  # one appended folder per run that closed versions
-    # CUST_2 only arrived in the first run: its bucket was not rewritten since.
-    scd1_parts = store.manifest()[inc.SCD1_TABLE]["parts"]
-    assert sorted(int(f[:6]) for fs in scd1_parts.values() for f in fs)[0] == 1
-    stored = store.read(inc.SCD2_TABLE)
+        inc.run_customers_stored(lake, feed.filter(F.col("updated_at") <= at), at)
+        seen.append(set(lake.read(inc.SCD2_TABLE).inputFiles()))
+    segments = {r.segment for r in lake.read(inc.SCD2_TABLE).select("segment").distinct().collect()}
+    assert segments == {"current", "closed-20240101000000000000", "closed-20240103000000000000"}
+    # What a run closed is not written again, and CUST_2's bucket stays as it is.
+    assert len({f for f in seen[1] if "closed" in f} - seen[2]) == 0
+    bucket = lake.read(inc.SCD2_TABLE).filter("customer_id = 'CUST_2'").first().key_bucket
+    own = {f for f in seen[0] if f"key_bucket={bucket}/" in f}
+    assert own and own <= seen[2]
     one = inc.run_customers(feed, inc.initial_customers(spark, T[0]), T[5])
-    assert rows(stored) == rows(one.scd2)
-    assert rows(store.read(inc.SCD1_TABLE)) == rows(one.scd1)
+    assert rows(inc.read_versions(lake)) == rows(one.scd2)
+    assert rows(lake.read(inc.SCD1_TABLE).drop("key_bucket")) == rows(one.scd1)
+
+
+def test_a_feed_stored_by_day_is_opened_from_the_mark_on(spark):
+    lake = scratch_lake(spark, "t")
+    day = dt.date(2024, 1, 5)
+    feed = spark.createDataFrame([_txn(f"k{i}", day, i, "I", T[i]) for i in range(6)], TXN_SRC)
+    inc.store_feed(lake, "feed", feed.filter(F.col("updated_at") < T[4]))
+    inc.store_feed(lake, "feed", feed.filter(F.col("updated_at") >= T[4]))
+    batch = inc.newer_than(lake.read("feed"), T[3], day=inc.CHANGE_DAY)
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(change_day" in plan and "change_day" in plan.split("PartitionFilters")[1]
+    assert rows(batch, "transaction_id") == [("k4",), ("k5",)]
+    # Days before the mark are not opened: spoil their files.
+    import os
+
+    spoiled = [f for f in lake.read("feed").inputFiles() if any(f"change_day=2024-01-0{d}/" in f for d in (1, 2, 3))]
+    assert len(spoiled) == 3
+    for f in spoiled:
+        path = f.removeprefix("file://")
+        os.chmod(path, 0o644)
+        with open(path, "wb") as out:
+            out.write(b"not parquet")
+        crc = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.crc")
+        if os.path.exists(crc):
+            os.replace(crc, crc + ".old")
+    assert rows(inc.newer_than(lake.read("feed"), T[3], day=inc.CHANGE_DAY), "transaction_id") == [("k4",), ("k5",)]
+    cps = inc.seed_checkpoints(inc.empty(spark, inc.CHECKPOINT), [inc.TRANSACTIONS_SOURCE], T[0])
+    lake.overwrite(inc.CHECKPOINT_TABLE, inc.record_progress(cps, inc.TRANSACTIONS_SOURCE, feed.limit(4), T[3]))
+    inc.run_transactions_stored(lake, lake.read("feed"), T[6], day=inc.CHANGE_DAY)
+    assert rows(inc.read_transactions(lake), "transaction_id") == [("k4",), ("k5",)]

@@ -2,6 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from strata.operators import merge
+from strata.operators.keyset import split
 from strata.operators.merge import apply_changes, delete_keys, live_rows, scd2_merge, upsert
 from tests.conftest import rows
 
@@ -128,3 +130,109 @@ def test_late_changes_do_not_win(spark):
     assert rows(live_rows(again)) == [("b", "1", T[1])]  # the insert is older than the delete
     back = apply_changes(again, spark.createDataFrame([("a", "z", "I", T[7])], FEED), ["k"])
     assert rows(live_rows(back), "k", "v") == [("a", "z"), ("b", "1")]
+
+
+# --- the cost follows the batch ---------------------------------------------------
+
+
+def _tree(df):
+    """(depth, line) of every node of the physical plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    out = []
+    for line in plan.splitlines():
+        text = line.lstrip(" :+-|")
+        out.append((len(line) - len(text), text))
+    return out
+
+
+def _moved_whole(df, mark):
+    """Exchanges and sorts that see a scan of ``mark`` which no key filter stands over."""
+    found, tree = [], _tree(df)
+    for i, (depth, text) in enumerate(tree):
+        if mark not in text:
+            continue
+        above, low = [], depth
+        for d, line in reversed(tree[:i]):
+            if d < low:
+                above.append(line)
+                low = d
+        for line in above:  # from the scan up
+            if "_bits" in line and line.startswith(("Filter", "*", "(")) and "Filter" in line:
+                break
+            if "Exchange" in line or line.split(") ")[-1].startswith("Sort"):
+                found.append(line)
+    return found
+
+
+def _big(spark, tmp_path, n=200_000):
+    path = str(tmp_path / "target")
+    spark.range(n).selectExpr(
+        "concat('k', id) AS k", "'old' AS v", "TIMESTAMP_NTZ'2024-01-01' AS updated_at", "false AS is_deleted"
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_split_finds_every_key_and_little_else(spark):
+    target = spark.range(50_000).selectExpr("CASE WHEN id % 1000 = 7 THEN NULL ELSE concat('k', id) END AS a", "id % 3 AS b", "id")
+    for n in (0, 1, 500, 20_000):
+        batch = target.filter(f"id % 50 = 7 OR a IS NULL OR id < {n}").limit(n + 60).select("a", "b") if n else target.limit(0).select("a", "b")
+        touched, rest = split(target, batch, ["a", "b"])
+        keys = {tuple(r) for r in batch.collect()}
+        got, others = touched.collect(), rest.collect()
+        assert len(got) + len(others) == 50_000
+        assert not [r for r in others if (r.a, r.b) in keys]
+        assert sum((r.a, r.b) not in keys for r in got) <= 10
+    # Keys of another type are the target's keys.
+    touched, _ = split(target, spark.createDataFrame([(5,), (9,)], "id int"), ["id"])
+    assert {5, 9} <= {r.id for r in touched.collect()}
+
+
+def test_a_small_batch_moves_no_target_row_but_its_own(spark, tmp_path):
+    target = _big(spark, tmp_path)
+    batch = spark.createDataFrame([(f"k{i * 19_000}", "new", T[5]) for i in range(10)], KV)
+    out = upsert(target.drop("is_deleted"), batch, ["k"])
+    assert _moved_whole(out, "target") == []
+    assert out.count() == 200_000 and out.filter("v = 'new'").count() == 10
+    touched, rest = split(target, batch, ["k"])
+    assert touched.count() <= 12
+    assert _moved_whole(rest, "target") == [] and rest.count() >= 200_000 - 12
+    feed = spark.createDataFrame([("k19", None, "D", T[5]), ("k38", "x", "U", T[5]), ("n", "y", "I", T[5]), ("k57", "late", "U", dt.datetime(2023, 1, 1))], FEED)
+    out = apply_changes(target, feed, ["k"])
+    assert _moved_whole(out, "target") == []
+    assert out.count() == 200_001 and out.filter("is_deleted").count() == 1
+    assert {r.v for r in out.filter("k IN ('k38', 'k57')").collect()} == {"x", "old"}
+    out = delete_keys(target, feed.select("k"), ["k"])
+    assert _moved_whole(out, "target") == [] and out.count() == 199_997
+    # The helper does see a whole table that moves.
+    assert _moved_whole(target.groupBy("v").count(), "target") and _moved_whole(target.orderBy("k"), "target")
+
+
+def test_scd2_passes_see_versions_of_batch_keys_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "target")
+    spark.range(60_000).selectExpr(
+        "concat('CUST_', id) AS customer_id", "'e' AS email", "'X' AS city", "'n' AS name",
+        "TIMESTAMP_NTZ'2024-01-01' AS valid_from", "CAST(NULL AS timestamp_ntz) AS valid_to", "true AS is_current",
+    ).write.parquet(path)
+    closed = spark.createDataFrame([("CUST_7", "a", "X", "n", dt.datetime(2023, 1, 1), T[0], False)], SCD)
+    target = spark.read.parquet(path).unionByName(closed)
+    changes = spark.createDataFrame([("CUST_7", "b", "X", "n", T[3]), ("CUST_7", "c", "X", "n", T[4]), ("CUST_99999", "d", "Y", "n", T[3])], CHG)
+    seen = []
+    plain = merge.with_neighbor
+
+    def counted(df, *args, **kwargs):
+        seen.append(df.count())
+        return plain(df, *args, **kwargs)
+
+    monkeypatch.setattr(merge, "with_neighbor", counted)
+    out = _scd2(target, changes)
+    assert len(seen) == 2 and max(seen) <= 6  # one current version and three changes, hardly any others
+    assert _moved_whole(out, "target") == []
+    got = rows(out.filter("customer_id IN ('CUST_7', 'CUST_99999')"), "email", "valid_from", "valid_to", "is_current")
+    assert got == [
+        ("a", dt.datetime(2023, 1, 1), T[0], False),
+        ("b", T[3], T[4], False),
+        ("c", T[4], None, True),
+        ("d", T[3], None, True),
+        ("e", T[0], T[3], False),
+    ]
+    assert out.count() == 60_004

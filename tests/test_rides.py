@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from strata.plans.rides import gold_rides, silver_rides
+from strata.plans.rides import SILVER_RIDES, gold_rides, silver_rides
 
 BRONZE = "ride_id string, start_time string, end_time string, start_station_id string, end_station_id string, bike_id string, user_type string"
 
@@ -18,7 +18,7 @@ def test_silver_rides_durations_prices_and_bad_rows(spark):
     got = {r.ride_id: r.ride_revenue for r in out.collect()}
     assert got == {"r2": Decimal("0.1667"), "r4": Decimal("1.7500")}
     assert dict(out.dtypes)["ride_revenue"] == "decimal(19,4)"
-    assert out.schema["ride_revenue"].metadata["comment"] == "Derived ride revenue for analytics."
+    assert out.schema["ride_revenue"].metadata["comment"] == {c.name: c.comment for c in SILVER_RIDES}["ride_revenue"]
 
 
 def test_gold_rides_first_and_last_station(spark):

@@ -2,8 +2,8 @@ import datetime as dt
 from decimal import Decimal
 
 from strata.plans import incremental as inc
-from strata.sources.store import TableStore
-from strata.streaming.cdc_stream import start_cdc_stream
+from strata.sources.lake import scratch_lake
+from strata.streaming.cdc_stream import epoch_property, merge_epoch, start_cdc_stream
 from tests.conftest import rows
 
 FEED = (
@@ -19,46 +19,51 @@ def _r(tid, day, qty, op, ts):
     return (tid, "o", "p", qty, 1.0, 0.0, Decimal(qty), day, False, op, ts)
 
 
-def _run(spark, root, store, max_files=None):
+def _run(spark, root, lake, max_files=None):
     start_cdc_stream(
         spark,
         f"{root}/feed",
         spark.createDataFrame([], FEED).schema,
-        store,
+        lake,
         inc.CDC_TABLE,
         inc.TRANSACTIONS_KEPT,
         ["transaction_id"],
         f"{root}/ckpt",
+        inc.TXN_MONTH,
         transform=inc.transaction_changes,
-        partition_expression=inc.TXN_PARTITION,
         max_files_per_trigger=max_files,
     ).awaitTermination()
 
 
+def _epoch(lake):
+    return int(lake.property(inc.CDC_TABLE, epoch_property("cdc")))
+
+
 def test_stream_applies_each_drop_once(spark, tmp_path):
     root = str(tmp_path)
-    store = TableStore(spark, f"{root}/store")
+    lake = scratch_lake(spark, "t")
     spark.createDataFrame(
         [_r("a", JAN, 1, "I", T[0]), _r("b", FEB, 1, "I", T[0]), _r("c", FEB, 5, "I", T[0])], FEED
     ).write.mode("append").parquet(f"{root}/feed")
-    _run(spark, f"{root}", store)
-    v1 = store.version()
+    _run(spark, root, lake)
+    first = _epoch(lake)
     # Nothing new: the stream's own checkpoint says drop 1 is done.
-    _run(spark, f"{root}", store)
-    assert store.version() == v1
+    _run(spark, root, lake)
+    assert _epoch(lake) == first
     second = spark.createDataFrame([_r("a", JAN, 7, "U", T[2]), _r("c", FEB, 5, "D", T[2])], FEED)
     second.write.mode("append").parquet(f"{root}/feed")
-    _run(spark, f"{root}", store)
-    assert rows(inc.read_transactions(store), "transaction_id", "quantity") == [("a", 7), ("b", 1)]
-    assert sorted(store.manifest()[inc.CDC_TABLE]["parts"]) == ["2024-01", "2024-02"]
+    _run(spark, root, lake)
+    assert _epoch(lake) > first
+    assert rows(inc.read_transactions(lake), "transaction_id", "quantity") == [("a", 7), ("b", 1)]
+    assert rows(lake.read(inc.CDC_TABLE).select("txn_month").distinct()) == [("2024-01",), ("2024-02",)]
 
 
-def test_files_in_reverse_time_order_give_the_batch_result(spark, tmp_path):
+def test_files_in_reverse_time_order_and_a_replayed_epoch_give_the_batch_result(spark, tmp_path):
     import os
     import time
 
     root = str(tmp_path)
-    store = TableStore(spark, f"{root}/store")
+    lake = scratch_lake(spark, "t")
     changes = [
         _r("a", JAN, 1, "I", T[0]),
         _r("b", FEB, 1, "I", T[0]),
@@ -75,9 +80,33 @@ def test_files_in_reverse_time_order_give_the_batch_result(spark, tmp_path):
         made = [f for f in os.listdir(f"{root}/made/{i}") if f.endswith(".parquet")][0]
         os.link(f"{root}/made/{i}/{made}", f"{root}/feed/{i}.parquet")
         os.utime(f"{root}/feed/{i}.parquet", (time.time() - 100 + i,) * 2)
-    _run(spark, root, store, max_files=1)
-    assert store.version() == len(changes)
+    _run(spark, root, lake, max_files=1)
+    assert _epoch(lake) == len(changes) - 1
     feed = spark.createDataFrame(changes, FEED)
     batch = inc.run_transactions(feed, inc.initial_transactions(spark, T[0]), T[6])
-    assert rows(inc.read_transactions(store)) == rows(batch.table)
+    assert rows(inc.read_transactions(lake)) == rows(batch.table)
     assert rows(batch.table, "transaction_id", "quantity") == [("a", 7), ("c", 6)]
+    # The stream died before it recorded its last epoch: the epoch comes again and is skipped.
+    before = set(lake.read(inc.CDC_TABLE).inputFiles())
+    last = max(int(n) for n in os.listdir(f"{root}/ckpt/commits") if n.isdigit())
+    os.makedirs(f"{root}/lost")
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{root}/ckpt/commits/{name}"):
+            os.replace(f"{root}/ckpt/commits/{name}", f"{root}/lost/{name}")
+    _run(spark, root, lake, max_files=1)
+    assert os.path.exists(f"{root}/ckpt/commits/{last}")
+    assert set(lake.read(inc.CDC_TABLE).inputFiles()) == before
+
+
+def test_an_epoch_merged_again_changes_nothing(spark):
+    lake = scratch_lake(spark, "t")
+    inc.create_tables(lake, (inc.CDC_TABLE,))
+    feed = spark.createDataFrame([_r("a", JAN, 1, "I", T[0]), _r("a", JAN, 1, "D", T[2]), _r("b", FEB, 3, "I", T[1])], FEED)
+    changes = inc.transaction_changes(feed)
+    keys = ["transaction_id"]
+    assert merge_epoch(lake, inc.CDC_TABLE, changes, 4, keys, inc.TXN_MONTH, "one") is True
+    once = rows(lake.read(inc.CDC_TABLE))
+    assert merge_epoch(lake, inc.CDC_TABLE, changes, 4, keys, inc.TXN_MONTH, "one") is False
+    # Without the property (it was not set in time) the merge is made again.
+    assert merge_epoch(lake, inc.CDC_TABLE, changes, 4, keys, inc.TXN_MONTH, "other") is True
+    assert rows(lake.read(inc.CDC_TABLE)) == once and rows(inc.read_transactions(lake), "transaction_id") == [("b",)]
