@@ -7,14 +7,18 @@ fitted by dual coordinate descent.  A sigmoid fitted to the margins turns them
 into scores.
 
 The class counts come from all training rows, aggregated in the tasks before
-they are added up (2 ** BITS places, whatever the input).  The linear model is
+they are added up (``PLACES`` of them, whatever the input).  The linear model is
 fitted on at most ``SAMPLE`` training rows: of each class the distinct texts with
 the smallest hashes, as many as the class's share of all distinct (text, label)
 rows; the bound holds on the driver, which fits it.
 
+Texts move once, and only those that may have a label (a filter of the labels'
+keys stands where texts are read).  What is to be in the sample follows from two
+hashes of each text; the chosen texts are then fetched by their hashes.
+
 Cases: a null text counts as empty; an empty text has no n-grams and gets the
 score of the bias alone; texts of any length are taken whole; equal texts get
-equal scores; several labels of one document count as the largest of them, null
+equal scores; a score of exactly 0.5 counts as high; several labels of one document count as the largest of them, null
 labels as none; with no training rows, or one class only, scores follow the
 share of the classes (0.5 for none); an empty table gives no rows; extra
 columns do not clash, whatever their names.
@@ -30,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import distinct_texts, smallest_hashes
 from strata.llm.ngrams import codes, count_grams
+from strata.operators.keyset import split
+from strata.session import checkpoint_dir
 
 SIZES = (1, 2, 3)
 BITS = 16
@@ -42,8 +47,10 @@ PASSES = 30
 TOLERANCE = 1e-3
 
 
-# Last places: indicators of the share of words whose 3-word window came before.
+# Indicators of the share of words whose 3-word window came before; they have
+# places of their own after the hashed ones.
 SHARES = (0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+PLACES = (1 << BITS) + len(SHARES)
 
 
 def repeated_share(text: str) -> float:
@@ -62,18 +69,18 @@ def places_of(text: str | None) -> np.ndarray:
     One-step memory of an n-gram can't see that a text repeats itself, so the
     share of repeated word windows is added as indicators of its own.
     """
-    found = count_grams(codes(text or ""), SIZES, BITS) > 0
+    found = np.flatnonzero(count_grams(codes(text or ""), SIZES, BITS))
     share = repeated_share(text or "")
-    found[-len(SHARES) :] = [share >= s for s in SHARES]
-    return np.flatnonzero(found).astype(np.int32)
+    reached = [(1 << BITS) + i for i, s in enumerate(SHARES) if share >= s]
+    return np.concatenate([found, reached]).astype(np.int32)
 
 
 def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Rows of each class that hold a place; (rows, places) over all rows of
-    ``labelled`` (label, text): shape (2, 2 ** BITS), and the rows per class."""
+    ``labelled`` (label, text): shape (2, PLACES), and the rows per class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
+        held, rows = np.zeros((2, PLACES), np.int64), np.zeros(2, np.int64)
         for batch in batches:
             for label, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held[label, places_of(body.as_py())] += 1
@@ -84,8 +91,8 @@ def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     found = labelled.mapInArrow(run, "place long, low long, high long")
     found = found.groupBy("place").agg(F.sum("low").alias("low"), F.sum("high").alias("high")).collect()
-    counts, rows = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for r in found:  # at most 2 ** BITS + 1 rows
+    counts, rows = np.zeros((2, PLACES)), np.zeros(2)
+    for r in found:  # at most PLACES + 1 rows
         if r["place"] < 0:
             rows[:] = r["low"], r["high"]
         else:
@@ -112,7 +119,7 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     One dual variable per row, between 0 and its cost, is set to its best value
     in turn; the bias is the weight of a feature that every row has.
     """
-    w, bias = np.zeros(1 << BITS), 0.0
+    w, bias = np.zeros(PLACES), 0.0
     alpha = np.zeros(len(rows))
     square = np.array([float((v * v).sum()) + 1.0 for v in values])
     order, turn = np.arange(len(rows)), np.random.default_rng(0)
@@ -167,17 +174,43 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -35, 35))))
 
 
-def fit(labelled: DataFrame) -> Model:
-    """Learn from rows (label 0 or 1, text)."""
+HASHES = ["hash_1", "hash_2"]
+
+
+def hashed(texts: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns and two hashes of the text."""
+    return texts.select(*keep, F.xxhash64(F.lit("sample"), "text").alias("hash_1"), F.xxhash64("text").alias("hash_2"))
+
+
+def sampled(keys: DataFrame, texts: DataFrame) -> DataFrame:
+    """label, text of the sample: ``keys`` holds each (label, hash_1, hash_2) once,
+    ``texts`` their texts, among others."""
+    sizes = {r["label"]: r["count"] for r in keys.groupBy("label").count().collect()}  # two classes
+    wanted = {label: max(1, int(SAMPLE * n / sum(sizes.values()))) for label, n in sizes.items()}
+    chosen = None
+    for label, n in sorted(wanted.items()):
+        own = keys.filter(F.col("label") == label).orderBy(*HASHES).limit(n)
+        chosen = own if chosen is None else chosen.unionByName(own)
+    # At most SAMPLE keys; copies of a text become one row before they move.
+    near = hashed(texts, "text").join(F.broadcast(chosen), HASHES)
+    return near.groupBy("label", *HASHES).agg(F.min("text").alias("text")).select("label", "text")
+
+
+def fit(labelled: DataFrame, keys: DataFrame | None = None, texts: DataFrame | None = None) -> Model:
+    """Learn from rows (label 0 or 1, text).
+
+    ``keys`` (label, hash_1, hash_2 of each row) and ``texts`` (where the sample's
+    texts are fetched) may be given if they are cheaper to read than ``labelled``.
+    """
     counts, rows = class_counts(labelled)
-    none = np.zeros(1 << BITS)
+    none = np.zeros(PLACES)
     if not rows.all():
         share = (rows[1] + 1) / (rows.sum() + 2)
         return Model(none, none, 0.0, 0.0, float(np.log(share / (1 - share))))
     ratios = log_ratios(counts)
-    sizes = distinct_texts(labelled, "label")
-    wanted = {label: max(1, int(SAMPLE * n / sum(sizes.values()))) for label, n in sizes.items()}
-    part = smallest_hashes(labelled, "label", sizes, wanted)
+    checkpoint_dir(labelled.sparkSession)
+    keys = (hashed(labelled, "label") if keys is None else keys).distinct().checkpoint()
+    part = sampled(keys, labelled if texts is None else texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,15 +236,18 @@ def fit(labelled: DataFrame) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> Model:
     """Learn from all rows of ``docs`` that have a label (0 or 1)."""
-    own = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("labelled")).agg(F.max(label).cast("int").alias("label"))
+    own = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(key).cast(docs.schema[key].dataType).alias("labelled")).agg(F.max(label).cast("int").alias("label"))
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # Sort-merge at every size: labels grow with the documents.
-    return fit(rows.join(own.hint("merge"), F.col("id") == F.col("labelled")).select("label", "text"))
+    own = own.hint("merge")
+    keys = hashed(rows, "id").join(own, F.col("id") == F.col("labelled")).select("label", *HASHES)
+    near, _ = split(rows, own.select(F.col("labelled").alias("id")), ["id"])
+    return fit(near.join(own, F.col("id") == F.col("labelled")).select("label", "text"), keys, rows.select("text"))
 
 
 def score(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
     """Replace ``text`` by its score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS numbers, twice
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # PLACES numbers, twice
     at = docs.columns.index(text)
     others = [f for f in docs.schema if f.name != text]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in others], f"`{name}` double"])
