@@ -19,14 +19,13 @@ def cut(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
 
     Executors may be lost afterwards: later reads take the files.  Spark's
-    cleaner removes them with the frame (``cleanCheckpoints``).  There are as
-    many files as the cluster runs tasks at once.  ``df`` should come out of a
-    shuffle; rows that come from a scan are shuffled by the columns ``by``
-    first, so that the scan keeps its own, smaller tasks.
+    cleaner removes them with the frame (``cleanCheckpoints``).  The number of
+    files follows the data: Spark joins and splits shuffle partitions by their
+    bytes.  Narrow rows that come from a scan may be shuffled by the columns
+    ``by`` first, so that they do not make one small file per scan task.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    return (df.repartition(*by) if by else df).coalesce(spark.sparkContext.defaultParallelism).checkpoint()
+    checkpoint_dir(df.sparkSession)
+    return (df.repartition(*by) if by else df).checkpoint()
 
 
 def release(df: DataFrame) -> None:
@@ -152,3 +151,36 @@ def salted_join(
     a = left.withColumn(part, F.pmod(F.xxhash64(*by), F.lit(SALTS)))
     b = right.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return key_join(a, b, [*on, part], how).drop(part)
+
+
+# Rows of one key that a task takes in ``dealt_join``, and the keys that are split
+# at most: those with the most rows.  A key beyond them holds less than a
+# millionth of all rows.
+ROWS_PER_PART = 2_000
+SPLIT_KEYS = 1 << 20
+
+
+def dealt_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Null-safe equi-join that splits each hot key of ``left`` by its count.
+
+    A key with n rows in ``left`` is dealt to ceil(n / ``ROWS_PER_PART``) parts by a
+    hash of ``by``; its rows of ``right`` (one per key, say) are repeated once per
+    part, those of all other keys stand once.  The split keys travel as a broadcast
+    of at most ``SPLIT_KEYS`` rows of two numbers.  ``left`` is read twice.
+    Columns: all of ``left``, then those of ``right`` beside ``on``.
+    """
+    part, = fresh(left.select(*left.columns, *[F.lit(0).alias(c) for c in right.columns if c not in left.columns]), "part")
+    rows = left.groupBy(F.xxhash64(*on).alias("_hot")).agg(F.count(F.lit(1)).alias("_parts")).filter(F.col("_parts") > ROWS_PER_PART)
+    hot = rows.orderBy(F.desc("_parts"), "_hot").limit(SPLIT_KEYS)
+    hot = F.broadcast(hot.select("_hot", F.ceil(F.col("_parts") / ROWS_PER_PART).cast("long").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+
+    def marked(df: DataFrame, value: Column) -> DataFrame:
+        own = df.join(hot, F.xxhash64(*on) == F.col("_hot"), "left")
+        return own.select(*df.columns, value.alias(part))
+
+    a = marked(left, F.pmod(F.xxhash64(*by), parts))
+    b = marked(right, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    return key_join(a, b, [*on, part], how).drop(part)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, salted_join
+from strata.llm.common import cut, dealt_join, key_join, salted_join
 
 BITS = 64
 SHINGLE = 4
@@ -214,7 +214,7 @@ def components(found: DataFrame) -> DataFrame:
 
     def stars(pairs: DataFrame) -> DataFrame:
         least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return salted_join(pairs, least, ["u"], ["v"])
+        return dealt_join(pairs, least, ["u"], ["v"])
 
     def settled(pairs: DataFrame) -> bool:
         """Every print hangs on one other, which hangs on none."""
@@ -257,9 +257,9 @@ def near_duplicates(
     nodes = rows.groupBy("print").agg(F.min("doc").alias("first"))
     sets = components(links(nodes.select("print"), radius))
     lowest = key_join(sets, nodes, ["print"]).groupBy("root").agg(F.min("first").alias("root_doc"))
-    named = key_join(nodes, salted_join(sets, lowest, ["root"], ["print"]), ["print"], "left")
+    named = key_join(nodes, dealt_join(sets, lowest, ["root"], ["print"]), ["print"], "left")
     named = named.select("print", F.coalesce("root", "print").alias("root"), F.coalesce("root_doc", "first").alias("root_doc"))
-    return salted_join(rows, named, ["print"], ["row_1", "doc"])
+    return dealt_join(rows, named, ["print"], ["row_1", "doc"])
 
 
 def id_or_null(column: str) -> Column:
