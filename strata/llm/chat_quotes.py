@@ -3,9 +3,9 @@
 Lines that begin with quote marks belong to an earlier message: one ``>`` per
 level.  A message is parsed into passages, runs of lines of one level; a
 passage's normal form (white space collapsed, lower case) is hashed.  Quoted
-passages are joined to the messages of the same conversation whose own text
-holds them, by the hash and then by the normal form itself; a passage's source
-is the earliest such message.  The parent of a message is the source of its
+passages are joined by two hashes to the messages of the same conversation whose
+own text holds them; a passage's source is the latest such message before the
+quoting one, which is the one that a reply most likely answers.  The parent of a message is the source of its
 shallowest quoted passage (of several, the latest source).  Following parents
 to the top gives each message its thread; a conversation in reply order lists
 its threads by their first message and, in a thread, messages by turn, so that
@@ -15,9 +15,9 @@ quotes.
 A quote may hold a whole message, or some of its paragraphs or lines, so a
 message offers its own text, its own passages (what it says between quotes), the
 paragraphs in them and their lines.  A quoted passage that no earlier message
-offers as a whole is taken apart: its source is the latest earlier message that
-offers each of its paragraphs, whole or line by line.  Such messages are found
-by stepping back: the bound on a passage's source falls to the last message
+offers as a whole is taken apart: its source is, by the same rule, the latest
+earlier message that offers each of its paragraphs, whole or line by line.  Such
+messages are found by stepping back: the bound on a passage's source falls to the last message
 before it that can still hold all, until it stays, in as many rounds as the
 pieces of a passage lead to different messages.
 
@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, let, numbered, salted_join
+from strata.llm.common import cut, dealt_join, key_join, let, numbered
 from strata.operators.rank import global_row_number
 
 BLANKS = " \t\r\n"
@@ -140,11 +140,15 @@ def _latest(holders: DataFrame, probes: DataFrame) -> DataFrame:
     return found.select(*PASSAGE, F.col("no").alias("bound"), F.coalesce("near", "before", F.lit(-1).cast("long")).alias("found"))
 
 
-def _in_parts(parsed: DataFrame, offered: DataFrame, missed: DataFrame) -> DataFrame:
+def _holders(offered: DataFrame, wanted: DataFrame, numbers: DataFrame) -> DataFrame:
+    """PASSAGE, no: the messages that offer a passage of ``wanted``."""
+    held = dealt_join(offered, wanted.select(*PASSAGE).distinct(), PASSAGE, ["turn", "tie"])
+    return cut(key_join(held, numbers, KEY).select(*PASSAGE, "no"))
+
+
+def _in_parts(parsed: DataFrame, offered: DataFrame, missed: DataFrame, numbers: DataFrame) -> DataFrame:
     """KEY, level, source of the passages ``missed`` (KEY, place) whose pieces
     one earlier message offers."""
-    # Numbered over all conversations: a message's source has a smaller number.
-    numbers = cut(global_row_number(parsed.select(*KEY), KEY, "no"))
     texts = parsed.select(*KEY, F.posexplode("parsed").alias("place", "passage"))
     texts = key_join(key_join(texts, missed, [*KEY, "place"]), numbers, KEY)
     texts = texts.select("conv_id", "no", "place", "passage.level", F.posexplode(_paragraphs(F.col("passage.text"))).alias("paragraph", "text"))
@@ -156,39 +160,42 @@ def _in_parts(parsed: DataFrame, offered: DataFrame, missed: DataFrame) -> DataF
     pieces = texts.select("conv_id", *own, "paragraph", F.explode(kinds).alias("x"))
     pieces = pieces.select("conv_id", *own, "paragraph", "x.whole", normal(F.col("x.text")).alias("form")).filter(F.col("form") != "")
     pieces = cut(pieces.select("conv_id", *own, "paragraph", "whole", *_hashes(F.col("form"))).distinct())
-    holders = salted_join(offered, pieces.select(*PASSAGE).distinct(), PASSAGE, ["turn", "tie"])
-    holders = cut(key_join(holders, numbers, KEY).select(*PASSAGE, "no"))
+    holders = _holders(offered, pieces, numbers)
     state = cut(pieces.select(*own).distinct().withColumns({"bound": F.col("no") - 1, "moves": F.lit(True)}))
     while not state.filter("moves").isEmpty():
         probes = key_join(pieces, state.filter("moves").drop("moves"), own)
-        found = salted_join(probes, _latest(holders, probes), [*PASSAGE, "bound"], ["no", "place"])
+        found = dealt_join(probes, _latest(holders, probes), [*PASSAGE, "bound"], ["no", "place"])
         lines, whole = F.min(F.when(~F.col("whole"), F.col("found"))), F.max(F.when(F.col("whole"), F.col("found")))
         found = found.groupBy(*own, "paragraph", "bound").agg(F.greatest(lines, whole).alias("found"))
         found = found.groupBy(*own, "bound").agg(F.min("found").alias("found"))
         moved = found.select(*own, F.col("found").alias("bound"), ((F.col("found") >= 0) & (F.col("found") < F.col("bound"))).alias("moves"))
         state = cut(state.filter("NOT moves").unionByName(moved))
     hits = key_join(state.filter("bound >= 0").drop("moves"), numbers, ["no"])
-    source = numbers.select(F.col("no").alias("bound"), _at().alias("source"))
-    return key_join(hits, source, ["bound"]).select(*KEY, "level", "source")
+    return _named(hits.withColumnRenamed("bound", "found"), numbers).select(*KEY, "level", "source")
+
+
+def _named(hits: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``hits`` with the source (turn, tie) of the message that each has ``found``."""
+    source = numbers.select(F.col("no").alias("found"), _at().alias("source"))
+    return dealt_join(hits, source, ["found"], ["no"])
 
 
 def parents(parsed: DataFrame) -> DataFrame:
     """KEY, source (turn, tie), level, for every message with a source."""
+    # Numbered over all conversations: a message's source has a smaller number.
+    numbers = cut(global_row_number(parsed.select(*KEY), KEY, "no"))
     quoted = parsed.select(*KEY, F.posexplode("parsed").alias("place", "passage")).filter(F.col("passage.level") > 0)
     quoted = quoted.select(*KEY, "place", F.col("passage.level").alias("level"), normal(F.col("passage.text")).alias("form"))
     quoted = quoted.filter(F.col("form") != "").select(*KEY, "place", "level", *_hashes(F.col("form")))
+    quoted = cut(key_join(quoted, numbers, KEY).withColumn("bound", F.col("no") - 1))
     offered = parsed.select(*KEY, F.explode(_offers(F.col("parsed"))).alias("form"))
     offered = offered.select(*KEY, *_hashes(F.col("form")))
-    # The first message that holds a passage, of the passages that are quoted:
-    # one row per conversation and passage on both sides of the join.
-    first = offered.groupBy(*PASSAGE).agg(F.min(_at()).alias("source"))
-    sources = cut(key_join(first, quoted.select(*PASSAGE).distinct(), PASSAGE))
-    tried = cut(key_join(quoted, sources, PASSAGE, "left").select(*KEY, "place", "level", "source"))
-    earlier = F.coalesce(F.col("source") < _at(), F.lit(False))
-    found = tried.filter(earlier).select(*KEY, "level", "source")
-    missed = tried.filter(~earlier).select(*KEY, "place")
+    nearest = _latest(_holders(offered, quoted, numbers), quoted)
+    tried = cut(dealt_join(quoted, nearest, [*PASSAGE, "bound"], ["no", "place"]))
+    found = _named(tried.filter("found >= 0"), numbers).select(*KEY, "level", "source")
+    missed = tried.filter("found < 0").select(*KEY, "place")
     if not missed.isEmpty():
-        found = found.unionByName(_in_parts(parsed, offered, missed))
+        found = found.unionByName(_in_parts(parsed, offered, missed, numbers))
     best = F.min(F.struct("level", (-F.col("source.turn")).alias("late"), (-F.col("source.tie")).alias("later"), "source"))
     return found.groupBy(*KEY).agg(best.alias("best")).select(*KEY, "best.source", "best.level")
 
@@ -205,7 +212,7 @@ def threads(parsed: DataFrame, linked: DataFrame) -> DataFrame:
     state = cut(start.select(*KEY, F.coalesce("source", _at()).alias("up"), answer.cast("long").alias("depth"), answer.alias("moves")))
     while not state.filter("moves").isEmpty():
         above = state.select("conv_id", _at().alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        moved = key_join(state.filter("moves").drop("moves"), above, ["conv_id", "up"])
+        moved = dealt_join(state.filter("moves").drop("moves"), above, ["conv_id", "up"], ["turn", "tie"])
         # A message whose parent is a root adds 0 and stays there.
         moved = moved.select(*KEY, F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moves"))
         state = cut(state.filter("NOT moves").unionByName(moved))
@@ -224,7 +231,7 @@ def link(messages: DataFrame) -> DataFrame:
     order = ["conv_id", "root", "turn", "tie"]
     rows = cut(global_row_number(rows, order, "no"))
     first = cut(rows.groupBy("conv_id").agg(F.min("no").alias("first_no")))
-    return key_join(rows, first, ["conv_id"]).select(
+    return dealt_join(rows, first, ["conv_id"], ["no"]).select(
         "conv_id",
         (F.col("no") - F.col("first_no")).alias("position"),
         "turn",

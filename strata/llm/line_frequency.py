@@ -2,20 +2,22 @@
 
 Base rules look at one text: words, symbols, repeated lines, repeated 5-word
 windows.  The cross-document rule hashes the normalised lines (lower case,
-white space collapsed), counts for each host the distinct texts that hold a
+white space collapsed), counts for each host the distinct documents that hold a
 line, removes lines above the host's limit and rejects documents of which too
-little is left.  Copies of one text count once, so that a text is not rejected
-for being copied.
+little is left.  Copies of one text on a host are one document, whatever their
+ids: otherwise a text would be rejected for being copied.
 
-The limit of a host is the larger of ``MIN_TEXTS`` texts and ``MAX_SHARE`` of
-its distinct texts.  Everything is counted over all rows; only DataFrame
+The limit of a host is ``MAX_SHARE`` of its documents, ``MIN_TEXTS`` at least and
+``MAX_TEXTS`` at most, so that on a very large host, too, a line in more
+documents than that goes.  Everything is counted over all rows; only DataFrame
 functions are used.  Counts are aggregated before each shuffle, joins on
 (host, line) are salted.
 
 Cases: a null text has no words and no lines, like an empty one; a null host
 is a host of its own; texts of any length are taken whole; equal rows get equal
 results; an empty table gives no rows; a line equal to another in one document
-is removed wherever it stands; columns of the table keep their names, the
+is removed wherever it stands; a line that stands in exactly the limit's number
+of documents stays, and a document with exactly the least share of words is kept; columns of the table keep their names, the
 added ones replace columns of the same name in ``judge`` and are left out in
 ``clean``.
 """
@@ -37,6 +39,7 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 
 MIN_TEXTS = 20
+MAX_TEXTS = 10_000
 MAX_SHARE = 0.02
 MIN_KEPT_PERCENT = 40
 
@@ -145,7 +148,8 @@ def frequent_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     counts = held.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > MIN_TEXTS)
     hosts = keyed.select("host", "text_1", "text_2").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_texts"))
     both = salted_join(counts, hosts, ["host"], ["line"])
-    return both.filter(F.col("texts") > MAX_SHARE * F.col("all_texts")).select("host", "line", "texts")
+    limit = F.least(MAX_SHARE * F.col("all_texts"), F.lit(float(MAX_TEXTS)))
+    return both.filter(F.col("texts") > limit).select("host", "line", "texts")
 
 
 def _hits(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:

@@ -25,16 +25,20 @@ parts AS (
   UNION ALL SELECT conv_id, turn, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) FROM msgs
   UNION ALL SELECT conv_id, turn, unnest(string_split(text, chr(10))) FROM msgs
 ),
-sources AS (
-  SELECT conv_id, form, min(turn) AS source
+holders AS (
+  SELECT DISTINCT conv_id, turn, form
   FROM (SELECT conv_id, turn, lower(trim(regexp_replace(part, '\s+', ' ', 'g'))) AS form FROM parts)
-  WHERE form <> '' GROUP BY ALL
+  WHERE form <> ''
+),
+sources AS (
+  SELECT q.conv_id, q.turn, q.level, q.form, max(h.turn) AS source
+  FROM quoted_forms q JOIN holders h ON h.conv_id = q.conv_id AND h.form = q.form AND h.turn < q.turn
+  GROUP BY ALL
 ),
 best AS (
-  SELECT q.conv_id, q.turn, q.level, s.source,
-         row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY q.level, s.source DESC) AS k
-  FROM quoted_forms q JOIN sources s ON s.conv_id = q.conv_id AND s.form = q.form
-  WHERE s.source < q.turn
+  SELECT conv_id, turn, level, source,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, source DESC) AS k
+  FROM sources
 ),
 links AS (
   SELECT m.conv_id, m.turn, b.source AS parent_turn, b.level AS quote_level
@@ -135,7 +139,7 @@ repeats AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM own GROUP B
 hosts AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
 frequent AS (
   SELECT o.source, o.form FROM own o JOIN hosts h ON h.source IS NOT DISTINCT FROM o.source
-  GROUP BY o.source, o.form, h.n HAVING count(DISTINCT o.text) > greatest(20, 0.02 * h.n)
+  GROUP BY o.source, o.form, h.n HAVING count(DISTINCT o.text) > greatest(20, least(0.02 * h.n, 10000))
 ),
 gone AS (
   SELECT o.doc_id, sum(o.words) AS n
