@@ -13,7 +13,9 @@ therefore bounded by the capacity, not by the number of documents.
 
 Cases: a null text counts as empty; an empty text has only the closing id;
 texts of any length are cut into whole pieces, the first may be shorter; equal
-rows are placed one by one; an empty table gives no rows; other columns are
+rows are placed one by one; of equally full fillings the one that the longest
+lengths reach first is taken, and pieces of one length are alike, whichever of
+them goes where; an empty table gives no rows; other columns are
 left out, whatever their names.
 """
 

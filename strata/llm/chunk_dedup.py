@@ -22,7 +22,8 @@ its own first place (a line three times in a row) stays.
 Cases: a null text stays null and has no chunks; an empty text stays; texts of
 any length are taken whole; rows alike in id and text are one occurrence and
 get equal results; rows alike in text only are two, and the copy keeps just
-its single-line chunks; null ids come first; an empty table gives no rows;
+its single-line chunks; equal chunks within one text are told apart by their
+place; null ids come first; an empty table gives no rows;
 other columns are passed through, whatever their names.
 """
 

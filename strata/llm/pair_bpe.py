@@ -14,7 +14,8 @@ dropped, byte-level symbols, a suffix on each word's last symbol, no decoder
 
 Cases: a null text is empty; an empty text or one of white space only has no
 ids and decodes to the empty text; texts of any length are taken whole; equal
-rows give equal rows; an empty table gives no rows; extra columns are kept out
+rows give equal rows; pairs have different ranks, and positions of one pair that
+overlap are merged from the left; an empty table gives no rows; extra columns are kept out
 of the result, whatever their names.
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,7 @@ from strata.llm import (
     weak_pii,
 )
 from strata.llm.oracle import ORACLE
+from strata.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,7 +150,18 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir)
 
 
-QUERIES: dict[str, Query] = {
+def _shipped(query: Query) -> Query:
+    """Python workers get this package before the query starts."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_OWN: dict[str, Query] = {
     "op1_quotation_links": op1_quotation_links,
     "op2_hash_tree": op2_hash_tree,
     "op3_line_frequency": op3_line_frequency,
@@ -164,5 +177,6 @@ QUERIES: dict[str, Query] = {
     "op13_spectrum_slicing": op13_spectrum_slicing,
     "pipeline": pipeline,
 }
+QUERIES: dict[str, Query] = {name: _shipped(query) for name, query in _OWN.items()}
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -14,8 +14,8 @@ of shards, and needs no shuffle.
 
 Cases: a null key is one key of its own; repeated rows and rows with equal
 keys meet in one shard; an empty table gives no rows; a text plays no part, so
-its length and content do not matter; columns whose names clash with the added
-ones are replaced by them.
+its length and content do not matter; of equal draws the child listed first wins;
+columns whose names clash with the added ones are replaced by them.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import chat_quotes, chunk_dedup, covering_simhash, line_frequency, shard_tree
+from strata.llm import chat_quotes, chunk_dedup, common, covering_simhash, line_frequency, shard_tree
 from strata.llm.queries import QUERIES
 from tests.llm.conftest import SMALL
 
@@ -50,6 +50,20 @@ def test_slots_are_gapless_for_odd_rows(spark, odd_docs):
     assert len({r.shard for r in rows if r.doc_id is None}) == 1
 
 
+def test_shard_query_sizes_and_digests(spark, tmp_path):
+    """Null and very long texts, and an empty table, through the query itself."""
+    import zlib
+
+    rows = [(1, None), (2, ""), (3, "é" * 10), (4, "x" * 300_000), (None, "a"), (4, "x" * 300_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/a/documents.parquet")
+    found = QUERIES["op2_hash_tree"](spark, f"{tmp_path}/a").collect()
+    expected = sorted(((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in found), key=str) == expected
+    docs.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert QUERIES["op2_hash_tree"](spark, f"{tmp_path}/b").count() == 0
+
+
 # line rules and chunks
 
 
@@ -269,6 +283,10 @@ def test_trimmed_and_interleaved_quotes_are_linked(spark):
         ("latest", 3, "x\nv"),
         ("latest", 4, "> x\n> y"),
         ("latest", 5, "> x\n> w\nheld by two, not by one"),
+        ("whole", 0, "ok\nthen"),
+        ("whole", 1, "OK"),
+        ("whole", 2, "> ok\nfine"),  # the latest earlier holder, whole or in parts
+        ("whole", 3, "ok"),
         ("later", 0, "> p\n> q"),
         ("later", 1, "p\nr\nq"),
         (None, None, "k\nl\nm"),
@@ -284,6 +302,7 @@ def test_trimmed_and_interleaved_quotes_are_linked(spark):
         ("interleaved", 4): (3, 1),
         ("paragraphs", 2): (0, 1),
         ("latest", 4): (1, 1),
+        ("whole", 2): (1, 1),
         (None, 3): (None, 1),
     }
 
@@ -293,6 +312,25 @@ def test_a_long_chain_of_answers(spark):
     assert [r.depth for r in chat_quotes.link(df).orderBy("position").collect()] == list(range(40))
 
 
+def test_a_conversation_with_a_third_of_all_rows_and_a_very_long_message(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_PER_PART", 50)
+    monkeypatch.setattr(chat_quotes, "RANGE", 64)
+    long = "\n".join(f"line {i} of a long message" for i in range(5000))
+    rows = [(1, 0, "u", "start here"), (1, 1, "u", long)]
+    # Everyone answers the first message, the same one over and over; every tenth answers the one before.
+    rows += [(1, i, "u", f"message {i}\n> " + (f"message {i - 1}" if i % 10 == 0 else "start here")) for i in range(2, 600)]
+    rows += [(1, 600, "u", "> line 7 of a long message\n> line 4000 of a long message\nyes")]
+    rows += [(c, t, "u", f"own {c} {t}" + (f"\n> own {c} {t - 1}" if t else "")) for c in range(2, 250) for t in range(5)]
+    found = chat_quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)).collect()
+    assert len(found) == len(rows)
+    own = {r.turn: r for r in found if r.conv_id == 1}
+    assert sorted(r.position for r in own.values()) == list(range(601))
+    for i in range(2, 600):
+        assert own[i].parent_turn == (i - 1 if i % 10 == 0 and i > 2 else 0), i
+    assert own[600].parent_turn == 1 and own[1].text == long
+    assert all(r.parent_turn == (r.turn - 1 if r.turn else None) and r.depth == r.turn == r.position for r in found if r.conv_id > 1)
+
+
 # pipeline
 
 
@@ -326,6 +364,18 @@ def test_pipeline_stages_on_odd_documents(spark, odd_docs, no):
     assert stage(spark, odd_docs.limit(0), SMALL).count() == 0
 
 
+def test_hot_keys_are_dealt_to_parts_by_their_count(spark, monkeypatch):
+    monkeypatch.setattr(common, "ROWS_PER_PART", 10)
+    left = spark.createDataFrame([(None if i % 3 == 0 else i % 7, i, "x") for i in range(300)] + [(99, 300, "x")], "a int, i int, part string")
+    right = spark.createDataFrame([(None, "none")] + [(k, f"v{k}") for k in range(9)], "a int, v string")
+    inner = common.dealt_join(left, right, ["a"], ["i"])
+    assert inner.columns == ["a", "i", "part", "v"]
+    got = sorted((r.i, r.v) for r in inner.collect())
+    assert got == [(i, "none" if i % 3 == 0 else f"v{i % 7}") for i in range(300)]
+    outer = common.dealt_join(left, right, ["a"], ["i"], "left")
+    assert outer.count() == 301 and outer.filter("v IS NULL").collect()[0].i == 300
+
+
 def test_prints_of_whole_texts():
     for text in ("", " \t", "One", "One two THREE", "Éa b c d e", "one two three four five " * 3000, "\x1c a\x0bb c\x85 d e"):
         assert covering_simhash.fingerprint(text.encode()) == plain_print(text)

@@ -98,6 +98,74 @@ def test_dual_descent_separates():
     assert np.mean([np.sign(w[r] @ v + b) == t for r, v, t in zip(rows, values, y)]) > 0.98
 
 
+def plain_grams(text, sizes):
+    return {(n, text[i : i + n]) for n in sizes for i in range(len(text) - n + 1)}
+
+
+def test_nbsvm_is_a_plain_one(spark):
+    """Counts, ratios and the solution against dictionaries and a plain solver."""
+    turn = np.random.default_rng(8)
+    word = lambda high: "".join(turn.choice(list("abcdef" if high else "defghi"), 4))
+    rows = [(i % 2, " ".join(word(i % 2) for _ in range(12))) for i in range(60)]
+    model = nbsvm.fit(spark.createDataFrame(rows, "label int, text string").repartition(3))
+    # Ratios of n-grams, by the n-grams themselves (no two of them share a place here).
+    held = [plain_grams(t, nbsvm.SIZES) for _, t in rows]
+    grams = sorted(set().union(*held))
+    counts = np.array([[sum(g in h for h, (label, _) in zip(held, rows) if label == c) for g in grams] for c in (0, 1)], float)
+    smooth = counts + nbsvm.SMOOTH
+    places = {}
+    for g in grams:
+        own = nbsvm.places_of(g[1])
+        places[g] = set(own.tolist()) - {p for s in plain_grams(g[1], nbsvm.SIZES) - {g} for p in nbsvm.places_of(s[1]).tolist()}
+    shares = smooth / (counts.sum(axis=1, keepdims=True) + nbsvm.SMOOTH * nbsvm.PLACES + _repeated(rows))
+    ratios = dict(zip(grams, np.log(shares[1] / shares[0])))
+    for g, own in places.items():
+        if len(own) == 1:
+            assert model.ratios[own.pop()] == pytest.approx(ratios[g], abs=1e-9)
+    # The solution: no feasible dual step improves it.
+    x = np.zeros((len(rows), nbsvm.PLACES))
+    for i, (_, t) in enumerate(rows):
+        p = nbsvm.places_of(t)
+        x[i, p] = nbsvm.scaled(p, model.ratios)
+    y = np.where([label for label, _ in rows], 1.0, -1.0)
+    z = np.hstack([x, np.ones((len(rows), 1))])
+    q = (z @ z.T) * np.outer(y, y)
+    alpha = np.zeros(len(rows))
+    for _ in range(20_000):  # projected gradient on the dual
+        alpha = np.clip(alpha + (1 - q @ alpha) / np.linalg.norm(q, 2), 0, nbsvm.COST)
+    best = z.T @ (alpha * y)
+    assert np.allclose(best[:-1], model.weights, atol=5e-3) and best[-1] == pytest.approx(model.bias, abs=5e-3)
+
+
+def _repeated(rows):
+    """Per class: how often the indicators of repeated windows are set."""
+    out = np.zeros((2, 1))
+    for label, text in rows:
+        out[label] += (nbsvm.places_of(text) >= 1 << nbsvm.BITS).sum()
+    return out
+
+
+def test_nearest_centroid_is_a_plain_one(spark):
+    data = spark.read.parquet(f"{DATA}/documents.parquet").filter("doc_id < 120").select("text", "lang")
+    model = centroid_langid.fit(data)
+    rows = [(r.text, r.lang) for r in data.collect() if r.text]
+    prepared = [centroid_langid.letters(t) for t, _ in rows]
+    held = np.zeros(1 << centroid_langid.BITS)
+    for chars in prepared:
+        held += centroid_langid.count_grams(chars, centroid_langid.SIZES, centroid_langid.BITS) > 0
+    n = sum(len(chars) > 0 for chars in prepared if chars is not None)
+    known = sum(lang is not None for _, lang in rows)
+    if known == len(rows):
+        assert np.allclose(model.idf, np.log((1 + n) / (1 + held)) + 1)
+    for (text, _), chars in zip(rows[:40], prepared[:40]):
+        counts = centroid_langid.count_grams(chars, centroid_langid.SIZES, centroid_langid.BITS)
+        v = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * model.idf
+        cosines = model.centroids @ (v / (np.linalg.norm(v) or 1))
+        lang, score, _ = model.nearest(text)
+        if len(chars):
+            assert lang == model.languages[int(np.argmax(cosines))] and score == pytest.approx(float(np.clip(cosines.max(), 0, 1)), abs=1e-5)
+
+
 def nearest(ids, rows, query, k):
     sims = rows @ rows[query]
     order = [i for i in np.lexsort((ids, -sims)) if i != query][:k]
