@@ -322,7 +322,7 @@ GROUP BY transaction_date""",
     "silver_orders",
 )
 cte(
-    "customer_metrics",
+    "customer_spend",
     """
 SELECT o.customer_id,
        CAST(SUM(t.line_total) AS DECIMAL(28,2)) AS total_revenue,
@@ -340,8 +340,8 @@ cte(
 SELECT m.customer_id, concat_ws(' ', c.first_name, c.last_name) AS full_name, c.email AS contact,
        m.total_revenue, m.total_orders, m.avg_order_value, c.city, c.state, c.loyalty_tier,
        CAST(row_number() OVER (ORDER BY m.total_revenue DESC, m.customer_id ASC) AS BIGINT) AS revenue_rank
-FROM customer_metrics m JOIN silver_customers c ON m.customer_id = c.customer_id""",
-    "customer_metrics",
+FROM customer_spend m JOIN silver_customers c ON m.customer_id = c.customer_id""",
+    "customer_spend",
     "silver_customers",
 )
 cte(
@@ -350,7 +350,7 @@ cte(
     "customer_profile",
 )
 cte(
-    "product_metrics",
+    "product_sales",
     """
 SELECT product_id, CAST(SUM(line_total) AS DECIMAL(28,2)) AS total_revenue,
        CAST(SUM(quantity) AS BIGINT) AS total_qty_sold, COUNT(transaction_id) AS total_transactions
@@ -362,8 +362,8 @@ cte(
     """
 SELECT m.product_id, p.product_name, p.category AS category_name, m.total_qty_sold, m.total_revenue,
        CAST(row_number() OVER (ORDER BY m.total_revenue DESC, m.product_id ASC) AS BIGINT) AS sales_rank
-FROM product_metrics m JOIN silver_products p ON m.product_id = p.product_id""",
-    "product_metrics",
+FROM product_sales m JOIN silver_products p ON m.product_id = p.product_id""",
+    "product_sales",
     "silver_products",
 )
 cte(
@@ -503,8 +503,8 @@ SELECT m.product_id, p.product_name, p.category AS category_name, m.total_qty_so
        CAST(m.total_revenue - CAST(m.total_qty_sold * p.cost_price AS DECIMAL(38,2)) AS DECIMAL(38,2)) AS total_profit,
        CAST(m.total_revenue - CAST(m.total_qty_sold * p.cost_price AS DECIMAL(38,2)) AS DOUBLE)
          / CAST(m.total_revenue AS DOUBLE) * 100.0 AS profit_margin_pct
-FROM product_metrics m JOIN silver_products p ON m.product_id = p.product_id""",
-            "product_metrics",
+FROM product_sales m JOIN silver_products p ON m.product_id = p.product_id""",
+            "product_sales",
             "silver_products",
         ),
         "gold_return_rate_by_product": build(

@@ -13,8 +13,8 @@ Plan notes (checked with ``explain``):
 * Rankings use ``global_row_number`` (range-partitioned, no single-task
   window) or ``top_k`` when only the first k ranks are wanted.
 * Running and moving sums over the daily tables use ``running_sums`` /
-  ``moving_sums``: plain windows when the inputs are small, else a
-  range-partitioned prefix sum, so no unbounded set meets in one task.
+  ``moving_sums``: a range-partitioned prefix sum at every size, so no
+  unbounded set meets in one task.
 """
 
 from __future__ import annotations
@@ -40,39 +40,37 @@ def _stamp(df: DataFrame, batch_ts: datetime | None) -> DataFrame:
     return df.withColumn("_updated_at", q.batch_time(batch_ts))
 
 
+def _order_days(txn: DataFrame) -> DataFrame:
+    """order_id, transaction_date, spent, lines: the kept lines of an order on
+    one day as one row, so that what follows (a join, a daily roll-up) sees an
+    order once per day, however many lines it has."""
+    return _kept(txn).groupBy("order_id", "transaction_date").agg(
+        F.sum("line_total").cast(REVENUE).alias("spent"), F.count("transaction_id").alias("lines")
+    )
+
+
+def _by_day(order_days: DataFrame, *more) -> DataFrame:
+    """snapshot_date, total_revenue, total_orders and ``more`` per day."""
+    days = order_days.groupBy(F.col("transaction_date").alias("snapshot_date"))
+    return days.agg(F.sum("spent").cast(REVENUE).alias("total_revenue"), F.count("order_id").alias("total_orders"), *more)
+
+
 def gold_total_revenue(txn: DataFrame, orders: DataFrame, batch_ts: datetime | None = None) -> DataFrame:
     """snapshot_date, total_revenue, total_orders, total_transactions.
 
     Only transactions whose order exists count; orders are unique per id
     after silver, so the inner join of the reference is a semi-join here.
     """
-    # One row per order and day enters the join, however many lines it has.
-    per_order = (
-        _kept(txn)
-        .groupBy("order_id", "transaction_date")
-        .agg(F.sum("line_total").alias("order_total"), F.count("transaction_id").alias("lines"))
-        .join(orders.select("order_id"), "order_id", "left_semi")
-    )
-    daily = per_order.groupBy("transaction_date").agg(
-        F.sum("order_total").cast(REVENUE).alias("total_revenue"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum("lines").alias("total_transactions"),
-    )
-    return _stamp(daily.withColumnRenamed("transaction_date", "snapshot_date"), batch_ts)
+    known = _order_days(txn).join(orders.select("order_id"), "order_id", "left_semi")
+    return _stamp(_by_day(known, F.sum("lines").alias("total_transactions")), batch_ts)
 
 
-def customer_metrics(txn: DataFrame, orders: DataFrame) -> DataFrame:
+def _spend_by_customer(txn: DataFrame, orders: DataFrame) -> DataFrame:
     # One row per order enters the join.
-    per_order = _kept(txn).groupBy("order_id").agg(F.sum("line_total").alias("order_total"))
-    return (
-        per_order.join(orders.select("order_id", "customer_id"), "order_id")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("order_total").cast(REVENUE).alias("total_revenue"),
-            F.count(F.lit(1)).alias("total_orders"),
-        )
-        .withColumn("avg_order_value", q.safe_ratio(F.col("total_revenue"), F.col("total_orders")))
-    )
+    baskets = _kept(txn).groupBy("order_id").agg(F.sum("line_total").alias("spent"))
+    owned = baskets.join(orders.select("order_id", "customer_id"), "order_id").groupBy("customer_id")
+    spend = owned.agg(F.sum("spent").cast(REVENUE).alias("total_revenue"), F.count(F.lit(1)).alias("total_orders"))
+    return spend.withColumn("avg_order_value", q.safe_ratio(F.col("total_revenue"), F.col("total_orders")))
 
 
 def _ranked(df: DataFrame, order, name: str, limit: int | None) -> DataFrame:
@@ -99,7 +97,7 @@ def gold_top_customers(
     """
     extra = ["city", "state", "loyalty_tier"] if enriched else []
     people = customers.select("customer_id", "first_name", "last_name", "email", *extra)
-    df = customer_metrics(txn, orders).join(people, "customer_id").select(
+    df = _spend_by_customer(txn, orders).join(people, "customer_id").select(
         "customer_id",
         F.concat_ws(" ", "first_name", "last_name").alias("full_name"),
         F.col("email").alias("contact"),
@@ -114,16 +112,13 @@ def gold_top_customers(
     return _stamp(_ranked(df, order, "revenue_rank", limit), batch_ts)
 
 
-def product_metrics(txn: DataFrame) -> DataFrame:
-    return (
-        _kept(txn)
-        .groupBy("product_id")
-        .agg(
-            F.sum("line_total").cast(REVENUE).alias("total_revenue"),
-            F.sum("quantity").cast("long").alias("total_qty_sold"),
-            F.count("transaction_id").alias("total_transactions"),
-        )
-    )
+def _sales_by_product(txn: DataFrame) -> DataFrame:
+    sums = {
+        "total_revenue": F.sum("line_total").cast(REVENUE),
+        "total_qty_sold": F.sum("quantity").cast("long"),
+        "total_transactions": F.count("transaction_id"),
+    }
+    return _kept(txn).groupBy("product_id").agg(*[value.alias(name) for name, value in sums.items()])
 
 
 def gold_top_products(
@@ -137,7 +132,7 @@ def gold_top_products(
     total_revenue, sales_rank.  ``ranked=False`` leaves out the rank (for
     consumers that only group the products, so no ranking pass is paid)."""
     info = products.select("product_id", "product_name", F.col("category").alias("category_name"))
-    df = product_metrics(txn).join(info, "product_id").select(
+    df = _sales_by_product(txn).join(info, "product_id").select(
         "product_id", "product_name", "category_name", "total_qty_sold", "total_revenue"
     )
     if not ranked:
@@ -152,17 +147,8 @@ def gold_avg_order_value(txn: DataFrame, batch_ts: datetime | None = None) -> Da
     Orders are totalled per (order, day) first; an order whose lines ship on
     several days counts once on each of them (as in the reference).
     """
-    order_totals = (
-        _kept(txn)
-        .groupBy("order_id", "transaction_date")
-        .agg(F.sum("line_total").cast(REVENUE).alias("order_total"))
-    )
-    daily = order_totals.groupBy("transaction_date").agg(
-        F.sum("order_total").cast(REVENUE).alias("total_revenue"),
-        F.count("order_id").alias("total_orders"),
-    )
-    daily = daily.withColumn("avg_order_value", q.safe_ratio(F.col("total_revenue"), F.col("total_orders")))
-    return _stamp(daily.withColumnRenamed("transaction_date", "snapshot_date"), batch_ts)
+    daily = _by_day(_order_days(txn))
+    return _stamp(daily.withColumn("avg_order_value", q.safe_ratio(F.col("total_revenue"), F.col("total_orders"))), batch_ts)
 
 
 def gold_return_rate(txn: DataFrame, orders: DataFrame, batch_ts: datetime | None = None) -> DataFrame:
@@ -267,7 +253,7 @@ def gold_product_profit(txn: DataFrame, products: DataFrame) -> DataFrame:
     info = products.select(
         "product_id", "product_name", F.col("category").alias("category_name"), "cost_price"
     )
-    df = product_metrics(txn).join(info, "product_id")
+    df = _sales_by_product(txn).join(info, "product_id")
     cost = (F.col("total_qty_sold") * F.col("cost_price")).cast(WIDE_MONEY)
     return df.select(
         "product_id",
