@@ -28,6 +28,14 @@ def cut(df: DataFrame, by: Sequence[str] | None = None) -> DataFrame:
     return (df.repartition(*by) if by else df).checkpoint()
 
 
+def cut_per_core(df: DataFrame) -> DataFrame:
+    """As ``cut``, in as many files as the cluster runs tasks at once: for the many
+    checkpoints of neighbour lists, which the tool was last run with."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    return df.coalesce(spark.sparkContext.defaultParallelism).checkpoint()
+
+
 def release(df: DataFrame) -> None:
     """Let Spark's cleaner drop the shuffles and checkpoints of past rounds.
 
@@ -177,10 +185,10 @@ def dealt_join(
     hot = F.broadcast(hot.select("_hot", F.ceil(F.col("_parts") / ROWS_PER_PART).cast("long").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1).cast("long"))
 
-    def marked(df: DataFrame, value: Column) -> DataFrame:
-        own = df.join(hot, F.xxhash64(*on) == F.col("_hot"), "left")
-        return own.select(*df.columns, value.alias(part))
-
-    a = marked(left, F.pmod(F.xxhash64(*by), parts))
-    b = marked(right, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    match = F.xxhash64(*on) == F.col("_hot")
+    a = left.join(hot, match, "left").select(*left.columns, F.pmod(F.xxhash64(*by), parts).alias(part))
+    # Part 0 is the row itself; only the rows of split keys are repeated.
+    more = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_parts") - 1))
+    b = right.select(*right.columns, F.lit(0).cast("long").alias(part))
+    b = b.unionByName(right.join(hot, match).select(*right.columns, more.alias(part)))
     return key_join(a, b, [*on, part], how).drop(part)

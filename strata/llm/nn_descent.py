@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, key_join, let, release, salted_join
+from strata.llm.common import cut_per_core as cut
+from strata.llm.common import key_join, let, release, salted_join
 
 WIDTH = 32
 TREES = 24
