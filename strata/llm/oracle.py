@@ -181,9 +181,63 @@ FROM documents d LEFT JOIN (
 ) j ON j.doc_id = d.doc_id
 """
 
+# Every row of ``rebuilt`` is one prefix of one conversation; nodes are distinct
+# prefixes.  A node belongs to the subtrees of all prefixes of its smallest member.
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, role, text, sha256(strlen(role) || ':' || role || text) AS digest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(role, 1, 64), substr(text, 1, 64),
+                            sha256(strlen(role) || ':' || role || text)) AS k
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+),
+ids AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, list_prepend(4294967295::UBIGINT,
+    list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::UBIGINT)) AS b
+  FROM t
+),
+convs AS (
+  SELECT conv_id, base, xor(list_reduce(b, lambda c, x: STEP), 4294967295::UBIGINT)::BIGINT % 6 AS h FROM ids
+),
+joined AS (
+  SELECT c.conv_id, 0 AS part, t.k, t.digest, t.text FROM convs c JOIN t ON t.conv_id = c.base AND t.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.k, t.digest, t.text FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h
+),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER own AS depth, string_agg(digest, ',') OVER own AS seq, length(text) AS chars
+  FROM joined WINDOW own AS (PARTITION BY conv_id ORDER BY part, k)
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM convs
+),
+prefixes AS (
+  SELECT conv_id, depth, seq, chars, lag(seq) OVER own AS above, lead(depth) OVER own IS NULL AS ends
+  FROM rebuilt WINDOW own AS (PARTITION BY conv_id ORDER BY depth)
+),
+nodes AS (
+  SELECT seq, depth, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY seq, depth
+),
+children AS (SELECT above AS seq, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above),
+below AS (
+  SELECT p.seq, count(*) FILTER (c.n IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  LEFT JOIN children c ON c.seq = n.seq
+  GROUP BY p.seq
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+       b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n
+JOIN below b ON b.seq = n.seq
+LEFT JOIN children c ON c.seq = n.seq
+LEFT JOIN nodes up ON n.depth > 0 AND up.seq = n.above
+"""
+OP12 = OP12.replace("STEP", _half(_half("xor(c, x)")))
+
 ORACLE: dict[str, str] = {
     "op1_quotation_links": OP1,
     "op2_hash_tree": OP2,
     "op3_line_frequency": OP3,
     "op8_line_chunks": OP8,
+    "op12_conversation_trie": OP12,
 }
