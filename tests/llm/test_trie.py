@@ -3,11 +3,13 @@
 import hashlib
 import zlib
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import conv_trie
-from strata.llm.queries import QUERIES
+from strata.llm.queries import ORACLE, QUERIES
 
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
@@ -99,3 +101,13 @@ def test_no_rows(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert found(empty) == []
     assert found(spark.createDataFrame([(None, 1, "user", "x")], empty.schema)) == []
+
+
+def test_sql_on_odd_conversations():
+    """The SQL of the query against the plain version."""
+    con = duckdb.connect()
+    names = ["conv_id", "turn", "role", "text"]
+    table = pa.table(dict(zip(names, zip(*odd_rows()))), pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+    con.register("conversations", table)
+    found_rows = con.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLE['op12_conversation_trie']})").fetchall()
+    assert sorted(found_rows, key=str) == plain(odd_rows())
