@@ -29,7 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of two or more lines that stand in an earlier place."""
+    """Documents without the content-defined line chunks that stand in an earlier
+    place, then without what chunks miss of passages of two or more lines."""
     return chunk_dedup.dedup(docs, pairs=True)
 
 

@@ -12,12 +12,16 @@ again are moved for the comparison.  Hot chunks are aggregated before the
 shuffle and salted in the joins.  Only DataFrame functions are used.
 
 Chunks miss what stands between a passage's ends and its nearest shared
-boundaries, and chunks with one line of text.  With ``pairs`` the pieces compared
-are all pairs of successive lines with text (and the blank lines between them)
-instead: every passage of two or more such lines that stands in an earlier place
-is found, whatever surrounds it.  Pairs overlap, so a line is removed if one of
-its pairs is; a line's first place of all is never removed.  A pair that overlaps
-its own first place (a line three times in a row) stays.
+boundaries, and chunks with one line of text.  With ``pairs`` an exact pass follows
+the chunks: it compares the pairs of successive lines with text (and the blank lines
+between them) that do not lie within a removed chunk, so every passage of two or
+more such lines that stands in an earlier place is found, whatever surrounds it.
+Nothing is lost by leaving out the others: a pair within a removed chunk stands
+earlier too, so it is nobody's first place.  Pairs overlap, so a line is removed if
+one of its pairs is; a line's first place of all is never removed.  A pair that
+overlaps its own first place (a line three times in a row) stays, and so do blank
+lines at the ends of a removed chunk.  Which chunks go is checkpointed between the
+passes.
 
 Cases: a null text stays null and has no chunks; an empty text stays; texts of
 any length are taken whole; rows alike in id and text are one occurrence and
@@ -32,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, key_join, let, salted_join
+from strata.llm.common import cut, fresh, key_join, let, release, salted_join
 
 SPAN = 2
 DIVISOR = 3
@@ -53,35 +57,63 @@ def _ends(line_hashes: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(line_hashes) - 1), lambda i: (i >= SPAN - 1) & F.coalesce(at_end(i), F.lit(False)))
 
 
+def _opens(lines: Column) -> Column:
+    """Places of the lines that open a chunk."""
+    hashes = F.transform(lines, lambda x: F.md5(x.cast("binary")))
+    # First place of each chunk; the last end opens none after the last line.
+    opens = let(hashes, lambda h: F.concat(F.array(F.lit(0)), F.transform(_ends(h), lambda i: i + 1)))
+    return F.filter(opens, lambda i: i < F.size(lines))
+
+
 def chunks_of(text: Column) -> Column:
     """The chunks of a text, in order: arrays of lines."""
 
     def cut_lines(lines: Column) -> Column:
-        hashes = F.transform(lines, lambda x: F.md5(x.cast("binary")))
-        # First place of each chunk; the last end opens none after the last line.
-        opens = let(hashes, lambda h: F.concat(F.array(F.lit(0)), F.transform(_ends(h), lambda i: i + 1)))
-        opens = F.filter(opens, lambda i: i < F.size(lines))
         return let(
-            opens,
+            _opens(lines),
             lambda s: F.transform(s, lambda a, k: F.slice(lines, a + 1, F.coalesce(F.get(s, k + 1), F.size(lines)) - a)),
         )
 
     return let(F.split(text, "\n"), cut_lines)
 
 
-def _worded(lines: Column) -> Column:
-    """Places of the lines with text."""
-    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.trim(F.get(lines, i)) != "")
+def _worded(lines: Column, start: Column | None = None, end: Column | None = None) -> Column:
+    """Places of the lines with text, from ``start`` and before ``end``."""
+    places = F.sequence(F.lit(0) if start is None else start, (F.size(lines) if end is None else end) - 1)
+    return F.filter(places, lambda i: F.trim(F.get(lines, i)) != "")
 
 
-def pairs_of(text: Column) -> Column:
-    """For each line with text, in order: the lines from it to the next one with
-    text; null for the last."""
+# The number of a pair: the place of its first line, then that of its second in
+# the lower half.
+HALF = 1 << 32
 
-    def cut_lines(lines: Column) -> Column:
-        return let(_worded(lines), lambda w: F.transform(w, lambda a, k: F.slice(lines, a + 1, F.get(w, k + 1) - a + 1)))
 
-    return let(F.split(text, "\n"), cut_lines)
+def _first_line(no: Column) -> Column:
+    return F.shiftright(no, 32).cast("int")
+
+
+def _second_line(no: Column) -> Column:
+    return no.bitwiseAND(F.lit(HALF - 1)).cast("int")
+
+
+def _pairs(worded: Column) -> Column:
+    """The numbers of the pairs of successive places."""
+
+    def numbers(w: Column) -> Column:
+        firsts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))
+        return F.transform(firsts, lambda a, k: a.cast("long") * HALF + F.get(w, k + 1))
+
+    return let(worded, numbers)
+
+
+def _pairs_within(lines: Column, chunks: Column) -> Column:
+    """The pairs that lie within the chunks of these numbers."""
+
+    def inner(opens: Column) -> Column:
+        one = lambda k: _pairs(_worded(lines, F.get(opens, k), F.coalesce(F.get(opens, k + 1), F.size(lines))))
+        return F.flatten(F.transform(chunks, one))
+
+    return let(_opens(lines), inner)
 
 
 def joined(lines: Column) -> Column:
@@ -102,72 +134,109 @@ def _place() -> Column:
     return F.struct(F.col("id").alias("id"), F.col("text_1"), F.col("text_2"), F.col("no"))
 
 
-def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str, pairs: bool = False) -> DataFrame:
-    """KEY and no of every chunk (or pair) that stands at a later place than its first.
+def _chunk_hashes(text: Column) -> Column:
+    """no, hash of the chunks of at least two lines with text."""
+    hashed = F.transform(
+        chunks_of(text), lambda c, k: F.when(several(c), F.struct(k.alias("no"), F.xxhash64(joined(c)).alias("hash")))
+    )
+    return F.filter(hashed, lambda x: x.isNotNull())
+
+
+def _pair_hashes(text: Column, gone: Column) -> Column:
+    """no, hash of the pairs that do not lie within the chunks ``gone``."""
+
+    def hashed(lines: Column) -> Column:
+        every = _pairs(_worded(lines))
+        left = F.when(gone.isNull(), every).otherwise(F.array_except(every, _pairs_within(lines, gone)))
+        return F.transform(left, lambda no: F.struct(no.alias("no"), F.xxhash64(_pair_text(lines, no)).alias("hash")))
+
+    return let(F.split(text, "\n"), hashed)
+
+
+def _pair_text(lines: Column, no: Column) -> Column:
+    return joined(F.slice(lines, _first_line(no) + 1, _second_line(no) - _first_line(no) + 1))
+
+
+def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str, gone: str | None = None) -> DataFrame:
+    """KEY and no of every chunk that stands at a later place than its first; with
+    ``gone``, the column of the chunks removed, of every pair outside them.
 
     ``keyed`` comes from ``_keyed``; the caller joins it again by the same key,
     so that Spark can use one shuffle of the texts for both.
     """
     own_key = [F.col(c).alias(k) for c, k in zip((doc_id, one, two), KEY)]
-    pieces = pairs_of if pairs else chunks_of
-    hashed = F.transform(
-        pieces(F.col(text)),
-        lambda c, k: F.when(several(c), F.struct(k.alias("no"), F.xxhash64(joined(c)).alias("hash"))),
-    )
-    own = keyed.select(*own_key, F.explode(F.filter(hashed, lambda x: x.isNotNull())).alias("x")).select(*KEY, "x.*")
+    hashed = _pair_hashes(F.col(text), F.col(gone)) if gone else _chunk_hashes(F.col(text))
+    own = keyed.select(*own_key, F.explode(hashed).alias("x")).select(*KEY, "x.*")
     again = own.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > 1)
-    # The chunks to compare, by document; then their texts.
+    # The pieces to compare, by document; then their texts.
     suspects = salted_join(own, again, ["hash"], ["id", "text_1", "no"])
     wanted = suspects.groupBy(*KEY).agg(F.collect_set(F.struct("no", "times")).alias("wanted"))
     want, = fresh(keyed, "k_wanted")
     held = key_join(keyed, wanted.toDF(doc_id, one, two, want), [doc_id, one, two])
+    piece = (lambda ps, no: _pair_text(ps, no)) if gone else (lambda ps, no: joined(F.get(ps, no)))
     picked = let(
-        pieces(F.col(text)),
-        lambda cs: F.transform(
-            F.col(want), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), joined(F.get(cs, w["no"])).alias("chunk"))
+        F.split(F.col(text), "\n") if gone else chunks_of(F.col(text)),
+        lambda ps: F.transform(
+            F.col(want), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), piece(ps, w["no"]).alias("chunk"))
         ),
     )
     found = held.select(*own_key, F.explode(picked).alias("x")).select(*KEY, "x.*").withColumn("hash", F.xxhash64("chunk"))
-    # Grouping and joining on the chunk itself compares its bytes.
+    # Grouping and joining on the piece itself compares its bytes.
     firsts = found.groupBy("hash", "chunk").agg(F.min(_place()).alias("first"), F.max("times").alias("times"))
     parts = F.ceil(F.col("times") / ROWS_PER_PART).cast("long")
     firsts = firsts.select("hash", "chunk", "first", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
     found = found.withColumn("part", F.pmod(F.xxhash64(*KEY, "no"), parts))
     both = found.join(firsts, ["hash", "chunk", "part"])
     later = both.filter(_place() != F.col("first"))
-    if pairs:
+    if gone:
         same = [F.col(c).eqNullSafe(F.col(f"first.{c}")) for c in KEY]
-        later = later.filter(~(same[0] & same[1] & same[2] & (F.col("no") == F.col("first.no") + 1)))
+        overlap = _first_line(F.col("no")) == _second_line(F.col("first.no"))
+        later = later.filter(~(same[0] & same[1] & same[2] & overlap))
     return later.select(*KEY, "no").distinct()
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None, pairs: bool = False) -> DataFrame:
-    """``docs`` without repeated chunks, or pairs of lines; all rows and columns stay.
+    """``docs`` without repeated chunks; all rows and columns stay.  With ``pairs``
+    also without the repeated pairs of lines outside the chunks removed.
 
     An ``n_chars`` column follows the new text.  ``removed`` names a column
-    that is to hold the number of chunks (pairs) taken out.
+    that is to hold the number of chunks (and pairs) taken out.
     """
-    one, two, out = fresh(docs, "k_text_1", "k_text_2", "k_drops")
+    one, two, out, rest = fresh(docs, "k_text_1", "k_text_2", "k_drops", "k_rest")
+    key = [doc_id, one, two]
+
+    def by_document(found: DataFrame, name: str) -> DataFrame:
+        return found.groupBy(*KEY).agg(F.collect_set("no").alias("drops")).toDF(*key, name)
+
     keyed = _keyed(docs, text, one, two)
-    drops = repeats(keyed, doc_id, text, one, two, pairs).groupBy(*KEY).agg(F.collect_set("no").alias("drops"))
-    drops = drops.toDF(doc_id, one, two, out)
-    both = key_join(keyed, drops, [doc_id, one, two], "left")
+    drops = by_document(repeats(keyed, doc_id, text, one, two), out)
+    if pairs:
+        drops = cut(drops)
+        release(drops)
+    both = key_join(keyed, drops, key, "left")
+    taken = [F.col(out)]
+    if pairs:
+        both = key_join(both, by_document(repeats(both, doc_id, text, one, two, out), rest), key, "left")
+        taken.append(F.col(rest))
 
     def without(chunks: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(out))
         return joined(F.transform(stay, lambda k: joined(F.get(chunks, k))))
 
     def unpaired(lines: Column) -> Column:
-        gone = let(_worded(lines), lambda w: F.flatten(F.transform(F.col(out), lambda k: F.sequence(F.get(w, k), F.get(w, k + 1)))))
+        none = F.array().cast("array<bigint>")
+        numbers = F.concat(F.coalesce(_pairs_within(lines, F.col(out)), none), F.coalesce(F.col(rest), none))
+        gone = F.flatten(F.transform(numbers, lambda no: F.sequence(_first_line(no), _second_line(no))))
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         return joined(F.transform(stay, lambda i: F.get(lines, i)))
 
-    touched = F.col(out).isNotNull()
+    touched = taken[0].isNotNull() | taken[-1].isNotNull()
     left = let(F.split(F.col(text), "\n"), unpaired) if pairs else let(chunks_of(F.col(text)), without)
     new = {text: F.when(touched, left).otherwise(F.col(text))}
     result = both.withColumns(new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         result = result.withColumn("n_chars", F.when(touched, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
-    extra = [F.when(touched, F.size(out)).otherwise(F.lit(0)).alias(removed)] if removed else []
+    sizes = [F.when(c.isNotNull(), F.size(c)).otherwise(F.lit(0)) for c in taken]
+    extra = [(sizes[0] + sizes[1] if pairs else sizes[0]).alias(removed)] if removed else []
     return result.select(*docs.columns, *extra)

@@ -145,6 +145,23 @@ def test_short_passages_are_found_whatever_surrounds_them(spark):
         assert not set(rows[2 * i + 1].split("\n")) & {x for x in passage if x}
 
 
+def test_the_pipeline_takes_chunks_out_before_pairs(spark):
+    pick = random.Random(8)
+    line = lambda: " ".join(pick.choice("abcdefgh") * 3 for _ in range(12))
+    passage = [line() if i % 7 else "" for i in range(60)]
+    docs = [(n, "\n".join([*[line() for _ in range(n)], *passage, line()])) for n in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    chunks = {r.doc_id: r.gone for r in chunk_dedup.dedup(df, removed="gone").collect()}
+    rows = {r.doc_id: r for r in chunk_dedup.dedup(df, removed="gone", pairs=True).collect()}
+    assert {i: r.text for i, r in rows.items()} == dict(pairs_by_brute_force(docs))
+    assert rows[0].gone == 0
+    for i in (1, 2):
+        # The passage has 50 pairs; those within its chunks are not compared again.
+        assert chunks[i] >= 5 and chunks[i] < rows[i].gone < 50
+        kept = [x for x in rows[i].text.split("\n") if x]
+        assert not set(kept) & set(passage)
+
+
 # SimHash
 
 
