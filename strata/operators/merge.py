@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import keep_first
 from strata.operators.keyset import split
 from strata.operators.sequence import NEXT, PREV, with_neighbor
-from strata.sources.lake import Lake, Partition, settled
+from strata.sources.lake import Lake, Partition, staged
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 
@@ -176,10 +176,11 @@ def merge_partitions(
     change, e.g. by a corrected date) those that hold one of the changed keys,
     found by a pass over the key and partition columns of the table.
     ``merge(old, changes)`` sees the rows of these partitions without the partition
-    column; its result is checkpointed, then written by dynamic partition
-    overwrite.  A partition that the merge has emptied is dropped.
+    column; its result is staged with the rows of a partition together, then written
+    by dynamic partition overwrite, so the files of a partition follow its bytes, not
+    the tasks of the merge.  A partition that the merge has emptied is dropped.
 
-    ``changes`` is used several times: pass a checkpointed frame.
+    ``changes`` is used several times: pass a staged or checkpointed frame.
     """
     whole = lake.read(table)
     touched = set(touched_parts(changes, partition))
@@ -190,8 +191,8 @@ def merge_partitions(
         return []
     own = [c for c in whole.columns if c != partition.column]
     old = whole.filter(F.col(partition.column).isin(sorted(touched))).select(*own)
-    rows = settled(merge(old, changes).withColumn(partition.column, partition.of()))
-    lake.replace_partitions(table, rows)
-    left = {r[0] for r in rows.select(partition.column).distinct().collect()}
+    with staged(merge(old, changes).withColumn(partition.column, partition.of()), by=partition.column) as rows:
+        lake.replace_partitions(table, rows)
+        left = {r[0] for r in rows.select(partition.column).distinct().collect()}
     lake.drop_partitions(table, partition.column, sorted(touched - left))
     return sorted(touched)

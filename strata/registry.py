@@ -311,9 +311,10 @@ class Layers:
 
         The change feed arrives as parquet files in a folder below the shared
         checkpoint folder, one drop per run time, the newest changes first; an
-        available-now stream after each drop merges the new files, one per
-        micro-batch.  The result must equal the checkpointed batch runs
-        (``cdc_transactions``).
+        available-now stream after each drop merges the new files in two
+        micro-batches, whatever their number (each may touch every month of the
+        table, so batches of a fixed size would cost the square of the feed).  The
+        result must equal the checkpointed batch runs (``cdc_transactions``).
         """
         import uuid
 
@@ -321,11 +322,14 @@ class Layers:
         lake = scratch_lake(self.spark, "stream")
         feed = self.transaction_feed
         bounds = [None, *runs]
+        seen: set[str] = set()
         for since, at in reversed(list(zip(bounds, runs))):
             drop = self._arrived(feed, at)
             if since is not None:
                 drop = drop.filter(F.col("updated_at") > wall_clock(since))
-            drop.coalesce(2).write.mode("append").parquet(f"{root}/feed")
+            drop.write.mode("append").parquet(f"{root}/feed")
+            files = set(self.spark.read.schema(feed.schema).parquet(f"{root}/feed").inputFiles()) - seen
+            seen |= files
             start_cdc_stream(
                 self.spark,
                 f"{root}/feed",
@@ -337,7 +341,7 @@ class Layers:
                 f"{root}/stream-checkpoint",
                 incremental.TXN_MONTH,
                 transform=incremental.transaction_changes,
-                max_files_per_trigger=1,
+                max_files_per_trigger=-(-len(files) // 2) or 1,
             ).awaitTermination()
         return incremental.read_transactions(lake)
 

@@ -27,7 +27,7 @@ from pyspark.sql.types import StructType
 from strata.functions.schema import Column
 from strata.operators.merge import apply_changes, merge_partitions
 from strata.session import checkpoint_dir
-from strata.sources.lake import Lake, Partition, settled
+from strata.sources.lake import Lake, Partition, staged
 
 
 def epoch_property(stream: str) -> str:
@@ -47,7 +47,8 @@ def merge_epoch(
     last = lake.property(table, epoch_property(stream))
     if last is not None and epoch_id <= int(last):
         return False
-    merge_partitions(lake, table, settled(changes), keys, lambda old, ch: apply_changes(old, ch, keys), partition)
+    with staged(changes) as batch:
+        merge_partitions(lake, table, batch, keys, lambda old, ch: apply_changes(old, ch, keys), partition)
     lake.set_property(table, epoch_property(stream), str(epoch_id))
     return True
 

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 from strata.plans import incremental as inc
+from strata.session import scratch_path
 from strata.sources.lake import scratch_lake
 from strata.streaming.cdc_stream import epoch_property, merge_epoch, start_cdc_stream
 from tests.conftest import rows
@@ -110,3 +111,44 @@ def test_an_epoch_merged_again_changes_nothing(spark):
     # Without the property (it was not set in time) the merge is made again.
     assert merge_epoch(lake, inc.CDC_TABLE, changes, 4, keys, inc.TXN_MONTH, "other") is True
     assert rows(lake.read(inc.CDC_TABLE)) == once and rows(inc.read_transactions(lake), "transaction_id") == [("b",)]
+
+
+def test_a_drop_of_many_files_is_merged_in_two_batches_into_few_files(spark, tmp_path, monkeypatch):
+    from strata import registry
+
+    lines = (
+        "id AS l_orderkey", "1 AS l_linenumber", "1 + id % 400 AS l_partkey", "5D AS l_quantity", "50D AS l_extendedprice",
+        "0.1D AS l_discount", "add_months(DATE'2024-01-15', cast(id % 24 AS int)) AS l_shipdate", "'N' AS l_returnflag",
+    )
+    # Twelve files, each with rows of every month.
+    spark.range(4_800).repartition(12).selectExpr(*lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    drops, lakes = [], []
+    real_stream, real_lake = registry.start_cdc_stream, registry.scratch_lake
+
+    def stream(session, folder, *args, **options):
+        drops.append((len(session.read.parquet(folder).inputFiles()), options["max_files_per_trigger"]))
+        return real_stream(session, folder, *args, **options)
+
+    monkeypatch.setattr(registry, "start_cdc_stream", stream)
+    monkeypatch.setattr(registry, "scratch_lake", lambda *args: lakes.append(real_lake(*args)) or lakes[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")  # a file is a task
+    try:
+        layers = registry.Layers(spark, str(tmp_path))
+        out = rows(layers.streamed_transactions())
+        assert out == rows(layers.transaction_runs().table) and out
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    # Written by the tasks of the scan, not by two; two batches a drop, whatever its files.
+    assert drops[0][0] >= 6 and drops[1][0] - drops[0][0] >= 6
+    assert drops[0][1] == -(-drops[0][0] // 2) and drops[1][1] == -(-(drops[1][0] - drops[0][0]) // 2)
+    assert _epoch(lakes[0]) == 3
+    # A month is in one file, not in one of every task of the merge.
+    assert len(lakes[0].read(inc.CDC_TABLE).inputFiles()) <= 30
+    # Staged files go with the merge.
+    assert not _staged(spark)
+
+
+def _staged(spark):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "staged"))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(path) and [x.getPath().getName() for x in files.listStatus(path)]
