@@ -32,7 +32,7 @@ from strata.functions import quality as q
 from strata.functions.schema import Column, literal_frame
 from strata.operators.dedupe import keep_first
 from strata.operators.merge import DELETED, apply_changes, live_rows, merge_partitions, scd2_merge, upsert
-from strata.sources.lake import Lake, Partition, settled
+from strata.sources.lake import Lake, Partition, settled, staged
 
 CUSTOMERS_SOURCE = "bronze_customers"
 TRANSACTIONS_SOURCE = "bronze_transactions"
@@ -397,7 +397,9 @@ def run_transactions_stored(
     create_tables(lake, (CHECKPOINT_TABLE, CDC_TABLE))
     seed_control(lake, [TRANSACTIONS_SOURCE], at)
     control = lake.read(CHECKPOINT_TABLE)
-    batch = staged_batch(source, read_mark(control, TRANSACTIONS_SOURCE), day)
-    merge_transaction_changes(lake, settled(transaction_changes(batch, discount_unit)))
-    progress = record_progress(control, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull())
+    # Merge, mark and count all see the same rows.
+    with staged(newer_than(source, read_mark(control, TRANSACTIONS_SOURCE), day=day)) as batch:
+        with staged(transaction_changes(batch, discount_unit)) as changes:
+            merge_transaction_changes(lake, changes)
+        progress = record_progress(control, TRANSACTIONS_SOURCE, batch, at, processed=F.col("transaction_id").isNotNull())
     lake.replace(CHECKPOINT_TABLE, progress)

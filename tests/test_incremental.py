@@ -242,3 +242,26 @@ def test_a_feed_stored_by_day_is_opened_from_the_mark_on(spark):
     lake.overwrite(inc.CHECKPOINT_TABLE, inc.record_progress(cps, inc.TRANSACTIONS_SOURCE, feed.limit(4), T[3]))
     inc.run_transactions_stored(lake, lake.read("feed"), T[6], day=inc.CHANGE_DAY)
     assert rows(inc.read_transactions(lake), "transaction_id") == [("k4",), ("k5",)]
+
+
+def test_a_stored_run_of_many_tasks_writes_few_files(spark):
+    lake = scratch_lake(spark, "t")
+    lines = (
+        "cast(id AS string) AS transaction_id", "'o' AS order_id", "'p' AS product_id", "1 AS quantity", "1D AS unit_price",
+        "0D AS discount_pct", "1BD AS line_total", "add_months(DATE'2024-01-15', cast(id % 24 AS int)) AS transaction_date",
+        "false AS return_flag", "if(id % 10 = 0, 'D', 'I') AS cdc_operation", "TIMESTAMP_NTZ'2024-01-02 00:00:00' AS updated_at",
+    )
+    feed = spark.range(0, 2_400, 1, 12).selectExpr(*lines)
+    # Shuffles that keep their 16 parts, as those of a large table do.
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1b"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        inc.run_transactions_stored(lake, feed, dt.datetime(2024, 1, 3))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert inc.read_transactions(lake).count() == 2_160
+    # 24 months: before, nearly every one had a file of each of the 16 tasks.
+    assert len(lake.read(inc.CDC_TABLE).inputFiles()) <= 80
