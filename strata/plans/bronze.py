@@ -7,11 +7,13 @@ CSV.  Each ingest is a full overwrite of the bronze table.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from strata.sources.raw_files import read_csv
-from strata.sources.lake import Lake
+from strata.sources.lake import Lake, together
 
 # (bronze table, file name or pattern, multi-line?) of the raw retail layer.
 RETAIL_FILES = (
@@ -39,6 +41,5 @@ def ingest_retail(
 ) -> list[str]:
     """Overwrite the four bronze tables from the raw files; returns their names."""
     frames = read_retail(spark, folder, schemas)
-    for name, df in frames.items():
-        lake.overwrite(name, df)
+    together([partial(lake.overwrite, name, df) for name, df in frames.items()])
     return list(frames)

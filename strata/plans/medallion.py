@@ -9,6 +9,7 @@ a second time just to print how many rows it produced.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from strata.operators.rank import top_k
 from strata.plans import datasets as ds
 from strata.plans import gold, silver
-from strata.sources.lake import Lake
+from strata.sources.lake import Lake, together
 
 SILVER_TABLES = {
     "silver_customers": ("bronze_customers", silver.silver_customers),
@@ -32,12 +33,12 @@ def _observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def _write_counted(lake: Lake, tables: dict[str, DataFrame]) -> dict[str, int]:
-    counts = {}
-    for name, df in tables.items():
+    def write(name: str, df: DataFrame) -> int:
         own, seen = _observed(name, df)
         lake.overwrite(name, own)
-        counts[name] = seen.get["rows"]
-    return counts
+        return seen.get["rows"]
+
+    return dict(zip(tables, together([partial(write, name, df) for name, df in tables.items()])))
 
 
 def build_silver(lake: Lake, batch_ts: datetime | None = None) -> dict[str, int]:

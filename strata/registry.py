@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from strata.plans import datasets as ds
 from strata.session import scratch_path
 from strata.operators.merge import delete_keys
 from strata.sources import adapters, raw_files
-from strata.sources.lake import Lake, scratch_lake
+from strata.sources.lake import Lake, scratch_lake, together
 from strata.sources.tables import TABLE_NAMES, DriverTables
 from strata.streaming.cdc_stream import start_cdc_stream
 
@@ -264,9 +264,10 @@ class Layers:
             "products.csv": self.bronze_products,
             "transactions.csv": self.bronze_transactions,
         }
+        # A multi-line file is read by one task, whatever its size.
+        frames["customers.csv"] = frames["customers.csv"].hint("rebalance")
         folder = scratch_path(self.spark, "raw", uuid.uuid4().hex)
-        for name, df in frames.items():
-            df.write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+        together([partial(df.write.option("header", True).option("escape", '"').csv, f"{folder}/{name}") for name, df in frames.items()])
         lake = scratch_lake(self.spark, "retail")
         schemas = {
             "bronze_customers": self.bronze_customers.schema,

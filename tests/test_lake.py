@@ -205,3 +205,23 @@ def test_stored_medallion_run(spark, tmp_path):
     assert [tuple(r) for r in boards["revenue_summary"].collect()][0][1:] == (1, 2)
     assert [r.product_name for r in boards["top_products"].collect()] == ["Desk", "Lamp"]
     assert preview(lake, "silver_customers", 5).count() == 1
+
+
+def test_writes_of_a_layer_overlap_and_their_errors_are_raised(spark):
+    import threading
+
+    from strata.plans import medallion
+    from strata.sources.lake import together
+
+    lake = scratch_lake(spark, "t")
+    real, met = lake.overwrite, threading.Barrier(2, timeout=60)
+
+    def overwrite(name, df):
+        met.wait()  # both writes are under way
+        real(name, df)
+
+    lake.overwrite = overwrite
+    assert medallion._write_counted(lake, {"a": spark.range(3), "b": spark.range(5)}) == {"a": 3, "b": 5}
+    assert rows(lake.read("a")) == [(0,), (1,), (2,)] and lake.read("b").count() == 5
+    with pytest.raises(ZeroDivisionError):
+        together([lambda: 1, lambda: 1 // 0])
