@@ -8,8 +8,11 @@ kept at its first place (smallest doc_id, then place in the text) and removed
 from the others, after a comparison of its bytes.
 
 Hashes of all chunks are counted first; only texts of chunks whose hash occurs
-again are moved for the comparison.  Hot chunks are aggregated before the
-shuffle and salted in the joins.  Only DataFrame functions are used.
+again are moved for the comparison, once: grouping compares their bytes, and each
+occurrence finds its group by the SHA-256 of its text.  Hot chunks are aggregated
+before the shuffle and salted in the joins.  Whole rows travel as one column, so
+that a pass and the removal share one shuffle of the texts.  Only DataFrame
+functions are used.
 
 Chunks miss what stands between a passage's ends and its nearest shared
 boundaries, and chunks with one line of text.  With ``pairs`` an exact pass follows
@@ -125,9 +128,20 @@ def several(lines: Column) -> Column:
     return F.size(F.filter(lines, lambda x: F.trim(x) != "")) >= 2
 
 
-def _keyed(docs: DataFrame, text: str, one: str, two: str) -> DataFrame:
-    """Add two hashes of the text: rows alike in id and hashes are one."""
-    return docs.withColumns({one: F.xxhash64(F.col(text)), two: F.xxhash64(F.lit(1), F.col(text))})
+def _keyed(docs: DataFrame, doc_id: str, text: str, one: str, two: str, row: str) -> DataFrame:
+    """The id, two hashes of the text (rows alike in id and hashes are one) and
+    ``row``, an array of the whole row alone.
+
+    Spark reuses a shuffle only for readers of the same columns; beside ``row``, no
+    reader takes fewer of them than another.
+    """
+    hashes = [F.xxhash64(F.col(text)).alias(one), F.xxhash64(F.lit(1), F.col(text)).alias(two)]
+    return docs.select(doc_id, *hashes, F.array(F.struct(*docs.columns)).alias(row))
+
+
+def _text_of(row: str, text: str) -> Column:
+    """The text in a ``row`` of ``_keyed``.  The lambda keeps the row whole."""
+    return F.transform(F.col(row), lambda r: r[text]).getItem(0)
 
 
 def _place() -> Column:
@@ -157,36 +171,38 @@ def _pair_text(lines: Column, no: Column) -> Column:
     return joined(F.slice(lines, _first_line(no) + 1, _second_line(no) - _first_line(no) + 1))
 
 
-def repeats(keyed: DataFrame, doc_id: str, text: str, one: str, two: str, gone: str | None = None) -> DataFrame:
+def repeats(keyed: DataFrame, key: list[str], text: Column, gone: str | None = None) -> DataFrame:
     """KEY and no of every chunk that stands at a later place than its first; with
     ``gone``, the column of the chunks removed, of every pair outside them.
 
     ``keyed`` comes from ``_keyed``; the caller joins it again by the same key,
     so that Spark can use one shuffle of the texts for both.
     """
-    own_key = [F.col(c).alias(k) for c, k in zip((doc_id, one, two), KEY)]
-    hashed = _pair_hashes(F.col(text), F.col(gone)) if gone else _chunk_hashes(F.col(text))
+    own_key = [F.col(c).alias(k) for c, k in zip(key, KEY)]
+    hashed = _pair_hashes(text, F.col(gone)) if gone else _chunk_hashes(text)
     own = keyed.select(*own_key, F.explode(hashed).alias("x")).select(*KEY, "x.*")
     again = own.groupBy("hash").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > 1)
     # The pieces to compare, by document; then their texts.
     suspects = salted_join(own, again, ["hash"], ["id", "text_1", "no"])
     wanted = suspects.groupBy(*KEY).agg(F.collect_set(F.struct("no", "times")).alias("wanted"))
     want, = fresh(keyed, "k_wanted")
-    held = key_join(keyed, wanted.toDF(doc_id, one, two, want), [doc_id, one, two])
+    held = key_join(keyed, wanted.toDF(*key, want), key)
     piece = (lambda ps, no: _pair_text(ps, no)) if gone else (lambda ps, no: joined(F.get(ps, no)))
     picked = let(
-        F.split(F.col(text), "\n") if gone else chunks_of(F.col(text)),
+        F.split(text, "\n") if gone else chunks_of(text),
         lambda ps: F.transform(
             F.col(want), lambda w: F.struct(w["no"].alias("no"), w["times"].alias("times"), piece(ps, w["no"]).alias("chunk"))
         ),
     )
     found = held.select(*own_key, F.explode(picked).alias("x")).select(*KEY, "x.*").withColumn("hash", F.xxhash64("chunk"))
-    # Grouping and joining on the piece itself compares its bytes.
+    # Grouping on the piece itself compares its bytes; its digest stands for it in the
+    # join, so that its text moves once.
     firsts = found.groupBy("hash", "chunk").agg(F.min(_place()).alias("first"), F.max("times").alias("times"))
+    digest = F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)).alias("digest")
     parts = F.ceil(F.col("times") / ROWS_PER_PART).cast("long")
-    firsts = firsts.select("hash", "chunk", "first", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
-    found = found.withColumn("part", F.pmod(F.xxhash64(*KEY, "no"), parts))
-    both = found.join(firsts, ["hash", "chunk", "part"])
+    firsts = firsts.select("hash", digest, "first", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    found = found.select(*KEY, "no", "hash", digest, F.pmod(F.xxhash64(*KEY, "no"), parts).alias("part"))
+    both = found.join(firsts, ["hash", "digest", "part"])
     later = both.filter(_place() != F.col("first"))
     if gone:
         same = [F.col(c).eqNullSafe(F.col(f"first.{c}")) for c in KEY]
@@ -202,22 +218,23 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", removed:
     An ``n_chars`` column follows the new text.  ``removed`` names a column
     that is to hold the number of chunks (and pairs) taken out.
     """
-    one, two, out, rest = fresh(docs, "k_text_1", "k_text_2", "k_drops", "k_rest")
+    one, two, row, out, rest = fresh(docs, "k_text_1", "k_text_2", "k_row", "k_drops", "k_rest")
     key = [doc_id, one, two]
 
     def by_document(found: DataFrame, name: str) -> DataFrame:
         return found.groupBy(*KEY).agg(F.collect_set("no").alias("drops")).toDF(*key, name)
 
-    keyed = _keyed(docs, text, one, two)
-    drops = by_document(repeats(keyed, doc_id, text, one, two), out)
+    keyed, whole = _keyed(docs, doc_id, text, one, two, row), _text_of(row, text)
+    drops = by_document(repeats(keyed, key, whole), out)
     if pairs:
         drops = cut(drops)
         release(drops)
     both = key_join(keyed, drops, key, "left")
     taken = [F.col(out)]
     if pairs:
-        both = key_join(both, by_document(repeats(both, doc_id, text, one, two, out), rest), key, "left")
+        both = key_join(both, by_document(repeats(both, key, whole, out), rest), key, "left")
         taken.append(F.col(rest))
+    both = both.select(F.inline(row), *taken)
 
     def without(chunks: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(chunks) - 1), F.col(out))

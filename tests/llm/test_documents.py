@@ -162,6 +162,45 @@ def test_the_pipeline_takes_chunks_out_before_pairs(spark):
         assert not set(kept) & set(passage)
 
 
+def shuffles(df):
+    """Of the final plan, each shuffle that is not reused: its line, then those below
+    it down to the next shuffle."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    tree = [(len(x) - len(x.lstrip(" :+-*()0123456789")), x.lstrip(" :+-*()0123456789")) for x in lines]
+    found = []
+    for i, (depth, node) in enumerate(tree):
+        if node.startswith("Exchange"):
+            below = []
+            for d, x in tree[i + 1 :]:
+                if d <= depth or "Exchange" in x:
+                    break
+                below.append(x)
+            found.append((node, below))
+    return found
+
+
+def test_pairs_and_removal_share_one_shuffle_of_the_texts(spark, tmp_path):
+    pick = random.Random(10)
+    line = lambda: " ".join(pick.choice("abcdefgh") * 3 for _ in range(12))
+    passage = [line() for _ in range(20)]
+    docs = [(n, "\n".join([line(), *passage[n : n + 9], line()]), "en", "web", n) for n in range(12)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "docs"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = corpus_pipeline.lines(spark, spark.read.parquet(str(tmp_path / "docs")), SMALL)
+        rows = sorted(done.collect())
+        moved = shuffles(done)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [(r.doc_id, r.text) for r in rows] == pairs_by_brute_force([d[:2] for d in docs])
+    assert all((r.lang, r.source, r.n_chars) == ("en", "web", r.doc_id if r.doc_id == 0 else len(r.text)) for r in rows)
+    whole = [node for node, below in moved if any("FileScan" in x for x in below) and not any("Generate" in x for x in below)]
+    assert len(whole) == 1
+    # The pieces that are compared move once with their text.
+    assert len([node for node, _ in moved if "chunk#" in node]) == 1
+
+
 # SimHash
 
 
