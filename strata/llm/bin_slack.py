@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, numbered
+from strata.llm.common import cut, numbered, small_batches
 from strata.llm.pair_bpe import byte_symbols
 
 CAPACITY = 2048
@@ -179,7 +179,7 @@ def pieces(
             columns = list(zip(*rows)) or [[]] * len(fields)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col(text)).mapInArrow(run, schema)
 
 
 def fullest(room: int, left: dict[int, int], lengths: list[int]) -> list[tuple[int, int]]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, distinct_texts, fresh, smallest_hashes
+from strata.llm.common import cut, distinct_texts, fresh, small_batches, smallest_hashes
 from strata.llm.ngrams import count_grams, only_letters
 
 SIZES = (1, 2, 3)
@@ -78,7 +78,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
         places = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(places, -1)), pa.array(np.append(held[places], n))], ["place", "n"])
 
-    found = texts.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    found = small_batches(texts).mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
     counts = {r["place"]: r["n"] for r in found.collect()}  # at most 2 ** BITS + 1 rows
     total = counts.pop(-1, 0) or 0
     idf = np.full(1 << BITS, np.log(1.0 + total) + 1)
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model, text: str, names: tuple[str, str, str
             new = [pa.array(lang, pa.string()), pa.array(cosine, pa.float64()), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *new], [*[batch.schema.names[i] for i in kept], *names])
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def usual_distances(scored: DataFrame, pred: str, score: str) -> dict[str, float]:

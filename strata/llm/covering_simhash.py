@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, dealt_join, key_join, salted_join
+from strata.llm.common import cut, dealt_join, key_join, salted_join, small_batches
 
 BITS = 64
 SHINGLE = 4
@@ -77,7 +77,7 @@ def with_fingerprint(docs: DataFrame, text: str, name: str, shingle: int = SHING
                 [*[batch.column(i) for i in kept], pa.array(prints.view(np.int64))], [*[batch.schema.names[i] for i in kept], name]
             )
 
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:

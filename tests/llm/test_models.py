@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import centroid_langid, nbsvm, nn_descent
+from strata.llm import bin_slack, centroid_langid, covering_simhash, nbsvm, nn_descent
+from strata.llm.common import BATCH_BYTES
 from strata.llm.queries import QUERIES, held_out
 
 DATA = "/root/testdata/sf0.01"
@@ -39,6 +40,30 @@ def test_a_foreign_script_is_rejected(spark):
     assert rows.filter("doc_id = -5").first().rejected
 
 
+def test_texts_go_to_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    def largest(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    text = F.concat(F.repeat(F.lit("a few words "), 2000), F.col("id").cast("string"))
+    docs = spark.range(0, 1000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"))  # 24 MB
+    none = centroid_langid.Model(np.ones(1 << centroid_langid.BITS), [], np.zeros((0, 1 << centroid_langid.BITS), np.float32))
+    steps = [
+        lambda: centroid_langid.predict(docs, none, "text"),
+        lambda: centroid_langid.document_frequencies(docs.select("text").limit(1)),
+        lambda: bin_slack.pieces(docs, "{}"),
+        lambda: covering_simhash.with_fingerprint(docs, "text", "print"),
+    ]
+    for step in steps:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        step()
+        assert docs.mapInArrow(largest, "n long").agg(F.max("n")).first()[0] < 1.5 * BATCH_BYTES
+    told = steps[0]().agg(F.count("text"), F.countDistinct("doc_id", "text"), F.max("lang_pred")).first()
+    assert tuple(told) == (1000, 1000, "und")
+
+
 def test_quality_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{DATA}/labels.parquet")
     found = QUERIES["op6_nbsvm"](spark, DATA).join(labels, "doc_id").filter("held_out").collect()
