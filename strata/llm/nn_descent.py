@@ -16,6 +16,11 @@ smallest angle.  Directions travel as float16, lengths beside them in double
 precision; distances are taken from differences, so that a very long vector does
 not round the others away.
 
+Nodes, lists and pools stand in buckets by a hash of the node.  A round is four
+exchanges between them (lists and who lists, asked neighbours, their vectors,
+offers), a step of the walks four as well; each sends arrays of records, so rows
+follow buckets and bytes, and no exchange sorts or joins links one by one.
+
 Every row is indexed.  Lists have ``WIDTH`` neighbours; of the nodes that list a
 node as many are joined in a round, first those that were not joined there
 before, then by a hash; this is where the search is approximate.
@@ -30,7 +35,7 @@ are left out, whatever their names.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,6 +55,14 @@ POOL = 100  # nodes that a query keeps
 OPENED = 25  # of them opened at a time
 ENTRIES = 8  # where every walk may begin besides the query's own node
 
+# Nodes live in buckets.  What one bucket tells another travels as arrays in binary
+# rows (bucket, kind, data), not as a row per link: a task sends a bucket one row
+# per kind for each ``LETTERS`` bytes that it has to send.
+FEW, MANY, FULL = 256, 1024, 16_384  # nodes of a bucket, buckets, nodes beyond which buckets grow in number again
+LETTERS = 8 << 20
+AROUND = 64  # centres joined at a time
+MAIL = "bucket int, kind int, data binary"
+
 
 @dataclass
 class Index:
@@ -146,27 +159,166 @@ def _packed(nodes: DataFrame) -> DataFrame:
     return _pack(own.select("node", *HASHES, "ids", "vec", norm.alias("norm"), F.col("own.unit").cast("array<float>").alias("unit")), "unit", "packed")
 
 
-LINK = "src long, dst long, sim double"
+LINK = "src long, dst long, sim double, fresh boolean, back boolean"
+LINKS = np.dtype([("src", "<i8"), ("dst", "<i8"), ("sim", "<f8"), ("fresh", "?"), ("back", "?")])
+LISTS = np.dtype([("src", "<i8"), ("dst", "<i8", (WIDTH,)), ("sim", "<f4", (WIDTH,))])
+LISTED = np.dtype([("node", "<i8"), ("other", "<i8"), ("fresh", "?"), ("draw", "<i8")])
+ASKED = np.dtype([("node", "<i8"), ("centre", "<i8"), ("fresh", "?"), ("listed", "?")])
+PAIRS = np.dtype([("query", "<i8"), ("node", "<i8")])
+FOUND = np.dtype([("query", "<i8"), ("node", "<i8"), ("sim", "<f8")])
+
+Letter = tuple[int, np.ndarray, np.ndarray]  # kind, buckets, a record for each
+
+
+def _vectors(width: int) -> np.dtype:
+    return np.dtype([("node", "<i8"), ("norm", "<f8"), ("last", "<f8"), ("vec", "<f2", (width,))])
+
+
+def _queries(width: int) -> np.dtype:
+    return np.dtype([("query", "<i8"), ("vec", "<f2", (width,))])
+
+
+def _states(width: int) -> np.dtype:
+    return np.dtype([("query", "<i8"), ("vec", "<f2", (width,)), ("node", "<i8", (POOL,)), ("sim", "<f8", (POOL,)), ("open", "?", (POOL,))])
+
 
+def _buckets(count: int) -> int:
+    return max(1, min(-(-count // FEW), MANY), -(-count // FULL))
 
-def _links(src: np.ndarray, dst: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(sim, pa.float64())], ["src", "dst", "sim"])
 
+def _home(nodes: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each node."""
+    mixed = nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _records(kind: np.dtype, **columns: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(next(iter(columns.values()))), kind)
+    for name, values in columns.items():
+        out[name] = values
+    return out
+
+
+def _post(letters: Iterator[Letter]) -> Iterator[pa.RecordBatch]:
+    """The letters as rows of ``MAIL``, those to one bucket together."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    sizes: dict[int, int] = {}
+
+    def row(kind: int) -> pa.RecordBatch:
+        to, what = (np.concatenate(x) for x in zip(*held.pop(kind)))
+        sizes.pop(kind)
+        order = np.argsort(to, kind="stable")
+        to, what = to[order], what[order]
+        starts = _starts(to)
+        ends = np.append(starts, len(to)) * what.itemsize
+        data = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(what.tobytes())])
+        columns = [pa.array(to[starts], pa.int32()), pa.array(np.full(len(starts), kind), pa.int32()), data]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "data"])
+
+    for kind, to, what in letters:
+        # A batch of Arrow holds less than 2 GB.
+        step = max(1, (1 << 30) // what.itemsize)
+        for at in range(0, len(what), step):
+            held.setdefault(kind, []).append((to[at : at + step], what[at : at + step]))
+            sizes[kind] = sizes.get(kind, 0) + held[kind][-1][1].nbytes
+            if sizes[kind] >= LETTERS:
+                yield row(kind)
+    for kind in list(held):
+        yield row(kind)
+
+
+def _mail(rows: DataFrame, letters: Callable[[pa.RecordBatch], Iterator[Letter]]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _post(letter for batch in batches if batch.num_rows for letter in letters(batch))
 
-def _top(ids: np.ndarray, sims: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row of ``sims`` its ``n`` best columns; -inf never counts."""
-    n = min(n, len(ids))
-    best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
-    rows = np.repeat(np.arange(len(ids)), n)
-    columns = best.ravel()
-    found = np.isfinite(sims[rows, columns])
-    rows, columns = rows[found], columns[found]
-    return ids[rows], ids[columns], sims[rows, columns]
+    return rows.mapInArrow(run, MAIL)
+
+
+class Box:
+    """All that reached one bucket."""
+
+    def __init__(self, bucket: int, data: dict[int, list[bytes]]):
+        self.bucket, self.data = bucket, data
+
+    def read(self, kind: int, dtype: np.dtype) -> np.ndarray:
+        return np.frombuffer(b"".join(self.data.pop(kind, [])), dtype)
+
+    def keep(self, kind: int, records: np.ndarray) -> Letter:
+        """A letter to the same bucket."""
+        return kind, np.full(len(records), self.bucket, np.int32), records
+
+
+def _boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[Box]:
+    """The boxes of a task, whose rows come in the order of their buckets."""
+    bucket, data = None, {}
+    for batch in batches:
+        for to, kind, row in zip(batch["bucket"].to_pylist(), batch["kind"].to_pylist(), batch["data"]):
+            if to != bucket and data:
+                yield Box(bucket, data)
+                data = {}
+            bucket = to
+            data.setdefault(kind, []).append(row.as_buffer())
+    if data:
+        yield Box(bucket, data)
+
+
+def _met(mail: DataFrame) -> DataFrame:
+    return mail.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _at_buckets(mail: DataFrame, letters: Callable[[Box], Iterator[Letter]]) -> DataFrame:
+    """What each bucket sends on when it has read its mail."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _post(letter for box in _boxes(batches) for letter in letters(box))
+
+    return _met(mail).mapInArrow(run, MAIL)
+
+
+def _graph_of(mail: DataFrame, links: Callable[[Box], np.ndarray]) -> DataFrame:
+    """The links that each bucket makes of its mail, one a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for box in _boxes(batches):
+            rows = links(box)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c])) for c in LINKS.names], list(LINKS.names))
+
+    return _met(mail).mapInArrow(run, LINK)
+
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+
+
+def _places(keys: np.ndarray) -> np.ndarray:
+    """Each row's place in its run of equal keys."""
+    starts = _starts(keys)
+    return np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+
+
+def _codes(*columns: np.ndarray) -> list[np.ndarray]:
+    """Small numbers in the order of the values, the same for all columns."""
+    values, codes = np.unique(np.concatenate(columns), return_inverse=True)
+    return np.split(codes, np.cumsum([len(c) for c in columns])[:-1])
+
+
+def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One number for each pair of codes, in the order of the pairs."""
+    return a.astype(np.int64) * (int(b.max()) + 1 if len(b) else 1) + b
+
+
+def _leading(group: np.ndarray, sim: np.ndarray, n: int) -> np.ndarray:
+    """Rows with the ``n`` largest ``sim`` of each group, in order; ties as they stand."""
+    order = np.argsort(-sim, kind="stable")
+    order = order[np.argsort(group[order], kind="stable")]
+    return order[_places(group[order]) < n]
 
 
 def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
     """Links inside blocks of nodes that random hyperplanes put together."""
     bits = min(40, max(0, math.ceil(math.log2(max(1, count) / LEAF))))
+    buckets = _buckets(count)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +334,7 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
                     ["tree", "leaf", "along", "node", "packed", "norm"],
                 )
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[Letter]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             table = pa.Table.from_batches([*held, batch.select(["node", "packed", "norm"])])
@@ -193,16 +345,43 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
         if held:
             yield block(pa.Table.from_batches(held))
 
-    def block(table: pa.Table) -> pa.RecordBatch:
+    def block(table: pa.Table) -> Letter:
         ids, rows = table["node"].to_numpy(), _unpack(table["packed"], width)
         sims = _nearness(rows, table["norm"].to_numpy())
         sims[ids[:, None] == ids[None, :]] = -np.inf
-        return _links(*_top(ids, sims, WIDTH))
+        n = min(WIDTH, len(ids))
+        best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
+        lists = np.zeros(len(ids), LISTS)
+        lists["src"], lists["sim"] = ids, -np.inf
+        lists["dst"][:, :n], lists["sim"][:, :n] = ids[best], np.take_along_axis(sims, best, 1)
+        return 0, _home(ids, buckets), lists
+
+    def merged(box: Box) -> np.ndarray:
+        lists = box.read(0, LISTS)
+        lists = lists[np.argsort(lists["src"], kind="stable")]
+        starts, place = _starts(lists["src"]), _places(lists["src"])
+        row = np.cumsum(place == 0) - 1
+        dst = np.zeros((len(starts), place.max() + 1, WIDTH), np.int64)
+        sim = np.full(dst.shape, -np.inf, np.float32)
+        dst[row, place], sim[row, place] = lists["dst"], lists["sim"]
+        dst, sim = dst.reshape(len(starts), -1), sim.reshape(len(starts), -1)
+        order = np.argsort(dst, axis=1)
+        dst, sim = np.take_along_axis(dst, order, 1), np.take_along_axis(sim, order, 1)
+        # Of a link that several blocks made, the nearest stays.
+        first = np.ones(dst.shape, bool)
+        first[:, 1:] = dst[:, 1:] != dst[:, :-1]
+        nearest = np.full(sim.shape, -np.inf, np.float32)
+        nearest[first] = np.maximum.reduceat(sim.ravel(), np.flatnonzero(first.ravel()))
+        best = np.argpartition(-nearest, WIDTH - 1, axis=1)[:, :WIDTH]
+        dst, sim = np.take_along_axis(dst, best, 1), np.take_along_axis(nearest, best, 1)
+        found = np.isfinite(sim)
+        src = np.broadcast_to(lists["src"][starts][:, None], dst.shape)
+        yes = np.ones(int(found.sum()), bool)
+        return _records(LINKS, src=src[found], dst=dst[found], sim=sim[found], fresh=yes, back=yes)
 
     blocks = nodes.select("node", "packed", "norm").mapInArrow(placed, "tree int, leaf long, along double, node long, packed binary, norm double")
     blocks = blocks.repartition("tree", "leaf").sortWithinPartitions("tree", "leaf", "along", "node")
-    links = blocks.mapInArrow(linked, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
-    return _best(links, "src", WIDTH, [F.desc("sim"), F.col("dst")]).withColumns({"fresh": F.lit(True), "back": F.lit(True)})
+    return _graph_of(blocks.mapInArrow(lambda batches: _post(linked(batches)), MAIL), merged)
 
 
 def _listing(graph: DataFrame, salt: int) -> DataFrame:
@@ -211,61 +390,159 @@ def _listing(graph: DataFrame, salt: int) -> DataFrame:
     return _best(back, "node", WIDTH, [F.desc("fresh"), F.xxhash64(F.lit(salt), "node", "other"), F.col("other")])
 
 
-def _neighbours(graph: DataFrame, back: DataFrame) -> DataFrame:
-    """node, other, fresh: each list and the nodes ``back`` that list the node."""
-    ahead = graph.select(F.col("src").alias("node"), F.col("dst").alias("other"), "fresh")
-    return ahead.unionByName(back).groupBy("node", "other").agg(F.max("fresh").alias("fresh"))
+def _graph_mail(graph: DataFrame, buckets: int, salt: int) -> DataFrame:
+    """Links to the buckets of their nodes: kind 0 of those that list, kind 1 (as
+    ``LISTED``, the first ``WIDTH`` of each node in a letter) of those listed."""
+    draw = F.xxhash64(F.lit(salt), F.col("dst"), F.col("src"))  # as in ``_listing``
+
+    def letters(batch: pa.RecordBatch) -> Iterator[Letter]:
+        c = {n: batch[n].to_numpy(zero_copy_only=False) for n in batch.schema.names}
+        yield 0, _home(c["src"], buckets), _records(LINKS, **{n: c[n] for n in LINKS.names})
+        listed = _first_listed(_records(LISTED, node=c["dst"], other=c["src"], fresh=c["back"], draw=c["draw"]))
+        yield 1, _home(listed["node"], buckets), listed
+
+    return _mail(graph.select(*LINKS.names, draw.alias("draw")), letters)
+
+
+def _first_listed(listed: np.ndarray) -> np.ndarray:
+    """The rows of ``_listing``, of those that one place knows."""
+    listed = listed[np.lexsort((listed["other"], listed["draw"], ~listed["fresh"], listed["node"]))]
+    return listed[_places(listed["node"]) < WIDTH]
+
+
+def _vector_mail(nodes: DataFrame, width: int, buckets: int) -> DataFrame:
+    """Directions and lengths to the buckets of their nodes, as kind 2."""
+
+    def letters(batch: pa.RecordBatch) -> Iterator[Letter]:
+        vec = np.frombuffer(b"".join(batch["packed"].to_pylist()), "<f2").reshape(-1, width)
+        rows = _records(_vectors(width), node=batch["node"].to_numpy(), norm=batch["norm"].to_numpy(), vec=vec)
+        yield 2, _home(rows["node"], buckets), rows
+
+    return _mail(nodes.select("node", "packed", "norm"), letters)
+
+
+def _neighbours(links: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """As ``ASKED``, by centre: each list and the nodes that list the centre (listed)."""
+    no, yes = np.zeros(len(links), bool), np.ones(len(listed), bool)
+    ahead = _records(ASKED, centre=links["src"], node=links["dst"], fresh=links["fresh"], listed=no)
+    back = _records(ASKED, centre=listed["node"], node=listed["other"], fresh=listed["fresh"], listed=yes)
+    both = np.concatenate([ahead, back])
+    pair = _paired(*[_codes(both[c])[0] for c in ("centre", "node")])
+    order = np.argsort(pair, kind="stable")
+    starts = _starts(pair[order])
+    out = both[order][starts]
+    for flag in ("fresh", "listed"):
+        out[flag] = np.logical_or.reduceat(both[flag][order], starts) if len(starts) else out[flag]
+    return out
+
+
+def _units(vec: np.ndarray) -> np.ndarray:
+    rows = vec.astype("f4")
+    return rows / np.maximum(np.sqrt(np.einsum("ij,ij->i", rows, rows)), np.finfo("f4").tiny)[:, None]
+
+
+def _apart(a: np.ndarray, b: np.ndarray, norm_a: np.ndarray, norm_b: np.ndarray) -> np.ndarray:
+    """``_nearness`` of the pairs of rows."""
+    gap, rest = norm_a - norm_b, np.sqrt((1 - norm_a) * (1 + norm_a)) + np.sqrt((1 - norm_b) * (1 + norm_b))
+    step = gap * (norm_a + norm_b) / np.maximum(rest, np.finfo(float).tiny)
+    return -(gap * gap + 2 * norm_a * norm_b * (1 - np.einsum("ij,ij->i", a, b).astype(float)) + step * step)
+
+
+SLACK = 1e-5  # more than a product of two unit vectors in single precision is off
+
+
+def _offers(vectors: np.ndarray, pairs: np.ndarray) -> Iterator[np.ndarray]:
+    """Links between the neighbours of each centre, as ``LINKS``."""
+    vectors = vectors[np.argsort(vectors["node"])]
+    pairs = pairs[np.lexsort((pairs["node"], pairs["centre"]))]
+    units, norm, last = _units(vectors["vec"]), vectors["norm"], vectors["last"]
+    rest = np.sqrt((1 - norm) * (1 + norm))
+    # One more row for the places that a centre with fewer neighbours leaves empty.
+    equal = np.zeros((len(units) + 1, units.shape[1] + 1), np.float32)
+    equal[:-1, :-1], equal[:-1, -1] = units * norm[:, None], rest
+    bar = np.append(1 + last / 2 - SLACK, np.inf).astype(np.float32)
+    starts = _starts(pairs["centre"])
+    sizes = np.diff(np.append(starts, len(pairs)))
+    at = np.searchsorted(vectors["node"], pairs["node"])
+    place = _places(pairs["centre"])
+    for a in range(0, len(starts), AROUND):
+        n, rows = sizes[a : a + AROUND], slice(starts[a], starts[a] + sizes[a : a + AROUND].sum())
+        where = np.full((len(n), n.max()), len(units))
+        fresh = np.zeros(where.shape, bool)
+        centre = np.repeat(np.arange(len(n)), n)
+        where[centre, place[rows]], fresh[centre, place[rows]] = at[rows], pairs["fresh"][rows]
+        near = equal[where]
+        # At least one of the two is fresh, and it beats the end of the list.
+        fine = near @ near.transpose(0, 2, 1) > bar[where][:, :, None]
+        fine &= fresh[:, :, None] | fresh[:, None, :]
+        fine &= (where < len(units))[:, None, :]
+        c, i, j = np.nonzero(fine)
+        other = i != j
+        src, dst, row = where[c[other], i[other]], where[c[other], j[other]], (c[other] * where.shape[1] + i[other])
+        sim = np.concatenate([np.zeros(0), *[_apart(units[src[x]], units[dst[x]], norm[src[x]], norm[dst[x]]) for x in (slice(y, y + 65_536) for y in range(0, len(src), 65_536))]])
+        better = np.flatnonzero(sim > last[src])
+        # A list has no place for more of them.
+        better = better[_leading(row[better], sim[better], WIDTH)]
+        yes = np.ones(len(better), bool)
+        yield _records(LINKS, src=vectors["node"][src[better]], dst=vectors["node"][dst[better]], sim=sim[better], fresh=yes, back=yes)
 
 
 def improved(graph: DataFrame, nodes: DataFrame, width: int, salt: int) -> DataFrame:
     """One round: neighbours of each node are offered to each other."""
-    last = graph.groupBy("src").agg(F.when(F.count(F.lit(1)) >= WIDTH, F.min("sim")).otherwise(F.lit(float("-inf"))).alias("last"))
-    known = key_join(nodes.select("node", "packed", "norm"), last.withColumnRenamed("src", "node"), ["node"], "left")
-    back = _listing(graph, salt)
-    met = _neighbours(graph, back)
-    # Nodes with no fresh neighbour have nothing new to join.
-    met = met.withColumn("any", F.max("fresh").over(Window.partitionBy("node"))).filter("any").drop("any")
-    met = key_join(met.withColumnsRenamed({"node": "centre", "other": "node"}), known, ["node"])
-    met = met.repartition("centre").sortWithinPartitions("centre", "node")
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*held, batch])
-            centre = table["centre"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], centre[1:] != centre[:-1]]))
-            if len(starts) > 1:
-                yield from around(table.slice(0, starts[-1]), starts)
-            held = table.slice(starts[-1]).combine_chunks().to_batches()
-        if held:
-            table = pa.Table.from_batches(held)
-            yield from around(table, np.array([0, table.num_rows]))
-
-    def around(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ids, fresh = table["node"].to_numpy(), table["fresh"].to_numpy()
-        last = np.nan_to_num(table["last"].to_numpy(), nan=-np.inf, neginf=-np.inf)
-        rows, norms, out = _unpack(table["packed"], width), table["norm"].to_numpy(), []
-        for a, b in zip(starts[:-1], starts[1:]):
-            if b - a < 2:
-                continue
-            sims = _nearness(rows[a:b], norms[a:b])
-            # At least one of the two is fresh, and it beats the end of the list.
-            fine = (fresh[a:b, None] | fresh[None, a:b]) & (sims > last[a:b, None])
-            np.fill_diagonal(fine, False)
-            sims[~fine] = -np.inf
-            # A list has no place for more of them.
-            out.append(_top(ids[a:b], sims, WIDTH))
-        if out:
-            yield _links(*[np.concatenate(c) for c in zip(*out)])
-
-    offers = met.mapInArrow(joined, LINK).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
-    offers = offers.withColumns({"fresh": F.lit(True), "back": F.lit(True)})
-    # Each list was joined whole; of the others just the nodes in ``back``.
-    tried = back.select(F.col("other").alias("src"), F.col("node").alias("dst"), F.lit(float("-inf")).alias("sim"))
-    tried = tried.withColumns({"fresh": F.lit(False), "back": F.lit(False)})
-    both = graph.withColumn("fresh", F.lit(False)).unionByName(offers).unionByName(tried).groupBy("src", "dst")
-    both = both.agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"), F.min("back").alias("back"))
-    return _best(both, "src", WIDTH, [F.desc("sim"), F.col("dst")])
+    buckets, vectors = _buckets(nodes.count()), _vectors(width)
+
+    def ask(box: Box) -> Iterator[Letter]:
+        """Each centre asks its neighbours for their vectors."""
+        links, listed, own = box.read(0, LINKS), _first_listed(box.read(1, LISTED)), box.read(2, vectors).copy()
+        own["last"] = -np.inf
+        src, node = _codes(links["src"], own["node"])
+        lowest, count = np.full(len(links) + len(own), np.inf), np.bincount(src, minlength=len(links) + len(own))
+        np.minimum.at(lowest, src, links["sim"])
+        full = count[node] >= WIDTH
+        own["last"][full] = lowest[node[full]]
+        yield box.keep(0, links)
+        yield box.keep(2, own)
+        met = _neighbours(links, listed)
+        # Nodes with no fresh neighbour have nothing new to join.
+        met = met[np.isin(met["centre"], met["centre"][met["fresh"]])]
+        yield 3, _home(met["node"], buckets), met
+
+    def answer(box: Box) -> Iterator[Letter]:
+        links, own, met = box.read(0, LINKS).copy(), box.read(2, vectors), box.read(3, ASKED)
+        # Each list was joined whole; of the others just the nodes that were listed.
+        tried = met[met["listed"]]
+        src, node = _codes(links["src"], tried["node"])
+        dst, centre = _codes(links["dst"], tried["centre"])
+        pair = _paired(np.concatenate([src, node]), np.concatenate([dst, centre]))
+        links["fresh"], links["back"] = False, links["back"] & ~np.isin(pair[: len(links)], pair[len(links) :])
+        yield box.keep(0, links)
+        own = own[np.argsort(own["node"])]
+        to = _home(met["centre"], buckets)
+        once = np.unique(np.searchsorted(own["node"], met["node"]) * buckets + to)
+        yield 2, (once % buckets).astype(np.int32), own[once // buckets]
+        yield 3, to, met
+
+    def join(box: Box) -> Iterator[Letter]:
+        yield box.keep(0, box.read(0, LINKS))
+        for offers in _offers(box.read(2, vectors), box.read(3, ASKED)):
+            yield 1, _home(offers["src"], buckets), offers
+
+    def merge(box: Box) -> np.ndarray:
+        both = np.concatenate([box.read(0, LINKS), box.read(1, LINKS)])
+        src = _codes(both["src"])[0]
+        pair = _paired(src, _codes(both["dst"])[0])
+        order = np.argsort(pair, kind="stable")
+        starts = _starts(pair[order])
+        out = both[order][starts]
+        out["sim"] = np.maximum.reduceat(both["sim"][order], starts)
+        for flag in ("fresh", "back"):
+            out[flag] = np.logical_and.reduceat(both[flag][order], starts)
+        return out[_leading(src[order][starts], out["sim"], WIDTH)]
+
+    mail = _graph_mail(graph, buckets, salt).unionByName(_vector_mail(nodes, width, buckets))
+    for letters in (ask, answer, join):
+        mail = _at_buckets(mail, letters)
+    return _graph_of(mail, merge)
 
 
 def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", keep: int = 21) -> Index:
@@ -284,20 +561,6 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     return Index(nodes, graph, rows.select("id", *HASHES), width)
 
 
-def _measured(pairs: DataFrame, nodes: DataFrame, asked: DataFrame, width: int) -> DataFrame:
-    """query, node, sim of the pairs (query, node)."""
-    pairs = key_join(pairs, nodes.select("node", "packed", "norm"), ["node"])
-    pairs = key_join(pairs, asked.select("query", "wanted"), ["query"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = _unpack(batch["packed"], width), _unpack(batch["wanted"], width)
-            sims = batch["norm"].to_numpy() * np.einsum("ij,ij->i", a, b)
-            yield pa.RecordBatch.from_arrays([batch["query"], batch["node"], pa.array(sims, pa.float64())], ["query", "node", "sim"])
-
-    return pairs.mapInArrow(run, "query long, node long, sim double")
-
-
 def search(index: Index, wanted: Column, k: int) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows of every indexed row
     for which ``wanted`` (over column id) holds, the row itself left out."""
@@ -310,24 +573,141 @@ def search(index: Index, wanted: Column, k: int) -> DataFrame:
     asked = asked.withColumn("unit", _direction(F.col("vec"))["unit"].cast("array<float>"))
     asked = cut(_pack(asked, "unit", "wanted"))
     entries = nodes.select("node", F.xxhash64("node").alias("draw")).orderBy("draw", "node").limit(ENTRIES).collect()
-    begin = F.array(F.col("query"), *[F.lit(r["node"]) for r in entries])
-    starts = asked.select("query", F.explode(F.array_distinct(begin)).alias("node"))
-    pool = cut(_measured(starts, nodes, asked, width).withColumn("open", F.lit(False)))
-    lists = cut(_neighbours(index.graph, _listing(index.graph, 0)).select("node", "other"))
-    order = [F.desc("sim"), F.col("node")]
-    while not pool.filter(~F.col("open")).isEmpty():
-        # One checkpoint a round; what is opened follows from the pool.
-        turn = F.row_number().over(Window.partitionBy("query").orderBy("open", *order))
-        ranked = pool.withColumn("now", ~F.col("open") & (turn <= OPENED))
-        reached = key_join(ranked.filter("now").select("query", "node"), lists, ["node"])
-        reached = reached.select("query", F.col("other").alias("node")).distinct()
-        met = pool.select("query", "node", F.lit(True).alias("met"))
-        new = key_join(reached, met, ["query", "node"], "left").filter(F.col("met").isNull()).select("query", "node")
-        new = _measured(new, nodes, asked, width).withColumn("open", F.lit(False))
-        done = ranked.select("query", "node", "sim", (F.col("open") | F.col("now")).alias("open"))
-        pool = cut(_best(done.unionByName(new), "query", POOL, order))
-        release(pool)
-    return _answers(pool, nodes, asked, owners, k)
+    first = np.array([r["node"] for r in entries], np.int64)
+    walk = Walk(nodes, index.graph, asked.count(), width)
+    state = cut(walk.begun(asked, first))
+    while not state.filter("to_open > 0").isEmpty():
+        state = cut(walk.step(state))
+        release(state)
+    return _answers(walk.pools(state), nodes, asked, owners, k)
+
+
+class Walk:
+    """The greedy walks.  A query's pool stands in the query's bucket; each step its
+    best nodes not opened yet name their neighbours, and those not in the pool are
+    measured where they live."""
+
+    STATE = f"{MAIL}, to_open long"
+
+    def __init__(self, nodes: DataFrame, graph: DataFrame, queries: int, width: int):
+        count = nodes.count()
+        self.width, self.buckets, self.homes = width, _buckets(count), _buckets(queries)
+        self.vectors = _vector_mail(nodes, width, self.buckets)
+        buckets = self.buckets
+
+        def around(box: Box) -> Iterator[Letter]:
+            met = _neighbours(box.read(0, LINKS), _first_listed(box.read(1, LISTED)))
+            yield box.keep(0, _records(PAIRS, query=met["centre"], node=met["node"]))
+
+        self.lists = cut(_at_buckets(_graph_mail(graph, buckets, 0), around))
+
+    def begun(self, asked: DataFrame, first: np.ndarray) -> DataFrame:
+        """The state when each query's own node and the entries are measured."""
+        width, homes = self.width, self.homes
+
+        def letters(batch: pa.RecordBatch) -> Iterator[Letter]:
+            query = batch["query"].to_numpy()
+            vec = np.frombuffer(b"".join(batch["wanted"].to_pylist()), "<f2").reshape(-1, width)
+            state = _records(_states(width), query=query, vec=vec)
+            state["sim"], state["open"] = -np.inf, True
+            yield 0, _home(query, homes), state
+            node = np.concatenate([query, np.tile(first, len(query))])
+            pairs = _records(PAIRS, query=np.concatenate([query, np.repeat(query, len(first))]), node=node)
+            yield 1, _home(pairs["query"], homes), pairs
+
+        mail = _mail(asked.select("query", "wanted"), letters)
+        state = mail.filter("kind = 0")
+        return self._measured(state, mail.filter("kind = 1"))
+
+    def step(self, state: DataFrame) -> DataFrame:
+        buckets, homes, kind = self.buckets, self.homes, _states(self.width)
+        state = state.select("bucket", "kind", "data")
+
+        def opened(batch: pa.RecordBatch) -> Iterator[Letter]:
+            rows = np.frombuffer(b"".join(batch["data"].to_pylist()), kind)
+            i, j = np.nonzero(_now(rows))
+            pairs = _records(PAIRS, query=rows["query"][i], node=rows["node"][i, j])
+            yield 1, _home(pairs["node"], buckets), pairs
+
+        def named(box: Box) -> Iterator[Letter]:
+            lists, pairs = box.read(0, PAIRS), box.read(1, PAIRS)
+            lists = lists[np.argsort(lists["query"], kind="stable")]
+            for a in range(0, len(pairs), 16_384):
+                some = pairs[a : a + 16_384]
+                low, high = (np.searchsorted(lists["query"], some["node"], side) for side in ("left", "right"))
+                n = high - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                query = np.repeat(some["query"], n)
+                yield 1, _home(query, homes), _records(PAIRS, query=query, node=lists["node"][at])
+
+        reached = _at_buckets(self.lists.unionByName(_mail(state, opened)), named)
+        return self._measured(state, reached)
+
+    def _measured(self, state: DataFrame, reached: DataFrame) -> DataFrame:
+        """The state with what was reached in the pools, and what was opened marked."""
+        width, buckets, homes, kind = self.width, self.buckets, self.homes, _states(self.width)
+
+        def ask(box: Box) -> Iterator[Letter]:
+            rows, pairs = box.read(0, kind), box.read(1, PAIRS)
+            rows = rows[np.argsort(rows["query"])]
+            i = np.searchsorted(rows["query"], pairs["query"])
+            held = np.isfinite(rows["sim"])
+            new, old = _codes(pairs["node"], rows["node"][held])
+            both = _paired(np.concatenate([i, np.nonzero(held)[0]]), np.concatenate([new, old]))
+            once, at = np.unique(both[: len(pairs)], return_index=True)
+            at = at[~np.isin(once, both[len(pairs) :])]
+            pairs, i = pairs[at], i[at]
+            to = _home(pairs["node"], buckets)
+            sent = np.unique(i * buckets + to)
+            yield 0, (sent % buckets).astype(np.int32), _records(_queries(width), query=rows["query"][sent // buckets], vec=rows["vec"][sent // buckets])
+            yield 1, to, pairs
+
+        def measure(box: Box) -> Iterator[Letter]:
+            queries, pairs, own = box.read(0, _queries(width)), box.read(1, PAIRS), box.read(2, _vectors(width))
+            queries, own = queries[np.argsort(queries["query"])], own[np.argsort(own["node"])]
+            wanted, rows = _units(queries["vec"]), _units(own["vec"])
+            for a in range(0, len(pairs), 65_536):
+                some = pairs[a : a + 65_536]
+                i, j = np.searchsorted(queries["query"], some["query"]), np.searchsorted(own["node"], some["node"])
+                sim = own["norm"][j] * np.einsum("ij,ij->i", rows[j], wanted[i])
+                yield 1, _home(some["query"], homes), _records(FOUND, query=some["query"], node=some["node"], sim=sim)
+
+        def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for box in _boxes(batches):
+                rows, found = box.read(0, kind).copy(), box.read(1, FOUND)
+                rows = rows[np.argsort(rows["query"])]
+                rows["open"] |= _now(rows)
+                i, j = np.nonzero(np.isfinite(rows["sim"]))
+                query = np.concatenate([i, np.searchsorted(rows["query"], found["query"])])
+                node, sim, opened = (np.concatenate([rows[c][i, j], x]) for c, x in (("node", found["node"]), ("sim", found["sim"]), ("open", np.zeros(len(found), bool))))
+                order = np.argsort(node, kind="stable")
+                order = order[_leading(query[order], sim[order], POOL)]
+                query, place = query[order], _places(query[order])
+                rows["node"], rows["sim"], rows["open"] = 0, -np.inf, True
+                rows["node"][query, place], rows["sim"][query, place], rows["open"][query, place] = node[order], sim[order], opened[order]
+                columns = [pa.array([x], t) for x, t in ((box.bucket, pa.int32()), (0, pa.int32()), (rows.tobytes(), pa.binary()), (int((~rows["open"]).sum()), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "data", "to_open"])
+
+        asks = _at_buckets(state.unionByName(reached), ask)
+        found = _at_buckets(asks.unionByName(self.vectors), measure)
+        return _met(state.unionByName(found)).mapInArrow(settled, self.STATE)
+
+    def pools(self, state: DataFrame) -> DataFrame:
+        """query, node of all pools."""
+        kind = _states(self.width)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = np.frombuffer(b"".join(batch["data"].to_pylist()), kind)
+                i, j = np.nonzero(np.isfinite(rows["sim"]))
+                yield pa.RecordBatch.from_arrays([pa.array(rows["query"][i]), pa.array(rows["node"][i, j])], ["query", "node"])
+
+        return state.select("data").mapInArrow(run, "query long, node long")
+
+
+def _now(rows: np.ndarray) -> np.ndarray:
+    """Which nodes of each pool are opened next; pools stand in order."""
+    return ~rows["open"] & (np.cumsum(~rows["open"], axis=1) <= OPENED)
 
 
 def _answers(pool: DataFrame, nodes: DataFrame, asked: DataFrame, owners: DataFrame, k: int) -> DataFrame:

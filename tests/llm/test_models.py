@@ -1,6 +1,7 @@
 """Classifiers (held-out accuracy) and neighbour search (brute force)."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,6 +247,73 @@ def test_descent_goes_on_until_it_settles(spark, monkeypatch):
     assert not any(lost for _, lost in rounds)  # what was not joined stays to be joined
 
 
+def rows_moved(df):
+    """Rows that all exchanges of a frame's plan wrote when it ran."""
+    df._jdf.queryExecution().toRdd().count()
+    plans, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                rows += plan.metrics().apply("shuffleRecordsWritten").value()
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return rows
+
+
+def indexed(spark, rows):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    return nn_descent.cut(nn_descent._packed(nn_descent.distinct_vectors(nn_descent.usable(df, "vec_id", "embedding"), 6)))
+
+
+def test_a_round_moves_few_rows(spark):
+    nodes = indexed(spark, clustered_vectors(3000, 6))
+    graph = nn_descent.cut(nn_descent.first_graph(nodes, 3000, 32))
+    assert graph.count() == 3000 * nn_descent.WIDTH
+    moved = rows_moved(nn_descent.improved(graph, nodes, 32, 0))
+    assert 0 < moved < 3000  # arrays between buckets; with a row per link and neighbour it was 961,952
+
+
+def test_a_round_joins_all_neighbours(spark):
+    rows = clustered_vectors(900, 7)
+    rows[5] *= 20
+    nodes = indexed(spark, rows)
+    graph = nn_descent.first_graph(nodes, 900, 32).filter(F.pmod(F.xxhash64("src", "dst"), F.lit(9)) != 0)
+    old = F.pmod(F.xxhash64("dst", "src"), F.lit(3)) == 0
+    graph = nn_descent.cut(graph.withColumn("fresh", ~old).withColumn("back", ~old))
+    held = {r["node"]: r for r in nodes.collect()}
+    unit = {n: nn_descent._unpack(pa.array([r["packed"]]), 32)[0] for n, r in held.items()}
+
+    def near(a, b):
+        return nn_descent._nearness(np.stack([unit[a], unit[b]]), np.array([held[a]["norm"], held[b]["norm"]]))[0, 1]
+
+    links = {(r.src, r.dst): r for r in graph.collect()}
+    listed = {(r["node"], r["other"]): r["fresh"] for r in nn_descent._listing(graph, 3).collect()}
+    around, last = {}, {}
+    for (a, b), r in links.items():
+        around.setdefault(a, {})[b] = r.fresh
+        last.setdefault(a, []).append(r.sim)
+    last = {a: min(x) if len(x) >= nn_descent.WIDTH else -np.inf for a, x in last.items()}
+    for (a, b), fresh in listed.items():
+        around.setdefault(a, {})[b] = around.get(a, {}).get(b, False) or fresh
+    best = {}  # src -> dst -> nearness, fresh, back
+    for (a, b), r in links.items():
+        best.setdefault(a, {})[b] = (r.sim, False, r.back and (b, a) not in listed)
+    for others in around.values():
+        for a in others:
+            for b in others:
+                if a != b and (others[a] or others[b]) and b not in best.get(a, {}) and (s := near(a, b)) > last.get(a, -np.inf):
+                    best.setdefault(a, {})[b] = (s, True, True)
+    wanted = {(a, b): x for a, found in best.items() for b, x in sorted(found.items(), key=lambda y: (-y[1][0], y[0]))[: nn_descent.WIDTH]}
+    got = {(r.src, r.dst): (r.sim, r.fresh, r.back) for r in nn_descent.improved(graph, nodes, 32, 3).collect()}
+    assert set(got) == set(wanted) and len(got) > len(links)
+    assert all(got[k][1:] == wanted[k][1:] and got[k][0] == pytest.approx(wanted[k][0], abs=1e-6) for k in got)
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0]) for i in range(0, 200)]  # equal vectors: ties to the smaller id
