@@ -61,6 +61,7 @@ ENTRIES = 8  # where every walk may begin besides the query's own node
 FEW, MANY, FULL = 256, 1024, 16_384  # nodes of a bucket, buckets, nodes beyond which buckets grow in number again
 LETTERS = 8 << 20
 AROUND = 64  # centres joined at a time
+STEP = 1 << 16  # pairs measured at a time
 MAIL = "bucket int, kind int, data binary"
 
 
@@ -93,6 +94,32 @@ def _nearness(rows: np.ndarray, norms: np.ndarray) -> np.ndarray:
     return -(gap * gap + 2 * n * n.T * (1 - (rows @ rows.T).astype(float)) + step * step)
 
 
+SHORT = 0.1  # a vector shorter than this share of the longest is ranked in double precision
+
+
+def _nearest(ids: np.ndarray, rows: np.ndarray, norms: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` nearest rows of each row and their nearness, -inf for its own node."""
+    n = min(n, len(rows))
+    if exact := norms.min() < SHORT:
+        rank = _nearness(rows, norms)
+    else:
+        dots, short, rest = rows @ rows.T, norms.astype(np.float32), np.sqrt((1 - norms) * (1 + norms)).astype(np.float32)
+        rank = dots * short[:, None] * short + np.outer(rest, rest)
+    rank[ids[:, None] == ids] = -np.inf
+    best = np.argpartition(rank, len(rows) - n, axis=1)[:, len(rows) - n :]
+    sims = np.take_along_axis(rank, best, 1)
+    if not exact:
+        sims = np.where(np.isfinite(sims), _apart(np.take_along_axis(dots, best, 1), norms[:, None], norms[best]), -np.inf)
+    return best, sims
+
+
+def _apart(dots: np.ndarray, norms: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """``_nearness`` of pairs, from the products of their directions and their lengths."""
+    gap, rest = norms - others, np.sqrt((1 - norms) * (1 + norms)) + np.sqrt((1 - others) * (1 + others))
+    step = gap * (norms + others) / np.maximum(rest, np.finfo(float).tiny)
+    return -(gap * gap + 2 * norms * others * (1 - dots.astype(float)) + step * step)
+
+
 def _pack(rows: DataFrame, numbers: str, name: str) -> DataFrame:
     """Replace an array column by its numbers in float16: half the bytes in
     every shuffle.  The walk only ranks by them; answers are measured anew."""
@@ -346,14 +373,11 @@ def first_graph(nodes: DataFrame, count: int, width: int) -> DataFrame:
             yield block(pa.Table.from_batches(held))
 
     def block(table: pa.Table) -> Letter:
-        ids, rows = table["node"].to_numpy(), _unpack(table["packed"], width)
-        sims = _nearness(rows, table["norm"].to_numpy())
-        sims[ids[:, None] == ids[None, :]] = -np.inf
-        n = min(WIDTH, len(ids))
-        best = np.argpartition(-sims, n - 1, axis=1)[:, :n]
+        ids, rows, norms = table["node"].to_numpy(), _unpack(table["packed"], width), table["norm"].to_numpy()
+        best, sims = _nearest(ids, rows, norms, WIDTH)
         lists = np.zeros(len(ids), LISTS)
         lists["src"], lists["sim"] = ids, -np.inf
-        lists["dst"][:, :n], lists["sim"][:, :n] = ids[best], np.take_along_axis(sims, best, 1)
+        lists["dst"][:, : best.shape[1]], lists["sim"][:, : best.shape[1]] = ids[best], sims
         return 0, _home(ids, buckets), lists
 
     def merged(box: Box) -> np.ndarray:
@@ -441,13 +465,6 @@ def _units(vec: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.sqrt(np.einsum("ij,ij->i", rows, rows)), np.finfo("f4").tiny)[:, None]
 
 
-def _apart(a: np.ndarray, b: np.ndarray, norm_a: np.ndarray, norm_b: np.ndarray) -> np.ndarray:
-    """``_nearness`` of the pairs of rows."""
-    gap, rest = norm_a - norm_b, np.sqrt((1 - norm_a) * (1 + norm_a)) + np.sqrt((1 - norm_b) * (1 + norm_b))
-    step = gap * (norm_a + norm_b) / np.maximum(rest, np.finfo(float).tiny)
-    return -(gap * gap + 2 * norm_a * norm_b * (1 - np.einsum("ij,ij->i", a, b).astype(float)) + step * step)
-
-
 SLACK = 1e-5  # more than a product of two unit vectors in single precision is off
 
 
@@ -479,7 +496,8 @@ def _offers(vectors: np.ndarray, pairs: np.ndarray) -> Iterator[np.ndarray]:
         c, i, j = np.nonzero(fine)
         other = i != j
         src, dst, row = where[c[other], i[other]], where[c[other], j[other]], (c[other] * where.shape[1] + i[other])
-        sim = np.concatenate([np.zeros(0), *[_apart(units[src[x]], units[dst[x]], norm[src[x]], norm[dst[x]]) for x in (slice(y, y + 65_536) for y in range(0, len(src), 65_536))]])
+        dots = np.concatenate([np.zeros(0, np.float32), *[np.einsum("ij,ij->i", units[src[y : y + STEP]], units[dst[y : y + STEP]]) for y in range(0, len(src), STEP)]])
+        sim = _apart(dots, norm[src], norm[dst])
         better = np.flatnonzero(sim > last[src])
         # A list has no place for more of them.
         better = better[_leading(row[better], sim[better], WIDTH)]
@@ -551,11 +569,12 @@ def build(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
     nodes = cut(_packed(distinct_vectors(rows, keep)))
     size = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
     width = size["width"] or 0
-    graph = cut(first_graph(nodes, size["n"], width))
+    lean = cut(nodes.select("node", "packed", "norm"))  # what the rounds read of them
+    graph = cut(first_graph(lean, size["n"], width))
     # Sums of nearness only grow, so the rounds end.
     renewed, i = math.inf, 0
     while renewed > SETTLED * WIDTH * size["n"]:
-        graph = cut(improved(graph, nodes, width, i))
+        graph = cut(improved(graph, lean, width, i))
         release(rows)
         renewed, i = graph.filter("fresh").count(), i + 1
     return Index(nodes, graph, rows.select("id", *HASHES), width)
@@ -592,7 +611,7 @@ class Walk:
     def __init__(self, nodes: DataFrame, graph: DataFrame, queries: int, width: int):
         count = nodes.count()
         self.width, self.buckets, self.homes = width, _buckets(count), _buckets(queries)
-        self.vectors = _vector_mail(nodes, width, self.buckets)
+        self.vectors = cut(_vector_mail(nodes, width, self.buckets))
         buckets = self.buckets
 
         def around(box: Box) -> Iterator[Letter]:
@@ -666,8 +685,8 @@ class Walk:
             queries, pairs, own = box.read(0, _queries(width)), box.read(1, PAIRS), box.read(2, _vectors(width))
             queries, own = queries[np.argsort(queries["query"])], own[np.argsort(own["node"])]
             wanted, rows = _units(queries["vec"]), _units(own["vec"])
-            for a in range(0, len(pairs), 65_536):
-                some = pairs[a : a + 65_536]
+            for a in range(0, len(pairs), STEP):
+                some = pairs[a : a + STEP]
                 i, j = np.searchsorted(queries["query"], some["query"]), np.searchsorted(own["node"], some["node"])
                 sim = own["norm"][j] * np.einsum("ij,ij->i", rows[j], wanted[i])
                 yield 1, _home(some["query"], homes), _records(FOUND, query=some["query"], node=some["node"], sim=sim)
