@@ -314,6 +314,21 @@ def test_a_round_joins_all_neighbours(spark):
     assert all(got[k][1:] == wanted[k][1:] and got[k][0] == pytest.approx(wanted[k][0], abs=1e-6) for k in got)
 
 
+@pytest.mark.parametrize("shortest", [0.5, 0.0001])
+def test_the_nearest_of_a_block(shortest):
+    turn = np.random.default_rng(8)
+    rows, ids = clustered_vectors(200, 8).astype("f4"), np.arange(200)
+    ids[150:] = ids[:50]  # the end of one tree and the begin of the next
+    norms = turn.uniform(shortest, 1, 200)
+    near = nn_descent._nearness(rows, norms)
+    near[ids[:, None] == ids] = -np.inf
+    best, sims = nn_descent._nearest(ids, rows, norms, 32)
+    assert np.allclose(np.take_along_axis(near, best, 1), sims, rtol=1e-6)
+    assert np.allclose(np.sort(sims, axis=1), np.sort(near, axis=1)[:, -32:], rtol=1e-4)
+    best, sims = nn_descent._nearest(ids[:1], rows[:1], norms[:1], 32)
+    assert sims.tolist() == [[-np.inf]]
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 2.0]) for i in range(0, 200)]  # equal vectors: ties to the smaller id
